@@ -29,7 +29,12 @@ def strip_sql_comments(c) -> Column:
     """Drop ``-- line`` and ``/* block */`` comments, then surrounding whitespace."""
     s = F.regexp_replace(_c(c), r"(?m)--.*$", "")
     s = F.regexp_replace(s, r"(?s)/\*.*?\*/", "")
-    return F.regexp_replace(s, r"^\s+|\s+$", "")
+    return trim_space(s)
+
+
+def trim_space(c) -> Column:
+    """Strip leading/trailing whitespace of any kind (``trim`` only strips spaces)."""
+    return F.regexp_replace(_c(c), r"\A\s+|\s+\z", "")
 
 
 def starts_read_only(c) -> Column:
@@ -38,8 +43,8 @@ def starts_read_only(c) -> Column:
 
 
 def forbidden_keywords(c, spark_extras: bool = True) -> Column:
-    """Distinct forbidden keywords in order of first appearance, as written."""
-    return F.array_distinct(F.regexp_extract_all(_c(c), F.lit(forbidden_pattern(spark_extras)), 1))
+    """Distinct forbidden keywords (lower case) in order of first appearance."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(_c(c)), F.lit(forbidden_pattern(spark_extras)), 1))
 
 
 def guard_check(c, spark_extras: bool = True) -> Column:
@@ -63,17 +68,17 @@ def extract_fenced_sql(c) -> Column:
     has_tagged = c.rlike(r"(?is)```sql(.*?)```")
     has_plain = c.rlike(r"(?s)```(.*?)```")
     body = F.when(has_tagged, tagged).when(has_plain, plain).otherwise(c)
-    body = F.regexp_replace(body, r"^\s+|\s+$", "")
+    body = trim_space(body)
     body = F.replace(body, F.lit("\\n"), F.lit("\n"))
     return F.replace(body, F.lit("\\t"), F.lit("\t"))
 
 
 def strip_json_fence(c) -> Column:
     """Remove a leading ```json / ``` fence line and a trailing ``` fence."""
-    s = F.regexp_replace(_c(c), r"^\s+|\s+$", "")
-    s = F.regexp_replace(s, r"(?i)^```(json)?[ \t]*\n?", "")
-    s = F.regexp_replace(s, r"\n?```$", "")
-    return F.regexp_replace(s, r"^\s+|\s+$", "")
+    s = trim_space(c)
+    s = F.regexp_replace(s, r"(?i)\A```(json)?[ \t]*\n?", "")
+    s = F.regexp_replace(s, r"\n?```\z", "")
+    return trim_space(s)
 
 
 def json_valid(c, schema: StructType, required: Sequence[str] = ()) -> Column:

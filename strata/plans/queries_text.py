@@ -1 +1,105 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: SQL guard over whole text tables, fence extraction, JSON validation,
+guarded execution."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from strata.constants import GUARD_FORBIDDEN_KEYWORDS, GUARD_SPARK_EXTRA_KEYWORDS
+from strata.functions.formatting import markdown_row
+from strata.functions.text import extract_fenced_sql, guard_check, json_valid, strip_json_fence
+from strata.operators.gold import gold_monthly
+from strata.operators.guard import guarded_sql
+from strata.operators.report import format_metrics
+from strata.operators.silver import silver_sales
+from strata.plans import oracle as O
+from strata.plans.fixtures import SALES_ROW_ID, sales_bronze, table
+from strata.plans.registry import register
+
+_KW = ", ".join(f"'{k}'" for k in GUARD_FORBIDDEN_KEYWORDS + GUARD_SPARK_EXTRA_KEYWORDS)
+_NONWORD = r"[^\p{L}\p{Nd}_]"
+
+
+@register("sql_guard_audit", rf"""
+WITH g AS (
+  SELECT conv_id, turn,
+         regexp_replace(regexp_replace(regexp_replace(text, '(?m)--.*$', '', 'g'),
+                                       '(?s)/\*.*?\*/', '', 'g'), '\A\s+|\s+\z', '', 'g') AS clean
+  FROM conversations
+),
+k AS (
+  SELECT conv_id, turn, regexp_matches(clean, '^(?i)(select|with)({_NONWORD}|$)') AS ro,
+         list_filter(regexp_split_to_array(lower(clean), '{_NONWORD}+'), lambda w: list_contains([{_KW}], w)) AS kw
+  FROM g
+),
+kd AS (SELECT conv_id, turn, ro, list_filter(kw, lambda x, i: list_position(kw, x) = i) AS kw FROM k)
+SELECT conv_id, turn, ro AND len(kw) = 0 AS is_safe,
+       CASE WHEN NOT ro THEN 'Query must be a read-only SELECT or WITH statement.'
+            WHEN len(kw) > 0 THEN 'Query contains forbidden write/modify keyword(s): ' || array_to_string(kw, ', ')
+            ELSE '' END AS message
+FROM kd""")
+def sql_guard_audit(spark, d):
+    conv = table(spark, d, "conversations")
+    return conv.select("conv_id", "turn", guard_check("text").alias("g")).select(
+        "conv_id", "turn", "g.is_safe", "g.message")
+
+
+@register("fence_extract", r"""
+SELECT conv_id, turn,
+  replace(replace(regexp_replace(
+    CASE WHEN regexp_matches(text, '(?is)```sql(.*?)```') THEN regexp_extract(text, '(?is)```sql(.*?)```', 1)
+         WHEN regexp_matches(text, '(?s)```(.*?)```') THEN regexp_extract(text, '(?s)```(.*?)```', 1)
+         ELSE text END, '\A\s+|\s+\z', '', 'g'), '\n', chr(10)), '\t', chr(9)) AS extracted
+FROM conversations""")
+def fence_extract(spark, d):
+    conv = table(spark, d, "conversations")
+    return conv.select("conv_id", "turn", extract_fenced_sql("text").alias("extracted"))
+
+
+PROPS_SCHEMA = StructType([StructField("k", LongType())])
+
+
+@register("json_validate", r"""
+WITH e AS (
+  SELECT event_id,
+         regexp_replace(regexp_replace(regexp_replace(regexp_replace(props, '\A\s+|\s+\z', '', 'g'),
+           '(?i)\A```(json)?[ \t]*\n?', '', 'g'), '\n?```\z', '', 'g'), '\A\s+|\s+\z', '', 'g') AS body
+  FROM events
+)
+SELECT event_id,
+       coalesce(json_valid(body) AND TRY_CAST(json_extract_string(body, '$.k') AS BIGINT) IS NOT NULL, false)
+         AS is_valid,
+       TRY_CAST(json_extract_string(body, '$.k') AS BIGINT) AS k
+FROM e""")
+def json_validate(spark, d):
+    ev = table(spark, d, "events")
+    body = strip_json_fence("props")
+    parsed = F.from_json(body, PROPS_SCHEMA)
+    return ev.select("event_id", json_valid(body, PROPS_SCHEMA, ["k"]).alias("is_valid"),
+                     parsed.getField("k").alias("k"))
+
+
+@register("guarded_sql", f"""
+{O.SALES_SILVER_WITH}
+SELECT category, CAST(COUNT(*) AS BIGINT) AS sales, CAST(SUM(units_sold) AS BIGINT) AS units
+FROM sales_silver GROUP BY category ORDER BY category LIMIT 50""")
+def guarded_sql_q(spark, d):
+    silver_sales(sales_bronze(spark, d), row_id=SALES_ROW_ID).createOrReplaceTempView("silver_clean_sales")
+    return guarded_sql(spark, "-- sales per category\nSELECT category, COUNT(*) AS sales, "
+                              "CAST(SUM(units_sold) AS BIGINT) AS units FROM silver_clean_sales "
+                              "GROUP BY category ORDER BY category", max_rows=50)
+
+
+@register("gold_markdown", f"""
+{O.GOLD_MONTHLY},
+m AS (SELECT CASE WHEN abs(arg_min(profit_margin, month)) <= 1 THEN 100.0 ELSE 1.0 END AS mult
+      FROM gold WHERE profit_margin IS NOT NULL)
+SELECT month, '| ' || concat_ws(' | ', month,
+       '$' || format('{{:,.2f}}', revenue), '$' || format('{{:,.2f}}', cost),
+       printf('%.2f%%', profit_margin * m.mult), format('{{:,}}', CAST(trunc(units_sold) AS BIGINT)),
+       top_category) || ' |' AS line
+FROM gold, m""")
+def gold_markdown(spark, d):
+    g = format_metrics(gold_monthly(silver_sales(sales_bronze(spark, d), row_id=SALES_ROW_ID)))
+    return g.select("month", markdown_row(g.columns).alias("line"))
