@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 def _order_fields(df: DataFrame, order_first: Sequence[str], row_id: Sequence[str]) -> list[str]:
     rest = [c for c in df.columns if c not in order_first and c not in row_id]
-    return list(order_first) + rest + list(row_id)
+    tail = [c for c in row_id if c not in order_first]
+    return list(order_first) + rest + tail
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],

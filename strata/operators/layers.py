@@ -2,7 +2,8 @@
 
 A bronze frame holds the raw columns as text plus the audit columns
 ``ingested_at`` (TIMESTAMP) and ``source_file`` (STRING) and a row
-identity (default ``_row_id``; may be several columns).  The identity only
+identity (default ``ingested_at, source_file, _row_id``; any columns that
+together are unique per bronze row).  The identity only
 has to be unique per bronze row; it is never shown in silver or quarantine.
 """
 
@@ -14,13 +15,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AUDIT_COLUMNS = ("ingested_at", "source_file")
-DEFAULT_ROW_ID = ("_row_id",)
+# bronze written by strata.sources.files.ingest_csv: one ingest run shares
+# ingested_at, and _row_id is unique within a run
+DEFAULT_ROW_ID = ("ingested_at", "source_file", "_row_id")
 
 
 def raw_columns(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID) -> list[str]:
     return [c for c in bronze.columns if c not in AUDIT_COLUMNS and c not in row_id]
 
 
+def identity_columns(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID) -> list[str]:
+    """Columns hashed into the silver surrogate id (raw, audit, identity; no repeats)."""
+    cols = raw_columns(bronze, row_id) + list(AUDIT_COLUMNS)
+    return cols + [c for c in row_id if c not in cols]
+
+
 def run_timestamp(run_ts=None) -> Column:
     """Audit timestamp: a fixed value when given (tests, reruns), else now."""
     if run_ts is None:

@@ -64,6 +64,23 @@ def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
     return _shape(by_rule.unionByName(dups), SALES_COLUMNS, run_ts)
 
 
+def sales_row_rules(bronze: DataFrame, run_ts=None) -> DataFrame:
+    """Only the stateless row rules of :func:`quarantine_sales` (no duplicates):
+    usable on a stream, where each micro-batch is checked on its own."""
+    date_missing, cat_missing = missing("date"), missing("category")
+    reason = (F.when(date_missing, REASON_MISSING_DATE)
+              .when(cat_missing, REASON_MISSING_CATEGORY)
+              .when(any_negative(["revenue", "cost"], ["units_sold"]), REASON_NEGATIVE_ANY))
+    rows = bronze.withColumn("rejection_reason", reason).where(F.col("rejection_reason").isNotNull())
+    return _shape(rows, SALES_COLUMNS, run_ts)
+
+
+def row_rule_quarantine(bronze: DataFrame, profile: Profile, run_ts=None, extensions: bool = False) -> DataFrame:
+    """Only the stateless row rules of :func:`quarantine` (no duplicates)."""
+    rows = bronze.select("*", F.explode(rule_reasons(profile, extensions)).alias("rejection_reason"))
+    return _shape(rows, profile.names, run_ts)
+
+
 def rule_reasons(profile: Profile, extensions: bool = False):
     """Array expression of every violated row rule (NULL entries compacted away)."""
     checks = [F.when(missing(c), F.lit(REASON_NULL_REQUIRED.format(col=c))) for c in profile.required]

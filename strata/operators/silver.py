@@ -11,7 +11,7 @@ from strata.constants import SALES_DEDUP_KEYS
 from strata.functions.casts import to_date, to_int, to_real
 from strata.functions.predicates import all_of, non_negative, present
 from strata.operators.dedup import latest_per_key
-from strata.operators.layers import DEFAULT_ROW_ID, raw_columns, run_timestamp, surrogate_id
+from strata.operators.layers import DEFAULT_ROW_ID, identity_columns, run_timestamp, surrogate_id
 from strata.operators.model import Profile
 
 
@@ -34,7 +34,7 @@ def silver(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFAULT_
     """Profile-driven silver: filter valid rows first, then keep the latest per key."""
     valid = bronze.where(valid_row(profile))
     survivors = latest_per_key(valid, list(dedup_keys or profile.dedup_keys()), row_id)
-    id_cols = raw_columns(bronze, row_id) + ["source_file", "ingested_at", *row_id]
+    id_cols = identity_columns(bronze, row_id)
     return survivors.select(
         surrogate_id(id_cols).alias("id"),
         *[typed_column(c.name, c.role) for c in profile.columns],
@@ -49,7 +49,7 @@ def silver_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID, run_
     numeric check, so a negative newest copy hides an older valid one."""
     dated = bronze.where(present("date") & present("category"))
     survivors = latest_per_key(dated, SALES_DEDUP_KEYS, row_id)
-    id_cols = raw_columns(bronze, row_id) + ["source_file", "ingested_at", *row_id]
+    id_cols = identity_columns(bronze, row_id)
     typed = survivors.select(
         surrogate_id(id_cols).alias("id"),
         to_date("date").alias("date"),

@@ -1 +1,170 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: CSV landing → bronze → gold → CSV export round trip, keyed
+upsert, streaming landing zone, profile JSON, catalog and workspaces."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+
+from strata.constants import SALES_COLUMNS
+from strata.operators.gold import gold_monthly
+from strata.operators.guard import PlanValidationError, run_guarded_sql
+from strata.operators.profile import build_profile
+from strata.operators.quarantine import quarantine_sales
+from strata.operators.silver import silver, silver_sales
+from strata.plans import oracle as O
+from strata.plans.fixtures import SALES_ROW_ID, TABLE_ROW_ID, customer_bronze, sales_bronze
+from strata.plans.queries_layers import CUSTOMER_PROFILE
+from strata.plans.queries_profile import CUSTOMER_COLS, _profile_oracle
+from strata.plans.registry import register
+from strata.session import checkpoint_dir, scratch_path
+from strata.sources import catalog as C
+from strata.sources import files as IO
+from strata.streaming.landing import ingest_landing
+
+GOLD_SCHEMA = StructType([
+    StructField("month", StringType()), StructField("revenue", DoubleType()),
+    StructField("cost", DoubleType()), StructField("profit_margin", DoubleType()),
+    StructField("units_sold", LongType()), StructField("top_category", StringType()),
+])
+
+
+def _write_landing(spark, d, files: int = 4) -> str:
+    """Drop the sales bronze text as landing CSV files (the raw columns only)."""
+    landing = scratch_path(spark, "landing")
+    (sales_bronze(spark, d).select(*SALES_COLUMNS).repartition(files)
+     .write.option("header", True).csv(landing))
+    return landing
+
+
+@register("csv_roundtrip", f"""
+{O.GOLD_MONTHLY}
+SELECT * FROM gold""")
+def csv_roundtrip(spark, d):
+    """landing CSV → all-text bronze (append) → silver → gold → CSV export → typed re-read."""
+    landing = _write_landing(spark, d)
+    bronze_path, gold_dir = scratch_path(spark, "bronze"), scratch_path(spark, "gold_csv")
+    assert IO.csv_header(spark, landing) == list(SALES_COLUMNS)
+    IO.ingest_csv(spark, landing, bronze_path)
+    bronze = spark.read.parquet(bronze_path)
+    IO.export_csv(gold_monthly(silver_sales(bronze)), gold_dir, single_file=True)
+    return IO.read_typed_csv(spark, gold_dir, GOLD_SCHEMA)
+
+
+def _gold_chain(prefix: str, where: str) -> str:
+    """Static silver → gold CTE chain over a filtered sales_bronze (names prefixed)."""
+    p = prefix
+    return f"""
+{p}ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY date, category, units_sold, revenue ORDER BY {O.SALES_ORDER}) AS rn
+  FROM sales_bronze WHERE {O.SALES_DATED} AND {where}
+),
+{p}silver AS (
+  SELECT CAST(date AS DATE) AS date, category, TRY_CAST(revenue AS DOUBLE) AS revenue,
+         TRY_CAST(cost AS DOUBLE) AS cost, CAST(ROUND(TRY_CAST(units_sold AS DOUBLE)) AS INTEGER) AS units_sold
+  FROM {p}ranked WHERE rn = 1 AND {O.SALES_NONNEG}
+),
+{p}per_cat AS (
+  SELECT strftime(date, '%Y-%m') AS month, category, SUM(CAST(revenue AS DECIMAL(18,6))) AS category_revenue,
+         SUM(CAST(cost AS DECIMAL(18,6))) AS category_cost, SUM(units_sold) AS category_units
+  FROM {p}silver GROUP BY 1, 2
+),
+{p}top AS (
+  SELECT month, category FROM (
+    SELECT month, category, ROW_NUMBER() OVER (PARTITION BY month ORDER BY category_revenue DESC, category) AS rk
+    FROM {p}per_cat) t WHERE rk = 1
+),
+{p}gold AS (
+  SELECT m.month, CAST(ROUND(m.rev, 2) AS DOUBLE) AS revenue, CAST(ROUND(m.cst, 2) AS DOUBLE) AS cost,
+         ROUND(CAST(m.rev - m.cst AS DOUBLE) / NULLIF(CAST(m.rev AS DOUBLE), 0), 4) AS profit_margin,
+         CAST(m.units AS BIGINT) AS units_sold, t.category AS top_category
+  FROM (SELECT month, SUM(category_revenue) AS rev, SUM(category_cost) AS cst, SUM(category_units) AS units
+        FROM {p}per_cat GROUP BY month) m JOIN {p}top t ON m.month = t.month
+)"""
+
+
+@register("upsert_gold", f"""
+WITH {O.SALES_BRONZE}, {_gold_chain('t_', "source_file LIKE 'sales_%'")}, {_gold_chain('u_', '1=1')}
+SELECT * FROM t_gold WHERE month NOT IN (SELECT month FROM u_gold WHERE month >= '2000-01')
+UNION ALL
+SELECT * FROM u_gold WHERE month >= '2000-01'""")
+def upsert_gold(spark, d):
+    """Gold of the original deliveries, with the months from 2000 on restated from
+    all deliveries (corrections included): insert-or-replace on ``month``."""
+    b = sales_bronze(spark, d)
+    target = gold_monthly(silver_sales(b.where(F.col("_batch") == 0), row_id=SALES_ROW_ID))
+    updates = gold_monthly(silver_sales(b, row_id=SALES_ROW_ID)).where(F.col("month") >= "2000-01")
+    return IO.upsert(target, updates, ["month"])
+
+
+@register("stream_landing", f"""
+WITH {O.SALES_BRONZE}
+SELECT rejection_reason, COUNT(*) AS row_count FROM (
+  SELECT 'Missing/Invalid Date' AS rejection_reason FROM sales_bronze WHERE {O.missing('date')}
+  UNION ALL SELECT 'Missing/Invalid Category' FROM sales_bronze WHERE {O.present('date')} AND {O.missing('category')}
+  UNION ALL SELECT 'Negative Numeric Metric(s)' FROM sales_bronze WHERE {O.SALES_DATED} AND {O.SALES_NEG}
+) q GROUP BY rejection_reason""")
+def stream_landing(spark, d):
+    """Landing files ingested by a Structured Streaming query (one file per micro-batch,
+    available-now trigger); the row-rule quarantine written per batch, counted by reason."""
+    landing = _write_landing(spark, d)
+    bronze_path, q_path = scratch_path(spark, "stream_bronze"), scratch_path(spark, "stream_quarantine")
+    q = ingest_landing(spark, landing, bronze_path, scratch_path(spark, "stream_ckpt"), SALES_COLUMNS,
+                       quarantine_path=q_path, max_files_per_trigger=1)
+    q.awaitTermination()
+    return (spark.read.parquet(q_path).groupBy("rejection_reason")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("row_count")))
+
+
+@register("profile_json_roundtrip", _profile_oracle(O.CUSTOMER_BRONZE, "customer_bronze", CUSTOMER_COLS,
+                                                    with_roles=True))
+def profile_json_roundtrip(spark, d):
+    """Profile + roles of customer written as JSON and read back."""
+    prof = build_profile(customer_bronze(spark, d), CUSTOMER_COLS)
+    path = scratch_path(spark, "profile_json")
+    IO.write_profile(spark, prof, path)
+    back = IO.read_profile(spark, path)
+    rows = [(c.name, i, c.role) for i, c in enumerate(back.columns)]
+    return spark.createDataFrame(rows, "column_name string, ordinal int, role string")
+
+
+def _two_workspaces(spark, d):
+    root = scratch_path(spark, "workspaces")
+    sales_ws, cust_ws = "sales-ops", "customer-care"
+    for ws in (sales_ws, cust_ws):
+        C.create_workspace(spark, ws, f"{root}/{C.workspace_database(ws)}")
+    b = sales_bronze(spark, d)
+    C.save_layer(silver_sales(b, row_id=SALES_ROW_ID), sales_ws, "silver_clean_sales")
+    C.save_layer(quarantine_sales(b, row_id=SALES_ROW_ID), sales_ws, "quarantine_rejected_sales")
+    C.save_layer(silver(customer_bronze(spark, d), CUSTOMER_PROFILE, row_id=TABLE_ROW_ID), cust_ws,
+                 "silver_clean_sales")
+    return sales_ws, cust_ws
+
+
+@register("workspace_isolation")
+def workspace_isolation(spark, d):
+    """Same table name in two workspaces, disjoint data; a column of one tenant
+    does not resolve in the other (no oracle: catalog behaviour)."""
+    sales_ws, cust_ws = _two_workspaces(spark, d)
+    current = spark.catalog.currentDatabase()
+    rows = []
+    try:
+        for ws, foreign in ((sales_ws, "c_acctbal"), (cust_ws, "revenue")):
+            n = run_guarded_sql(spark, "SELECT COUNT(*) AS n FROM silver_clean_sales", ws).first()["n"]
+            try:
+                run_guarded_sql(spark, f"SELECT {foreign} FROM silver_clean_sales", ws)
+                isolated = False
+            except PlanValidationError:
+                isolated = True
+            rows.append((ws, C.workspace_database(ws), int(n), isolated))
+    finally:
+        spark.catalog.setCurrentDatabase(current)
+    return spark.createDataFrame(rows, "workspace string, database_name string, silver_rows bigint, "
+                                       "foreign_column_rejected boolean")
+
+
+@register("schema_context")
+def schema_context(spark, d):
+    """Tables, typed columns and three sample rows per table of one workspace."""
+    sales_ws, _ = _two_workspaces(spark, d)
+    return C.schema_context(spark, C.workspace_database(sales_ws), samples=3)

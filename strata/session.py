@@ -52,3 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return d
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint location (never machine-local
+    on a cluster) for intermediate files a job writes and reads back."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"

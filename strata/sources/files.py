@@ -1,9 +1,52 @@
-"""File sources and sinks for the layers."""
+"""File sources and sinks for the layers.
+
+* landing CSV → bronze: every column read as text (no inference), audit
+  columns added, appended as parquet;
+* layer exports as CSV with a header (gold, which is small, as one file);
+* typed re-read of exports;
+* profile JSON;
+* keyed upsert, row-batch append, refresh-in-place.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import Iterable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from strata.operators.layers import run_timestamp
+
+
+# ------------------------------------------------------------------ landing CSV → bronze
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names from the header line only (no data scan, no type inference)."""
+    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+
+
+def all_text_schema(columns: Sequence[str]) -> StructType:
+    return StructType([StructField(c, StringType(), True) for c in columns])
+
+
+def read_landing_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                     run_ts=None) -> DataFrame:
+    """Landing CSV as all-text bronze rows with ``ingested_at``, ``source_file``
+    and ``_row_id`` (unique within this read; with ``ingested_at`` and
+    ``source_file`` it identifies the row across ingests)."""
+    cols = list(columns or csv_header(spark, path))
+    df = (spark.read.schema(all_text_schema(cols)).option("header", True)
+          .option("mode", "PERMISSIVE").csv(path))
+    return df.select(*cols, run_timestamp(run_ts).alias("ingested_at"),
+                     F.col("_metadata.file_name").alias("source_file"),
+                     F.monotonically_increasing_id().alias("_row_id"))
+
+
+def ingest_csv(spark: SparkSession, path: str, bronze_path: str, columns: Sequence[str] | None = None,
+               run_ts=None) -> None:
+    """Append a landing CSV (file, directory or glob) to the bronze parquet table."""
+    read_landing_csv(spark, path, columns, run_ts).write.mode("append").parquet(bronze_path)
 
 
 def rows_per_file(bronze: DataFrame) -> DataFrame:
@@ -14,3 +57,100 @@ def rows_per_file(bronze: DataFrame) -> DataFrame:
 def rows_loaded(bronze: DataFrame, source_file: str) -> int:
     """Rows loaded from one file (a pushed-down filter and a count)."""
     return bronze.where(F.col("source_file") == source_file).count()
+
+
+def is_loaded(df: DataFrame) -> bool:
+    """True when the table already holds rows (reads at most one row)."""
+    return not df.isEmpty()
+
+
+# ------------------------------------------------------------------ exports
+
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with a header; ``single_file`` only for small layers such as gold."""
+    out = df.coalesce(1) if single_file else df
+    out.write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Re-read an export with declared types (no inference)."""
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+# ------------------------------------------------------------------ profile JSON
+
+def write_profile(spark: SparkSession, profile, path: str) -> None:
+    """One JSON record per column: column_name, role, reason, stats."""
+    import json
+    rows = [(c.name, i, c.role, c.reason, json.dumps(c.stats, default=str)) for i, c in enumerate(profile.columns)]
+    (spark.createDataFrame(rows, "column_name string, ordinal int, role string, reason string, stats string")
+     .coalesce(1).write.mode("overwrite").json(path))
+
+
+def read_profile(spark: SparkSession, path: str):
+    """Inverse of :func:`write_profile` (one small row per column reaches the driver)."""
+    import json
+    from strata.operators.model import ColumnSpec, Profile
+    rows = spark.read.json(path).orderBy("ordinal").collect()
+    return Profile(tuple(ColumnSpec(r["column_name"], r["role"], r["reason"] or "",
+                                    json.loads(r["stats"]) if r["stats"] else {}) for r in rows))
+
+
+# ------------------------------------------------------------------ table maintenance
+
+def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keyed upsert (insert-or-replace): target rows whose key is not updated, plus all updates.
+
+    A shuffle anti-join on the key; the result must be written to a new
+    location (or after :func:`refresh_in_place`), never over ``target`` in
+    the same plan."""
+    kept = target.join(updates.select(*keys).distinct(), list(keys), "left_anti")
+    return kept.unionByName(updates.select(*target.columns))
+
+
+def append_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType | str, path: str) -> None:
+    """Append a small batch of in-memory rows to a parquet table."""
+    spark.createDataFrame(list(rows), schema).write.mode("append").parquet(path)
+
+
+def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Full refresh of a layer at ``path`` (overwrite)."""
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+def refresh_in_place(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Overwrite ``path`` with a result that was computed *from* ``path``.
+
+    Spark refuses to overwrite a location the same plan reads, so lineage is
+    cut first with a reliable checkpoint in the shared checkpoint folder."""
+    from strata.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    write_layer(df.checkpoint(eager=True), path, partition_by)
+
+
+# ------------------------------------------------------------------ JDBC (PostgreSQL etc.)
+
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
+              partition_column: str | None = None, lower_bound: int | None = None,
+              upper_bound: int | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Parallel JDBC read: give a numeric ``partition_column`` and bounds so each
+    task reads one range instead of one task reading the whole table."""
+    r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    for k, v in (properties or {}).items():
+        r = r.option(k, v)
+    if partition_column:
+        r = (r.option("partitionColumn", partition_column).option("lowerBound", lower_bound)
+             .option("upperBound", upper_bound).option("numPartitions", num_partitions or 8))
+    return r.load()
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", properties: dict | None = None,
+               batch_size: int = 50000) -> None:
+    """Batched JDBC write (``batchsize`` rows per round trip, one connection per task)."""
+    w = df.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch_size)
+    for k, v in (properties or {}).items():
+        w = w.option(k, v)
+    w.mode(mode).save()
