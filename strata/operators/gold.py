@@ -217,6 +217,6 @@ def gold(silver: DataFrame, profile: Profile, option: int = 0) -> DataFrame:
 def gold_from_sql(spark: SparkSession, silver: DataFrame, sql: str,
                   view: str = "silver_clean_sales") -> DataFrame:
     """User-supplied gold SELECT over the silver table; checked by the read-only guard first."""
-    from strata.operators.guard import guarded_sql
-    silver.createOrReplaceTempView(view)
-    return guarded_sql(spark, sql)
+    from strata.operators.guard import guarded_sql, temp_views
+    with temp_views(spark, **{view: silver}):
+        return guarded_sql(spark, sql)

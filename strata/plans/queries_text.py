@@ -10,7 +10,7 @@ from strata.constants import GUARD_FORBIDDEN_KEYWORDS, GUARD_SPARK_EXTRA_KEYWORD
 from strata.functions.formatting import markdown_row
 from strata.functions.text import extract_fenced_sql, guard_check, json_valid, strip_json_fence
 from strata.operators.gold import gold_monthly
-from strata.operators.guard import guarded_sql
+from strata.operators.guard import guarded_sql, temp_views
 from strata.operators.report import format_metrics
 from strata.operators.silver import silver_sales
 from strata.plans import oracle as O
@@ -85,10 +85,10 @@ def json_validate(spark, d):
 SELECT category, CAST(COUNT(*) AS BIGINT) AS sales, CAST(SUM(units_sold) AS BIGINT) AS units
 FROM sales_silver GROUP BY category ORDER BY category LIMIT 50""")
 def guarded_sql_q(spark, d):
-    silver_sales(sales_bronze(spark, d), row_id=SALES_ROW_ID).createOrReplaceTempView("silver_clean_sales")
-    return guarded_sql(spark, "-- sales per category\nSELECT category, COUNT(*) AS sales, "
-                              "CAST(SUM(units_sold) AS BIGINT) AS units FROM silver_clean_sales "
-                              "GROUP BY category ORDER BY category", max_rows=50)
+    with temp_views(spark, silver_clean_sales=silver_sales(sales_bronze(spark, d), row_id=SALES_ROW_ID)):
+        return guarded_sql(spark, "-- sales per category\nSELECT category, COUNT(*) AS sales, "
+                                  "CAST(SUM(units_sold) AS BIGINT) AS units FROM silver_clean_sales "
+                                  "GROUP BY category ORDER BY category", max_rows=50)
 
 
 @register("gold_markdown", f"""
