@@ -12,9 +12,14 @@ then every raw column DESC (NULLs last), then the row identity.  Identical
 copies tie on everything but the row identity, and any of them yields the
 same survivor content.
 
-The complement (rows that are *not* the survivor, i.e. ``rn > 1``) is a
-left-anti join on the row identity, which is unique and therefore spreads
-evenly over the shuffle regardless of key skew.
+The complement (rows that are *not* the survivor, i.e. ``rn > 1``) only
+exists for keys seen more than once.  The same aggregate counts the rows
+per key, so the duplicate search joins the rows with just those keys (and
+their survivor's identity).  That key set is usually small and adaptive
+execution broadcasts it once its measured size is under the broadcast
+threshold; when it is large the join is a shuffle join whose hot keys are
+split by adaptive skew-join handling.  Key columns compare null-safely, as
+grouping does.
 """
 
 from __future__ import annotations
@@ -31,22 +36,52 @@ def _order_fields(df: DataFrame, order_first: Sequence[str], row_id: Sequence[st
     return list(order_first) + rest + tail
 
 
+def key_groups(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
+               order_first: Sequence[str] = ("ingested_at", "source_file")) -> DataFrame:
+    """(keys..., _w: survivor struct, _n: rows per key) — one partial/final aggregate.
+
+    Both the survivors and the duplicates derive from it; a flow that needs
+    both can write it once and pass it to each (``groups=``)."""
+    fields = _order_fields(df, order_first, row_id)
+    return df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in fields])).alias("_w"),
+                                 F.count(F.lit(1)).alias("_n"))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
-                   order_first: Sequence[str] = ("ingested_at", "source_file")) -> DataFrame:
+                   order_first: Sequence[str] = ("ingested_at", "source_file"),
+                   groups: DataFrame | None = None) -> DataFrame:
     """One row per ``keys``: the greatest by (order_first..., other columns..., row_id)."""
-    fields = _order_fields(df, order_first, row_id)
-    w = F.max(F.struct(*[F.col(c) for c in fields])).alias("_w")
-    return df.groupBy(*keys).agg(w).select(*[F.col(f"_w.{c}").alias(c) for c in df.columns])
+    g = groups if groups is not None else key_groups(df, keys, row_id, order_first)
+    return g.select(*[F.col(f"_w.{c}").alias(c) for c in df.columns])
+
 
+def not_latest(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
+               order_first: Sequence[str] = ("ingested_at", "source_file"),
+               groups: DataFrame | None = None) -> DataFrame:
+    """Rows of ``df`` that did not survive (``rn > 1``).
 
-def not_latest(df: DataFrame, survivors: DataFrame, row_id: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` that did not survive (``rn > 1``)."""
-    ids = survivors.select(*row_id)
-    return df.join(ids, on=list(row_id), how="left_anti")
+    The join runs on a 64-bit hash of the key (one fixed-width column to
+    shuffle and sort on instead of several strings); the exact null-safe key
+    equality stays as a residual condition, so a hash collision can never
+    pair rows of different keys."""
+    g = (groups if groups is not None else key_groups(df, keys, row_id, order_first)).where(F.col("_n") > 1)
+    dup_keys = g.select(F.xxhash64(*[F.col(k) for k in keys]).alias("_kh"),
+                        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                        *[F.col(f"_w.{c}").alias(f"_s{i}") for i, c in enumerate(row_id)])
+    rows = df.withColumn("_kh", F.xxhash64(*[F.col(k) for k in keys]))
+    # null-safe equality written so the planner keeps it as a residual check
+    # (only _kh becomes a shuffle/sort key)
+    on = [rows["_kh"] == dup_keys["_kh"]] + \
+        [F.coalesce(rows[k] == dup_keys[f"_k{i}"], rows[k].isNull() & dup_keys[f"_k{i}"].isNull())
+         for i, k in enumerate(keys)]
+    same = [rows[c].eqNullSafe(dup_keys[f"_s{i}"]) for i, c in enumerate(row_id)]
+    survivor = same[0]
+    for s in same[1:]:
+        survivor = survivor & s
+    return rows.join(dup_keys, on, "inner").where(~survivor).select(*[rows[c] for c in df.columns])
 
 
 def split_latest(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
                  order_first: Sequence[str] = ("ingested_at", "source_file")) -> tuple[DataFrame, DataFrame]:
     """(survivors, duplicates) of ``df`` for the dedup ``keys``."""
-    survivors = latest_per_key(df, keys, row_id, order_first)
-    return survivors, not_latest(df, survivors, row_id)
+    return latest_per_key(df, keys, row_id, order_first), not_latest(df, keys, row_id, order_first)

@@ -31,7 +31,7 @@ from strata.functions.casts import to_date
 from strata.functions.predicates import (
     all_non_negative, any_negative, malformed_numeric, missing, negative, present,
 )
-from strata.operators.dedup import split_latest
+from strata.operators.dedup import not_latest
 from strata.operators.layers import DEFAULT_ROW_ID, raw_columns, run_timestamp
 from strata.operators.model import Profile
 from strata.operators.silver import valid_row
@@ -49,7 +49,7 @@ def _shape(rows: DataFrame, cols: Sequence[str], run_ts) -> DataFrame:
 
 
 def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
-                     run_ts=None) -> DataFrame:
+                     run_ts=None, groups: DataFrame | None = None) -> DataFrame:
     """Baseline sales quarantine (cascade, one reason per row)."""
     date_missing, cat_missing = missing("date"), missing("category")
     reason = (F.when(date_missing, REASON_MISSING_DATE)
@@ -58,7 +58,7 @@ def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
     by_rule = bronze.withColumn("rejection_reason", reason).where(F.col("rejection_reason").isNotNull())
 
     dated = bronze.where(~date_missing & ~cat_missing)
-    _, dups = split_latest(dated, SALES_DEDUP_KEYS, row_id)
+    dups = not_latest(dated, SALES_DEDUP_KEYS, row_id, groups=groups)
     dups = (dups.where(all_non_negative(["revenue", "cost"], ["units_sold"]))
             .withColumn("rejection_reason", F.lit(REASON_DUPLICATE)))
     return _shape(by_rule.unionByName(dups), SALES_COLUMNS, run_ts)
@@ -102,6 +102,6 @@ def quarantine(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFA
     cols = profile.names
     by_rule = (bronze.select("*", F.explode(rule_reasons(profile, extensions)).alias("rejection_reason")))
     valid = bronze.where(valid_row(profile))
-    _, dups = split_latest(valid, list(dedup_keys or profile.dedup_keys()), row_id)
+    dups = not_latest(valid, list(dedup_keys or profile.dedup_keys()), row_id)
     dups = dups.withColumn("rejection_reason", F.lit(REASON_DUPLICATE))
     return _shape(by_rule.unionByName(dups), cols, run_ts)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.constants import SALES_DEDUP_KEYS
 from strata.functions.casts import to_date, to_int, to_real
 from strata.functions.predicates import all_of, non_negative, present
-from strata.operators.dedup import latest_per_key
+from strata.operators.dedup import key_groups, latest_per_key
 from strata.operators.layers import DEFAULT_ROW_ID, identity_columns, run_timestamp, surrogate_id
 from strata.operators.model import Profile
 
@@ -42,13 +42,20 @@ def silver(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFAULT_
     )
 
 
-def silver_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID, run_ts=None) -> DataFrame:
+def sales_groups(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID) -> DataFrame:
+    """The keep-latest aggregate of the baseline sales rules (rows with a date and a category)."""
+    return key_groups(bronze.where(present("date") & present("category")), SALES_DEDUP_KEYS, row_id)
+
+
+def silver_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID, run_ts=None,
+                 groups: DataFrame | None = None) -> DataFrame:
     """Baseline sales silver with ``profit``.
 
     The dedup runs over rows with a date and a category *before* the
-    numeric check, so a negative newest copy hides an older valid one."""
+    numeric check, so a negative newest copy hides an older valid one.
+    ``groups`` is :func:`sales_groups` when already computed."""
     dated = bronze.where(present("date") & present("category"))
-    survivors = latest_per_key(dated, SALES_DEDUP_KEYS, row_id)
+    survivors = latest_per_key(dated, SALES_DEDUP_KEYS, row_id, groups=groups)
     id_cols = identity_columns(bronze, row_id)
     typed = survivors.select(
         surrogate_id(id_cols).alias("id"),

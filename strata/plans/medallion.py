@@ -18,7 +18,7 @@ from strata.operators.gold import gold, gold_from_sql, gold_monthly
 from strata.operators.model import Profile
 from strata.operators.profile import build_profile
 from strata.operators.quarantine import quarantine, quarantine_sales
-from strata.operators.silver import silver, silver_sales
+from strata.operators.silver import sales_groups, silver, silver_sales
 from strata.sources import files as IO
 
 
@@ -52,7 +52,11 @@ def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile
         IO.write_profile(spark, profile, f"{root}/profile")
 
     if profile is None:
-        s, q = silver_sales(bronze, run_ts=run_ts), quarantine_sales(bronze, run_ts=run_ts)
+        # the keep-latest aggregate is written once; silver and quarantine both read it
+        IO.write_layer(sales_groups(bronze), f"{root}/_dedup_groups")
+        groups = spark.read.parquet(f"{root}/_dedup_groups")
+        s = silver_sales(bronze, run_ts=run_ts, groups=groups)
+        q = quarantine_sales(bronze, run_ts=run_ts, groups=groups)
     else:
         s = silver(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts)
         q = quarantine(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts)

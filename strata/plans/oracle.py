@@ -110,8 +110,7 @@ monthly AS (
   FROM per_cat GROUP BY month
 )"""
 
-GOLD_MONTHLY = f"""
-{SALES_SILVER_WITH}, {PER_CATEGORY},
+GOLD_CTE = """
 gold AS (
   SELECT m.month, CAST(ROUND(m.rev, 2) AS DOUBLE) AS revenue, CAST(ROUND(m.cst, 2) AS DOUBLE) AS cost,
          ROUND(CAST(m.rev - m.cst AS DOUBLE) / NULLIF(CAST(m.rev AS DOUBLE), 0), 4) AS profit_margin,
@@ -119,6 +118,9 @@ gold AS (
   FROM monthly m JOIN ranked_cat r ON m.month = r.month AND r.rk = 1
 )"""
 
+GOLD_MONTHLY = f"""
+{SALES_SILVER_WITH}, {PER_CATEGORY},{GOLD_CTE}"""
+
 
 def dyn_valid(required, measures) -> str:
     conds = [present(c) for c in required]

@@ -13,7 +13,7 @@ from strata.operators.profile import build_profile
 from strata.operators.quarantine import quarantine_sales
 from strata.operators.silver import silver, silver_sales
 from strata.plans import oracle as O
-from strata.plans.fixtures import SALES_ROW_ID, TABLE_ROW_ID, customer_bronze, sales_bronze
+from strata.plans.fixtures import SALES_ROW_ID, TABLE_ROW_ID, sales_bronze, stored_bronze
 from strata.plans.queries_layers import CUSTOMER_PROFILE
 from strata.plans.queries_profile import CUSTOMER_COLS, _profile_oracle
 from strata.plans.registry import register
@@ -32,7 +32,7 @@ GOLD_SCHEMA = StructType([
 def _write_landing(spark, d, files: int = 4) -> str:
     """Drop the sales bronze text as landing CSV files (the raw columns only)."""
     landing = scratch_path(spark, "landing")
-    (sales_bronze(spark, d).select(*SALES_COLUMNS).repartition(files)
+    (stored_bronze(spark, d, "sales").select(*SALES_COLUMNS).repartition(files)
      .write.option("header", True).csv(landing))
     return landing
 
@@ -91,7 +91,7 @@ SELECT * FROM u_gold WHERE month >= '2000-01'""")
 def upsert_gold(spark, d):
     """Gold of the original deliveries, with the months from 2000 on restated from
     all deliveries (corrections included): insert-or-replace on ``month``."""
-    b = sales_bronze(spark, d)
+    b = stored_bronze(spark, d, "sales")
     target = gold_monthly(silver_sales(b.where(F.col("_batch") == 0), row_id=SALES_ROW_ID))
     updates = gold_monthly(silver_sales(b, row_id=SALES_ROW_ID)).where(F.col("month") >= "2000-01")
     return IO.upsert(target, updates, ["month"])
@@ -120,7 +120,7 @@ def stream_landing(spark, d):
                                                     with_roles=True))
 def profile_json_roundtrip(spark, d):
     """Profile + roles of customer written as JSON and read back."""
-    prof = build_profile(customer_bronze(spark, d), CUSTOMER_COLS)
+    prof = build_profile(stored_bronze(spark, d, "customer"), CUSTOMER_COLS)
     path = scratch_path(spark, "profile_json")
     IO.write_profile(spark, prof, path)
     back = IO.read_profile(spark, path)
@@ -133,10 +133,10 @@ def _two_workspaces(spark, d):
     sales_ws, cust_ws = "sales-ops", "customer-care"
     for ws in (sales_ws, cust_ws):
         C.create_workspace(spark, ws, f"{root}/{C.workspace_database(ws)}")
-    b = sales_bronze(spark, d)
+    b = stored_bronze(spark, d, "sales")
     C.save_layer(silver_sales(b, row_id=SALES_ROW_ID), sales_ws, "silver_clean_sales")
     C.save_layer(quarantine_sales(b, row_id=SALES_ROW_ID), sales_ws, "quarantine_rejected_sales")
-    C.save_layer(silver(customer_bronze(spark, d), CUSTOMER_PROFILE, row_id=TABLE_ROW_ID), cust_ws,
+    C.save_layer(silver(stored_bronze(spark, d, "customer"), CUSTOMER_PROFILE, row_id=TABLE_ROW_ID), cust_ws,
                  "silver_clean_sales")
     return sales_ws, cust_ws
 

@@ -11,14 +11,12 @@ from strata.operators.model import Profile
 from strata.operators.quarantine import quarantine, quarantine_sales
 from strata.operators.silver import silver, silver_sales
 from strata.plans import oracle as O
-from strata.plans.fixtures import (
-    SALES_ROW_ID, TABLE_ROW_ID, customer_bronze, lineitem_bronze, sales_bronze,
-)
+from strata.plans.fixtures import SALES_ROW_ID, TABLE_ROW_ID, sales_bronze, stored_bronze
 from strata.plans.registry import register
 
 
 def _sales_silver(spark, d):
-    return silver_sales(sales_bronze(spark, d), row_id=SALES_ROW_ID)
+    return silver_sales(stored_bronze(spark, d, "sales"), row_id=SALES_ROW_ID)
 
 
 def _date_text(c="date"):
@@ -34,7 +32,7 @@ WITH {O.SALES_BRONZE}
 SELECT date, category, revenue, cost, units_sold, CAST(ingested_at AS VARCHAR) AS ingested_at, source_file
 FROM sales_bronze""")
 def bronze_all_text(spark, d):
-    b = sales_bronze(spark, d)
+    b = sales_bronze(spark, d)  # the derivation itself (the ingest step), not the stored copy
     return b.select(*SALES_COLUMNS, F.col("ingested_at").cast("string").alias("ingested_at"), "source_file")
 
 
@@ -85,7 +83,7 @@ SELECT date, category, revenue, cost, units_sold, source_file, CAST(ingested_at
        'Duplicate Transaction'
 FROM sales_ranked WHERE rn > 1 AND {O.SALES_NONNEG}""")
 def quarantine_static(spark, d):
-    return quarantine_sales(sales_bronze(spark, d), row_id=SALES_ROW_ID).select(*QCOLS)
+    return quarantine_sales(stored_bronze(spark, d, "sales"), row_id=SALES_ROW_ID).select(*QCOLS)
 
 
 @register("rejection_breakdown", f"""
@@ -99,7 +97,7 @@ q AS (
 SELECT rejection_reason, COUNT(*) AS row_count FROM q GROUP BY rejection_reason""")
 def rejection_breakdown(spark, d):
     from strata.operators.audit import rejection_breakdown as rb
-    return rb(quarantine_sales(sales_bronze(spark, d), row_id=SALES_ROW_ID))
+    return rb(quarantine_sales(stored_bronze(spark, d, "sales"), row_id=SALES_ROW_ID))
 
 
 @register("silver_static", f"""
@@ -209,19 +207,19 @@ def _qcols(profile: Profile):
 @register("quarantine_dynamic",
           _dyn_quarantine_sql(O.SALES_BRONZE, "sales_bronze", SALES_PROFILE, SALES_PROFILE.dedup_keys()))
 def quarantine_dynamic(spark, d):
-    return quarantine(sales_bronze(spark, d), SALES_PROFILE, row_id=SALES_ROW_ID).select(*_qcols(SALES_PROFILE))
+    return quarantine(stored_bronze(spark, d, "sales"), SALES_PROFILE, row_id=SALES_ROW_ID).select(*_qcols(SALES_PROFILE))
 
 
 @register("silver_dynamic_dims",
           _dyn_silver_sql(O.SALES_BRONZE, "sales_bronze", SALES_PROFILE, SALES_PROFILE.dedup_keys()))
 def silver_dynamic_dims(spark, d):
-    return _dates_as_text(silver(sales_bronze(spark, d), SALES_PROFILE, row_id=SALES_ROW_ID), SALES_PROFILE)
+    return _dates_as_text(silver(stored_bronze(spark, d, "sales"), SALES_PROFILE, row_id=SALES_ROW_ID), SALES_PROFILE)
 
 
 @register("silver_dynamic_id",
           _dyn_silver_sql(O.LINEITEM_BRONZE, "lineitem_bronze", LINEITEM_PROFILE, LINEITEM_PROFILE.dedup_keys()))
 def silver_dynamic_id(spark, d):
-    return _dates_as_text(silver(lineitem_bronze(spark, d), LINEITEM_PROFILE, row_id=TABLE_ROW_ID),
+    return _dates_as_text(silver(stored_bronze(spark, d, "lineitem"), LINEITEM_PROFILE, row_id=TABLE_ROW_ID),
                           LINEITEM_PROFILE)
 
 
@@ -229,7 +227,7 @@ def silver_dynamic_id(spark, d):
           _dyn_quarantine_sql(O.LINEITEM_BRONZE, "lineitem_bronze", LINEITEM_PROFILE,
                               LINEITEM_PROFILE.dedup_keys()))
 def quarantine_dynamic_id(spark, d):
-    return quarantine(lineitem_bronze(spark, d), LINEITEM_PROFILE, row_id=TABLE_ROW_ID) \
+    return quarantine(stored_bronze(spark, d, "lineitem"), LINEITEM_PROFILE, row_id=TABLE_ROW_ID) \
         .select(*_qcols(LINEITEM_PROFILE))
 
 
@@ -237,5 +235,5 @@ def quarantine_dynamic_id(spark, d):
           _dyn_quarantine_sql(O.CUSTOMER_BRONZE, "customer_bronze", CUSTOMER_PROFILE,
                               CUSTOMER_PROFILE.dedup_keys()))
 def negative_balance_quarantine(spark, d):
-    return quarantine(customer_bronze(spark, d), CUSTOMER_PROFILE, row_id=TABLE_ROW_ID) \
+    return quarantine(stored_bronze(spark, d, "customer"), CUSTOMER_PROFILE, row_id=TABLE_ROW_ID) \
         .select(*_qcols(CUSTOMER_PROFILE))

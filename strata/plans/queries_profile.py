@@ -12,9 +12,7 @@ from strata.operators.profile import (
 )
 from strata.operators.silver import silver, silver_sales
 from strata.plans import oracle as O
-from strata.plans.fixtures import (
-    SALES_ROW_ID, TABLE_ROW_ID, customer_bronze, lineitem_bronze, sales_bronze,
-)
+from strata.plans.fixtures import SALES_ROW_ID, TABLE_ROW_ID, sales_bronze, stored_bronze, stored_sales_layers
 from strata.plans.queries_layers import CUSTOMER_PROFILE, LINEITEM_PROFILE, SALES_PROFILE
 from strata.plans.registry import register
 
@@ -82,17 +80,17 @@ def _profile_q(df, cols):
 
 @register("profile_lineitem", _profile_oracle(O.LINEITEM_BRONZE, "lineitem_bronze", LINEITEM_COLS))
 def profile_lineitem(spark, d):
-    return _profile_q(lineitem_bronze(spark, d), LINEITEM_COLS)
+    return _profile_q(stored_bronze(spark, d, "lineitem"), LINEITEM_COLS)
 
 
 @register("profile_customer", _profile_oracle(O.CUSTOMER_BRONZE, "customer_bronze", CUSTOMER_COLS))
 def profile_customer(spark, d):
-    return _profile_q(customer_bronze(spark, d), CUSTOMER_COLS)
+    return _profile_q(stored_bronze(spark, d, "customer"), CUSTOMER_COLS)
 
 
 @register("classify_roles", _profile_oracle(O.LINEITEM_BRONZE, "lineitem_bronze", LINEITEM_COLS, with_roles=True))
 def classify_roles_q(spark, d):
-    return classify_roles(profile_table(lineitem_bronze(spark, d), LINEITEM_COLS)).select(
+    return classify_roles(profile_table(stored_bronze(spark, d, "lineitem"), LINEITEM_COLS)).select(
         "column_name", "ordinal", "role")
 
 
@@ -100,13 +98,13 @@ def classify_roles_q(spark, d):
 def gold_options_q(spark: SparkSession, d):
     """Profile the sales bronze, classify roles, propose gold aggregates (no oracle:
     the options are derived on the driver from the one-row-per-column profile)."""
-    prof = build_profile(sales_bronze(spark, d), SALES_PROFILE.names)
+    prof = build_profile(stored_bronze(spark, d, "sales"), SALES_PROFILE.names)
     rows = [(i, o.description, o.sql()) for i, o in enumerate(gold_options(prof))]
     return spark.createDataFrame(rows, "option_no int, description string, sql string")
 
 
 def _sales_dyn_silver(spark, d):
-    return silver(sales_bronze(spark, d), SALES_PROFILE, row_id=SALES_ROW_ID)
+    return silver(stored_bronze(spark, d, "sales"), SALES_PROFILE, row_id=SALES_ROW_ID)
 
 
 SALES_DYN_SILVER_CTE = f"""{O.SALES_BRONZE},
@@ -148,7 +146,7 @@ SELECT strftime(l_shipdate, '%Y-%m') AS month, l_returnflag,
        CAST(COUNT(l_orderkey) AS BIGINT) AS order_line_count
 FROM li_silver GROUP BY 1, 2""")
 def gold_month_dim_avg_count(spark, d):
-    s = silver(lineitem_bronze(spark, d), LINEITEM_PROFILE, row_id=TABLE_ROW_ID)
+    s = silver(stored_bronze(spark, d, "lineitem"), LINEITEM_PROFILE, row_id=TABLE_ROW_ID)
     return gold_agg(s, ["l_returnflag"], [("avg", "l_extendedprice", "avg_extendedprice"),
                                           ("count", "l_orderkey", "order_line_count")], date_col="l_shipdate")
 
@@ -166,7 +164,7 @@ SELECT c_mktsegment, CAST(SUM(CAST(c_acctbal AS DECIMAL(18,6))) AS DOUBLE) AS to
        CAST(COUNT(*) AS BIGINT) AS customers
 FROM cs GROUP BY c_mktsegment""")
 def gold_dim_only(spark, d):
-    s = silver(customer_bronze(spark, d), CUSTOMER_PROFILE, row_id=TABLE_ROW_ID)
+    s = silver(stored_bronze(spark, d, "customer"), CUSTOMER_PROFILE, row_id=TABLE_ROW_ID)
     return gold_agg(s, ["c_mktsegment"], [("sum", "c_acctbal", "total_acctbal"), ("count", None, "customers")])
 
 
@@ -181,4 +179,4 @@ SELECT category, CAST(SUM(CAST(revenue AS DECIMAL(18,6))) AS DOUBLE) AS total_re
        CAST(SUM(units_sold) AS BIGINT) AS total_units
 FROM sales_silver GROUP BY category""")
 def gold_custom_sql(spark, d):
-    return gold_from_sql(spark, silver_sales(sales_bronze(spark, d), row_id=SALES_ROW_ID), CUSTOM_GOLD_SQL)
+    return gold_from_sql(spark, stored_sales_layers(spark, d)[1], CUSTOM_GOLD_SQL)

@@ -6,19 +6,14 @@ from pyspark.sql import functions as F
 
 from strata.operators import report as R
 from strata.operators.audit import dq_audit, layer_counts
-from strata.operators.gold import gold_monthly
-from strata.operators.quarantine import quarantine_sales
-from strata.operators.silver import silver_sales
 from strata.plans import oracle as O
-from strata.plans.fixtures import SALES_ROW_ID, sales_bronze
+from strata.plans.fixtures import stored_sales_layers
 from strata.plans.registry import register
 
 
 def _layers(spark, d):
-    b = sales_bronze(spark, d)
-    s = silver_sales(b, row_id=SALES_ROW_ID)
-    q = quarantine_sales(b, row_id=SALES_ROW_ID)
-    return b, s, q, gold_monthly(s)
+    """Stored bronze, silver, quarantine and gold (reports read the written layers)."""
+    return stored_sales_layers(spark, d)
 
 
 SALES_QUARANTINE = f"""
@@ -95,7 +90,7 @@ def _silver_text(s):
 SELECT strftime(date, '%Y-%m-%d') AS date, category, revenue, cost, CAST(units_sold AS BIGINT) AS units_sold, profit
 FROM sales_silver ORDER BY date, category, revenue, cost, units_sold, profit LIMIT 10""")
 def preview_silver(spark, d):
-    return R.preview(_silver_text(silver_sales(sales_bronze(spark, d), row_id=SALES_ROW_ID)), 10)
+    return R.preview(_silver_text(_layers(spark, d)[1]), 10)
 
 
 @register("metric_format", f"""
@@ -110,8 +105,8 @@ SELECT month,
        top_category
 FROM gold, m""")
 def metric_format(spark, d):
-    _, s, _, _ = _layers(spark, d)
-    return R.format_metrics(gold_monthly(s))
+    _, _, _, g = _layers(spark, d)
+    return R.format_metrics(g)
 
 
 @register("chart_series", f"""
@@ -123,8 +118,8 @@ SELECT month AS x, CASE WHEN scale THEN revenue / 1000.0 ELSE revenue END AS y,
        'revenue' AS y_column
 FROM gold, mx""")
 def chart_series(spark, d):
-    _, s, _, _ = _layers(spark, d)
-    return R.chart_series(gold_monthly(s))
+    _, _, _, g = _layers(spark, d)
+    return R.chart_series(g)
 
 
 NEXT_MONTH = "strftime(strptime(p.month, '%Y-%m') + INTERVAL 1 MONTH, '%Y-%m')"
@@ -136,8 +131,8 @@ SELECT g.month, g.revenue, p.revenue AS prev_revenue,
        ROUND((g.revenue - p.revenue) / NULLIF(p.revenue, 0), 4) AS growth
 FROM gold g LEFT JOIN gold p ON g.month = {NEXT_MONTH}""")
 def mom_growth(spark, d):
-    _, s, _, _ = _layers(spark, d)
-    return R.mom_growth(gold_monthly(s), "revenue")
+    _, _, _, g = _layers(spark, d)
+    return R.mom_growth(g, "revenue")
 
 
 CM = """
@@ -202,8 +197,8 @@ def compare_two_months(spark, d):
 {O.GOLD_MONTHLY}
 SELECT * FROM gold WHERE profit_margin < 0.15""")
 def low_margin_months(spark, d):
-    _, s, _, _ = _layers(spark, d)
-    return R.low_margin_months(gold_monthly(s), 0.15)
+    _, _, _, g = _layers(spark, d)
+    return R.low_margin_months(g, 0.15)
 
 
 @register("month_category_rows", f"""

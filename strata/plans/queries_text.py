@@ -9,12 +9,10 @@ from pyspark.sql.types import LongType, StructField, StructType
 from strata.constants import GUARD_FORBIDDEN_KEYWORDS, GUARD_SPARK_EXTRA_KEYWORDS
 from strata.functions.formatting import markdown_row
 from strata.functions.text import extract_fenced_sql, guard_check, json_valid, strip_json_fence
-from strata.operators.gold import gold_monthly
 from strata.operators.guard import guarded_sql, temp_views
 from strata.operators.report import format_metrics
-from strata.operators.silver import silver_sales
 from strata.plans import oracle as O
-from strata.plans.fixtures import SALES_ROW_ID, sales_bronze, table
+from strata.plans.fixtures import stored_sales_layers, table
 from strata.plans.registry import register
 
 _KW = ", ".join(f"'{k}'" for k in GUARD_FORBIDDEN_KEYWORDS + GUARD_SPARK_EXTRA_KEYWORDS)
@@ -40,7 +38,7 @@ SELECT conv_id, turn, ro AND len(kw) = 0 AS is_safe,
             ELSE '' END AS message
 FROM kd""")
 def sql_guard_audit(spark, d):
-    conv = table(spark, d, "conversations")
+    conv = table(spark, d, "conversations", "conv_id", "turn")
     return conv.select("conv_id", "turn", guard_check("text").alias("g")).select(
         "conv_id", "turn", "g.is_safe", "g.message")
 
@@ -53,7 +51,7 @@ SELECT conv_id, turn,
          ELSE text END, '\A\s+|\s+\z', '', 'g'), '\n', chr(10)), '\t', chr(9)) AS extracted
 FROM conversations""")
 def fence_extract(spark, d):
-    conv = table(spark, d, "conversations")
+    conv = table(spark, d, "conversations", "conv_id", "turn")
     return conv.select("conv_id", "turn", extract_fenced_sql("text").alias("extracted"))
 
 
@@ -73,7 +71,7 @@ SELECT event_id,
        TRY_CAST(json_extract_string(body, '$.k') AS BIGINT) AS k
 FROM e""")
 def json_validate(spark, d):
-    ev = table(spark, d, "events")
+    ev = table(spark, d, "events", "event_id")
     body = strip_json_fence("props")
     parsed = F.from_json(body, PROPS_SCHEMA)
     return ev.select("event_id", json_valid(body, PROPS_SCHEMA, ["k"]).alias("is_valid"),
@@ -85,7 +83,7 @@ def json_validate(spark, d):
 SELECT category, CAST(COUNT(*) AS BIGINT) AS sales, CAST(SUM(units_sold) AS BIGINT) AS units
 FROM sales_silver GROUP BY category ORDER BY category LIMIT 50""")
 def guarded_sql_q(spark, d):
-    with temp_views(spark, silver_clean_sales=silver_sales(sales_bronze(spark, d), row_id=SALES_ROW_ID)):
+    with temp_views(spark, silver_clean_sales=stored_sales_layers(spark, d)[1]):
         return guarded_sql(spark, "-- sales per category\nSELECT category, COUNT(*) AS sales, "
                                   "CAST(SUM(units_sold) AS BIGINT) AS units FROM silver_clean_sales "
                                   "GROUP BY category ORDER BY category", max_rows=50)
@@ -101,5 +99,5 @@ SELECT month, '| ' || concat_ws(' | ', month,
        top_category) || ' |' AS line
 FROM gold, m""")
 def gold_markdown(spark, d):
-    g = format_metrics(gold_monthly(silver_sales(sales_bronze(spark, d), row_id=SALES_ROW_ID)))
+    g = format_metrics(stored_sales_layers(spark, d)[3])
     return g.select("month", markdown_row(g.columns).alias("line"))

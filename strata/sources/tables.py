@@ -1,0 +1,24 @@
+"""Reading tables with enough scan parallelism."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Repartition a scan that yields fewer partitions than the cluster can run at once.
+
+    Large tables split into many input partitions by themselves and are left
+    alone (no shuffle); a table stored as one big row group would otherwise
+    put all per-row work before the first shuffle into a single task.  Hash
+    partitioning on ``cols`` (when given) keeps the placement deterministic
+    on retry without the sort a round-robin repartition needs."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *cols) if cols else df.repartition(target)
+
+
+def read_parquet(spark: SparkSession, path: str, *spread_cols: str) -> DataFrame:
+    return spread(spark.read.parquet(path), *spread_cols)
