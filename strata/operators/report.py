@@ -14,7 +14,7 @@ from pyspark.sql.types import NumericType
 
 from strata.constants import CHART_SCALE_THRESHOLD, CURRENCY_KEYWORDS
 from strata.functions.casts import money, month_of
-from strata.functions.formatting import column_class, currency, integer, percent
+from strata.functions.formatting import column_class, currency, integer, month_label, percent
 
 # ------------------------------------------------------------------ KPIs
 
@@ -37,6 +37,11 @@ def kpi_summary(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame,
                  F.coalesce(F.avg("m"), F.lit(0.0)).alias("avg_margin"))
 
 
+def as_text(df: DataFrame) -> DataFrame:
+    """Every column cast to text (result rows shown to people or sent as JSON)."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
 def preview(df: DataFrame, n: int = 10, order_by=None) -> DataFrame:
     """First ``n`` rows in a stable order (top-k: per-partition heaps, then a merge)."""
     cols = order_by or df.columns
@@ -77,8 +82,8 @@ def chart_series(gold: DataFrame) -> DataFrame:
     shown = F.when(scale, yv / 1000.0).otherwise(yv)
     label = F.when(scale, F.concat(F.lit(prefix), F.format_number(shown, 1), F.lit("k"))) \
         .otherwise(F.concat(F.lit(prefix), F.format_number(shown, 0)))
-    return gold.select(F.col(x).cast("string").alias("x"), shown.alias("y"), label.alias("bar_label"),
-                       F.lit(y).alias("y_column")).orderBy("x")
+    return gold.select(F.col(x).cast("string").alias("x"), month_label(F.col(x).cast("string")).alias("x_label"),
+                       shown.alias("y"), label.alias("bar_label"), F.lit(y).alias("y_column")).orderBy("x")
 
 # ------------------------------------------------------------------ trends
 

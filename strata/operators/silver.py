@@ -68,3 +68,9 @@ def silver_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID, run_
     return (typed.where((F.col("revenue") >= 0) & (F.col("cost") >= 0) & (F.col("units_sold") >= 0))
             .withColumn("profit", F.col("revenue") - F.col("cost"))
             .withColumn("cleaned_at", run_timestamp(run_ts)))
+
+
+def with_margin_pct(silver: DataFrame, revenue_col: str = "revenue", cost_col: str = "cost") -> DataFrame:
+    """Adds ``margin_pct`` = round((revenue − cost) / revenue × 100, 2) per row (NULL when revenue is 0)."""
+    r, c = F.col(revenue_col), F.col(cost_col)
+    return silver.withColumn("margin_pct", F.round(F.try_divide(r - c, r) * 100, 2))

@@ -22,9 +22,22 @@ SALES_ROW_ID = ("_src_file", "_src_row", "_batch")
 TABLE_ROW_ID = ("_src_file", "_src_row")
 
 
+_READS: dict[tuple, DataFrame] = {}
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet`` once per application and path: the DataFrame keeps its
+    file listing and footer schema, so later queries skip both."""
+    key = (spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *spread_cols: str) -> DataFrame:
     """A driver table; with ``spread_cols`` a single-split scan is spread over the cores."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = _read(spark, f"{sf_dir}/{name}.parquet")
     return spread(df, *spread_cols) if spread_cols else df
 
 
@@ -121,7 +134,7 @@ def stored_bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         path = scratch_path(spark, f"bronze-{name}")
         build(spark, sf_dir).write.parquet(path)
         _STORED[key] = path
-    return spark.read.parquet(path)
+    return _read(spark, path)
 
 
 def stored_sales_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -144,5 +157,5 @@ def stored_sales_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         write_layer(quarantine_sales(bronze, row_id=SALES_ROW_ID, groups=groups), f"{root}/quarantine")
         write_layer(gold_monthly(spark.read.parquet(f"{root}/silver")), f"{root}/gold")
         _STORED[key] = root
-    return (bronze, spark.read.parquet(f"{root}/silver"), spark.read.parquet(f"{root}/quarantine"),
-            spark.read.parquet(f"{root}/gold"))
+    return (bronze, _read(spark, f"{root}/silver"), _read(spark, f"{root}/quarantine"),
+            _read(spark, f"{root}/gold"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import report as R
 from strata.operators.audit import dq_audit, layer_counts
+from strata.operators.silver import with_margin_pct
 from strata.plans import oracle as O
 from strata.plans.fixtures import stored_sales_layers
 from strata.plans.registry import register
@@ -87,10 +88,15 @@ def _silver_text(s):
 
 @register("preview_silver", f"""
 {O.SALES_SILVER_WITH}
-SELECT strftime(date, '%Y-%m-%d') AS date, category, revenue, cost, CAST(units_sold AS BIGINT) AS units_sold, profit
-FROM sales_silver ORDER BY date, category, revenue, cost, units_sold, profit LIMIT 10""")
+SELECT strftime(date, '%Y-%m-%d') AS date, category, CAST(revenue AS VARCHAR) AS revenue, CAST(cost AS VARCHAR) AS cost,
+       CAST(units_sold AS VARCHAR) AS units_sold, CAST(profit AS VARCHAR) AS profit,
+       CAST(round((revenue - cost) / NULLIF(revenue, 0) * 100, 2) AS VARCHAR) AS margin_pct
+FROM sales_silver ORDER BY date, category, sales_silver.revenue, sales_silver.cost, sales_silver.units_sold,
+                           sales_silver.profit LIMIT 10""")
 def preview_silver(spark, d):
-    return R.preview(_silver_text(_layers(spark, d)[1]), 10)
+    """First ten silver rows with the row margin percent, every value as text."""
+    s = _silver_text(_layers(spark, d)[1])
+    return R.as_text(with_margin_pct(R.preview(s, 10)))
 
 
 @register("metric_format", f"""
@@ -112,7 +118,8 @@ def metric_format(spark, d):
 @register("chart_series", f"""
 {O.GOLD_MONTHLY},
 mx AS (SELECT MAX(revenue) > 1000 AS scale FROM gold)
-SELECT month AS x, CASE WHEN scale THEN revenue / 1000.0 ELSE revenue END AS y,
+SELECT month AS x, strftime(strptime(month, '%Y-%m'), '%b ''%y') AS x_label,
+       CASE WHEN scale THEN revenue / 1000.0 ELSE revenue END AS y,
        CASE WHEN scale THEN '$' || format('{{:,.1f}}', revenue / 1000.0) || 'k'
             ELSE '$' || format('{{:,.0f}}', revenue) END AS bar_label,
        'revenue' AS y_column
