@@ -159,3 +159,12 @@ def stored_sales_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         _STORED[key] = root
     return (bronze, _read(spark, f"{root}/silver"), _read(spark, f"{root}/quarantine"),
             _read(spark, f"{root}/gold"))
+
+
+def forget_stored(spark: SparkSession) -> None:
+    """Drop this application's memo of stored tables and reads (the files stay);
+    the next call derives and writes them again."""
+    app = spark.sparkContext.applicationId
+    for memo in (_STORED, _READS):
+        for k in [k for k in memo if k[0] == app]:
+            del memo[k]

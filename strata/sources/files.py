@@ -108,6 +108,19 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     return kept.unionByName(updates.select(*target.columns))
 
 
+def append_by_name(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+    """``INSERT INTO t (cols) SELECT …``: append only the listed columns, by name."""
+    df.select(*columns).write.mode("append").parquet(path)
+
+
+def concat_frames(*frames: DataFrame) -> DataFrame:
+    """Append-concatenate frames by column name (missing columns become NULL)."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def append_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType | str, path: str) -> None:
     """Append a small batch of in-memory rows to a parquet table."""
     spark.createDataFrame(list(rows), schema).write.mode("append").parquet(path)

@@ -122,3 +122,23 @@ def test_profile_json_roundtrip(spark, tmp_dir):
     back = IO.read_profile(spark, f"{tmp_dir}/p")
     assert [(c.name, c.role) for c in back.columns] == [("a", "date"), ("b", "measure")]
     assert Profile.from_json(p.to_json()).names == ["a", "b"]
+
+
+def test_append_by_name_and_concat(spark, tmp_dir):
+    a = spark.createDataFrame([(1, "x", 9.0)], "id int, name string, extra double")
+    IO.append_by_name(a, f"{tmp_dir}/t", ["name", "id"])
+    assert spark.read.parquet(f"{tmp_dir}/t").columns == ["name", "id"]
+    b = spark.createDataFrame([("y",)], "name string")
+    got = IO.concat_frames(a.select("id", "name"), b).orderBy("name").collect()
+    assert [(r["id"], r["name"]) for r in got] == [(1, "x"), (None, "y")]
+
+
+def test_schemas_follow_roles():
+    from strata.sources.schemas import bronze_schema, quarantine_schema, silver_schema
+    p = Profile.of({"d": "date", "k": "id", "m": "measure", "c": "currency", "t": "text"})
+    assert [f.dataType.simpleString() for f in silver_schema(p).fields] == [
+        "bigint", "date", "string", "double", "double", "string", "timestamp"]
+    assert bronze_schema(p).names[-3:] == ["ingested_at", "source_file", "_row_id"]
+    assert quarantine_schema(p).names[:2] == ["raw_d", "raw_k"]
+    assert silver_schema().names == ["id", "date", "category", "revenue", "cost", "units_sold", "profit",
+                                     "cleaned_at"]
