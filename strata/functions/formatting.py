@@ -51,8 +51,8 @@ def column_class(name: str) -> str | None:
 
 
 def month_label(month) -> Column:
-    """``2026-01`` → ``Jan '26``."""
-    return F.date_format(F.to_date(_c(month), "yyyy-MM"), "MMM ''yy")
+    """``2026-01`` → ``Jan '26``; NULL for text that is not a ``yyyy-MM`` month."""
+    return F.date_format(F.try_to_date(_c(month), "yyyy-MM"), "MMM ''yy")
 
 
 def markdown_row(cols) -> Column:
