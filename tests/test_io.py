@@ -63,6 +63,9 @@ def test_medallion_with_profile_and_custom_gold(spark, tmp_dir):
     assert sorted(L.gold.columns) == ["category", "units"]
     L2 = run_medallion(spark, _landing(tmp_dir, "landing2"), f"{tmp_dir}/lake2", profile_from_data=True)
     assert {c.name: c.role for c in L2.profile.columns} == roles
+    audit = {r["check"]: (r["value"], r["status"]) for r in L2.audit.collect()}
+    assert audit["financial_discrepancy"] == (0.0, "PASSED")          # gold = first option, sums by month
+    assert audit["silver_total_revenue"][0] == audit["gold_total_revenue"][0] > 0
     assert IO.read_profile(spark, f"{tmp_dir}/lake2/profile").names == L2.profile.names
 
 
