@@ -90,7 +90,7 @@ def profile_customer(spark, d):
 
 @register("classify_roles", _profile_oracle(O.LINEITEM_BRONZE, "lineitem_bronze", LINEITEM_COLS, with_roles=True))
 def classify_roles_q(spark, d):
-    return classify_roles(profile_table(stored_bronze(spark, d, "lineitem"), LINEITEM_COLS)).select(
+    return classify_roles(profile_table(stored_bronze(spark, d, "lineitem"), LINEITEM_COLS, samples=0)).select(
         "column_name", "ordinal", "role")
 
 
