@@ -57,17 +57,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
 
 def not_latest(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
                order_first: Sequence[str] = ("ingested_at", "source_file"),
-               groups: DataFrame | None = None) -> DataFrame:
+               groups: DataFrame | None = None, broadcast_max_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` that did not survive (``rn > 1``).
 
     The join runs on a 64-bit hash of the key (one fixed-width column to
     shuffle and sort on instead of several strings); the exact null-safe key
     equality stays as a residual condition, so a hash collision can never
-    pair rows of different keys."""
+    pair rows of different keys.
+
+    With ``broadcast_max_rows`` (use it when ``groups`` is already written, so
+    counting is a cheap scan) the duplicate keys are counted first and, when
+    there are at most that many, broadcast: the rows are then never shuffled.
+    Above the bound it stays a shuffle join."""
     g = (groups if groups is not None else key_groups(df, keys, row_id, order_first)).where(F.col("_n") > 1)
     dup_keys = g.select(F.xxhash64(*[F.col(k) for k in keys]).alias("_kh"),
                         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
                         *[F.col(f"_w.{c}").alias(f"_s{i}") for i, c in enumerate(row_id)])
+    if broadcast_max_rows is not None and dup_keys.count() <= broadcast_max_rows:
+        dup_keys = F.broadcast(dup_keys)
     rows = df.withColumn("_kh", F.xxhash64(*[F.col(k) for k in keys]))
     # null-safe equality written so the planner keeps it as a residual check
     # (only _kh becomes a shuffle/sort key)

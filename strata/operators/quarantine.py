@@ -49,8 +49,12 @@ def _shape(rows: DataFrame, cols: Sequence[str], run_ts) -> DataFrame:
 
 
 def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
-                     run_ts=None, groups: DataFrame | None = None) -> DataFrame:
-    """Baseline sales quarantine (cascade, one reason per row)."""
+                     run_ts=None, groups: DataFrame | None = None,
+                     broadcast_max_rows: int | None = None) -> DataFrame:
+    """Baseline sales quarantine (cascade, one reason per row).
+
+    ``groups``: the already written :func:`strata.operators.silver.sales_groups`;
+    ``broadcast_max_rows``: see :func:`strata.operators.dedup.not_latest`."""
     date_missing, cat_missing = missing("date"), missing("category")
     reason = (F.when(date_missing, REASON_MISSING_DATE)
               .when(cat_missing, REASON_MISSING_CATEGORY)
@@ -58,7 +62,7 @@ def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
     by_rule = bronze.withColumn("rejection_reason", reason).where(F.col("rejection_reason").isNotNull())
 
     dated = bronze.where(~date_missing & ~cat_missing)
-    dups = not_latest(dated, SALES_DEDUP_KEYS, row_id, groups=groups)
+    dups = not_latest(dated, SALES_DEDUP_KEYS, row_id, groups=groups, broadcast_max_rows=broadcast_max_rows)
     dups = (dups.where(all_non_negative(["revenue", "cost"], ["units_sold"]))
             .withColumn("rejection_reason", F.lit(REASON_DUPLICATE)))
     return _shape(by_rule.unionByName(dups), SALES_COLUMNS, run_ts)

@@ -124,6 +124,8 @@ def customer_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 # folder (a durable location on a cluster) and read back as parquet.
 
 _STORED: dict[tuple, str] = {}
+# duplicate keys are ~100 bytes each: up to a million is a ~100 MB broadcast
+DUP_KEYS_BROADCAST_ROWS = 1_000_000
 
 def stored_bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from strata.session import scratch_path
@@ -154,7 +156,8 @@ def stored_sales_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         write_layer(sales_groups(bronze, SALES_ROW_ID), f"{root}/_groups")
         groups = spark.read.parquet(f"{root}/_groups")
         write_layer(silver_sales(bronze, row_id=SALES_ROW_ID, groups=groups), f"{root}/silver")
-        write_layer(quarantine_sales(bronze, row_id=SALES_ROW_ID, groups=groups), f"{root}/quarantine")
+        write_layer(quarantine_sales(bronze, row_id=SALES_ROW_ID, groups=groups,
+                                     broadcast_max_rows=DUP_KEYS_BROADCAST_ROWS), f"{root}/quarantine")
         write_layer(gold_monthly(spark.read.parquet(f"{root}/silver")), f"{root}/gold")
         _STORED[key] = root
     return (bronze, _read(spark, f"{root}/silver"), _read(spark, f"{root}/quarantine"),

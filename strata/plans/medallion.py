@@ -34,12 +34,16 @@ class Layers:
 
 def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile | dict | None = None,
                   profile_from_data: bool = False, gold_sql: str | None = None,
-                  dedup_keys=None, run_ts=None, export: bool = True) -> Layers:
+                  dedup_keys=None, run_ts=None, export: bool = True,
+                  dup_broadcast_rows: int = 1_000_000) -> Layers:
     """Run every layer for the files under ``landing`` into folders under ``root``.
 
     Without a profile the baseline sales rules apply; with one (or with
     ``profile_from_data``) the profile-driven rules.  ``gold_sql`` (a read-only
-    SELECT over ``silver_clean_sales``) replaces the default gold."""
+    SELECT over ``silver_clean_sales``) replaces the default gold.  The keep-latest
+    aggregate is written once; when it holds at most ``dup_broadcast_rows``
+    duplicated keys (counted on the written table) they are broadcast to the
+    duplicate search instead of shuffling bronze."""
     IO.ingest_csv(spark, landing, f"{root}/bronze", run_ts=run_ts)
     bronze = spark.read.parquet(f"{root}/bronze")
 
@@ -56,7 +60,7 @@ def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile
         IO.write_layer(sales_groups(bronze), f"{root}/_dedup_groups")
         groups = spark.read.parquet(f"{root}/_dedup_groups")
         s = silver_sales(bronze, run_ts=run_ts, groups=groups)
-        q = quarantine_sales(bronze, run_ts=run_ts, groups=groups)
+        q = quarantine_sales(bronze, run_ts=run_ts, groups=groups, broadcast_max_rows=dup_broadcast_rows)
     else:
         s = silver(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts)
         q = quarantine(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts)
