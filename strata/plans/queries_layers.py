@@ -237,3 +237,24 @@ def quarantine_dynamic_id(spark, d):
 def negative_balance_quarantine(spark, d):
     return quarantine(stored_bronze(spark, d, "customer"), CUSTOMER_PROFILE, row_id=TABLE_ROW_ID) \
         .select(*_qcols(CUSTOMER_PROFILE))
+
+
+# ---------------------------------------------------------------- hot keys
+# Dedup lineitem on its return flag: three keys, each holding about a third of
+# all rows — the skew case the window-free dedup is built for.
+
+HOT_KEYS = ["l_returnflag"]
+
+
+@register("silver_hot_keys",
+          _dyn_silver_sql(O.LINEITEM_BRONZE, "lineitem_bronze", LINEITEM_PROFILE, HOT_KEYS))
+def silver_hot_keys(spark, d):
+    return _dates_as_text(silver(stored_bronze(spark, d, "lineitem"), LINEITEM_PROFILE, row_id=TABLE_ROW_ID,
+                                 dedup_keys=HOT_KEYS), LINEITEM_PROFILE)
+
+
+@register("quarantine_hot_keys",
+          _dyn_quarantine_sql(O.LINEITEM_BRONZE, "lineitem_bronze", LINEITEM_PROFILE, HOT_KEYS))
+def quarantine_hot_keys(spark, d):
+    return quarantine(stored_bronze(spark, d, "lineitem"), LINEITEM_PROFILE, row_id=TABLE_ROW_ID,
+                      dedup_keys=HOT_KEYS).select(*_qcols(LINEITEM_PROFILE))
