@@ -32,7 +32,7 @@ from strata.functions.predicates import (
     all_non_negative, any_negative, malformed_numeric, missing, negative, present,
 )
 from strata.operators.dedup import not_latest
-from strata.operators.layers import DEFAULT_ROW_ID, raw_columns, run_timestamp
+from strata.operators.layers import DEFAULT_ROW_ID, run_timestamp
 from strata.operators.model import Profile
 from strata.operators.silver import valid_row
 

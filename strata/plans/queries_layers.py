@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.constants import SALES_COLUMNS
 from strata.functions.predicates import missing
-from strata.operators.gold import gold, gold_agg, gold_monthly, gold_monthly_percent, top_category_per_month
+from strata.operators.gold import gold_monthly, gold_monthly_percent, top_category_per_month
 from strata.operators.model import Profile
 from strata.operators.quarantine import quarantine, quarantine_sales
 from strata.operators.silver import silver, silver_sales

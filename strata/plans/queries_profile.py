@@ -10,7 +10,7 @@ from strata.operators.profile import (
     CURRENCY_PATTERN, DATE_PATTERN, NUMERIC_PATTERN, TEXT_MEAN_LENGTH, TEXT_NAME_TOKENS,
     build_profile, classify_roles, profile_table,
 )
-from strata.operators.silver import silver, silver_sales
+from strata.operators.silver import silver
 from strata.plans import oracle as O
 from strata.plans.fixtures import SALES_ROW_ID, TABLE_ROW_ID, sales_bronze, stored_bronze, stored_sales_layers
 from strata.plans.queries_layers import CUSTOMER_PROFILE, LINEITEM_PROFILE, SALES_PROFILE
@@ -83,6 +83,19 @@ def profile_lineitem(spark, d):
     return _profile_q(stored_bronze(spark, d, "lineitem"), LINEITEM_COLS)
 
 
+@register("profile_lineitem_approx")
+def profile_lineitem_approx(spark, d):
+    """Large-table mode: one aggregate pass, HLL-sketch distinct counts, samples from a
+    1% row sample (no oracle: approximate by design; tests compare it with the exact
+    profile)."""
+    return _profile_q_approx(stored_bronze(spark, d, "lineitem"), LINEITEM_COLS)
+
+
+def _profile_q_approx(df, cols):
+    return profile_table(df, cols, approx=True, sample_fraction=0.01).withColumn(
+        "samples", F.array_join("samples", "|"))
+
+
 @register("profile_customer", _profile_oracle(O.CUSTOMER_BRONZE, "customer_bronze", CUSTOMER_COLS))
 def profile_customer(spark, d):
     return _profile_q(stored_bronze(spark, d, "customer"), CUSTOMER_COLS)

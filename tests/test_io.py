@@ -2,12 +2,8 @@
 import os
 
 import pytest
-from helpers import sales_bronze
-
-from strata.operators.gold import gold_monthly
 from strata.operators.guard import PlanValidationError, run_guarded_sql
 from strata.operators.model import Profile
-from strata.operators.silver import silver_sales
 from strata.plans.medallion import run_medallion
 from strata.sources import catalog as C
 from strata.sources import files as IO
