@@ -134,7 +134,7 @@ def stored_bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = _STORED.get(key)
     if path is None:
         path = scratch_path(spark, f"bronze-{name}")
-        build(spark, sf_dir).write.parquet(path)
+        build(spark, sf_dir).write.mode("overwrite").parquet(path)  # a rerun rewrites, never half-appends
         _STORED[key] = path
     return _read(spark, path)
 

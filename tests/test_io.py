@@ -141,3 +141,15 @@ def test_schemas_follow_roles():
     assert quarantine_schema(p).names[:2] == ["raw_d", "raw_k"]
     assert silver_schema().names == ["id", "date", "category", "revenue", "cost", "units_sold", "profit",
                                      "cleaned_at"]
+
+
+def test_stream_with_profile_rules(spark, tmp_dir):
+    landing = _landing(tmp_dir, files=2)
+    cols = ["date", "category", "revenue", "cost", "units_sold"]
+    p = Profile.of({"date": "date", "category": "dimension", "revenue": "measure", "cost": "measure",
+                    "units_sold": "measure"})
+    ingest_landing(spark, landing, f"{tmp_dir}/sb", f"{tmp_dir}/ck", cols, quarantine_path=f"{tmp_dir}/sq",
+                   profile=p, max_files_per_trigger=1).awaitTermination()
+    q = sorted(r["rejection_reason"] for r in spark.read.parquet(f"{tmp_dir}/sq").collect())
+    assert q == ["Negative Numeric Metric: revenue", "Null value in required column: date"]
+    assert sorted(spark.read.parquet(f"{tmp_dir}/sb").select("batch").distinct().toPandas()["batch"]) == [0, 1]
