@@ -48,6 +48,14 @@ def _shape(rows: DataFrame, cols: Sequence[str], run_ts) -> DataFrame:
     )
 
 
+def sales_rule_reason():
+    """First matching row rule of the baseline sales flow, NULL when none applies
+    (a NULL comparison — e.g. a missing measure — matches no rule)."""
+    return (F.when(missing("date"), REASON_MISSING_DATE)
+            .when(missing("category"), REASON_MISSING_CATEGORY)
+            .when(any_negative(["revenue", "cost"], ["units_sold"]), REASON_NEGATIVE_ANY))
+
+
 def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
                      run_ts=None, groups: DataFrame | None = None,
                      broadcast_max_rows: int | None = None) -> DataFrame:
@@ -55,13 +63,9 @@ def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
 
     ``groups``: the already written :func:`strata.operators.silver.sales_groups`;
     ``broadcast_max_rows``: see :func:`strata.operators.dedup.not_latest`."""
-    date_missing, cat_missing = missing("date"), missing("category")
-    reason = (F.when(date_missing, REASON_MISSING_DATE)
-              .when(cat_missing, REASON_MISSING_CATEGORY)
-              .when(any_negative(["revenue", "cost"], ["units_sold"]), REASON_NEGATIVE_ANY))
-    by_rule = bronze.withColumn("rejection_reason", reason).where(F.col("rejection_reason").isNotNull())
-
-    dated = bronze.where(~date_missing & ~cat_missing)
+    by_rule = bronze.withColumn("rejection_reason", sales_rule_reason()) \
+        .where(F.col("rejection_reason").isNotNull())
+    dated = bronze.where(~missing("date") & ~missing("category"))
     dups = not_latest(dated, SALES_DEDUP_KEYS, row_id, groups=groups, broadcast_max_rows=broadcast_max_rows)
     dups = (dups.where(all_non_negative(["revenue", "cost"], ["units_sold"]))
             .withColumn("rejection_reason", F.lit(REASON_DUPLICATE)))
@@ -71,11 +75,8 @@ def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
 def sales_row_rules(bronze: DataFrame, run_ts=None) -> DataFrame:
     """Only the stateless row rules of :func:`quarantine_sales` (no duplicates):
     usable on a stream, where each micro-batch is checked on its own."""
-    date_missing, cat_missing = missing("date"), missing("category")
-    reason = (F.when(date_missing, REASON_MISSING_DATE)
-              .when(cat_missing, REASON_MISSING_CATEGORY)
-              .when(any_negative(["revenue", "cost"], ["units_sold"]), REASON_NEGATIVE_ANY))
-    rows = bronze.withColumn("rejection_reason", reason).where(F.col("rejection_reason").isNotNull())
+    rows = bronze.withColumn("rejection_reason", sales_rule_reason()) \
+        .where(F.col("rejection_reason").isNotNull())
     return _shape(rows, SALES_COLUMNS, run_ts)
 
 
@@ -104,7 +105,7 @@ def quarantine(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFA
                extensions: bool = False) -> DataFrame:
     """Profile-driven quarantine (one row per violated rule, plus duplicates)."""
     cols = profile.names
-    by_rule = (bronze.select("*", F.explode(rule_reasons(profile, extensions)).alias("rejection_reason")))
+    by_rule = bronze.select("*", F.explode(rule_reasons(profile, extensions)).alias("rejection_reason"))
     valid = bronze.where(valid_row(profile))
     dups = not_latest(valid, list(dedup_keys or profile.dedup_keys()), row_id)
     dups = dups.withColumn("rejection_reason", F.lit(REASON_DUPLICATE))
