@@ -146,7 +146,7 @@ def stored_sales_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     from strata.operators.quarantine import quarantine_sales
     from strata.operators.silver import sales_groups, silver_sales
     from strata.session import scratch_path
-    from strata.sources.files import write_layer
+    from strata.sources.files import run_concurrently, write_layer
     bronze = stored_bronze(spark, sf_dir, "sales")
     key = (spark.sparkContext.applicationId, sf_dir, "sales-layers")
     root = _STORED.get(key)
@@ -155,15 +155,22 @@ def stored_sales_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         # the keep-latest aggregate is written once and read by silver and quarantine
         write_layer(sales_groups(bronze, SALES_ROW_ID), f"{root}/_groups")
         groups = spark.read.parquet(f"{root}/_groups")
-        write_layer(silver_sales(bronze, row_id=SALES_ROW_ID, groups=groups), f"{root}/silver")
-        write_layer(quarantine_sales(bronze, row_id=SALES_ROW_ID, groups=groups,
-                                     broadcast_max_rows=DUP_KEYS_BROADCAST_ROWS), f"{root}/quarantine")
-        write_layer(gold_monthly(spark.read.parquet(f"{root}/silver")), f"{root}/gold")
+        q = quarantine_sales(bronze, row_id=SALES_ROW_ID, groups=groups, broadcast_max_rows=DUP_KEYS_BROADCAST_ROWS)
+        run_concurrently(  # silver (then gold from it) and quarantine are independent jobs
+            lambda: (write_layer(silver_sales(bronze, row_id=SALES_ROW_ID, groups=groups), f"{root}/silver"),
+                     write_layer(gold_monthly(spark.read.parquet(f"{root}/silver")), f"{root}/gold")),
+            lambda: write_layer(q, f"{root}/quarantine"))
         _STORED[key] = root
     return (bronze, _read(spark, f"{root}/silver"), _read(spark, f"{root}/quarantine"),
             _read(spark, f"{root}/gold"))
 
 
+def store_all_bronze(spark: SparkSession, sf_dir: str) -> None:
+    """Derive and store the three bronze views as concurrent jobs."""
+    from strata.sources.files import run_concurrently
+    run_concurrently(*[lambda n=n: stored_bronze(spark, sf_dir, n) for n in ("sales", "lineitem", "customer")])
+
+
 def forget_stored(spark: SparkSession) -> None:
     """Drop this application's memo of stored tables and reads (the files stay);
     the next call derives and writes them again."""

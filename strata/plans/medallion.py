@@ -64,8 +64,8 @@ def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile
     else:
         s = silver(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts)
         q = quarantine(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts)
-    IO.write_layer(s, f"{root}/silver")
-    IO.write_layer(q, f"{root}/quarantine")
+    IO.run_concurrently(lambda: IO.write_layer(s, f"{root}/silver"),
+                        lambda: IO.write_layer(q, f"{root}/quarantine"))
     s, q = spark.read.parquet(f"{root}/silver"), spark.read.parquet(f"{root}/quarantine")
 
     if gold_sql:

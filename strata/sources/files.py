@@ -134,6 +134,15 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     w.parquet(path)
 
 
+def run_concurrently(*writes) -> None:
+    """Run independent write actions as concurrent Spark jobs (one driver thread
+    each) so their stages share the executors; re-raises the first failure."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for f in [pool.submit(w) for w in writes]:
+            f.result()
+
+
 def refresh_in_place(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite ``path`` with a result that was computed *from* ``path``.
 
