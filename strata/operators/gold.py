@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.casts import money, month_of
+from strata.functions.casts import money, month_of, month_of_text
 from strata.operators.model import Profile
 
 MONEY_SCALE = 6
@@ -27,9 +27,11 @@ def _money_sum(c: str) -> Column:
 
 def month_category_totals(silver: DataFrame, date_col: str = "date", category_col: str = "category",
                           revenue_col: str = "revenue", cost_col: str = "cost",
-                          units_col: str = "units_sold") -> DataFrame:
-    """Exact partial totals per (month, category)."""
-    return (silver.groupBy(month_of(date_col).alias("month"), F.col(category_col).alias("category"))
+                          units_col: str = "units_sold", month_from_text: bool = False) -> DataFrame:
+    """Exact partial totals per (month, category); the month is ``date_format(d, 'yyyy-MM')``
+    or, with ``month_from_text``, the first seven characters of the date text."""
+    month = month_of_text(F.col(date_col).cast("string")) if month_from_text else month_of(date_col)
+    return (silver.groupBy(month.alias("month"), F.col(category_col).alias("category"))
             .agg(_money_sum(revenue_col).alias("category_revenue"),
                  _money_sum(cost_col).alias("category_cost"),
                  F.sum(units_col).cast("bigint").alias("category_units")))
@@ -56,8 +58,9 @@ def gold_monthly(silver: DataFrame, **cols) -> DataFrame:
 
 
 def gold_monthly_percent(silver: DataFrame, **cols) -> DataFrame:
-    """Seeder-style gold: totals rounded to cents, margin in percent of the rounded totals."""
-    per_cat = month_category_totals(silver, **cols)
+    """Seeder-style gold: totals rounded to cents, margin in percent of the rounded totals,
+    month taken from the date text."""
+    per_cat = month_category_totals(silver, month_from_text=True, **cols)
     g = (per_cat.groupBy("month")
          .agg(F.round(F.sum("category_revenue"), 2).cast("double").alias("total_revenue"),
               F.round(F.sum("category_cost"), 2).cast("double").alias("total_cost"),

@@ -93,7 +93,7 @@ def test_workspaces_isolate_tables(spark, tmp_dir):
             run_guarded_sql(spark, "SELECT salary FROM silver_clean_sales", a)
     finally:
         spark.catalog.setCurrentDatabase(cur)
-    assert {C.workspace_database(a), C.workspace_database(b)} <= set(C.list_workspaces(spark))
+    assert {C.workspace_database(a), C.workspace_database(b)} <= set(C.list_workspaces(spark, with_data=True))
     desc = C.describe_tables(spark, C.workspace_database(b)).collect()
     assert [(r["column_name"], r["data_type"]) for r in desc] == [("department", "string"), ("salary", "double")]
 
