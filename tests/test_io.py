@@ -78,10 +78,10 @@ def test_upsert_and_refresh_in_place(spark, tmp_dir):
 
 
 def test_workspaces_isolate_tables(spark, tmp_dir):
-    a, b = "tesla-finance", "ford-hr"
+    a, b = "north-finance", "south-hr"
     for ws in (a, b):
         C.create_workspace(spark, ws, f"{tmp_dir}/{ws}")
-    assert C.workspace_database(a) != C.workspace_database("tesla_finance")
+    assert C.workspace_database(a) != C.workspace_database("north_finance")
     C.save_layer(spark.createDataFrame([("Energy", 1.0)], "segment string, value double"), a, "silver_clean_sales")
     C.save_layer(spark.createDataFrame([("HR", 2.0), ("IT", 3.0)], "department string, salary double"), b,
                  "silver_clean_sales")
