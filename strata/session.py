@@ -42,8 +42,9 @@ def build_session(master: str | None = None, app: str = "strata",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local runs, tests) a private scratch folder is
-    created and registered, so ``DataFrame.checkpoint()`` works everywhere.
+    Only when it is unset on a local master (local runs, tests) a private
+    scratch folder is created and registered; on a cluster an unset value is
+    an error rather than a silent machine-local fallback.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +52,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor shares "
+                               "(a machine-local folder cannot hold checkpoints on a cluster)")
         d = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return d
