@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import app_id
 from strata.sources.tables import spread
 
 SALES_ROW_ID = ("_src_file", "_src_row", "_batch")
@@ -28,7 +29,7 @@ _READS: dict[tuple, DataFrame] = {}
 def _read(spark: SparkSession, path: str) -> DataFrame:
     """``spark.read.parquet`` once per application and path: the DataFrame keeps its
     file listing and footer schema, so later queries skip both."""
-    key = (spark.sparkContext.applicationId, path)
+    key = (app_id(spark), path)
     df = _READS.get(key)
     if df is None:
         df = _READS[key] = spark.read.parquet(path)
@@ -130,7 +131,7 @@ DUP_KEYS_BROADCAST_ROWS = 1_000_000
 def stored_bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from strata.session import scratch_path
     build = {"sales": sales_bronze, "lineitem": lineitem_bronze, "customer": customer_bronze}[name]
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (app_id(spark), sf_dir, name)
     path = _STORED.get(key)
     if path is None:
         path = scratch_path(spark, f"bronze-{name}")
@@ -148,7 +149,7 @@ def stored_sales_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     from strata.session import scratch_path
     from strata.sources.files import run_concurrently, write_layer
     bronze = stored_bronze(spark, sf_dir, "sales")
-    key = (spark.sparkContext.applicationId, sf_dir, "sales-layers")
+    key = (app_id(spark), sf_dir, "sales-layers")
     root = _STORED.get(key)
     if root is None:
         root = scratch_path(spark, "sales-layers")
@@ -174,7 +175,7 @@ def store_all_bronze(spark: SparkSession, sf_dir: str) -> None:
 def forget_stored(spark: SparkSession) -> None:
     """Drop this application's memo of stored tables and reads (the files stay);
     the next call derives and writes them again."""
-    app = spark.sparkContext.applicationId
+    app = app_id(spark)
     for memo in (_STORED, _READS):
         for k in [k for k in memo if k[0] == app]:
             del memo[k]

@@ -44,9 +44,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when it is unset on a local master (local runs, tests) a private
     scratch folder is created and registered; on a cluster an unset value is
-    an error rather than a silent machine-local fallback.
-    """
-    sc = spark.sparkContext
+    an error rather than a silent machine-local fallback."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext: use the configuration
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor shares")
+        return d
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -60,6 +65,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (classic and Connect sessions)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location (never machine-local
     on a cluster) for intermediate files a job writes and reads back."""

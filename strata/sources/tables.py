@@ -14,8 +14,11 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     partitioning on ``cols`` (when given) keeps the placement deterministic
     on retry without the sort a round-robin repartition needs."""
     spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
         return df
     return df.repartition(target, *cols) if cols else df.repartition(target)
 
