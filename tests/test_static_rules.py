@@ -97,3 +97,21 @@ def test_gold_monthly_and_top_category(spark):
     assert june["profit_margin"] == round((2456.61 - 922.51) / 2456.61, 4)
     assert june["top_category"] == "Books"        # 1297.11 beats 1159.50
     assert g[1]["top_category"] == "Books"        # a tie goes to the first name alphabetically
+
+
+def test_rule_sets_agree_on_single_violations(spark):
+    from strata.operators.model import Profile
+    from strata.operators.quarantine import quarantine
+    rows = [(None, "A", "1.00", "1.00", "1", "2026-05-15 12:00:00"),          # date only
+            ("2026-05-15", "", "1.00", "1.00", "1", "2026-05-15 12:00:00"),   # category only
+            ("2026-05-15", "B", "-1.00", "1.00", "1", "2026-05-15 12:00:00"),  # revenue only
+            ("2026-05-16", "B", "1.00", "-1.00", "1", "2026-05-15 12:00:00"),  # cost only
+            ("2026-05-17", "C", "1.00", "1.00", "-2", "2026-05-15 12:00:00"),  # units only
+            ("2026-05-18", "D", "5.00", "1.00", "1", "2026-05-15 12:00:00")]   # clean
+    b = sales_bronze(spark, rows)
+    p = Profile.of({"date": "date", "category": "dimension", "revenue": "measure", "cost": "measure",
+                    "units_sold": "measure"})
+    cascade = quarantine_sales(b).select("raw_date", "raw_category", "raw_revenue", "raw_cost", "raw_units_sold")
+    per_rule = quarantine(b, p).select("raw_date", "raw_category", "raw_revenue", "raw_cost", "raw_units_sold")
+    assert sorted(cascade.collect(), key=str) == sorted(per_rule.collect(), key=str)
+    assert cascade.count() == 5
