@@ -48,25 +48,46 @@ def _shape(rows: DataFrame, cols: Sequence[str], run_ts) -> DataFrame:
     )
 
 
-def sales_rule_reason():
+SALES_MEASURES = ("revenue", "cost", "units_sold")
+
+
+def sales_rule_reason(extensions: bool = False):
     """First matching row rule of the baseline sales flow, NULL when none applies
-    (a NULL comparison — e.g. a missing measure — matches no rule)."""
-    return (F.when(missing("date"), REASON_MISSING_DATE)
-            .when(missing("category"), REASON_MISSING_CATEGORY)
-            .when(any_negative(["revenue", "cost"], ["units_sold"]), REASON_NEGATIVE_ANY))
+    (a NULL comparison — e.g. a missing measure — matches no rule).
+
+    ``extensions`` adds, after the category rule, an unparseable date and a
+    present-but-malformed number as their own reasons (off by default)."""
+    rule = (F.when(missing("date"), REASON_MISSING_DATE)
+            .when(missing("category"), REASON_MISSING_CATEGORY))
+    if extensions:
+        rule = rule.when(to_date("date").isNull(), REASON_UNPARSEABLE_DATE.format(col="date"))
+        for c in SALES_MEASURES:
+            rule = rule.when(malformed_numeric(c), REASON_MALFORMED_NUMERIC.format(col=c))
+    return rule.when(any_negative(["revenue", "cost"], ["units_sold"]), REASON_NEGATIVE_ANY)
+
+
+def sales_extension_ok():
+    """Rows the extension rules let through (parseable date, well-formed numbers)."""
+    ok = to_date("date").isNotNull()
+    for c in SALES_MEASURES:
+        ok = ok & ~malformed_numeric(c)
+    return ok
 
 
 def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
                      run_ts=None, groups: DataFrame | None = None,
-                     broadcast_max_rows: int | None = None) -> DataFrame:
+                     broadcast_max_rows: int | None = None, extensions: bool = False) -> DataFrame:
     """Baseline sales quarantine (cascade, one reason per row).
 
     ``groups``: the already written :func:`strata.operators.silver.sales_groups`;
-    ``broadcast_max_rows``: see :func:`strata.operators.dedup.not_latest`."""
-    by_rule = bronze.withColumn("rejection_reason", sales_rule_reason()) \
+    ``broadcast_max_rows``: see :func:`strata.operators.dedup.not_latest`;
+    ``extensions``: see :func:`sales_rule_reason`."""
+    by_rule = bronze.withColumn("rejection_reason", sales_rule_reason(extensions)) \
         .where(F.col("rejection_reason").isNotNull())
     dated = bronze.where(~missing("date") & ~missing("category"))
     dups = not_latest(dated, SALES_DEDUP_KEYS, row_id, groups=groups, broadcast_max_rows=broadcast_max_rows)
+    if extensions:
+        dups = dups.where(sales_extension_ok())
     dups = (dups.where(all_non_negative(["revenue", "cost"], ["units_sold"]))
             .withColumn("rejection_reason", F.lit(REASON_DUPLICATE)))
     return _shape(by_rule.unionByName(dups), SALES_COLUMNS, run_ts)

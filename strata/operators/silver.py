@@ -48,14 +48,20 @@ def sales_groups(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID) -> D
 
 
 def silver_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID, run_ts=None,
-                 groups: DataFrame | None = None) -> DataFrame:
+                 groups: DataFrame | None = None, extensions: bool = False) -> DataFrame:
     """Baseline sales silver with ``profit``.
 
     The dedup runs over rows with a date and a category *before* the
     numeric check, so a negative newest copy hides an older valid one.
-    ``groups`` is :func:`sales_groups` when already computed."""
+    ``groups`` is :func:`sales_groups` when already computed.  With
+    ``extensions`` a survivor with an unparseable date or a malformed number
+    is left out (it is quarantined with its own reason) instead of passing
+    with a NULL date."""
     dated = bronze.where(present("date") & present("category"))
     survivors = latest_per_key(dated, SALES_DEDUP_KEYS, row_id, groups=groups)
+    if extensions:
+        from strata.operators.quarantine import sales_extension_ok
+        survivors = survivors.where(sales_extension_ok())
     id_cols = identity_columns(bronze, row_id)
     typed = survivors.select(
         surrogate_id(id_cols).alias("id"),

@@ -115,3 +115,15 @@ def test_rule_sets_agree_on_single_violations(spark):
     per_rule = quarantine(b, p).select("raw_date", "raw_category", "raw_revenue", "raw_cost", "raw_units_sold")
     assert sorted(cascade.collect(), key=str) == sorted(per_rule.collect(), key=str)
     assert cascade.count() == 5
+
+
+def test_extension_reasons_are_opt_in(spark):
+    rows = [("2026-02-30", "A", "10.00", "5.00", "1", "2026-05-15 12:00:00"),   # unparseable date
+            ("2026-05-15", "B", "12,5", "5.00", "1", "2026-05-15 12:00:00"),     # malformed revenue
+            ("2026-05-15", "C", "10.00", "5.00", "1", "2026-05-15 12:00:00")]    # clean
+    b = sales_bronze(spark, rows)
+    # default: specified behaviour (NULL date passes, malformed number is dropped silently)
+    assert silver_sales(b).count() == 2 and quarantine_sales(b).count() == 0
+    assert reasons(quarantine_sales(b, extensions=True)) == ["Malformed Numeric Metric: revenue",
+                                                             "Unparseable Date: date"]
+    assert [r["category"] for r in silver_sales(b, extensions=True).collect()] == ["C"]
