@@ -35,7 +35,7 @@ class Layers:
 def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile | dict | None = None,
                   profile_from_data: bool = False, gold_sql: str | None = None,
                   dedup_keys=None, run_ts=None, export: bool = True,
-                  dup_broadcast_rows: int = 1_000_000) -> Layers:
+                  dup_broadcast_rows: int = 1_000_000, extensions: bool = False) -> Layers:
     """Run every layer for the files under ``landing`` into folders under ``root``.
 
     Without a profile the baseline sales rules apply; with one (or with
@@ -43,7 +43,8 @@ def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile
     SELECT over ``silver_clean_sales``) replaces the default gold.  The keep-latest
     aggregate is written once; when it holds at most ``dup_broadcast_rows``
     duplicated keys (counted on the written table) they are broadcast to the
-    duplicate search instead of shuffling bronze."""
+    duplicate search instead of shuffling bronze.  ``extensions`` turns on the
+    opt-in rejection reasons (unparseable dates, malformed numbers)."""
     IO.ingest_csv(spark, landing, f"{root}/bronze", run_ts=run_ts)
     bronze = spark.read.parquet(f"{root}/bronze")
 
@@ -59,11 +60,12 @@ def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile
         # the keep-latest aggregate is written once; silver and quarantine both read it
         IO.write_layer(sales_groups(bronze), f"{root}/_dedup_groups")
         groups = spark.read.parquet(f"{root}/_dedup_groups")
-        s = silver_sales(bronze, run_ts=run_ts, groups=groups)
-        q = quarantine_sales(bronze, run_ts=run_ts, groups=groups, broadcast_max_rows=dup_broadcast_rows)
+        s = silver_sales(bronze, run_ts=run_ts, groups=groups, extensions=extensions)
+        q = quarantine_sales(bronze, run_ts=run_ts, groups=groups, broadcast_max_rows=dup_broadcast_rows,
+                             extensions=extensions)
     else:
         s = silver(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts)
-        q = quarantine(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts)
+        q = quarantine(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts, extensions=extensions)
     IO.run_concurrently(lambda: IO.write_layer(s, f"{root}/silver"),
                         lambda: IO.write_layer(q, f"{root}/quarantine"))
     s, q = spark.read.parquet(f"{root}/silver"), spark.read.parquet(f"{root}/quarantine")
