@@ -127,7 +127,11 @@ def quarantine(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFA
     """Profile-driven quarantine (one row per violated rule, plus duplicates)."""
     cols = profile.names
     by_rule = bronze.select("*", F.explode(rule_reasons(profile, extensions)).alias("rejection_reason"))
-    valid = bronze.where(valid_row(profile))
+    ok = valid_row(profile)
+    if extensions:  # same validity as silver(extensions=True)
+        for c in profile.by_role("date"):
+            ok = ok & to_date(c).isNotNull()
+    valid = bronze.where(ok)
     dups = not_latest(valid, list(dedup_keys or profile.dedup_keys()), row_id)
     dups = dups.withColumn("rejection_reason", F.lit(REASON_DUPLICATE))
     return _shape(by_rule.unionByName(dups), cols, run_ts)

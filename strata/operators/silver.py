@@ -30,9 +30,16 @@ def typed_column(name: str, role: str) -> Column:
 
 
 def silver(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFAULT_ROW_ID,
-           dedup_keys: Sequence[str] | None = None, run_ts=None) -> DataFrame:
-    """Profile-driven silver: filter valid rows first, then keep the latest per key."""
-    valid = bronze.where(valid_row(profile))
+           dedup_keys: Sequence[str] | None = None, run_ts=None, extensions: bool = False) -> DataFrame:
+    """Profile-driven silver: filter valid rows first, then keep the latest per key.
+
+    With ``extensions`` rows whose date text does not parse are not valid either
+    (the matching quarantine reason is ``Unparseable Date: <col>``)."""
+    ok = valid_row(profile)
+    if extensions:
+        for c in profile.by_role("date"):
+            ok = ok & to_date(c).isNotNull()
+    valid = bronze.where(ok)
     survivors = latest_per_key(valid, list(dedup_keys or profile.dedup_keys()), row_id)
     id_cols = identity_columns(bronze, row_id)
     return survivors.select(

@@ -64,7 +64,7 @@ def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile
         q = quarantine_sales(bronze, run_ts=run_ts, groups=groups, broadcast_max_rows=dup_broadcast_rows,
                              extensions=extensions)
     else:
-        s = silver(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts)
+        s = silver(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts, extensions=extensions)
         q = quarantine(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts, extensions=extensions)
     IO.run_concurrently(lambda: IO.write_layer(s, f"{root}/silver"),
                         lambda: IO.write_layer(q, f"{root}/quarantine"))

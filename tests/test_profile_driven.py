@@ -85,3 +85,15 @@ def test_gold_options_shape():
     assert all(o.date_col == "date" for o in opts)
     assert opts[0].dims == ("category",) and {a.func for a in opts[0].aggs} == {"sum"}
     assert "GROUP BY" in opts[0].sql()
+
+
+def test_dynamic_extensions_keep_layers_disjoint(spark):
+    cols, _, roles = SHOP
+    b = text_bronze(spark, cols, [("2026-13-40", "Garden", "1.00", "1.00", "1"),
+                                  ("2026-01-07", "Garden", "x1", "1.00", "1"),
+                                  ("2026-01-08", "Toys", "2.00", "1.00", "1")])
+    p = Profile.of(roles)
+    assert reasons(quarantine(b, p, extensions=True)) == ["Malformed Numeric Metric: revenue",
+                                                          "Unparseable Date: date"]
+    assert [r["category"] for r in silver(b, p, extensions=True).collect()] == ["Toys"]
+    assert silver(b, p).count() == 2          # default: the unparseable date passes with a NULL date
