@@ -97,3 +97,25 @@ def test_dynamic_extensions_keep_layers_disjoint(spark):
                                                           "Unparseable Date: date"]
     assert [r["category"] for r in silver(b, p, extensions=True).collect()] == ["Toys"]
     assert silver(b, p).count() == 2          # default: the unparseable date passes with a NULL date
+
+
+def test_gold_options_shapes_by_profile():
+    two_dims = Profile.of({"d": "date", "a": "dimension", "b": "dimension", "m": "measure", "k": "id"})
+    opts = gold_options(two_dims)
+    assert len(opts) == 5
+    assert [o.dims for o in opts[:3]] == [("a",), ("b",), ("a", "b")]
+    assert {a.func for a in opts[3].aggs} == {"avg"} and opts[4].aggs[0].func == "count"
+    no_dim = gold_options(Profile.of({"d": "date", "m": "measure"}))
+    assert 3 <= len(no_dim) <= 5 and all(o.dims == () and o.date_col == "d" for o in no_dim)
+    no_date = gold_options(Profile.of({"a": "dimension", "m": "measure"}))
+    assert all(o.date_col is None for o in no_date) and no_date[0].dims == ("a",)
+    assert "GROUP BY `a`" in no_date[0].sql() and "date_format" not in no_date[0].sql()
+
+
+def test_gold_options_order_dimensions_by_cardinality(spark):
+    cols = ["day", "wide", "narrow", "amt"]
+    rows = [("2026-01-0%d" % (1 + i % 3), f"w{i}", "n%d" % (i % 2), f"{i}.0") for i in range(12)]
+    prof = build_profile(text_bronze(spark, cols, rows), cols)
+    assert gold_options(prof)[0].dims == ("narrow",)
+    s = silver(text_bronze(spark, cols, rows), prof)
+    assert gold_options(prof)[0].apply(s).count() == 2           # one month × two narrow values
