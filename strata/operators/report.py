@@ -129,7 +129,10 @@ def margin_anomalies(silver: DataFrame, k: float = 2.0, **cols) -> DataFrame:
 def category_share(silver: DataFrame, **cols) -> DataFrame:
     """month, category, revenue, share of the month's revenue, and growth of the
     category against the previous calendar month."""
-    cm = category_month_margins(silver, **cols)
+    # one revenue-only aggregate feeds all three branches, so its shuffle is reused
+    date_col, category_col = cols.get("date_col", "date"), cols.get("category_col", "category")
+    cm = (silver.groupBy(month_of(date_col).alias("month"), F.col(category_col).alias("category"))
+          .agg(F.round(F.sum(money(cols.get("revenue_col", "revenue"))), 2).cast("double").alias("revenue")))
     totals = cm.groupBy("month").agg(F.sum(money("revenue", 2)).cast("double").alias("month_revenue"))
     prev = cm.select(_next_month("month").alias("month"), "category", F.col("revenue").alias("prev_revenue"))
     return (cm.join(totals, "month").join(prev, ["month", "category"], "left")
