@@ -153,3 +153,12 @@ def test_stream_with_profile_rules(spark, tmp_dir):
     q = sorted(r["rejection_reason"] for r in spark.read.parquet(f"{tmp_dir}/sq").collect())
     assert q == ["Negative Numeric Metric: revenue", "Null value in required column: date"]
     assert sorted(spark.read.parquet(f"{tmp_dir}/sb").select("batch").distinct().toPandas()["batch"]) == [0, 1]
+
+
+def test_run_concurrently_propagates_failures(spark, tmp_dir):
+    ok = spark.range(5)
+    bad = spark.range(5).selectExpr("assert_true(id < 3) AS x")
+    with pytest.raises(Exception):
+        IO.run_concurrently(lambda: ok.write.parquet(f"{tmp_dir}/ok"),
+                            lambda: bad.write.parquet(f"{tmp_dir}/bad"))
+    assert spark.read.parquet(f"{tmp_dir}/ok").count() == 5
