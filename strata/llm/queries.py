@@ -22,3 +22,24 @@ def op4_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.simhash_cover import near_duplicates
     near = near_duplicates(spark, table(spark, sf_dir, "documents"))
     return near.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _joined(spans, kinds=None):
+    own = spans if kinds is None else F.filter(spans, lambda p: p["kind"].isin(*kinds))
+    return F.concat_ws(",", F.transform(own, lambda p: F.concat_ws(":", p["kind"], p["start"], p["end"])))
+
+
+@query
+def op1_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.secret_links import BASE, secrets
+    found = secrets(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[F.size(F.filter("spans", lambda p, k=k: p["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE],
+                        F.sha2(_joined(F.col("spans"), BASE), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from strata.llm.best_fit import pack
+    return pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
