@@ -43,3 +43,16 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from strata.llm.best_fit import pack
     return pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op3_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.mcd_outliers import verdicts
+    return verdicts(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+@query
+def op2_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.compact_windows import repeats
+    return repeats(spark, table(spark, sf_dir, "documents")).drop("text_hash", "of_text_hash")
