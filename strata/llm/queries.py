@@ -56,3 +56,21 @@ def op3_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.compact_windows import repeats
     return repeats(spark, table(spark, sf_dir, "documents")).drop("text_hash", "of_text_hash")
+
+
+@query
+def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from strata.llm.word_bpe import decode, encode
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = decode(spark, encode(spark, table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op6_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.subword_langid import predict, train
+    docs = table(spark, sf_dir, "documents")
+    return predict(spark, docs, train(spark, docs))
