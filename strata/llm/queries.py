@@ -74,3 +74,9 @@ def op6_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.subword_langid import predict, train
     docs = table(spark, sf_dir, "documents")
     return predict(spark, docs, train(spark, docs))
+
+
+@query
+def op9_stable_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.stable_ann import nearest
+    return nearest(spark, table(spark, sf_dir, "embeddings"), every=100, k=10)
