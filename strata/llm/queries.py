@@ -80,3 +80,10 @@ def op6_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_stable_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.stable_ann import nearest
     return nearest(spark, table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+@query
+def op10_dom_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.dom_boost import extract, train
+    pages = table(spark, sf_dir, "pages")
+    return extract(spark, pages, train(spark, pages))
