@@ -87,3 +87,23 @@ def op10_dom_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.dom_boost import extract, train
     pages = table(spark, sf_dir, "pages")
     return extract(spark, pages, train(spark, pages))
+
+
+@query
+def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document takes three edits whose places follow from its id and length: a replacement, an insertion
+    and a deletion."""
+    import public_tokenizers
+
+    from strata.llm.edit_counts import apply_edits, trees
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    kept = trees(spark, table(spark, sf_dir, "documents"), path, pattern)
+    n = F.length(F.coalesce("text", F.lit(""))).cast("long")
+    at = lambda seed, size: F.pmod(F.xxhash64("doc_id", F.lit(seed)), size + 1)
+    edit = lambda start, stop, new: F.struct(start.alias("start"), stop.alias("stop"), F.lit(new).alias("new"))
+    first = at(1, n)
+    after = n - F.least(n - first, F.lit(5)) + 8
+    third = at(3, after + 1)
+    edits = F.array(edit(first, first + 5, " edited "), edit(at(2, after), at(2, after), "x"), edit(third, third + 20, ""))
+    done = apply_edits(spark, kept.withColumn("edits", edits), path, pattern)
+    return done.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "rescanned", F.length("text").cast("long").alias("n_chars"))
