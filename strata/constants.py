@@ -41,6 +41,10 @@ GUARD_FORBIDDEN_KEYWORDS = (
 )
 # Spark-specific functions that reach the JVM; denied in addition.
 GUARD_SPARK_EXTRA_KEYWORDS = ("reflect", "java_method", "try_reflect")
+# Literals and quoted names, which comments cannot begin in, and comments.
+GUARD_QUOTED = r"""'(?:[^'\\]++|\\[\s\S]|'')*+'|"(?:[^"\\]++|\\[\s\S]|"")*+"|`(?:[^`]++|``)*+`"""
+GUARD_COMMENT = r"--[^\r\n]*+|/\*[\s\S]*?\*/"
+GUARD_MSG_FOREIGN = "Query reads outside its workspace: {names}"
 GUARD_MSG_NOT_SELECT = "Query must be a read-only SELECT or WITH statement."
 GUARD_MSG_FORBIDDEN = "Query contains forbidden write/modify keyword(s): {kw}"
 GUARD_MSG_BLOCKED = "SQL Guard Blocked Query: {msg}"

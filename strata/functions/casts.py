@@ -38,9 +38,42 @@ def month_of_text(s) -> Column:
     return F.substring(_c(s), 1, 7)
 
 
-def money(c, scale: int = 6) -> Column:
-    """DOUBLE measure as an exact DECIMAL(18, scale) for summing.
+#: The type of the exact share of a sum, and the size below which values may enter it: a trillion of them fit.
+EXACT_TYPE, EXACT_BELOW = "decimal(38,6)", 1e14
 
-    Sums of decimals are exact and independent of the order in which
-    partial aggregates meet, so the totals are reproducible run to run."""
-    return _c(c).cast(f"decimal(18,{scale})")
+
+def exact_part(c) -> Column:
+    """The value as an exact decimal where that loses nothing, else NULL."""
+    c = _c(c)
+    d = F.when(F.abs(c) < EXACT_BELOW, c).try_cast(EXACT_TYPE)
+    return F.when(d.cast("double") == c.cast("double"), d)
+
+
+def other_part(c) -> Column:
+    """The value as DOUBLE where :func:`exact_part` has none: huge or finer than a millionth, infinite, NaN."""
+    c = _c(c)
+    return F.when(exact_part(c).isNull(), c.cast("double"))
+
+
+def joined_total(exact, other) -> Column:
+    """DOUBLE total of the sums of both parts; NULL when both are."""
+    exact, other = _c(exact).cast("double"), _c(other)
+    return F.when(other.isNull(), exact).when(exact.isNull(), other).otherwise(exact + other)
+
+
+def rounded_total(exact, other, digits: int = 2) -> Column:
+    """The total rounded once; exact decimals are rounded as decimals."""
+    return F.when(_c(other).isNull(), F.round(_c(exact), digits).cast("double")) \
+        .otherwise(F.round(joined_total(exact, other), digits))
+
+
+def measure_sum(c, when: Column | None = None) -> Column:
+    """Sum of a DOUBLE measure of any size. Values that are exact decimals are summed as such, so the sum does
+    not depend on the order in which partial aggregates meet; the others are added as DOUBLE."""
+    return joined_total(*measure_sums(c, when))
+
+
+def measure_sums(c, when: Column | None = None) -> tuple[Column, Column]:
+    """The sums of both parts, for totals that are built in two steps."""
+    parts = (exact_part(c), other_part(c))
+    return tuple(F.sum(p if when is None else F.when(when, p)) for p in parts)

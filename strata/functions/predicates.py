@@ -41,8 +41,8 @@ def negative(c) -> Column:
 
 
 def non_negative(c) -> Column:
-    """A present value whose numeric reading is zero or more (NULL if malformed)."""
-    return present(c) & (to_real(c) >= 0)
+    """A present value whose numeric reading is zero or more (NULL if malformed; NaN is no number)."""
+    return present(c) & (to_real(c) >= 0) & ~F.isnan(to_real(c))
 
 
 def malformed_numeric(c) -> Column:
@@ -60,7 +60,7 @@ def any_negative(cols: Iterable, int_cols: Iterable = ()) -> Column:
 
 
 def all_non_negative(cols: Iterable, int_cols: Iterable = ()) -> Column:
-    conds = [to_real(c) >= 0 for c in cols] + [to_int(c) >= 0 for c in int_cols]
+    conds = [(to_real(c) >= 0) & ~F.isnan(to_real(c)) for c in cols] + [to_int(c) >= 0 for c in int_cols]
     return reduce(and_, conds)
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.constants import (
-    GUARD_FORBIDDEN_KEYWORDS, GUARD_MSG_FORBIDDEN, GUARD_MSG_NOT_SELECT, GUARD_SPARK_EXTRA_KEYWORDS,
+    GUARD_COMMENT, GUARD_FORBIDDEN_KEYWORDS, GUARD_MSG_FORBIDDEN, GUARD_MSG_NOT_SELECT, GUARD_QUOTED,
+    GUARD_SPARK_EXTRA_KEYWORDS,
 )
 
 
@@ -26,10 +27,9 @@ def forbidden_pattern(spark_extras: bool = True) -> str:
 
 
 def strip_sql_comments(c) -> Column:
-    """Drop ``-- line`` and ``/* block */`` comments, then surrounding whitespace."""
-    s = F.regexp_replace(_c(c), r"(?m)--.*$", "")
-    s = F.regexp_replace(s, r"(?s)/\*.*?\*/", "")
-    return trim_space(s)
+    """Drop ``-- line`` and ``/* block */`` comments (not inside literals and quoted names), then surrounding
+    whitespace."""
+    return trim_space(F.regexp_replace(_c(c), f"({GUARD_QUOTED})|{GUARD_COMMENT}", "$1"))
 
 
 def trim_space(c) -> Column:

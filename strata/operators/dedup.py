@@ -15,10 +15,8 @@ same survivor content.
 The complement (rows that are *not* the survivor, i.e. ``rn > 1``) only
 exists for keys seen more than once.  The same aggregate counts the rows
 per key, so the duplicate search joins the rows with just those keys (and
-their survivor's identity).  That key set is usually small and adaptive
-execution broadcasts it once its measured size is under the broadcast
-threshold; when it is large the join is a shuffle join whose hot keys are
-split by adaptive skew-join handling.  Key columns compare null-safely, as
+their survivor's identity).  How that join runs is left to adaptive
+execution, which measures the key set; in a shuffle join it splits hot keys.  Key columns compare null-safely, as
 grouping does.
 """
 
@@ -36,13 +34,20 @@ def _order_fields(df: DataFrame, order_first: Sequence[str], row_id: Sequence[st
     return list(order_first) + rest + tail
 
 
+def _identity(df: DataFrame, row_id: Sequence[str]) -> list[str]:
+    """The identity columns that the frame has."""
+    return [c for c in row_id if c in df.columns]
+
+
 def key_groups(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
                order_first: Sequence[str] = ("ingested_at", "source_file")) -> DataFrame:
     """(keys..., _w: survivor struct, _n: rows per key) — one partial/final aggregate.
 
-    Both the survivors and the duplicates derive from it; a flow that needs
-    both can write it once and pass it to each (``groups=``)."""
-    fields = _order_fields(df, order_first, row_id)
+    The struct holds the columns that are not keys: a key is constant in its
+    group, so it neither orders nor needs to travel twice.  Both the survivors
+    and the duplicates derive from the result; a flow that needs both can write
+    it once and pass it to each (``groups=``)."""
+    fields = [c for c in _order_fields(df, order_first, _identity(df, row_id)) if c not in keys]
     return df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in fields])).alias("_w"),
                                  F.count(F.lit(1)).alias("_n"))
 
@@ -50,45 +55,41 @@ def key_groups(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
 def latest_per_key(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
                    order_first: Sequence[str] = ("ingested_at", "source_file"),
                    groups: DataFrame | None = None) -> DataFrame:
-    """One row per ``keys``: the greatest by (order_first..., other columns..., row_id)."""
+    """One row per ``keys``: the greatest by (order_first..., other columns..., row_id).
+
+    Keys are read from the grouping columns, so a filter on one reaches the scan."""
     g = groups if groups is not None else key_groups(df, keys, row_id, order_first)
-    return g.select(*[F.col(f"_w.{c}").alias(c) for c in df.columns])
+    return g.select(*[F.col(c) if c in keys else F.col(f"_w.{c}").alias(c) for c in df.columns])
 
 
-def not_latest(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
-               order_first: Sequence[str] = ("ingested_at", "source_file"),
-               groups: DataFrame | None = None, broadcast_max_rows: int | None = None) -> DataFrame:
-    """Rows of ``df`` that did not survive (``rn > 1``).
+def with_duplicate_flag(df: DataFrame, groups: DataFrame, keys: Sequence[str], row_id: Sequence[str]) -> DataFrame:
+    """``df`` with ``_duplicate``: the row's key is in ``groups`` more than once and another row survived.
 
     The join runs on a 64-bit hash of the key (one fixed-width column to
     shuffle and sort on instead of several strings); the exact null-safe key
     equality stays as a residual condition, so a hash collision can never
-    pair rows of different keys.
-
-    With ``broadcast_max_rows`` (use it when ``groups`` is already written, so
-    counting is a cheap scan) the duplicate keys are counted first and, when
-    there are at most that many, broadcast: the rows are then never shuffled.
-    Above the bound it stays a shuffle join."""
-    g = (groups if groups is not None else key_groups(df, keys, row_id, order_first)).where(F.col("_n") > 1)
-    dup_keys = g.select(F.xxhash64(*[F.col(k) for k in keys]).alias("_kh"),
-                        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                        *[F.col(f"_w.{c}").alias(f"_s{i}") for i, c in enumerate(row_id)])
-    if broadcast_max_rows is not None and dup_keys.count() <= broadcast_max_rows:
-        dup_keys = F.broadcast(dup_keys)
+    pair rows of different keys.  Rows whose key is not in ``groups`` are not
+    duplicates."""
+    ids = _identity(df, row_id)
+    dup_keys = groups.where(F.col("_n") > 1).select(
+        F.xxhash64(*[F.col(k) for k in keys]).alias("_kh2"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        *[(F.col(c) if c in keys else F.col(f"_w.{c}")).alias(f"_s{i}") for i, c in enumerate(ids)])
     rows = df.withColumn("_kh", F.xxhash64(*[F.col(k) for k in keys]))
     # null-safe equality written so the planner keeps it as a residual check
     # (only _kh becomes a shuffle/sort key)
-    on = [rows["_kh"] == dup_keys["_kh"]] + \
+    on = [rows["_kh"] == dup_keys["_kh2"]] + \
         [F.coalesce(rows[k] == dup_keys[f"_k{i}"], rows[k].isNull() & dup_keys[f"_k{i}"].isNull())
          for i, k in enumerate(keys)]
-    same = [rows[c].eqNullSafe(dup_keys[f"_s{i}"]) for i, c in enumerate(row_id)]
-    survivor = same[0]
-    for s in same[1:]:
-        survivor = survivor & s
-    return rows.join(dup_keys, on, "inner").where(~survivor).select(*[rows[c] for c in df.columns])
+    survivor = F.lit(True)
+    for i, c in enumerate(ids):
+        survivor = survivor & rows[c].eqNullSafe(dup_keys[f"_s{i}"])
+    flag = dup_keys["_kh2"].isNotNull() & ~survivor
+    return rows.join(dup_keys, on, "left").select(*[rows[c] for c in df.columns], flag.alias("_duplicate"))
 
 
-def split_latest(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
-                 order_first: Sequence[str] = ("ingested_at", "source_file")) -> tuple[DataFrame, DataFrame]:
-    """(survivors, duplicates) of ``df`` for the dedup ``keys``."""
-    return latest_per_key(df, keys, row_id, order_first), not_latest(df, keys, row_id, order_first)
+def not_latest(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
+               order_first: Sequence[str] = ("ingested_at", "source_file"),
+               groups: DataFrame | None = None) -> DataFrame:
+    """Rows of ``df`` that did not survive (``rn > 1``)."""
+    g = groups if groups is not None else key_groups(df, keys, row_id, order_first)
+    return with_duplicate_flag(df, g, keys, row_id).where("_duplicate").drop("_duplicate")

@@ -1,8 +1,8 @@
 """Gold: monthly metrics and profile-driven aggregates.
 
-Money is summed as exact DECIMAL (see :func:`strata.functions.casts.money`)
-and rounded once at the end, so totals do not depend on how partial
-aggregates meet.  The top category per month comes from a second-level
+Measures of any size are summed as exact decimals where that loses nothing, else as DOUBLE (see
+:func:`strata.functions.casts.measure_sum`), and rounded once at the end, so money totals do not
+depend on how partial aggregates meet.  The top category per month comes from a second-level
 aggregate over the (month, category) partials — no join and no window over
 raw rows, and every aggregate runs map-side first.
 """
@@ -15,16 +15,11 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.casts import money, month_of, month_of_text
+from strata.functions.casts import (
+    EXACT_BELOW, EXACT_TYPE, joined_total, measure_sum, measure_sums, month_of, month_of_text, rounded_total,
+)
 from strata.operators.model import Profile
 
-MONEY_SCALE = 6
-
-
-def _money_sum(c: str) -> Column:
-    return F.sum(money(c, MONEY_SCALE))
-
-
 def month_category_totals(silver: DataFrame, date_col: str = "date", category_col: str = "category",
                           revenue_col: str = "revenue", cost_col: str = "cost",
                           units_col: str = "units_sold", month_from_text: bool = False) -> DataFrame:
@@ -32,28 +27,38 @@ def month_category_totals(silver: DataFrame, date_col: str = "date", category_co
     or, with ``month_from_text``, the first seven characters of the date text."""
     month = month_of_text(F.col(date_col).cast("string")) if month_from_text else month_of(date_col)
     return (silver.groupBy(month.alias("month"), F.col(category_col).alias("category"))
-            .agg(_money_sum(revenue_col).alias("category_revenue"),
-                 _money_sum(cost_col).alias("category_cost"),
+            .agg(*_both(revenue_col, "category_revenue"), *_both(cost_col, "category_cost"),
                  F.sum(units_col).cast("bigint").alias("category_units")))
 
 
-def _top_category(cat_rev: str = "category_revenue") -> Column:
-    # greatest revenue first, ties to the alphabetically first category
-    return F.min(F.struct((-F.col(cat_rev)).alias("neg_rev"), F.col("category").alias("category"))) \
-        .getField("category")
+def _both(c: str, name: str) -> list[Column]:
+    exact, other = measure_sums(c)
+    return [exact.alias(f"{name}_exact"), other.alias(f"{name}_other")]
+
+
+def _sums(name: str) -> tuple[Column, Column]:
+    return F.sum(f"{name}_exact"), F.sum(f"{name}_other")
+
+
+def _best() -> Column:
+    """Category with the greatest revenue: no revenue comes last, ties go to the alphabetically first."""
+    total = joined_total("category_revenue_exact", "category_revenue_other")
+    return F.min(F.struct(total.isNull().alias("none"), (-total).alias("neg"), (-F.col("category_revenue_exact")).alias("neg_exact"),
+                          F.col("category").alias("category"),
+                          rounded_total("category_revenue_exact", "category_revenue_other").alias("revenue")))
 
 
 def gold_monthly(silver: DataFrame, **cols) -> DataFrame:
     """month, revenue, cost, profit_margin (fraction, 4 dp), units_sold, top_category."""
     per_cat = month_category_totals(silver, **cols)
-    rev, cost = F.sum("category_revenue"), F.sum("category_cost")
+    (re, ro), (ce, co) = _sums("category_revenue"), _sums("category_cost")
+    rev, cost = joined_total(re, ro), joined_total(ce, co)
+    profit = F.when(ro.isNull() & co.isNull(), (re - ce).cast("double")).otherwise(rev - cost)
     return (per_cat.groupBy("month")
-            .agg(F.round(rev, 2).cast("double").alias("revenue"),
-                 F.round(cost, 2).cast("double").alias("cost"),
-                 F.round(F.try_divide((rev - cost).cast("double"), rev.cast("double")), 4)
-                 .alias("profit_margin"),
+            .agg(rounded_total(re, ro).alias("revenue"), rounded_total(ce, co).alias("cost"),
+                 F.round(F.try_divide(profit, rev), 4).alias("profit_margin"),
                  F.sum("category_units").cast("bigint").alias("units_sold"),
-                 _top_category().alias("top_category"))
+                 _best()["category"].alias("top_category"))
             .orderBy("month"))
 
 
@@ -62,10 +67,10 @@ def gold_monthly_percent(silver: DataFrame, **cols) -> DataFrame:
     month taken from the date text."""
     per_cat = month_category_totals(silver, month_from_text=True, **cols)
     g = (per_cat.groupBy("month")
-         .agg(F.round(F.sum("category_revenue"), 2).cast("double").alias("total_revenue"),
-              F.round(F.sum("category_cost"), 2).cast("double").alias("total_cost"),
+         .agg(rounded_total(*_sums("category_revenue")).alias("total_revenue"),
+              rounded_total(*_sums("category_cost")).alias("total_cost"),
               F.sum("category_units").cast("bigint").alias("total_units_sold"),
-              _top_category().alias("top_category")))
+              _best()["category"].alias("top_category")))
     margin = F.when(F.col("total_revenue") != 0,
                     F.round((F.col("total_revenue") - F.col("total_cost")) / F.col("total_revenue") * 100, 2)
                     ).otherwise(F.lit(0.0))
@@ -76,12 +81,8 @@ def gold_monthly_percent(silver: DataFrame, **cols) -> DataFrame:
 def top_category_per_month(silver: DataFrame, **cols) -> DataFrame:
     """month, top_category, category_revenue (the winning category's total)."""
     per_cat = month_category_totals(silver, **cols)
-    best = F.min(F.struct((-F.col("category_revenue")).alias("neg_rev"),
-                          F.col("category").alias("category"),
-                          F.col("category_revenue").alias("rev")))
-    return (per_cat.groupBy("month").agg(best.alias("b"))
-            .select("month", F.col("b.category").alias("top_category"),
-                    F.round(F.col("b.rev"), 2).cast("double").alias("category_revenue")))
+    return (per_cat.groupBy("month").agg(_best().alias("b"))
+            .select("month", F.col("b.category").alias("top_category"), F.col("b.revenue").alias("category_revenue")))
 
 
 # --------------------------------------------------------------------------
@@ -99,9 +100,9 @@ class Agg:
     def expr(self) -> Column:
         c = self.column
         if self.func == "sum":
-            return _money_sum(c).cast("double").alias(self.alias)
+            return measure_sum(c).alias(self.alias)
         if self.func == "avg":
-            return (_money_sum(c).cast("double") / F.count(c)).alias(self.alias)
+            return F.try_divide(measure_sum(c), F.count(c)).alias(self.alias)
         if self.func == "count":
             return (F.count(c) if c else F.count(F.lit(1))).cast("bigint").alias(self.alias)
         if self.func == "min":
@@ -112,11 +113,13 @@ class Agg:
 
     def sql(self) -> str:
         c = f"`{self.column}`" if self.column else "*"
-        if self.func == "sum":
-            return f"CAST(SUM(CAST({c} AS DECIMAL(18,{MONEY_SCALE}))) AS DOUBLE) AS `{self.alias}`"
-        if self.func == "avg":
-            return (f"CAST(SUM(CAST({c} AS DECIMAL(18,{MONEY_SCALE}))) AS DOUBLE) / COUNT({c}) "
-                    f"AS `{self.alias}`")
+        if self.func in ("sum", "avg"):
+            exact = f"TRY_CAST(CASE WHEN ABS({c}) < {EXACT_BELOW:.0f} THEN {c} END AS {EXACT_TYPE})"
+            is_exact = f"COALESCE(CAST({exact} AS DOUBLE) = {c}, FALSE)"
+            parts = [f"CAST(SUM(CASE WHEN {is_exact} THEN {exact} END) AS DOUBLE)",
+                     f"SUM(CASE WHEN NOT {is_exact} THEN CAST({c} AS DOUBLE) END)"]
+            total = f"CASE WHEN COUNT({c}) > 0 THEN COALESCE({parts[0]}, 0D) + COALESCE({parts[1]}, 0D) END"
+            return f"{total} AS `{self.alias}`" if self.func == "sum" else f"({total}) / NULLIF(COUNT({c}), 0) AS `{self.alias}`"
         if self.func == "count":
             return f"CAST(COUNT({c}) AS BIGINT) AS `{self.alias}`"
         return f"{self.func.upper()}({c}) AS `{self.alias}`"
@@ -170,12 +173,12 @@ def _dims_by_cardinality(profile: Profile) -> list[str]:
 
 
 def gold_options(profile: Profile) -> list[GoldSpec]:
-    """3–5 candidate gold aggregates, by rule (the first one is the default gold).
+    """Three to five candidate gold aggregates, by rule (the first one is the default gold).
 
-    (month, dim1) SUM of all measures; (month, dim2) SUM; (month, dim1, dim2)
-    SUM; (month, dim1) AVG; (month) COUNT of the first id (or rows).  Without
-    a date column the month is dropped; without dimensions month-level
-    options fill in."""
+    With dimensions and measures: the measures' sums by the first dimension, by the second and by both (where there
+    is a second), their averages by the first, and the count of the first id (or of rows) over all. Without dimensions
+    their sums and averages and the count remain; without measures, counts by the dimensions; a range of the measures
+    or a plain row count fills up to three. A date column adds its month to every option."""
     dates = profile.by_role("date")
     date_col = dates[0] if dates else None
     dims = _dims_by_cardinality(profile)
@@ -183,33 +186,23 @@ def gold_options(profile: Profile) -> list[GoldSpec]:
     ids = profile.by_role("id")
     sums = tuple(Agg("sum", m, m) for m in measures)
     avgs = tuple(Agg("avg", m, f"avg_{m}") for m in measures)
-    count = Agg("count", ids[0] if ids else None, f"{ids[0]}_count" if ids else "row_count")
+    ends = tuple(Agg(f, m, f"{f}_{m}") for m in measures for f in ("min", "max"))
+    count = (Agg("count", ids[0] if ids else None, f"{ids[0]}_count" if ids else "row_count"),)
     what = ", ".join(measures) if measures else "rows"
     per = "Monthly" if date_col else "Total"
-    opts: list[GoldSpec] = []
-    if dims and measures:
-        opts.append(GoldSpec(f"{per} {what} by {dims[0]}", (dims[0],), sums, date_col))
-        if len(dims) > 1:
-            opts.append(GoldSpec(f"{per} {what} by {dims[1]}", (dims[1],), sums, date_col))
-            opts.append(GoldSpec(f"{per} {what} by {dims[0]} and {dims[1]}", (dims[0], dims[1]), sums, date_col))
-        opts.append(GoldSpec(f"{per} average {what} by {dims[0]}", (dims[0],), avgs, date_col))
+    option = lambda text, by, aggs: GoldSpec(f"{per} {text}" + (f" by {' and '.join(by)}" if by else ""), tuple(by), aggs, date_col)
+    by = [dims[:1], dims[1:2], dims[:2]] if len(dims) > 1 else [dims[:1]] if dims else [[]]
+    if measures:
+        out = [option(what, d, sums) for d in by] + [option(f"average {what}", dims[:1], avgs)]
+        if not dims and not date_col:
+            out.append(option(f"range of {what}", [], ends))
+        return [*out, option("record count", [], count)]
+    out = [option("record count", d, count) for d in by]
     if dims:
-        opts.append(GoldSpec(f"{per} record count by {dims[0]}", (dims[0],), (count,), date_col))
-    if date_col:
-        if measures:
-            opts.append(GoldSpec(f"Monthly total {what}", (), sums, date_col))
-            opts.append(GoldSpec(f"Monthly average {what}", (), avgs, date_col))
-        opts.append(GoldSpec("Monthly record count", (), (count,), date_col))
-    if not opts:
-        opts.append(GoldSpec("Record count", (), (count,), None))
-    # de-duplicate while keeping order, then cap at five
-    seen, out = set(), []
-    for o in opts:
-        k = (o.dims, o.aggs, o.date_col)
-        if k not in seen:
-            seen.add(k)
-            out.append(o)
-    return out[:5]
+        out.append(option("record count", [], count))
+    filled = [c for c in profile.names if c not in ids]
+    out += [option(f"filled values of {c}", [], (Agg("count", c, f"{c}_count"),)) for c in filled[:max(0, 3 - len(out))]]
+    return out if len(out) >= 3 or not ids else [*out, option("row count", [], (Agg("count", None, "row_count"),))]
 
 
 def gold(silver: DataFrame, profile: Profile, option: int = 0) -> DataFrame:

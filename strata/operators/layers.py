@@ -2,8 +2,8 @@
 
 A bronze frame holds the raw columns as text plus the audit columns
 ``ingested_at`` (TIMESTAMP) and ``source_file`` (STRING) and a row
-identity (default ``ingested_at, source_file, _row_id``; any columns that
-together are unique per bronze row).  The identity only
+identity (default ``_ingest_id, ingested_at, source_file, _row_id``, as far as
+the frame has them; any columns that together are unique per bronze row).  The identity only
 has to be unique per bronze row; it is never shown in silver or quarantine.
 """
 
@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AUDIT_COLUMNS = ("ingested_at", "source_file")
-# bronze written by strata.sources.files.ingest_csv: one ingest run shares
-# ingested_at, and _row_id is unique within a run
-DEFAULT_ROW_ID = ("ingested_at", "source_file", "_row_id")
+# bronze written by strata.sources.files.ingest_csv: every ingest has an id of its
+# own (two may share ingested_at), and _row_id is unique within an ingest
+DEFAULT_ROW_ID = ("ingested_at", "source_file", "_ingest_id", "_row_id")
 
 
 def raw_columns(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID) -> list[str]:
@@ -27,7 +27,7 @@ def raw_columns(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID) -> li
 def identity_columns(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID) -> list[str]:
     """Columns hashed into the silver surrogate id (raw, audit, identity; no repeats)."""
     cols = raw_columns(bronze, row_id) + list(AUDIT_COLUMNS)
-    return cols + [c for c in row_id if c not in cols]
+    return cols + [c for c in row_id if c not in cols and c in bronze.columns]
 
 
 def run_timestamp(run_ts=None) -> Column:

@@ -11,8 +11,8 @@ Two rule sets exist and differ on purpose:
   so a row with two violations is quarantined twice; duplicates are looked
   for only among rows that pass every rule.
 
-All row rules are evaluated in one pass over bronze (an array of reasons,
-exploded) instead of one scan per rule.
+All row rules and the duplicate flag are evaluated in one pass over bronze
+instead of one scan per rule.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from strata.functions.casts import to_date
 from strata.functions.predicates import (
     all_non_negative, any_negative, malformed_numeric, missing, negative, present,
 )
-from strata.operators.dedup import not_latest
+from strata.operators.dedup import key_groups, with_duplicate_flag
 from strata.operators.layers import DEFAULT_ROW_ID, run_timestamp
 from strata.operators.model import Profile
 from strata.operators.silver import valid_row
@@ -75,22 +75,22 @@ def sales_extension_ok():
 
 
 def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
-                     run_ts=None, groups: DataFrame | None = None,
-                     broadcast_max_rows: int | None = None, extensions: bool = False) -> DataFrame:
+                     run_ts=None, groups: DataFrame | None = None, extensions: bool = False) -> DataFrame:
     """Baseline sales quarantine (cascade, one reason per row).
 
-    ``groups``: the already written :func:`strata.operators.silver.sales_groups`;
-    ``broadcast_max_rows``: see :func:`strata.operators.dedup.not_latest`;
-    ``extensions``: see :func:`sales_rule_reason`."""
-    by_rule = bronze.withColumn("rejection_reason", sales_rule_reason(extensions)) \
-        .where(F.col("rejection_reason").isNotNull())
-    dated = bronze.where(~missing("date") & ~missing("category"))
-    dups = not_latest(dated, SALES_DEDUP_KEYS, row_id, groups=groups, broadcast_max_rows=broadcast_max_rows)
+    One pass over bronze gives each row its rule or its duplicate flag; the
+    other is the keep-latest aggregate, unless ``groups`` (the already written
+    :func:`strata.operators.silver.sales_groups`) is given.  ``extensions``:
+    see :func:`sales_rule_reason`."""
+    if groups is None:
+        groups = key_groups(bronze.where(~missing("date") & ~missing("category")), SALES_DEDUP_KEYS, row_id)
+    dup = F.col("_duplicate") & all_non_negative(["revenue", "cost"], ["units_sold"])
     if extensions:
-        dups = dups.where(sales_extension_ok())
-    dups = (dups.where(all_non_negative(["revenue", "cost"], ["units_sold"]))
-            .withColumn("rejection_reason", F.lit(REASON_DUPLICATE)))
-    return _shape(by_rule.unionByName(dups), SALES_COLUMNS, run_ts)
+        dup = dup & sales_extension_ok()
+    rows = with_duplicate_flag(bronze, groups, SALES_DEDUP_KEYS, row_id)
+    reason = F.coalesce(sales_rule_reason(extensions), F.when(dup, REASON_DUPLICATE))
+    return _shape(rows.withColumn("rejection_reason", reason).where(F.col("rejection_reason").isNotNull()),
+                  SALES_COLUMNS, run_ts)
 
 
 def sales_row_rules(bronze: DataFrame, run_ts=None) -> DataFrame:
@@ -121,17 +121,24 @@ def rule_reasons(profile: Profile, extensions: bool = False):
     return F.array_compact(F.array(*checks))
 
 
+def valid_groups(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFAULT_ROW_ID,
+                 dedup_keys: Sequence[str] | None = None, extensions: bool = False) -> DataFrame:
+    """The keep-latest aggregate of the rows that pass every rule of the profile."""
+    return key_groups(bronze.where(valid_row(profile, extensions)), list(dedup_keys or profile.dedup_keys()), row_id)
+
+
 def quarantine(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFAULT_ROW_ID,
                dedup_keys: Sequence[str] | None = None, run_ts=None,
-               extensions: bool = False) -> DataFrame:
-    """Profile-driven quarantine (one row per violated rule, plus duplicates)."""
-    cols = profile.names
-    by_rule = bronze.select("*", F.explode(rule_reasons(profile, extensions)).alias("rejection_reason"))
-    ok = valid_row(profile)
-    if extensions:  # same validity as silver(extensions=True)
-        for c in profile.by_role("date"):
-            ok = ok & to_date(c).isNotNull()
-    valid = bronze.where(ok)
-    dups = not_latest(valid, list(dedup_keys or profile.dedup_keys()), row_id)
-    dups = dups.withColumn("rejection_reason", F.lit(REASON_DUPLICATE))
-    return _shape(by_rule.unionByName(dups), cols, run_ts)
+               extensions: bool = False, groups: DataFrame | None = None) -> DataFrame:
+    """Profile-driven quarantine (one row per violated rule, plus duplicates).
+
+    One pass over bronze besides the aggregate; ``groups``: the already written
+    :func:`valid_groups`."""
+    keys = list(dedup_keys or profile.dedup_keys())
+    if groups is None:
+        groups = valid_groups(bronze, profile, row_id, keys, extensions)
+    rows = with_duplicate_flag(bronze, groups, keys, row_id)
+    dup = F.col("_duplicate") & F.coalesce(valid_row(profile, extensions), F.lit(False))
+    reasons = F.concat(rule_reasons(profile, extensions), F.when(dup, F.array(F.lit(REASON_DUPLICATE)))
+                       .otherwise(F.array().cast("array<string>")))
+    return _shape(rows.select("*", F.explode(reasons).alias("rejection_reason")), profile.names, run_ts)

@@ -8,12 +8,14 @@ rows into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from strata.constants import CHART_SCALE_THRESHOLD, CURRENCY_KEYWORDS
-from strata.functions.casts import money, month_of
+from strata.functions.casts import (
+    exact_part, joined_total, measure_sums, month_of, other_part, rounded_total,
+)
 from strata.functions.formatting import column_class, currency, integer, month_label, percent
 
 # ------------------------------------------------------------------ KPIs
@@ -24,16 +26,15 @@ def kpi_summary(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame,
 
     One pass over a narrow union of the three layers and a single global
     aggregate (partial per partition)."""
-    d = "decimal(18,6)"
-    u = (bronze.select(F.lit(0).alias("layer"), F.lit(None).cast(d).alias("rev"), F.lit(None).cast("double").alias("m"))
+    none = [F.lit(None).cast("double").alias("rev"), F.lit(None).cast("double").alias("m")]
+    u = (bronze.select(F.lit(0).alias("layer"), *none)
          .unionByName(silver.select(
-             F.lit(1).alias("layer"), money(revenue_col).alias("rev"),
+             F.lit(1).alias("layer"), F.col(revenue_col).cast("double").alias("rev"),
              ((F.col(revenue_col) - F.col(cost_col)) / F.nullif(F.col(revenue_col), F.lit(0.0))).alias("m")))
-         .unionByName(quarantine.select(F.lit(2).alias("layer"), F.lit(None).cast(d).alias("rev"),
-                                        F.lit(None).cast("double").alias("m"))))
+         .unionByName(quarantine.select(F.lit(2).alias("layer"), *none)))
     cnt = lambda k: F.sum(F.when(F.col("layer") == k, 1).otherwise(0)).cast("bigint")
     return u.agg(cnt(0).alias("bronze_rows"), cnt(1).alias("silver_rows"), cnt(2).alias("quarantine_rows"),
-                 F.round(F.coalesce(F.sum("rev"), F.lit(0)), 2).cast("double").alias("total_revenue"),
+                 F.coalesce(rounded_total(*measure_sums("rev")), F.lit(0.0)).alias("total_revenue"),
                  F.coalesce(F.avg("m"), F.lit(0.0)).alias("avg_margin"))
 
 
@@ -107,10 +108,13 @@ def category_month_margins(silver: DataFrame, date_col="date", category_col="cat
                            revenue_col="revenue", cost_col="cost") -> DataFrame:
     """(month, category, revenue, cost, margin) with exact sums."""
     t = (silver.groupBy(month_of(date_col).alias("month"), F.col(category_col).alias("category"))
-         .agg(F.sum(money(revenue_col)).alias("r"), F.sum(money(cost_col)).alias("c")))
-    return t.select("month", "category", F.round("r", 2).cast("double").alias("revenue"),
-                    F.round("c", 2).cast("double").alias("cost"),
-                    F.try_divide((F.col("r") - F.col("c")).cast("double"), F.col("r").cast("double")).alias("margin"))
+         .agg(*[p.alias(n) for c, k in ((revenue_col, "r"), (cost_col, "c"))
+                for p, n in zip(measure_sums(c), (k, f"{k}_other"), strict=True)]))
+    rev = joined_total("r", "r_other")
+    profit = F.when(F.col("r_other").isNull() & F.col("c_other").isNull(), (F.col("r") - F.col("c")).cast("double")) \
+        .otherwise(rev - joined_total("c", "c_other"))
+    return t.select("month", "category", rounded_total("r", "r_other").alias("revenue"),
+                    rounded_total("c", "c_other").alias("cost"), F.try_divide(profit, rev).alias("margin"))
 
 
 def margin_anomalies(silver: DataFrame, k: float = 2.0, **cols) -> DataFrame:
@@ -129,13 +133,14 @@ def margin_anomalies(silver: DataFrame, k: float = 2.0, **cols) -> DataFrame:
 def category_share(silver: DataFrame, **cols) -> DataFrame:
     """month, category, revenue, share of the month's revenue, and growth of the
     category against the previous calendar month."""
-    # one revenue-only aggregate feeds all three branches, so its shuffle is reused
     date_col, category_col = cols.get("date_col", "date"), cols.get("category_col", "category")
     cm = (silver.groupBy(month_of(date_col).alias("month"), F.col(category_col).alias("category"))
-          .agg(F.round(F.sum(money(cols.get("revenue_col", "revenue"))), 2).cast("double").alias("revenue")))
-    totals = cm.groupBy("month").agg(F.sum(money("revenue", 2)).cast("double").alias("month_revenue"))
+          .agg(rounded_total(*measure_sums(cols.get("revenue_col", "revenue"))).alias("revenue")))
+    # the month's total is a window over the small aggregate (its rows are categories, not sales)
+    parts = [F.sum(p("revenue")).over(Window.partitionBy("month")) for p in (exact_part, other_part)]
+    cm = cm.withColumn("month_revenue", joined_total(*parts))
     prev = cm.select(_next_month("month").alias("month"), "category", F.col("revenue").alias("prev_revenue"))
-    return (cm.join(totals, "month").join(prev, ["month", "category"], "left")
+    return (cm.join(prev, ["month", "category"], "left")
             .select("month", "category", "revenue",
                     F.round(F.col("revenue") / F.nullif(F.col("month_revenue"), F.lit(0.0)), 4).alias("share"),
                     "prev_revenue",
@@ -146,7 +151,7 @@ def category_share(silver: DataFrame, **cols) -> DataFrame:
 
 def revenue_by_category(silver: DataFrame) -> DataFrame:
     return (silver.groupBy("category")
-            .agg(F.round(F.sum(money("revenue")), 2).cast("double").alias("total_revenue"))
+            .agg(rounded_total(*measure_sums("revenue")).alias("total_revenue"))
             .orderBy(F.col("total_revenue").desc()))
 
 
@@ -154,8 +159,7 @@ def compare_two_months(silver: DataFrame, m1: str, m2: str) -> DataFrame:
     """Revenue per category in two months side by side (a conditional-sum pivot)."""
     m = month_of("date")
     s = silver.where(m.isin(m1, m2))
-    r1 = F.round(F.coalesce(F.sum(F.when(m == m1, money("revenue"))), F.lit(0)), 2).cast("double")
-    r2 = F.round(F.coalesce(F.sum(F.when(m == m2, money("revenue"))), F.lit(0)), 2).cast("double")
+    r1, r2 = (F.coalesce(rounded_total(*measure_sums("revenue", m == x)), F.lit(0.0)) for x in (m1, m2))
     return (s.groupBy("category").agg(r1.alias("revenue_first"), r2.alias("revenue_second"))
             .withColumn("difference", F.round(F.col("revenue_second") - F.col("revenue_first"), 2)))
 
@@ -173,6 +177,8 @@ def month_category_rows(silver: DataFrame, month: str, category: str, n: int = 5
 
 def best_avg_profit_category(silver: DataFrame) -> DataFrame:
     """Category with the highest average profit per sale (exact: (Σrevenue − Σcost) / n)."""
-    avg_profit = ((F.sum(money("revenue")) - F.sum(money("cost"))).cast("double") / F.count(F.lit(1)))
+    (re, ro), (ce, co) = measure_sums("revenue"), measure_sums("cost")
+    profit = F.when(ro.isNull() & co.isNull(), (re - ce).cast("double")).otherwise(joined_total(re, ro) - joined_total(ce, co))
+    avg_profit = profit / F.count(F.lit(1))
     return (silver.groupBy("category").agg(F.round(avg_profit, 4).alias("avg_profit"))
             .orderBy(F.col("avg_profit").desc(), "category").limit(1))

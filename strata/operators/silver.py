@@ -15,9 +15,12 @@ from strata.operators.layers import DEFAULT_ROW_ID, identity_columns, run_timest
 from strata.operators.model import Profile
 
 
-def valid_row(profile: Profile) -> Column:
-    """Every required column present and every measure present and >= 0 (TRUE if none)."""
+def valid_row(profile: Profile, extensions: bool = False) -> Column:
+    """Every required column present and every measure present and >= 0 (TRUE if none); with
+    ``extensions`` every date parses, too."""
     conds = [present(c) for c in profile.required] + [non_negative(c) for c in profile.measures]
+    if extensions:
+        conds += [to_date(c).isNotNull() for c in profile.by_role("date")]
     return all_of(conds)
 
 
@@ -30,17 +33,15 @@ def typed_column(name: str, role: str) -> Column:
 
 
 def silver(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFAULT_ROW_ID,
-           dedup_keys: Sequence[str] | None = None, run_ts=None, extensions: bool = False) -> DataFrame:
+           dedup_keys: Sequence[str] | None = None, run_ts=None, extensions: bool = False,
+           groups: DataFrame | None = None) -> DataFrame:
     """Profile-driven silver: filter valid rows first, then keep the latest per key.
 
     With ``extensions`` rows whose date text does not parse are not valid either
-    (the matching quarantine reason is ``Unparseable Date: <col>``)."""
-    ok = valid_row(profile)
-    if extensions:
-        for c in profile.by_role("date"):
-            ok = ok & to_date(c).isNotNull()
-    valid = bronze.where(ok)
-    survivors = latest_per_key(valid, list(dedup_keys or profile.dedup_keys()), row_id)
+    (the matching quarantine reason is ``Unparseable Date: <col>``). ``groups``:
+    the already written :func:`strata.operators.quarantine.valid_groups`."""
+    valid = bronze.where(valid_row(profile, extensions))
+    survivors = latest_per_key(valid, list(dedup_keys or profile.dedup_keys()), row_id, groups=groups)
     id_cols = identity_columns(bronze, row_id)
     return survivors.select(
         surrogate_id(id_cols).alias("id"),
@@ -78,7 +79,8 @@ def silver_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID, run_
         to_real("cost").alias("cost"),
         to_int("units_sold").alias("units_sold"),
     )
-    return (typed.where((F.col("revenue") >= 0) & (F.col("cost") >= 0) & (F.col("units_sold") >= 0))
+    sound = lambda c: (F.col(c) >= 0) & ~F.isnan(c)
+    return (typed.where(sound("revenue") & sound("cost") & (F.col("units_sold") >= 0))
             .withColumn("profit", F.col("revenue") - F.col("cost"))
             .withColumn("cleaned_at", run_timestamp(run_ts)))
 

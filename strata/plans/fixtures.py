@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import app_id
-from strata.sources.tables import spread
 
 SALES_ROW_ID = ("_src_file", "_src_row", "_batch")
 TABLE_ROW_ID = ("_src_file", "_src_row")
@@ -36,10 +35,9 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *spread_cols: str) -> DataFrame:
-    """A driver table; with ``spread_cols`` a single-split scan is spread over the cores."""
-    df = _read(spark, f"{sf_dir}/{name}.parquet")
-    return spread(df, *spread_cols) if spread_cols else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return _read(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _with_identity(df: DataFrame) -> DataFrame:
@@ -55,9 +53,9 @@ def _money_text(c, scale: int = 2):
 def sales_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baseline-sales bronze: date, category, revenue, cost, units_sold (text),
     ingested_at, source_file, plus the row identity."""
-    li = spread(_with_identity(table(spark, sf_dir, "lineitem")).select(
+    li = _with_identity(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-        "l_shipdate", "l_returnflag", "_src_file", "_src_row"), "_src_row")
+        "l_shipdate", "l_returnflag", "_src_file", "_src_row")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
     ok, pk, sk = F.col("l_orderkey") % 97, F.col("l_partkey") % 89, F.col("l_suppkey") % 83
@@ -87,7 +85,7 @@ def sales_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as all-text bronze (one landing file per ship month)."""
-    li = spread(_with_identity(table(spark, sf_dir, "lineitem")), "_src_row")
+    li = _with_identity(table(spark, sf_dir, "lineitem"))
     return li.select(
         F.col("l_orderkey").cast("string").alias("l_orderkey"),
         F.col("l_partkey").cast("string").alias("l_partkey"),
@@ -106,7 +104,7 @@ def lineitem_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer as all-text bronze, all from one file."""
-    c = spread(_with_identity(table(spark, sf_dir, "customer")), "_src_row")
+    c = _with_identity(table(spark, sf_dir, "customer"))
     return c.select(
         F.col("c_custkey").cast("string").alias("c_custkey"),
         "c_name",
@@ -125,8 +123,6 @@ def customer_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 # folder (a durable location on a cluster) and read back as parquet.
 
 _STORED: dict[tuple, str] = {}
-# duplicate keys are ~100 bytes each: up to a million is a ~100 MB broadcast
-DUP_KEYS_BROADCAST_ROWS = 1_000_000
 
 def stored_bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from strata.session import scratch_path
@@ -156,7 +152,7 @@ def stored_sales_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         # the keep-latest aggregate is written once and read by silver and quarantine
         write_layer(sales_groups(bronze, SALES_ROW_ID), f"{root}/_groups")
         groups = spark.read.parquet(f"{root}/_groups")
-        q = quarantine_sales(bronze, row_id=SALES_ROW_ID, groups=groups, broadcast_max_rows=DUP_KEYS_BROADCAST_ROWS)
+        q = quarantine_sales(bronze, row_id=SALES_ROW_ID, groups=groups)
         run_concurrently(  # silver (then gold from it) and quarantine are independent jobs
             lambda: (write_layer(silver_sales(bronze, row_id=SALES_ROW_ID, groups=groups), f"{root}/silver"),
                      write_layer(gold_monthly(spark.read.parquet(f"{root}/silver")), f"{root}/gold")),

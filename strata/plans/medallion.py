@@ -17,9 +17,12 @@ from strata.operators.audit import dq_audit
 from strata.operators.gold import gold, gold_from_sql, gold_monthly
 from strata.operators.model import Profile
 from strata.operators.profile import build_profile
-from strata.operators.quarantine import quarantine, quarantine_sales
+from strata.constants import BRONZE_TABLE, GOLD_TABLE, QUARANTINE_TABLE, SILVER_TABLE
+from strata.operators.quarantine import quarantine, quarantine_sales, valid_groups
 from strata.operators.silver import sales_groups, silver, silver_sales
+from strata.session import discard, scratch_path
 from strata.sources import files as IO
+from strata.sources.catalog import attach_table, create_workspace
 
 
 @dataclass
@@ -34,40 +37,43 @@ class Layers:
 
 def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile | dict | None = None,
                   profile_from_data: bool = False, gold_sql: str | None = None,
-                  dedup_keys=None, run_ts=None, export: bool = True,
-                  dup_broadcast_rows: int = 1_000_000, extensions: bool = False) -> Layers:
+                  dedup_keys=None, run_ts=None, export: bool = True, extensions: bool = False,
+                  workspace: str | None = None, refresh: bool = True, approx_profile: bool = False,
+                  multi_line: bool = False) -> Layers:
     """Run every layer for the files under ``landing`` into folders under ``root``.
 
     Without a profile the baseline sales rules apply; with one (or with
     ``profile_from_data``) the profile-driven rules.  ``gold_sql`` (a read-only
     SELECT over ``silver_clean_sales``) replaces the default gold.  The keep-latest
-    aggregate is written once; when it holds at most ``dup_broadcast_rows``
-    duplicated keys (counted on the written table) they are broadcast to the
-    duplicate search instead of shuffling bronze.  ``extensions`` turns on the
-    opt-in rejection reasons (unparseable dates, malformed numbers)."""
-    IO.ingest_csv(spark, landing, f"{root}/bronze", run_ts=run_ts)
+    aggregate is written once, read by silver and quarantine, and deleted.
+    ``refresh`` replaces bronze, so a second run over the same files gives the same
+    layers; without it the files are appended to what bronze holds.  With
+    ``workspace`` the layers are registered as tables of that tenant.
+    ``extensions`` turns on the opt-in rejection reasons (unparseable dates,
+    malformed numbers); ``approx_profile`` profiles in one pass with sketches."""
+    IO.ingest_csv(spark, landing, f"{root}/bronze", run_ts=run_ts, refresh=refresh, multi_line=multi_line)
     bronze = spark.read.parquet(f"{root}/bronze")
 
     if isinstance(profile, dict):
         profile = Profile.from_dict(profile) if all(isinstance(v, dict) for v in profile.values()) \
             else Profile.of(profile)
     if profile is None and profile_from_data:
-        raw = [c for c in bronze.columns if c not in ("ingested_at", "source_file", "_row_id")]
-        profile = build_profile(bronze, raw)
+        raw = [c for c in bronze.columns if c not in ("ingested_at", "source_file", "_ingest_id", "_row_id")]
+        profile = build_profile(bronze, raw, approx=approx_profile)
         IO.write_profile(spark, profile, f"{root}/profile")
 
+    scratch = scratch_path(spark, "dedup-groups")
+    IO.write_layer(sales_groups(bronze) if profile is None else
+                   valid_groups(bronze, profile, dedup_keys=dedup_keys, extensions=extensions), scratch)
+    shared = {"groups": spark.read.parquet(scratch), "run_ts": run_ts, "extensions": extensions}
     if profile is None:
-        # the keep-latest aggregate is written once; silver and quarantine both read it
-        IO.write_layer(sales_groups(bronze), f"{root}/_dedup_groups")
-        groups = spark.read.parquet(f"{root}/_dedup_groups")
-        s = silver_sales(bronze, run_ts=run_ts, groups=groups, extensions=extensions)
-        q = quarantine_sales(bronze, run_ts=run_ts, groups=groups, broadcast_max_rows=dup_broadcast_rows,
-                             extensions=extensions)
+        s, q = silver_sales(bronze, **shared), quarantine_sales(bronze, **shared)
     else:
-        s = silver(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts, extensions=extensions)
-        q = quarantine(bronze, profile, dedup_keys=dedup_keys, run_ts=run_ts, extensions=extensions)
+        s = silver(bronze, profile, dedup_keys=dedup_keys, **shared)
+        q = quarantine(bronze, profile, dedup_keys=dedup_keys, **shared)
     IO.run_concurrently(lambda: IO.write_layer(s, f"{root}/silver"),
                         lambda: IO.write_layer(q, f"{root}/quarantine"))
+    discard(spark, scratch)
     s, q = spark.read.parquet(f"{root}/silver"), spark.read.parquet(f"{root}/quarantine")
 
     if gold_sql:
@@ -81,6 +87,11 @@ def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile
 
     if export:
         IO.export_csv(s, f"{root}/export/silver_clean_sales")
-        IO.export_csv(g, f"{root}/export/gold_monthly_metrics", single_file=True)
+        # one file only where the rows are months; any other gold has as many rows as its keys
+        IO.export_csv(g, f"{root}/export/gold_monthly_metrics", single_file=not gold_sql and profile is None)
+    if workspace is not None:
+        create_workspace(spark, workspace)
+        for table, layer in ((BRONZE_TABLE, "bronze"), (SILVER_TABLE, "silver"), (QUARANTINE_TABLE, "quarantine"), (GOLD_TABLE, "gold")):
+            attach_table(spark, workspace, table, f"{root}/{layer}")
     audit = dq_audit(bronze, s, q, g, profile)
     return Layers(bronze, s, q, g, audit, profile)

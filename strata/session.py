@@ -75,3 +75,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     on a cluster) for intermediate files a job writes and reads back."""
     import uuid
     return f"{checkpoint_dir(spark).rstrip('/')}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder whose last reader is done."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

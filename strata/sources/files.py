@@ -21,32 +21,90 @@ from strata.operators.layers import run_timestamp
 
 # ------------------------------------------------------------------ landing CSV → bronze
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header line only (no data scan, no type inference)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+#: RFC 4180: a quote inside a quoted value is doubled.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+
+
+def _as_list(path: str | Sequence[str]) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
+
+
+def file_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """The header of each file of a folder, file or glob (or a list of them): the first line of each is read,
+    through Spark's own file systems, and nothing else."""
+    import csv
+    from concurrent.futures import ThreadPoolExecutor
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    files: list[str] = []
+    for p in _as_list(path):
+        at = jvm.org.apache.hadoop.fs.Path(p)
+        fs = at.getFileSystem(conf)
+        for top in fs.globStatus(at) or []:
+            for f in fs.listStatus(top.getPath()) if top.isDirectory() else [top]:
+                if not f.isDirectory() and f.getPath().getName()[0] not in "_." and f.getLen() > 0:
+                    files.append(f.getPath().toString())
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(f: str) -> tuple[str, ...]:
+        at = jvm.org.apache.hadoop.fs.Path(f)
+        stream, codec = at.getFileSystem(conf).open(at), codecs.getCodec(at)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            return tuple(x.strip() for x in next(csv.reader([(reader.readLine() or "").lstrip(chr(0xFEFF))]), []))
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return dict(zip(sorted(files), pool.map(first_line, sorted(files)), strict=True))
+
+
+def csv_header(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Column names from the header of the first file (no data scan, no type inference)."""
+    return list(next(iter(file_headers(spark, path).values()), ()))
 
 
 def all_text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
-def read_landing_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-                     run_ts=None) -> DataFrame:
-    """Landing CSV as all-text bronze rows with ``ingested_at``, ``source_file``
-    and ``_row_id`` (unique within this read; with ``ingested_at`` and
-    ``source_file`` it identifies the row across ingests)."""
-    cols = list(columns or csv_header(spark, path))
-    df = (spark.read.schema(all_text_schema(cols)).option("header", True)
-          .option("mode", "PERMISSIVE").csv(path))
-    return df.select(*cols, run_timestamp(run_ts).alias("ingested_at"),
-                     F.col("_metadata.file_name").alias("source_file"),
-                     F.monotonically_increasing_id().alias("_row_id"))
+def read_landing_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,
+                     run_ts=None, multi_line: bool = False, ingest_id: str | None = None) -> DataFrame:
+    """Landing CSV as all-text bronze rows with ``ingested_at``, ``source_file``,
+    ``_ingest_id`` (one per call) and ``_row_id`` (unique within it).
+
+    Columns are matched by each file's own header: files whose columns stand in
+    another order, or that have more of them, are read by name, and a file that
+    lacks one is refused.  ``columns`` defaults to the first file's.  With
+    ``multi_line`` quoted values may hold line breaks; each file is then read by
+    one task."""
+    import uuid
+    headers = file_headers(spark, path)
+    cols = list(columns or next(iter(headers.values()), ()))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for f, h in headers.items():
+        if lacks := [c for c in cols if c not in h]:
+            raise ValueError(f"{f} has no column {', '.join(lacks)}")
+        by_header.setdefault(h, []).append(f)
+    ingest = ingest_id or uuid.uuid4().hex
+    out = None
+    for k, (h, files) in enumerate(by_header.items()):
+        df = (spark.read.schema(all_text_schema(h)).options(**CSV_OPTIONS, multiLine=multi_line, mode="PERMISSIVE").csv(files)
+              .select(*[F.col(f"`{c}`") for c in cols], run_timestamp(run_ts).alias("ingested_at"),
+                      F.col("_metadata.file_name").alias("source_file"),
+                      F.lit(f"{ingest}-{k}").alias("_ingest_id"), F.monotonically_increasing_id().alias("_row_id")))
+        out = df if out is None else out.unionByName(df)
+    if out is None:
+        audit = "ingested_at timestamp, source_file string, _ingest_id string, _row_id bigint"
+        return spark.createDataFrame([], ", ".join([f"`{c}` string" for c in cols] + [audit]))
+    return out
 
 
-def ingest_csv(spark: SparkSession, path: str, bronze_path: str, columns: Sequence[str] | None = None,
-               run_ts=None) -> None:
-    """Append a landing CSV (file, directory or glob) to the bronze parquet table."""
-    read_landing_csv(spark, path, columns, run_ts).write.mode("append").parquet(bronze_path)
+def ingest_csv(spark: SparkSession, path: str | Sequence[str], bronze_path: str, columns: Sequence[str] | None = None,
+               run_ts=None, multi_line: bool = False, refresh: bool = False, ingest_id: str | None = None) -> None:
+    """Append a landing CSV (file, directory or glob) to the bronze parquet table; with ``refresh`` it
+    replaces what is there."""
+    rows = read_landing_csv(spark, path, columns, run_ts, multi_line, ingest_id)
+    rows.write.mode("overwrite" if refresh else "append").parquet(bronze_path)
 
 
 def rows_per_file(bronze: DataFrame) -> DataFrame:
@@ -67,33 +125,31 @@ def is_loaded(df: DataFrame) -> bool:
 # ------------------------------------------------------------------ exports
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header; ``single_file`` only for small layers such as gold."""
+    """CSV with a header, quotes doubled, blanks kept; ``single_file`` puts all rows through one task, so it is
+    only for layers of a bounded size, such as months."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (out.write.mode("overwrite").options(**CSV_OPTIONS, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+                                         emptyValue='""', quoteAll=False).csv(path))
 
 
-def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_typed_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """Re-read an export with declared types (no inference)."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line, emptyValue="").csv(path)
 
 
 # ------------------------------------------------------------------ profile JSON
 
 def write_profile(spark: SparkSession, profile, path: str) -> None:
-    """One JSON record per column: column_name, role, reason, stats."""
+    """The profile as one nested JSON document, ``{column: {role, reason, stats: {…}}}``, columns in order."""
     import json
-    rows = [(c.name, i, c.role, c.reason, json.dumps(c.stats, default=str)) for i, c in enumerate(profile.columns)]
-    (spark.createDataFrame(rows, "column_name string, ordinal int, role string, reason string, stats string")
-     .coalesce(1).write.mode("overwrite").json(path))
+    text = json.dumps(profile.to_dict(), default=str)  # one line: a text table of one row
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def read_profile(spark: SparkSession, path: str):
-    """Inverse of :func:`write_profile` (one small row per column reaches the driver)."""
-    import json
-    from strata.operators.model import ColumnSpec, Profile
-    rows = spark.read.json(path).orderBy("ordinal").collect()
-    return Profile(tuple(ColumnSpec(r["column_name"], r["role"], r["reason"] or "",
-                                    json.loads(r["stats"]) if r["stats"] else {}) for r in rows))
+    """Inverse of :func:`write_profile`."""
+    from strata.operators.model import Profile
+    return Profile.from_json(spark.read.text(path, wholetext=True).first()["value"])
 
 
 # ------------------------------------------------------------------ table maintenance

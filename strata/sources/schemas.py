@@ -13,11 +13,11 @@ _ROLE_TYPE = {"date": DateType(), "measure": DoubleType(), "currency": DoubleTyp
 
 
 def bronze_schema(profile: Profile | None = None) -> StructType:
-    """Every raw column as text, then ``ingested_at``, ``source_file``, ``_row_id``."""
+    """Every raw column as text, then ``_ingest_id``, ``ingested_at``, ``source_file``, ``_row_id``."""
     cols = profile.names if profile else list(SALES_COLUMNS)
     return StructType([StructField(c, StringType()) for c in cols] + [
-        StructField("ingested_at", TimestampType()), StructField("source_file", StringType()),
-        StructField("_row_id", LongType())])
+        StructField("_ingest_id", StringType()), StructField("ingested_at", TimestampType()),
+        StructField("source_file", StringType()), StructField("_row_id", LongType())])
 
 
 def silver_schema(profile: Profile | None = None) -> StructType:
