@@ -116,6 +116,25 @@ def customer_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_src_file", "_src_row")
 
 
+def edge_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as sales bronze with dates that are timestamps or no dates, and measures
+    that are missing, malformed or NaN."""
+    li = table(spark, sf_dir, "lineitem")
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    ok, sk = F.col("l_orderkey") % 11, F.col("l_suppkey") % 13
+    return li.select(
+        F.when(ok == 0, "not-a-date").when(ok == 1, F.concat(day, F.lit(" 13:45:00"))).otherwise(day).alias("date"),
+        F.concat(F.lit("C"), (F.col("l_partkey") % 5).cast("string")).alias("category"),
+        F.when(sk == 0, "NaN").when(sk == 1, "abc").when(sk == 2, "").when(sk == 3, F.lit(None).cast("string"))
+        .otherwise(_money_text("l_extendedprice")).alias("revenue"),
+        F.when(F.col("l_linenumber") == 3, "NaN").otherwise(
+            (F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(18,4)").cast("string")).alias("cost"),
+        F.col("l_quantity").cast("int").cast("string").alias("units_sold"),
+        F.col("l_shipdate").alias("ingested_at"), F.lit("edge.csv").alias("source_file"), "l_orderkey", "l_linenumber")
+
+
+EDGE_ROW_ID = ("l_orderkey", "l_linenumber")
+
 # ---------------------------------------------------------------------------
 # Stored bronze.  In the medallion flow bronze is written once by ingestion
 # and every transform reads the stored table; the same is done here: each

@@ -70,6 +70,7 @@ def order_desc(cols) -> str:
 SALES_ORDER = order_desc(["ingested_at", "source_file", "date", "category", "revenue", "cost", "units_sold"])
 SALES_DATED = f"{present('date')} AND {present('category')}"
 SALES_NONNEG = ("TRY_CAST(revenue AS DOUBLE) >= 0 AND TRY_CAST(cost AS DOUBLE) >= 0 "
+                "AND NOT isnan(TRY_CAST(revenue AS DOUBLE)) AND NOT isnan(TRY_CAST(cost AS DOUBLE)) "
                 "AND CAST(ROUND(TRY_CAST(units_sold AS DOUBLE)) AS INTEGER) >= 0")
 SALES_NEG = ("(TRY_CAST(revenue AS DOUBLE) < 0 OR TRY_CAST(cost AS DOUBLE) < 0 "
              "OR CAST(ROUND(TRY_CAST(units_sold AS DOUBLE)) AS INTEGER) < 0)")
@@ -124,5 +125,53 @@ GOLD_MONTHLY = f"""
 
 def dyn_valid(required, measures) -> str:
     conds = [present(c) for c in required]
-    conds += [f"({present(c)[1:-1]} AND TRY_CAST({c} AS DOUBLE) >= 0)" for c in measures]
+    conds += [f"({present(c)[1:-1]} AND TRY_CAST({c} AS DOUBLE) >= 0 AND NOT isnan(TRY_CAST({c} AS DOUBLE)))" for c in measures]
     return " AND ".join(conds) if conds else "1=1"
+
+
+# Texts with the branches that the driver tables lack, by key arithmetic. These expressions are read by both
+# engines as they are.
+STATEMENT_TEXT = """CASE (conv_id * 7 + turn) % 13
+  WHEN 0 THEN 'SELECT month FROM gold_monthly_metrics'
+  WHEN 1 THEN 'WITH t AS (SELECT 1 AS x) SELECT x FROM t -- drop table t'
+  WHEN 2 THEN '/* update */ select category from silver_clean_sales'
+  WHEN 3 THEN 'DROP TABLE silver_clean_sales'
+  WHEN 4 THEN 'SELECT 1; DELETE FROM t; drop table x; delete from y'
+  WHEN 5 THEN 'SELECT ' || chr(39) || '/*' || chr(39) || ', reflect(1), ' || chr(39) || '*/' || chr(39)
+  WHEN 6 THEN 'SELECT ' || chr(39) || '--' || chr(39) || ', java_method(2)'
+  WHEN 7 THEN '  ' || chr(10) || 'select ' || chr(39) || 'a -- fine' || chr(39) || ' as a --' || chr(10) || ' from t'
+  WHEN 8 THEN 'insert into t select 1'
+  WHEN 9 THEN '-- only a comment'
+  WHEN 10 THEN 'SELECT "a /* b" FROM t /* exec */'
+  WHEN 11 THEN 'explain select 1'
+  ELSE text END"""
+
+FENCED_TEXT = """CASE (conv_id + turn) % 6
+  WHEN 0 THEN 'Here: ```sql' || chr(10) || 'SELECT 1' || chr(10) || '``` and ```other```'
+  WHEN 1 THEN '```' || chr(10) || text || chr(10) || '```'
+  WHEN 2 THEN 'SELECT 3' || chr(92) || 'nFROM t' || chr(92) || 't'
+  WHEN 3 THEN text || ' ```SQL SELECT 2 ``` '
+  ELSE text END"""
+
+JSON_TEXT = """CASE event_id % 7
+  WHEN 0 THEN '```json' || chr(10) || props || chr(10) || '```'
+  WHEN 1 THEN '{oops'
+  WHEN 2 THEN '{"j": 3}'
+  WHEN 3 THEN '{"k": "x"}'
+  WHEN 4 THEN '  ' || props || ' ' || chr(10)
+  WHEN 5 THEN '```' || chr(10) || '{"k": 5}' || chr(10) || '```'
+  ELSE props END"""
+
+# Bronze with dates that are timestamps or no dates, and measures that are missing, malformed or NaN.
+EDGE_BRONZE = """
+edge_bronze AS (
+  SELECT CASE l_orderkey % 11 WHEN 0 THEN 'not-a-date' WHEN 1 THEN strftime(l_shipdate, '%Y-%m-%d') || ' 13:45:00'
+              ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date,
+         'C' || CAST(l_partkey % 5 AS VARCHAR) AS category,
+         CASE l_suppkey % 13 WHEN 0 THEN 'NaN' WHEN 1 THEN 'abc' WHEN 2 THEN '' WHEN 3 THEN NULL
+              ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS revenue,
+         CASE l_linenumber WHEN 3 THEN 'NaN' ELSE CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS VARCHAR) END AS cost,
+         CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS units_sold,
+         l_shipdate AS ingested_at, 'edge.csv' AS source_file, l_orderkey, l_linenumber
+  FROM lineitem
+)"""

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.gold import gold_agg, gold_from_sql, gold_options
+from strata.operators.gold import gold_agg, gold_from_sql
 from strata.operators.profile import (
     CURRENCY_PATTERN, DATE_PATTERN, NUMERIC_PATTERN, TEXT_MEAN_LENGTH, TEXT_NAME_TOKENS,
-    build_profile, classify_roles, profile_table,
+    classify_roles, profile_table,
 )
 from strata.operators.silver import silver
 from strata.plans import oracle as O
-from strata.plans.fixtures import SALES_ROW_ID, TABLE_ROW_ID, sales_bronze, stored_bronze, stored_sales_layers
+from strata.plans.fixtures import SALES_ROW_ID, TABLE_ROW_ID, stored_bronze, stored_sales_layers
 from strata.plans.queries_layers import CUSTOMER_PROFILE, LINEITEM_PROFILE, SALES_PROFILE
 from strata.plans.registry import register
 
@@ -83,19 +82,6 @@ def profile_lineitem(spark, d):
     return _profile_q(stored_bronze(spark, d, "lineitem"), LINEITEM_COLS)
 
 
-@register("profile_lineitem_approx")
-def profile_lineitem_approx(spark, d):
-    """Large-table mode: one aggregate pass, HLL-sketch distinct counts, samples from a
-    1% row sample (no oracle: approximate by design; tests compare it with the exact
-    profile)."""
-    return _profile_q_approx(stored_bronze(spark, d, "lineitem"), LINEITEM_COLS)
-
-
-def _profile_q_approx(df, cols):
-    return profile_table(df, cols, approx=True, sample_fraction=0.01).withColumn(
-        "samples", F.array_join("samples", "|"))
-
-
 @register("profile_customer", _profile_oracle(O.CUSTOMER_BRONZE, "customer_bronze", CUSTOMER_COLS))
 def profile_customer(spark, d):
     return _profile_q(stored_bronze(spark, d, "customer"), CUSTOMER_COLS)
@@ -107,15 +93,6 @@ def classify_roles_q(spark, d):
         "column_name", "ordinal", "role")
 
 
-@register("gold_options")
-def gold_options_q(spark: SparkSession, d):
-    """Profile the sales bronze, classify roles, propose gold aggregates (no oracle:
-    the options are derived on the driver from the one-row-per-column profile)."""
-    prof = build_profile(stored_bronze(spark, d, "sales"), SALES_PROFILE.names)
-    rows = [(i, o.description, o.sql()) for i, o in enumerate(gold_options(prof))]
-    return spark.createDataFrame(rows, "option_no int, description string, sql string")
-
-
 def _sales_dyn_silver(spark, d):
     return silver(stored_bronze(spark, d, "sales"), SALES_PROFILE, row_id=SALES_ROW_ID)
 

@@ -202,10 +202,10 @@ def compare_two_months(spark, d):
 
 @register("low_margin_months", f"""
 {O.GOLD_MONTHLY}
-SELECT * FROM gold WHERE profit_margin < 0.15""")
+SELECT * FROM gold WHERE profit_margin < 0.05""")
 def low_margin_months(spark, d):
     _, _, _, g = _layers(spark, d)
-    return R.low_margin_months(g, 0.15)
+    return R.low_margin_months(g, 0.05)
 
 
 @register("month_category_rows", f"""

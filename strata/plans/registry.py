@@ -1,7 +1,7 @@
 """Registry of named queries: Spark callables plus their DuckDB oracle SQL.
 
-Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose
-columns are comparable across engines: audit timestamps taken at run time
+Each callable takes ``(spark, sf_dir)`` and returns a DataFrame (some write scratch
+layers to the shared folder when called) whose columns are comparable across engines: audit timestamps taken at run time
 and surrogate ids are left out, dates are shown as ``yyyy-MM-dd`` text and
 integers as BIGINT.
 """
@@ -31,4 +31,6 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from strata.plans import queries_layers, queries_profile, queries_reports, queries_text, queries_io  # noqa: F401
+    from strata.plans import (  # noqa: F401
+        queries_edge, queries_io, queries_layers, queries_profile, queries_reports, queries_text,
+    )

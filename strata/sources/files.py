@@ -23,6 +23,8 @@ from strata.operators.layers import run_timestamp
 
 #: RFC 4180: a quote inside a quoted value is doubled.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+#: No field is ever this, so an empty field reads as NULL and a quoted empty one as empty text.
+NO_TEXT = chr(0)
 
 
 def _as_list(path: str | Sequence[str]) -> list[str]:
@@ -88,7 +90,7 @@ def read_landing_csv(spark: SparkSession, path: str | Sequence[str], columns: Se
     ingest = ingest_id or uuid.uuid4().hex
     out = None
     for k, (h, files) in enumerate(by_header.items()):
-        df = (spark.read.schema(all_text_schema(h)).options(**CSV_OPTIONS, multiLine=multi_line, mode="PERMISSIVE").csv(files)
+        df = (spark.read.schema(all_text_schema(h)).options(**CSV_OPTIONS, multiLine=multi_line, mode="PERMISSIVE", nullValue=NO_TEXT).csv(files)
               .select(*[F.col(f"`{c}`") for c in cols], run_timestamp(run_ts).alias("ingested_at"),
                       F.col("_metadata.file_name").alias("source_file"),
                       F.lit(f"{ingest}-{k}").alias("_ingest_id"), F.monotonically_increasing_id().alias("_row_id")))
