@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored, strings
+from strata.llm.common import bounded_batches, stored, strings
 from strata.llm.tokens import by_tokenizer
 
 #: Remainders a group holds on average: enough of them that little room stays open in any group.
@@ -106,6 +106,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, window: int = 204
     columns are not read. Sequences are named by a piece in them, so names are unique without a count."""
     if window < 1:
         raise ValueError("window must be positive")
+    bounded_batches(spark)
     cut = stored(spark, pieces(spark, docs, tokenizer, window, end_id, with_ids), "pieces")
     columns = [c for c in cut.columns if c != "piece"]
     rest = cut.filter(F.col("length") < window)

@@ -26,6 +26,11 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Texts have any length, so Python gets them in batches of bounded bytes, whatever the number of rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def text_hash(text: Column | str = "text") -> Column:
     """With the document id, the key of a document: rows that repeat both are the same document."""
     return F.xxhash64(F.col(text) if isinstance(text, str) else text)

@@ -67,10 +67,60 @@ def by_ranks(file: bytes, pattern: str) -> Encoder:
     return Encoder(lambda new: map(own.encode_ordinary, new))
 
 
+#: Fixed value: the pre-token pattern of byte-level tokenizer files.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Encoders of this process by file: tasks that follow each other share the units they know.
+_OWN: dict[int, Encoder] = {}
+
+
+def _bytes_of() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: printable Latin-1 is itself, the other bytes
+    take the letters from 256 on, in order."""
+    plain = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 256 and b != 173]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def merge_ranks(spec: dict) -> dict[bytes, int] | None:
+    """The ranks that a byte-level BPE tokenizer's merges give, or None if ids do not follow the merges."""
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) \
+            or spec.get("normalizer") or model.get("ignore_merges") or model.get("dropout"):
+        return None
+    vocab, letters = model["vocab"], _bytes_of()
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    ids = [vocab.get(w) for w in merged]
+    if ids != sorted(set(ids)) or len(vocab) != len(ids) + 256 or ids and ids[0] < 256:
+        return None
+    return {bytes(letters[c] for c in w): i for w, i in vocab.items()}
+
+
 def by_tokenizer(file: bytes) -> Encoder:
-    """Encoder of a tokenizer file whose pre-tokens are those of the pattern, without added special tokens."""
+    """Encoder of a tokenizer file, without added special tokens: its ids, but for units without special strings they
+    come from the ranks of its merges, which are the same ids sooner."""
+    import json
     import os
+    import zlib
+    key = zlib.crc32(file)
+    if key in _OWN:
+        return _OWN[key]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
-    own = Tokenizer.from_buffer(file)
-    return Encoder(lambda new: [e.ids for e in own.encode_batch_fast(new, add_special_tokens=False)])
+    own, spec = Tokenizer.from_buffer(file), json.loads(file)
+    found = merge_ranks(spec)
+    special = [t["content"] for t in spec.get("added_tokens", [])]
+
+    def whole(new: list[str]) -> Iterable[list[int]]:
+        return [e.ids for e in own.encode_batch_fast(new, add_special_tokens=False)]
+
+    if found is None or any(not s or any(c in f" {_WS}" for c in s) for s in special):
+        many = whole
+    else:
+        import tiktoken
+        by_rank = tiktoken.Encoding("merges", pat_str=BYTE_LEVEL, mergeable_ranks=found, special_tokens={}).encode_ordinary
+
+        def many(new: list[str]) -> Iterable[list[int]]:
+            return [whole([u])[0] if any(s in u for s in special) else by_rank(u) for u in new]
+
+    _OWN[key] = Encoder(many, keep=1 << 24)
+    return _OWN[key]
