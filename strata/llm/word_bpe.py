@@ -19,11 +19,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored, strings
+from strata.llm.common import bounded_batches, stored_by, strings
 from strata.llm.tokens import by_ranks, ranks, units
 
 #: Characters of documents that are reduced together, and places in a row.
-CHUNK, PLACES = 1 << 24, 1 << 18
+CHUNK, PLACES = 14 << 20, 1 << 18
+#: Characters of words whose ids a task keeps while the chunks of a bucket pass.
+KEPT = 1 << 22
 _ROWS = "chunk long, bucket int, doc_ids array<long>, counts array<long>, data binary"
 
 
@@ -40,7 +42,7 @@ def _unpack(data: bytes) -> np.ndarray:
 def _pack_words(words: list[str]) -> bytes:
     own = [w.encode() for w in words]
     sizes = np.array([len(w) for w in own], "<u4").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(len(own).to_bytes(8, "little") + sizes + b"".join(own))
+    return zstandard.ZstdCompressor(level=6).compress(len(own).to_bytes(8, "little") + sizes + b"".join(own))
 
 
 def _unpack_words(data: bytes) -> list[str]:
@@ -79,17 +81,15 @@ def chunks(docs: DataFrame, buckets: int) -> DataFrame:
         size = 0
 
         def close() -> Iterator[pa.RecordBatch]:
-            words = list(known)
-            bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
-            # sorted words pack well
-            order = np.array(sorted(range(len(words)), key=lambda i: (bucket[i], words[i])), np.int64)
-            to = np.empty(len(words), np.uint32)
-            to[order] = np.arange(len(words), dtype=np.uint32)
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for k in range(buckets):
-                own = [words[i] for i in order[edges[k]:edges[k + 1]].tolist()]
-                if own:
-                    yield rows([(number, k, None, None, _pack_words(own))])
+            dealt: dict[int, list[str]] = {}
+            for w in known:
+                dealt.setdefault(zlib.crc32(w.encode()) % buckets, []).append(w)
+            to, n = np.empty(len(known), np.uint32), 0
+            for k in sorted(dealt):
+                own = sorted(dealt.pop(k))  # sorted words pack well
+                to[[known[w] for w in own]] = np.arange(n, n + len(own), dtype=np.uint32)
+                n += len(own)
+                yield rows([(number, k, None, None, _pack_words(own))])
             first, held = 0, 0
             for i, p in enumerate(places):
                 held += len(p)
@@ -122,10 +122,13 @@ def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str) -
     and empty texts have no ids; repeated rows each get theirs; a null ``doc_id`` stays null; an empty table
     gives no rows; other columns are not read."""
     file = spark.sparkContext.broadcast(Path(rank_file).read_bytes())
-    cut = stored(spark, chunks(docs, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bpe-chunks")
+    bounded_batches(spark)
+    # bucketed by chunk, so the places, by far the most of it, are never shuffled
+    cut = stored_by(spark, chunks(docs, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bpe_chunks", "chunk")
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = by_ranks(file.value, pattern)
+        own.keep = KEPT
         for b in batches:
             for chunk, bucket, data in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 words = _unpack_words(data)
@@ -154,7 +157,7 @@ def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str) -
             ends = np.concatenate(([0], np.cumsum(n[at])))[np.cumsum(counts)]
             ids += doc_ids
             texts += [own[s:e].tobytes() for s, e in zip(np.concatenate(([0], ends[:-1])), ends, strict=True)]
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "ids": pa.array(texts, pa.large_binary()).cast(pa.binary())})
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "ids": pa.array(texts, pa.binary())})
 
     spots = cut.filter("bucket is null").select("chunk", "doc_ids", "counts", "data")
     return spots.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(reassemble, "doc_id long, ids binary")
