@@ -19,9 +19,10 @@ FLAGS = ("BroadcastNestedLoopJoin", "CartesianProduct", "SinglePartition", "Wind
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = sys.argv[2:]
-    import __spark_entry__ as E
+    from strata.plans.registry import QUERIES, load_all
+    load_all()
     spark = build_session("local[8]", shuffle_partitions=8)
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
