@@ -55,6 +55,30 @@ def same(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]) -> Colu
     return cond
 
 
+#: Words of 64 bits in a membership table: two megabytes, whatever it is made of.
+BIT_WORDS = 1 << 17
+
+
+def member_bits(spark: SparkSession, refs: DataFrame) -> DataFrame:
+    """``(word, bits)``: one bit for each 64-bit hash in the column ``ref`` of ``refs``, at most ``BIT_WORDS`` rows."""
+    spot = F.expr("shiftleft(1L, cast(pmod(shiftright(ref, 20), 64) as int))")
+    return stored(spark, refs.select(F.pmod("ref", F.lit(BIT_WORDS)).alias("word"), spot.alias("spot"))
+                  .groupBy("word").agg(F.bit_or("spot").alias("bits")), "member-bits")
+
+
+def parted(df: DataFrame, ref: Column, bits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose hash may be among the members, and the rows whose hash is not: the second part needs
+    no join, so its texts are not shuffled. The broadcast table has a fixed bound; with members beyond it more and
+    more rows are in the first part, and nothing is lost."""
+    spot = F.expr("shiftleft(1L, cast(pmod(shiftright(_m_ref, 20), 64) as int))")
+    table_ = F.broadcast(bits.select(F.col("word").alias("_m_word"), F.col("bits").alias("_m_bits")))
+    marked = df.withColumn("_m_ref", ref)
+    marked = marked.join(table_, F.pmod(marked["_m_ref"], F.lit(BIT_WORDS)) == table_["_m_word"], "left")
+    may = F.coalesce(F.col("_m_bits").bitwiseAND(spot) != 0, F.lit(False))
+    own = [F.col(f"`{c}`") for c in df.columns]
+    return marked.filter(may).select(*own), marked.filter(~may).select(*own)
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The UTF-8 bytes of a string column; null is empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
@@ -63,25 +87,3 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 def strings(column: pa.Array) -> list[str]:
     """The texts of a string column; null is empty."""
     return ["" if x is None else x for x in column.to_pylist()]
-
-
-def runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, list[pa.RecordBatch]]]:
-    """Group sorted batches by key columns, holding one group at a time."""
-    held: list[pa.RecordBatch] = []
-    key: tuple | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in by]
-        keys = list(zip(*cols, strict=True))
-        start = 0
-        for i in range(1, len(keys) + 1):
-            if i == len(keys) or keys[i] != keys[start]:
-                if held and keys[start] != key:
-                    yield key, held
-                    held = []
-                key = keys[start]
-                held.append(batch.slice(start, i - start))
-                start = i
-    if held:
-        yield key, held

@@ -14,19 +14,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, stored, text_hash, utf8
+from strata.llm.common import WORD, bounded_batches, member_bits, parted, stored, text_hash, utf8
 
 SHINGLE, WORDS, SIMILARITY = 5, 50, 0.8
 #: Random orders, and how many of them a pair of documents must meet under.
 HASHES, ENOUGH = 5, 2
 #: Tokens on either side of a centre that must agree.
-AROUND = 3
+AROUND = 2
 #: Windows that are reduced to one member a key and task before the shuffle, and words hashed at a time.
-_HELD, _WORDS = 1 << 20, 1 << 20
+_HELD, _WORDS = 1 << 19, 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -42,7 +43,7 @@ class _Hashes(dict):
     """Hash of each word, kept for the words seen lately."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 20:
+        if len(self) > 1 << 18:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -107,13 +108,22 @@ def compact_windows(order: np.ndarray, first: np.ndarray, last: np.ndarray, widt
     return left[wide], centre[wide], right[wide]
 
 
+#: A place in a document: sixteen bits of the text hash, the order, the centre. It tells documents of one id apart.
+_TAG, _ORDER = 40, 36
+
+
+def _tag(text_hash_: str):
+    return F.col(text_hash_).bitwiseAND(F.lit(0xFFFF))
+
+
 def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``(key, doc_id, text_hash, order, centre, left, right, of_id, of_hash, of_centre)``: a window for each
-    key, document and task's first member; other members of the task are links to that one (``of_*``)."""
+    """``(key, doc_id, place, reach, of_id, of_place)``: a window for each key, document and task's first member; other
+    members of the task are links to that one (``of_*``). ``reach`` is how far the window extends to the left (upper
+    half) and to the right of its centre."""
     width = words - SHINGLE + 1
-    names = ["key", "doc_id", "text_hash", "order", "centre", "left", "right", "of_id", "of_hash", "of_centre"]
+    names = ["key", "doc_id", "place", "reach", "of_id", "of_place"]
 
-    def found(ids: list, hashes: list, docs_tokens: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    def found(docs_tokens: list[np.ndarray]) -> tuple[np.ndarray, ...]:
         sizes = np.array([len(t) for t in docs_tokens])
         ends = np.cumsum(sizes)
         doc, flat = np.repeat(np.arange(len(sizes)), sizes), np.concatenate(docs_tokens)
@@ -127,98 +137,90 @@ def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
                     at = centre + k
                     inside = (at >= first[centre]) & (at < last[centre])
                     key = key * _ODD + np.where(inside, flat[np.clip(at, 0, len(flat) - 1)], np.uint64(k + 100))
-            base = first[centre]
-            parts.append((_mixed(key).view(np.int64), doc[centre], np.full(len(centre), f), centre - base, left - base, right - base))
+            place = (np.int64(f) << _ORDER) + centre - first[centre]
+            parts.append((_mixed(key).view(np.int64), doc[centre], place, ((centre - left) << 32) + right - centre))
         return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
-    def reduced(ids: list, hashes: list, held: list[tuple]) -> pa.RecordBatch:
+    def reduced(ids: list, tags: list, held: list[tuple]) -> pa.RecordBatch:
         """One member of each key stays a window; the others become links to it, dealt by document."""
-        key, doc, order, centre, left, right = (np.concatenate(c) for c in zip(*held, strict=True))
+        key, doc, place, reach = (np.concatenate(c) for c in zip(*held, strict=True))
         rank = np.empty(len(ids), np.int64)
-        rank[sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, hashes[i]))] = np.arange(len(ids))
+        rank[sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, tags[i]))] = np.arange(len(ids))
         number: dict[tuple, int] = {}
-        uid = np.array([number.setdefault(x, len(number)) for x in zip(ids, hashes, strict=True)])
-        at = np.lexsort((centre, rank[doc], key))
-        key, doc, order, centre, left, right = (x[at] for x in (key, doc, order, centre, left, right))
+        uid = np.array([number.setdefault(x, len(number)) for x in zip(ids, tags, strict=True)])
+        place = place + (np.array(tags, np.int64)[doc] << _TAG)
+        at = np.lexsort((place, rank[doc], key))
+        key, doc, place, reach = (x[at] for x in (key, doc, place, reach))
         new = np.concatenate(([True], key[1:] != key[:-1]))
         of = np.flatnonzero(new)[np.cumsum(new) - 1]
         own = new | (uid[doc[of]] != uid[doc])  # within a document only the first window of a key counts
-        ids_, hashes_, small = pa.array(ids, pa.int64()), np.array(hashes, np.int64), lambda x, **k: pa.array(x.astype(np.int32), **k)
-        key = np.where(new, key, _mixed(hashes_[doc].view(np.uint64), 9).view(np.int64))
-        cols = [pa.array(key), ids_.take(pa.array(doc)), pa.array(hashes_[doc]), small(order), small(centre), small(left), small(right),
-                ids_.take(pa.array(doc[of])), pa.array(hashes_[doc[of]]), small(centre[of], mask=new)]
+        ids_ = pa.array(ids, pa.int64())
+        key = np.where(new, key, _mixed(uid[doc].astype(np.uint64), 9).view(np.int64))
+        cols = [pa.array(key), ids_.take(pa.array(doc)), pa.array(place), pa.array(reach), ids_.take(pa.array(doc[of])), pa.array(place[of], mask=new)]
         return pa.RecordBatch.from_arrays(cols, names).filter(pa.array(own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held, n = _Hashes(), [], 0
-        ids, hashes, own = [], [], []
+        ids, tags, own = [], [], []
         size = 0
 
         def flush() -> None:
             nonlocal own, size, n
             if own:
                 start = len(ids) - len(own)
-                key, doc, *rest = found(ids, hashes, own)
+                key, doc, *rest = found(own)
                 held.append((key, doc + start, *rest))
                 n, own, size = n + len(key), [], 0
 
         for b in batches:
-            for doc_id, h, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)), strict=True):
+            for doc_id, tag, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)), strict=True):
                 t = tokens(text, known)
                 if len(t) < width:
                     continue
                 ids.append(doc_id)
-                hashes.append(h)
+                tags.append(tag)
                 own.append(t)
                 size += len(t)
                 if size >= _WORDS:
                     flush()
                     if n >= _HELD:
-                        yield reduced(ids, hashes, held)
-                        held, ids, hashes, n = [], [], [], 0
+                        yield reduced(ids, tags, held)
+                        held, ids, tags, n = [], [], [], 0
         flush()
         if n:
-            yield reduced(ids, hashes, held)
+            yield reduced(ids, tags, held)
 
-    return (docs.select(F.col("doc_id").cast("long"), text_hash().alias("text_hash"), F.col("text").cast("string"))
-            .mapInArrow(run, "key long, doc_id long, text_hash long, `order` int, centre int, left int, right int, "
-                             "of_id long, of_hash long, of_centre int"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("h"), F.col("text").cast("string").alias("text"))
+    return rows.select("doc_id", _tag("h").alias("tag"), "text").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def links(found: DataFrame) -> DataFrame:
     """Each window with the first of its key (by document, then place): sorted partitions are read as streams,
     so a key of any size takes constant memory, and a task sent at most one window of it per reduction."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = None  # key, id, hash, centre of the first window of the key
+        lead = None  # key, id and place of the first window of the key
         for b in batches:
-            if not b.num_rows:
-                continue
-            done = b.filter(b.column(9).is_valid())
+            done = b.filter(b.column(5).is_valid())
             if done.num_rows:
                 yield done
-            b = b.filter(b.column(9).is_null())
+            b = b.filter(b.column(5).is_null())
             if not b.num_rows:
                 continue
-            key = b.column(0).to_numpy()
+            key, ids, place = b.column(0).to_numpy(), b.column(1), b.column(2).to_numpy()
             new = np.concatenate(([lead is None or key[0] != lead[0]], key[1:] != key[:-1]))
-            of = np.cumsum(new) - 1
+            of = np.cumsum(new)
             at = np.flatnonzero(new)
-            ids, hashes, centre = b.column(1), b.column(2).to_numpy(), b.column(4).to_numpy()
-            head = ([lead[1]], [lead[2]], [lead[3]]) if lead else ([None], [0], [0])
-            of = of + 1
-            l_id = pa.concat_arrays([pa.array(head[0], pa.int64()), ids.take(pa.array(at))])
-            l_hash = np.concatenate((np.array(head[1], np.int64), hashes[at]))
-            l_centre = np.concatenate((np.array(head[2], np.int32), centre[at]))
-            of_id, of_hash = l_id.take(pa.array(of)), l_hash[of]
-            same_id = np.array([x == y for x, y in zip(of_id.to_pylist(), ids.to_pylist(), strict=True)])
-            keep = ~new & ~(same_id & (of_hash == hashes))
-            out = pa.RecordBatch.from_arrays([*b.columns[:7], of_id, pa.array(of_hash), pa.array(l_centre[of])], b.schema.names)
+            l_id = pa.concat_arrays([pa.array([lead[1] if lead else None], pa.int64()), ids.take(pa.array(at))])
+            l_place = np.concatenate((np.array([lead[2] if lead else 0], np.int64), place[at]))
+            of_id, of_place = l_id.take(pa.array(of)), l_place[of]
+            same_id = pc.or_kleene(pc.and_(of_id.is_null(), ids.is_null()), pc.fill_null(pc.equal(of_id, ids), False)).to_numpy(zero_copy_only=False)
+            keep = ~new & ~(same_id & (of_place >> _TAG == place >> _TAG))
             last = int(of[-1])
-            lead = (int(key[-1]), l_id[last].as_py(), int(l_hash[last]), int(l_centre[last]))
+            lead = (int(key[-1]), l_id[last].as_py(), int(l_place[last]))
             if keep.any():
-                yield out.filter(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], of_id, pa.array(of_place)], b.schema.names).filter(pa.array(keep))
 
-    return (found.repartition("key").sortWithinPartitions("key", "doc_id", "text_hash", "centre")
+    return (found.repartition("key").sortWithinPartitions("key", "doc_id", "place")
             .mapInArrow(run, found.schema).drop("key"))
 
 
@@ -289,19 +291,28 @@ def repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, similarity
     group, not with all members. Repeats inside one document are not reported; rows equal in id and text are one
     document. Null, empty and shorter texts hold no passage; an empty table gives no rows; other columns are not
     read."""
+    bounded_batches(spark)
     width = words - SHINGLE + 1
-    met = (links(windows(docs, words)).groupBy("doc_id", "text_hash", "of_id", "of_hash")
+    low = lambda c, bits: F.col(c).bitwiseAND(F.lit((1 << bits) - 1))
+    found = links(windows(docs, words)).select(
+        "doc_id", F.shiftright("place", _TAG).alias("tag"), F.shiftright(low("place", _TAG), _ORDER).alias("order"), low("place", _ORDER).alias("centre"),
+        F.shiftright("reach", 32).alias("left"), low("reach", 32).alias("right"),
+        "of_id", F.shiftright("of_place", _TAG).alias("of_tag"), low("of_place", _ORDER).alias("of_centre"))
+    met = (found.groupBy("doc_id", "tag", "of_id", "of_tag")
            .agg(F.collect_set("order").alias("orders"), F.collect_list(F.struct("centre", "of_centre")).alias("seeds"),
-                F.min("left").alias("a_first"), F.max("right").alias("a_last"))
+                F.min(F.col("centre") - F.col("left")).alias("a_first"), F.max(F.col("centre") + F.col("right")).alias("a_last"),
+                F.min("of_centre").alias("b_first"), F.max("of_centre").alias("b_last"))
            .filter(F.size("orders") >= ENOUGH).drop("orders"))
-    pairs = stored(spark, met.withColumn("pair", F.xxhash64("doc_id", "text_hash", "of_id", "of_hash")), "window-pairs")
-    # each document hands every pair it is in the tokens that may matter, once for all of its pairs
+    pairs = stored(spark, met.withColumn("pair", F.xxhash64("doc_id", "tag", "of_id", "of_tag")), "window-pairs")
+    # each document hands every pair it is in the tokens that may matter; documents in no pair are not shuffled
     n = F.col("a_last") - F.col("a_first") + 1
-    centres = F.transform("seeds", lambda s: s["of_centre"])
-    ask = (pairs.select("doc_id", "text_hash", F.struct("pair", F.lit(0).alias("side"), F.col("a_first").alias("lo"), F.col("a_last").alias("hi")).alias("ask"))
-           .unionByName(pairs.select(F.col("of_id").alias("doc_id"), F.col("of_hash").alias("text_hash"), F.struct(
-               "pair", F.lit(1).alias("side"), F.greatest(F.lit(0), F.array_min(centres) - n).alias("lo"), (F.array_max(centres) + n).alias("hi")).alias("ask"))))
-    one = docs.select(F.col("doc_id").cast("long").alias("d"), text_hash().alias("h"), F.col("text").cast("string").alias("text"))
+    part = lambda side, lo, hi: F.struct("pair", F.lit(side).alias("side"), lo.alias("lo"), hi.alias("hi")).alias("ask")
+    ask = (pairs.select("doc_id", "tag", part(0, F.col("a_first"), F.col("a_last")))
+           .unionByName(pairs.select(F.col("of_id").alias("doc_id"), F.col("of_tag").alias("tag"),
+                                     part(1, F.greatest(F.lit(0), F.col("b_first") - n), F.col("b_last") + n))))
+    bits = member_bits(spark, ask.select(F.xxhash64("doc_id", "tag").alias("ref")))
+    one = docs.select(F.col("doc_id").cast("long").alias("d"), text_hash().alias("h"), F.col("text").cast("string").alias("text")).withColumn("t", _tag("h"))
+    one, _ = parted(one, F.xxhash64("d", "t"), bits)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last, t = _Hashes(), None, None
@@ -311,7 +322,7 @@ def repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, similarity
                 if last != (d, h):
                     last, t = (d, h), tokens(text, known)
                 lo, hi = min(ask["lo"], len(t)), min(ask["hi"] + 1, len(t))
-                rows.append((ask["pair"], ask["side"], lo, t[lo:hi].tobytes()))
+                rows.append((ask["pair"], ask["side"], h, lo, t[lo:hi].tobytes()))
                 size += hi - lo
                 if size > 1 << 20:
                     yield made(rows)
@@ -320,30 +331,30 @@ def repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, similarity
                 yield made(rows)
 
     def made(rows: list) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["pair", "side", "lo", "tokens"])
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["pair", "side", "h", "lo", "tokens"])
 
-    asked = ask.join(one, one["d"].eqNullSafe(ask["doc_id"]) & (one["h"] == ask["text_hash"])).select("d", "h", "text", "ask")
-    slices = asked.mapInArrow(cut, "pair long, side int, lo int, tokens binary").dropDuplicates(["pair", "side"])
-    a = slices.filter("side = 0").select("pair", F.col("lo").alias("a_lo"), F.col("tokens").alias("a_tokens"))
-    b = slices.filter("side = 1").select("pair", F.col("lo").alias("b_lo"), F.col("tokens").alias("b_tokens"))
+    asked = ask.join(one, one["d"].eqNullSafe(ask["doc_id"]) & (one["t"] == ask["tag"])).select("d", "h", "text", "ask")
+    slices = asked.mapInArrow(cut, "pair long, side int, h long, lo long, tokens binary").dropDuplicates(["pair", "side", "h"])
+    sides = [slices.filter(f"side = {k}").select("pair", F.col("h").alias(f"{x}_hash"), F.col("lo").alias(f"{x}_lo"), F.col("tokens").alias(f"{x}_tokens"))
+             for k, x in ((0, "a"), (1, "b"))]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, 32) for b in batches for k in range(0, b.num_rows, 32)):
             rows = []
             for r in batch.to_pylist():
                 x, y = np.frombuffer(r["a_tokens"], np.uint64), np.frombuffer(r["b_tokens"], np.uint64)
                 seeds = [(s["centre"] - r["a_lo"], s["of_centre"] - r["b_lo"]) for s in r["seeds"]]
                 for s, e, s2, e2, j in aligned(x, y, seeds, width, similarity):
                     more = SHINGLE - 1
-                    rows.append((r["doc_id"], r["text_hash"], s + r["a_lo"], e + r["a_lo"] + more, r["of_id"], r["of_hash"],
+                    rows.append((r["doc_id"], r["a_hash"], s + r["a_lo"], e + r["a_lo"] + more, r["of_id"], r["b_hash"],
                                  s2 + r["b_lo"], e2 + r["b_lo"] + more, j))
             if rows:
                 kinds = [pa.int64()] * 8 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], out)
 
     out = ["doc_id", "text_hash", "start_word", "end_word", "of_doc_id", "of_text_hash", "of_start_word", "of_end_word", "similarity"]
-    both = pairs.select("pair", "doc_id", "text_hash", "of_id", "of_hash", "seeds").join(a, "pair").join(b, "pair")
+    both = pairs.select("pair", "doc_id", "of_id", "seeds").join(sides[0], "pair").join(sides[1], "pair")
     return both.mapInArrow(verify, ", ".join(f"{c} long" for c in out[:-1]) + ", similarity double")
 
 
@@ -355,8 +366,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, simila
              .agg(F.array_sort(F.collect_set(F.struct("start_word", "end_word"))).alias("_r_spans"))
              .select(F.col("doc_id").alias("_r_id"), F.col("text_hash").alias("_r_hash"), "_r_spans"))
     spans = stored(spark, spans, "repeat-spans")
-    out = docs.join(spans, docs["doc_id"].cast("long").eqNullSafe(spans["_r_id"])
-                    & (F.xxhash64(docs["text"].cast("string")) == spans["_r_hash"]), "left")
+    bits = member_bits(spark, spans.select(F.xxhash64("_r_id", "_r_hash").alias("ref")))
+    may, rest = parted(docs, F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))), bits)
+    out = may.join(spans, may["doc_id"].cast("long").eqNullSafe(spans["_r_id"])
+                   & (F.xxhash64(may["text"].cast("string")) == spans["_r_hash"]), "left")
     # words with the white space before them, and what follows the last word
     pieces = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     tail = F.regexp_extract("text", r"[\x20\x09-\x0D]*\z", 0)
@@ -369,4 +382,4 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, simila
     out = out.withColumn("text", F.when(F.col("_r_spans").isNull(), F.col("text")).otherwise(F.concat(at, tail)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_r_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+    return out.select(*[f"`{c}`" for c in docs.columns]).unionByName(rest)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, stored, text_hash
+from strata.llm.common import WORD, member_bits, parted, stored, text_hash
 
 #: The share of documents a covariance is taken over.
 H = 0.75
@@ -18,6 +18,8 @@ H = 0.75
 STEPS = 4
 #: Documents (that pass the base rules) an estimate needs; smaller groups use their language's, then all.
 LEAST = 100
+#: Parts that each cell's rows are dealt to, so that no task gets all rows of one cell.
+SALTS = 64
 #: Smallest standard deviation by statistic: below it, differences mean nothing.
 FLOORS = {"z_words": 0.5, "z_chars": 0.06, "z_symbols": 0.05, "z_lines": 0.25, "z_repeats": 0.25}
 #: H over the chance of chi-square with 7 degrees to stay below the H quantile with 5 makes the covariance of
@@ -119,20 +121,25 @@ def _factor(groups: DataFrame) -> DataFrame:
 
 
 def estimates(spark: SparkSession, members: DataFrame) -> DataFrame:
-    """Centre and Cholesky factor of each ``cell`` of ``members(cell, z_*)``, by concentration steps. Each step
-    is one aggregate for the radius and one for the sums, both combined before their shuffle; only one row a
-    cell is kept between steps, in the shared folder."""
+    """Centre and Cholesky factor of each ``cell`` of ``members(cell, salt, z_*)``, by concentration steps. Each step
+    is one aggregate for the radius and one for the sums; only one row a cell is kept between steps, in the shared
+    folder. A cell's rows meet its estimate in ``SALTS`` parts, which are aggregated apart before the parts meet."""
     quantile = lambda c, p: F.percentile_approx(c, p, 10000)
+
+    def beside(rows: DataFrame, cells: DataFrame) -> DataFrame:
+        """Each row with the columns of its cell; the cells, not the rows, are repeated."""
+        return rows.join(cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["cell", "salt"])
+
     middle = stored(spark, members.groupBy("cell").agg(*[quantile(z, 0.5).alias(f"m_{z}") for z in Z]), "mcd-medians")
-    spread = members.join(middle, "cell").groupBy("cell").agg(
+    spread = beside(members, middle).groupBy("cell").agg(
         *[F.first(f"m_{z}").alias(f"m_{z}") for z in Z],
         *[F.greatest(quantile(F.abs(F.col(z) - F.col(f"m_{z}")), 0.5) * 1.4826, F.lit(FLOORS[z])).alias(f"c_{i}_{i}") for i, z in enumerate(Z)])
     now = spread.withColumns({f"c_{i}_{j}": F.lit(0.0) for i in range(len(Z)) for j in range(i)})
     for step in range(STEPS):
         now = stored(spark, now, f"mcd-{step}")
-        far = members.join(now, "cell").select("cell", *Z, _distance(members).alias("far"))
+        far = beside(members, now).select("cell", "salt", *Z, _distance(members).alias("far"))
         radius = far.groupBy("cell").agg(quantile("far", H).alias("radius"))
-        near = far.join(radius, "cell").filter("far <= radius")
+        near = beside(far, radius).filter("far <= radius")
         now = _factor(near.groupBy("cell").agg(
             F.count("*").alias("n"), *[F.sum(z).alias(f"s_{z}") for z in Z],
             *[F.sum(F.col(Z[i]) * F.col(Z[j])).alias(f"p_{i}_{j}") for i in range(len(Z)) for j in range(i + 1)]))
@@ -151,25 +158,31 @@ def verdicts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     sound = _vector(rows.filter(~F.col("base_failed")))
     none = F.lit(None).cast("string")
     levels = [_cell(F.col("lang"), F.col("source")), F.concat(F.lit("lang "), _cell(F.col("lang"), none)), F.lit("all")]
-    members = sound.select(F.explode(F.array(*levels)).alias("cell"), *Z)
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    members = sound.select(salt.alias("salt"), *Z, *[c.alias(f"cell_{i}") for i, c in enumerate(levels)]).select(
+        F.explode(F.array(*[f"cell_{i}" for i in range(len(levels))])).alias("cell"), "salt", *Z)
     sizes = stored(spark, members.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST).select("cell"), "mcd-cells")
-    # one cell holds at least LEAST rows, so this join only drops cells, and hot ones are split by adaptive execution
-    found = estimates(spark, members.join(sizes, "cell", "left_semi"))
-    judged = _vector(rows).withColumns({f"cell_{i}": c for i, c in enumerate(levels)})
-    for i in range(len(levels)):
+    every = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = estimates(spark, stored(spark, members.join(every, ["cell", "salt"], "left_semi"), "mcd-members"))
+    judged = _vector(rows).withColumns({f"cell_{i}": c for i, c in enumerate(levels[:2])})
+    for i in range(2):
         own = sizes.select(F.col("cell").alias(f"has_{i}"))
         judged = judged.join(own, judged[f"cell_{i}"] == own[f"has_{i}"], "left")
-    judged = judged.withColumn("cell", F.coalesce(*[f"has_{i}" for i in range(len(levels))]))
+    last = none if sizes.filter("cell = 'all'").isEmpty() else levels[2]
+    judged = judged.withColumn("cell", F.coalesce("has_0", "has_1", last))
     judged = judged.join(found, "cell", "left").withColumn("distance", _distance(judged))
     return judged.select(*rows.columns, "distance", (~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))).alias("kept"))
 
 
 def passing(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
+    """The rows of ``docs`` that the rules keep, with all their columns. Only rows that may be among the rejected ones
+    are joined with them."""
     bad = (verdicts(spark, docs).filter(~F.col("kept")).select("doc_id", "text_hash", "lang", "source").distinct())
     bad = stored(spark, bad.toDF("_q_id", "_q_hash", "_q_lang", "_q_source"), "rejected")
-    on = docs["doc_id"].cast("long").eqNullSafe(bad["_q_id"]) & (F.xxhash64(docs["text"]) == bad["_q_hash"])
+    bits = member_bits(spark, bad.select(F.xxhash64("_q_id", "_q_hash").alias("ref")))
+    may, rest = parted(docs, F.xxhash64(F.col("doc_id").cast("long"), text_hash()), bits)
+    on = may["doc_id"].cast("long").eqNullSafe(bad["_q_id"]) & (F.xxhash64(may["text"]) == bad["_q_hash"])
     for c in ("lang", "source"):
         if c in docs.columns:
-            on = on & docs[c].cast("string").eqNullSafe(bad[f"_q_{c}"])
-    return docs.join(bad, on, "left_anti")
+            on = on & may[c].cast("string").eqNullSafe(bad[f"_q_{c}"])
+    return may.join(bad, on, "left_anti").unionByName(rest)

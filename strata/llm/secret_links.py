@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import same, stored, strings, text_hash
+from strata.llm.common import bounded_batches, member_bits, parted, same, stored, strings, text_hash
 
 #: The certain patterns, each with the least length of what it must hold.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -135,6 +135,7 @@ def secrets(spark: SparkSession, docs: DataFrame, reach: int = REACH) -> DataFra
 
     Null and empty texts have no spans; repeated rows each get theirs; a null ``doc_id`` is an id like any
     other; an empty table gives no rows; other columns are not read."""
+    bounded_batches(spark)
     found = stored(spark, parts(docs), "secret-parts")
     more = (linked(found, reach).groupBy("doc_id", "text_hash")
             .agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
@@ -153,8 +154,10 @@ def mask(spark: SparkSession, docs: DataFrame, reach: int = REACH, by: str = "[S
     found = (secrets(spark, docs, reach).filter(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"])
              .select(F.col("doc_id").alias("_s_id"), F.col("text_hash").alias("_s_hash"), F.col("spans").alias("_s_spans")))
     found = stored(spark, found, "secret-spans")
-    out = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_s_id"])
-                    & (F.xxhash64(docs["text"].cast("string")) == found["_s_hash"]), "left")
+    bits = member_bits(spark, found.select(F.xxhash64("_s_id", "_s_hash").alias("ref")))
+    may, rest = parted(docs, F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))), bits)
+    out = may.join(found, may["doc_id"].cast("long").eqNullSafe(found["_s_id"])
+                   & (F.xxhash64(may["text"].cast("string")) == found["_s_hash"]), "left")
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("text"))
     step = lambda a, p: F.when(  # noqa: E731  a span that begins inside the last one only lengthens it
         p["start"] >= a["at"], F.struct(F.greatest(a["at"], p["end"]).alias("at"), F.concat(
@@ -164,4 +167,4 @@ def mask(spark: SparkSession, docs: DataFrame, reach: int = REACH, by: str = "[S
     out = out.withColumn("text", F.when(F.col("_s_spans").isNull(), F.col("text")).otherwise(new))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_s_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+    return out.select(*[f"`{c}`" for c in docs.columns]).unionByName(rest)

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored, text_hash, utf8
+from strata.llm.common import bounded_batches, member_bits, parted, stored, text_hash, utf8
 from strata.llm.graph import components
 
 SEED = 42
@@ -170,6 +170,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 3, radius
     empty texts have fingerprint zero and are linked like any other. Repeated rows stay, each with its
     component. Other columns are not read. An empty table gives no rows. Copies share a fingerprint and are
     one node, so a group of any size costs one row after its partial aggregate."""
+    bounded_batches(spark)
     prints = stored(spark, fingerprints(docs, width), "simhash")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     found = components(spark, links(spark, prints, radius))
@@ -188,9 +189,15 @@ def first_of_groups(spark: SparkSession, docs: DataFrame, width: int = 3, radius
     rows = near.groupBy("label", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     first = (rows.groupBy("label")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias("k")))
-    kept = stored(spark, first.select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash"),
-                                      F.col("k.n").alias("kept_n")), "simhash-kept")
-    of = lambda k: docs.join(k, docs["doc_id"].cast("long").eqNullSafe(k["kept_id"])
-                             & (F.xxhash64(docs["text"].cast("string")) == k["kept_hash"]), "left_semi")
-    once, more = of(kept.filter("kept_n = 1")), of(kept.filter("kept_n > 1"))
-    return once.unionByName(more.dropDuplicates(["doc_id", "text"]))
+    first = stored(spark, first.select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash"), F.col("k.n").alias("kept_n")), "simhash-kept")
+    out = rows.join(first, rows["doc_id"].eqNullSafe(first["kept_id"]) & (rows["text_hash"] == first["kept_hash"]), "left_anti")
+    out = stored(spark, out.select(F.col("doc_id").alias("_s_id"), F.col("text_hash").alias("_s_hash")), "simhash-out")
+    many = first.filter("kept_n > 1").select(F.col("kept_id").alias("_s_id"), F.col("kept_hash").alias("_s_hash"))
+    bits = member_bits(spark, out.unionByName(many).select(F.xxhash64("_s_id", "_s_hash").alias("ref")))
+    may, rest = parted(docs, F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))), bits)
+    on = lambda k: may["doc_id"].cast("long").eqNullSafe(k["_s_id"]) & (F.xxhash64(may["text"].cast("string")) == k["_s_hash"])
+    stays = may.join(out, on(out), "left_anti")
+    # of rows equal in id and text one stays
+    at = lambda k: stays["doc_id"].cast("long").eqNullSafe(k["_s_id"]) & (F.xxhash64(stays["text"].cast("string")) == k["_s_hash"])
+    return rest.unionByName(stays.join(many, at(many), "left_anti")).unionByName(
+        stays.join(many, at(many), "left_semi").dropDuplicates(["doc_id", "text"]))

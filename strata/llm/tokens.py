@@ -122,5 +122,5 @@ def by_tokenizer(file: bytes) -> Encoder:
         def many(new: list[str]) -> Iterable[list[int]]:
             return [whole([u])[0] if any(s in u for s in special) else by_rank(u) for u in new]
 
-    _OWN[key] = Encoder(many, keep=1 << 24)
+    _OWN[key] = Encoder(many, keep=1 << 22)
     return _OWN[key]

@@ -42,7 +42,7 @@ def planted(rnd):
     passage, near, hot = prose(rnd, 60), prose(rnd, 200), prose(rnd, 13)
     rows = []
     for i in range(60):
-        words = prose(rnd, rnd.randint(30, 300))
+        words = prose(rnd, rnd.randint(60, 300))
         if i % 3 == 0:  # a frequent line is no passage
             words[10:10] = hot
         if i in (5, 20, 40):

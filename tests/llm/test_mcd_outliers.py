@@ -62,7 +62,7 @@ def test_estimate_against_numpy(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(900, 5)) @ np.tril(rng.normal(size=(5, 5))) + 5
     x[:120] += 60
-    df = spark.createDataFrame([("g", *map(float, r)) for r in x], "cell string, " + ", ".join(f"{z} double" for z in M.Z))
+    df = spark.createDataFrame([("g", i % M.SALTS, *map(float, r)) for i, r in enumerate(x)], "cell string, salt int, " + ", ".join(f"{z} double" for z in M.Z))
     found = M.estimates(spark, df).first()
     floors = np.array([M.FLOORS[z] for z in M.Z])
     rank = lambda d: np.sort(d)[int(np.ceil(len(d) * M.H)) - 1]
