@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import strings
+from strata.llm.common import bounded_batches, strings
 
 # Elements by their role in HTML.
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -423,6 +423,7 @@ def extract(spark: SparkSession, pages: DataFrame, model: Trees) -> DataFrame:
     Null and empty pages, and pages without content, give an empty text. Null ids and urls stay; repeated rows are
     extracted each; broken markup is read as far as it goes; an empty table gives no rows; other columns are not
     read."""
+    bounded_batches(spark)
     own = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

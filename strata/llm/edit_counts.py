@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import strings
+from strata.llm.common import bounded_batches, strings
 from strata.llm.tokens import ranks, units
 
 #: Pre-tokens of a new block; a block that grows to four times as many is divided with the whole tree.
@@ -30,7 +30,7 @@ CONTEXT = 4
 class Counter:
     """Pre-tokens and their token counts, each distinct one encoded once while it is kept."""
 
-    def __init__(self, file: bytes, pattern: str, keep: int = 1 << 20) -> None:
+    def __init__(self, file: bytes, pattern: str, keep: int = 1 << 18) -> None:
         self.pattern, self.keep = regex.compile(pattern), keep
         self.encode = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=ranks(file), special_tokens={}).encode_ordinary
         self.known: dict[str, int] = {}
@@ -158,6 +158,7 @@ def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 def trees(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """``(doc_id, text, n_tokens, tree)`` for each row of ``docs(doc_id, text)``: the leaves of its tree, packed, and
     their sum. A null text has an empty tree and stays null; other columns are not read."""
+    bounded_batches(spark)
     file = spark.sparkContext.broadcast(Path(rank_file).read_bytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import strings
+from strata.llm.common import bounded_batches, strings
 
 #: Size of the hashed table and of an embedding.
 BUCKETS, SIZE = 1 << 14, 16
@@ -164,6 +164,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     Null texts and texts without a letter are ``und`` with score 0 and rejected, as is everything where the model
     knows no language. Repeated rows are predicted alike; an empty table gives no rows; ``lang`` and other
     columns are not read."""
+    bounded_batches(spark)
     own = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
