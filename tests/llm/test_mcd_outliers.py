@@ -76,3 +76,19 @@ def test_estimate_against_numpy(spark):
     factor = np.array([[found[f"c_{i}_{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
     assert np.allclose(factor @ factor.T, cov, rtol=0.02, atol=0.05)
     assert all(d[:120] > M.CUTOFF)
+
+
+def test_duplicate_lines_and_repeated_words_reject_alone(spark):
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("etaoinshr") for _ in range(rnd.randint(3, 8)))
+    rows = [(i, "\n".join(" ".join(word() for _ in range(10)) for _ in range(rnd.randint(6, 30)))) for i in range(300)]
+    dishes = [f"dish{k}" for k in range(12)]
+    for i in range(300, 304):  # a menu: short lines in changing order
+        rows.append((i, "\n".join(rnd.choice(dishes) for _ in range(60))))
+    for i in range(304, 308):  # half of the words stand in repeated windows
+        block = " ".join(word() for _ in range(50))
+        rows.append((i, " ".join([block, *(word() for _ in range(50)), block, *(word() for _ in range(50))])))
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], "doc_id long, text string, lang string, source string")
+    v = M.verdicts(spark, df).collect()
+    assert not any(r["base_failed"] for r in v)
+    assert {r["doc_id"] for r in v if not r["kept"]} == set(range(300, 308))
