@@ -117,8 +117,8 @@ def _tag(text_hash_: str):
 
 
 def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``(key, doc_id, place, reach, of_id, of_place)``: a window for each key, document and task's first member; other
-    members of the task are links to that one (``of_*``). ``reach`` is how far the window extends to the left (upper
+    """``(key, doc_id, place, reach, of_id, of_place)``: the windows of each key in the task's first document that has it;
+    other members of the task are links to the first of them (``of_*``). ``reach`` is how far the window extends to the left (upper
     half) and to the right of its centre."""
     width = words - SHINGLE + 1
     names = ["key", "doc_id", "place", "reach", "of_id", "of_place"]
@@ -142,7 +142,7 @@ def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
         return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
     def reduced(ids: list, tags: list, held: list[tuple]) -> pa.RecordBatch:
-        """One member of each key stays a window; the others become links to it, dealt by document."""
+        """The windows of one document of each key stay windows; the others become links to its first."""
         key, doc, place, reach = (np.concatenate(c) for c in zip(*held, strict=True))
         rank = np.empty(len(ids), np.int64)
         rank[sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, tags[i]))] = np.arange(len(ids))
@@ -153,11 +153,12 @@ def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
         key, doc, place, reach = (x[at] for x in (key, doc, place, reach))
         new = np.concatenate(([True], key[1:] != key[:-1]))
         of = np.flatnonzero(new)[np.cumsum(new) - 1]
-        own = new | (uid[doc[of]] != uid[doc])  # within a document only the first window of a key counts
+        same = ~new & (uid[doc[of]] == uid[doc])  # further windows of the first's document: an earlier task may hold the key
+        new = new | same
         ids_ = pa.array(ids, pa.int64())
         key = np.where(new, key, _mixed(uid[doc].astype(np.uint64), 9).view(np.int64))
         cols = [pa.array(key), ids_.take(pa.array(doc)), pa.array(place), pa.array(reach), ids_.take(pa.array(doc[of])), pa.array(place[of], mask=new)]
-        return pa.RecordBatch.from_arrays(cols, names).filter(pa.array(own))
+        return pa.RecordBatch.from_arrays(cols, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held, n = _Hashes(), [], 0

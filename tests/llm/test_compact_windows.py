@@ -102,3 +102,21 @@ def test_repeats_against_brute_force(spark):
             assert cut[i][0] == t
     assert C.repeats(spark, df.limit(0)).count() == 0
     assert C.cut_repeats(spark, df.limit(0)).agg(F.count("*")).first()[0] == 0
+
+
+def found(spark, texts, partitions=1):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartitionByRange(partitions, "doc_id")
+    got = {}
+    for r in C.repeats(spark, df).collect():
+        got.setdefault(r["doc_id"], []).append((r["start_word"], r["end_word"], r["of_doc_id"]))
+    return got
+
+
+def test_repeats_are_found_whatever_the_tasks(spark):
+    """The second document holds the passage twice; the first, in the same task or another, holds it once."""
+    rnd = random.Random(13)
+    p = prose(rnd, 60)
+    texts = [" ".join(prose(rnd, 40) + p + prose(rnd, 40)), " ".join(prose(rnd, 40) + p + prose(rnd, 70) + p + prose(rnd, 40))]
+    for partitions in (1, 2):
+        spans = found(spark, texts, partitions)[1]
+        assert any(s <= 40 and e >= 100 for s, e, _ in spans) and any(s <= 170 and e >= 230 for s, e, _ in spans)
