@@ -235,16 +235,39 @@ def _run(a: np.ndarray, b: np.ndarray, i: int, j: int) -> tuple[int, int]:
     return (int(differ[0]) if len(differ) else n), ahead
 
 
-#: Tokens that an edit may cost on either side before the texts must agree again.
-_EDIT = 12
-_STEPS = sorted(((s, t) for s in range(_EDIT + 1) for t in range(_EDIT + 1) if s or t), key=lambda x: (max(x), sum(x)))
+def _meetings(a: np.ndarray, b: np.ndarray, near: int = 16) -> Iterator[tuple[int, int]]:
+    """Where the tokens of ``a`` and ``b`` may meet again after a gap, the shortest gap first."""
+    for k in (near, max(len(a), len(b))):
+        _, s, t = np.intersect1d(a[:k], b[:k], return_indices=True)
+        at = np.lexsort((s + t, np.maximum(s, t)))
+        yield from zip(s[at].tolist(), t[at].tolist(), strict=True)
+        if k >= max(len(a), len(b)):
+            return
 
 
 def aligned(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], width: int,
             similarity: float = SIMILARITY) -> list[tuple[int, int, int, int, float]]:
     """Near-equal passages ``(a_start, a_end, b_start, b_end, jaccard)`` in tokens, ends exclusive. From each seed
-    the agreeing run grows over edits on both sides while the similarity holds; the token sets decide."""
+    the agreeing run grows over edits on both sides while the similarity holds, however long an edit is; the token
+    sets decide."""
     out: list[tuple[int, int, int, int, float]] = []
+    spare = 1 / similarity - 1  # tokens in gaps, on both sides together, for each token that agrees
+
+    def over(x: np.ndarray, y: np.ndarray, equal: int, gaps: int) -> tuple[int, int, int] | None:
+        """Over the gap at the start of ``x`` and ``y``: the tokens passed on either side, and how many of them agree."""
+        n = min(len(x), len(y))
+        most = int(spare * (equal + n)) - gaps
+        if n == 0 or most < 1:
+            return None
+        tried: dict[int, int] = {}  # how far each diagonal agrees from the places tried
+        for s, t in _meetings(x[:most + 1], y[:most + 1]):
+            if s + t <= most and s >= tried.get(s - t, 0):
+                n = _run(x, y, s, t)[1]
+                tried[s - t] = s + n
+                if s + t + gaps <= spare * (equal + n):
+                    return s + n, t + n, n
+        return None
+
     for i, j in sorted(seeds):
         if i >= len(a) or j >= len(b) or a[i] != b[j] or any(s <= i < e and s2 <= j < e2 for s, e, s2, e2, _ in out):
             continue
@@ -252,26 +275,14 @@ def aligned(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], width: i
         a0, a1, b0, b1 = i - back, i + ahead, j - back, j + ahead
         core, equal = (a0, a1, b0, b1), back + ahead
         while True:
-            grown = None
-            for s, t in _STEPS:
-                x, y = a1 + s, b1 + t
-                if x < len(a) and y < len(b) and a[x] == b[y]:
-                    n = _run(a, b, x, y)[1]
-                    grown = (a0, x + n, b0, y + n, equal + n)
-                    break
-            if not grown or grown[4] < similarity * (grown[1] - grown[0] + grown[3] - grown[2] - grown[4]):
-                for s, t in _STEPS:
-                    x, y = a0 - 1 - s, b0 - 1 - t
-                    if x >= 0 and y >= 0 and a[x] == b[y]:
-                        n = _run(a, b, x, y)[0] + 1
-                        left = (x - n + 1, a1, y - n + 1, b1, equal + n)
-                        grown = left if left[4] >= similarity * (left[1] - left[0] + left[3] - left[2] - left[4]) else None
-                        break
-                else:
-                    grown = None
-            if not grown:
+            gaps = a1 - a0 + b1 - b0 - 2 * equal
+            if grown := over(a[a1:], b[b1:], equal, gaps):
+                a1, b1 = a1 + grown[0], b1 + grown[1]
+            elif grown := over(a[:a0][::-1], b[:b0][::-1], equal, gaps):
+                a0, b0 = a0 - grown[0], b0 - grown[1]
+            else:
                 break
-            a0, a1, b0, b1, equal = grown
+            equal += grown[2]
         for s, e, s2, e2 in dict.fromkeys(((a0, a1, b0, b1), core)):
             if min(e - s, e2 - s2) < width:
                 continue

@@ -112,6 +112,20 @@ def found(spark, texts, partitions=1):
     return got
 
 
+def test_long_edits_are_bridged(spark):
+    rnd = random.Random(12)
+    n, texts, more = 20, [], []
+    for _ in range(n):
+        p = prose(rnd, 80)
+        texts.append(" ".join(prose(rnd, 30) + p + prose(rnd, 30)))
+        more.append(" ".join(prose(rnd, 30) + p[:40] + prose(rnd, 9) + p[40:] + prose(rnd, 30)))
+    got = found(spark, texts + more)
+    assert sum(any(s <= 30 and e >= 119 for s, e, _ in got.get(n + i, [])) for i in range(n)) >= 0.9 * n
+    a = np.arange(1, 2001, dtype=np.uint64)
+    b = np.concatenate([a[:1000], np.arange(5000, 5300, dtype=np.uint64), a[1030:]])
+    assert [x[:4] for x in C.aligned(a, b, [(990, 990)], 46)] == [(0, 2000, 0, 2270)]
+
+
 def test_repeats_are_found_whatever_the_tasks(spark):
     """The second document holds the passage twice; the first, in the same task or another, holds it once."""
     rnd = random.Random(13)
