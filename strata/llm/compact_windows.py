@@ -5,7 +5,8 @@ Cartesian tree over the tokens yields compact windows ``(left, centre, right)``:
 ``left`` and ``right`` that hold the centre have the centre as their min-hash. Windows that could hold
 a passage of ``words`` words are grouped by min-hash (with the few tokens around it, which keeps common
 short phrases apart), each member is joined to the first of its group, pairs that meet under enough orders
-are verified token by token, and passages of Jaccard similarity 0.8 or more remain.
+are verified token by token, and passages of Jaccard similarity 0.8 or more remain. Members that this leaves without a
+passage are held against the other earlier members of their group.
 """
 
 from __future__ import annotations
@@ -156,7 +157,6 @@ def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
         same = ~new & (uid[doc[of]] == uid[doc])  # further windows of the first's document: an earlier task may hold the key
         new = new | same
         ids_ = pa.array(ids, pa.int64())
-        key = np.where(new, key, _mixed(uid[doc].astype(np.uint64), 9).view(np.int64))
         cols = [pa.array(key), ids_.take(pa.array(doc)), pa.array(place), pa.array(reach), ids_.take(pa.array(doc[of])), pa.array(place[of], mask=new)]
         return pa.RecordBatch.from_arrays(cols, names)
 
@@ -197,7 +197,8 @@ def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 def links(found: DataFrame) -> DataFrame:
     """Each window with the first of its key (by document, then place): sorted partitions are read as streams,
-    so a key of any size takes constant memory, and a task sent at most one window of it per reduction."""
+    so a key of any size takes constant memory, and a task sent the windows of one document of it per reduction. What
+    is a link already is dealt by document and passed on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = None  # key, id and place of the first window of the key
         for b in batches:
@@ -221,8 +222,8 @@ def links(found: DataFrame) -> DataFrame:
             if keep.any():
                 yield pa.RecordBatch.from_arrays([*b.columns[:4], of_id, pa.array(of_place)], b.schema.names).filter(pa.array(keep))
 
-    return (found.repartition("key").sortWithinPartitions("key", "doc_id", "place")
-            .mapInArrow(run, found.schema).drop("key"))
+    deal = F.when(F.col("of_place").isNull(), F.col("key")).otherwise(F.xxhash64("doc_id", F.shiftright("place", _TAG)))
+    return found.repartition(deal).sortWithinPartitions("key", "doc_id", "place").mapInArrow(run, found.schema)
 
 
 def _run(a: np.ndarray, b: np.ndarray, i: int, j: int) -> tuple[int, int]:
@@ -300,31 +301,173 @@ def repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, similarity
     ends exclusive, words as cut by white space.
 
     Earlier is by ``doc_id`` (null first), then text hash. Each passage is paired with a representative of its
-    group, not with all members. Repeats inside one document are not reported; rows equal in id and text are one
+    group, not with all members: with the first member of a key or, where that is no near repeat or was met under too few
+    orders, with another earlier member. Repeats inside one document are not reported; rows equal in id and text are one
     document. Null, empty and shorter texts hold no passage; an empty table gives no rows; other columns are not
     read."""
     bounded_batches(spark)
     width = words - SHINGLE + 1
     low = lambda c, bits: F.col(c).bitwiseAND(F.lit((1 << bits) - 1))
     found = links(windows(docs, words)).select(
-        "doc_id", F.shiftright("place", _TAG).alias("tag"), F.shiftright(low("place", _TAG), _ORDER).alias("order"), low("place", _ORDER).alias("centre"),
+        "key", "doc_id", F.shiftright("place", _TAG).alias("tag"), F.shiftright(low("place", _TAG), _ORDER).alias("order"), low("place", _ORDER).alias("centre"),
         F.shiftright("reach", 32).alias("left"), low("reach", 32).alias("right"),
         "of_id", F.shiftright("of_place", _TAG).alias("of_tag"), low("of_place", _ORDER).alias("of_centre"))
     met = (found.groupBy("doc_id", "tag", "of_id", "of_tag")
-           .agg(F.collect_set("order").alias("orders"), F.collect_list(F.struct("centre", "of_centre")).alias("seeds"),
+           .agg(F.size(F.collect_set("order")).alias("orders"), F.collect_list(F.struct("key", "centre", "of_centre")).alias("seeds"),
                 F.min(F.col("centre") - F.col("left")).alias("a_first"), F.max(F.col("centre") + F.col("right")).alias("a_last"),
-                F.min("of_centre").alias("b_first"), F.max("of_centre").alias("b_last"))
-           .filter(F.size("orders") >= ENOUGH).drop("orders"))
+                F.min("of_centre").alias("b_first"), F.max("of_centre").alias("b_last")))
     pairs = stored(spark, met.withColumn("pair", F.xxhash64("doc_id", "tag", "of_id", "of_tag")), "window-pairs")
+    near = stored(spark, verified(spark, docs, pairs.filter(F.col("orders") >= ENOUGH), width, similarity), "first-repeats")
+    more = stored(spark, second_tries(spark, docs, pairs, near, width, similarity), "second-pairs")
+    return near.unionByName(verified(spark, docs, more, width, similarity))
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("d"), text_hash().alias("h"), F.col("text").cast("string").alias("text")).withColumn("t", _tag("h"))
+
+
+#: Tokens on either side of a centre that a second try compares, in widths.
+_CONTEXT = 1.5
+
+
+def tried(ids: list, hashes: list[int], failed: list[bool], at: list[int], contexts: list[bytes], width: int,
+          similarity: float) -> Iterator[tuple[int, int]]:
+    """Each failed member of a key, the members in order, with the earlier one that holds a near-equal passage about the
+    centre ``at``: those that share most tokens first, until one does.
+
+    Passages of ``width`` share the tokens that the similarity asks for, so members that have fewer in common with all
+    others (a frequent line among different texts) are set aside at once, and the others meet by an index of their tokens.
+    Two that share no token beyond the run about the centre hold no longer passage than that run."""
+    need, first = int(np.ceil(2 * width * similarity / (1 + similarity) - 1e-9)), {}
+    like = [first.setdefault(x, i) for i, x in enumerate(zip(at, contexts, strict=True))]
+    rows = np.array(list(first.values()))
+    each = [np.frombuffer(contexts[i], np.uint32) for i in rows]
+    flat, owner = np.concatenate(each), np.repeat(np.arange(len(rows)), [len(x) for x in each])
+    _, token = np.unique(flat, return_inverse=True)
+    once = np.unique(token * len(rows) + owner)
+    holders = np.bincount(once // len(rows))
+    alive = np.bincount(owner, holders[token] > 1, len(rows)) >= need
+    once = once[alive[once % len(rows)]]
+    begin, begins = once % len(rows), np.searchsorted(once // len(rows), np.arange(len(holders) + 1))
+    number, ends = {int(i): k for k, i in enumerate(rows)}, np.cumsum([len(x) for x in each])
+    side = max(max(at), max(len(contexts[i]) // 4 - at[i] for i in rows))
+    laid = np.repeat(-1 - np.arange(len(rows), dtype=np.int32)[:, None], 2 * side + 1, axis=1)  # centre under centre
+    for k, i in enumerate(rows):
+        laid[k, side - at[i]:side - at[i] + len(each[k])] = token[ends[k] - len(each[k]):ends[k]]
+
+    def runs(k: int, others: np.ndarray) -> np.ndarray:
+        differ = laid[others] != laid[k]
+        differ = np.pad(differ, ((0, 0), (1, 1)), constant_values=True)
+        return differ[:, side + 1:].argmax(axis=1) + differ[:, side::-1].argmax(axis=1)
+
+    for i in (i for i, f in enumerate(failed) if f):
+        k = number[like[i]]
+        own = each[k]
+        may = [like[i]] if like[i] != i else []
+        if alive[k]:
+            mine = token[ends[k] - len(own):ends[k]]
+            count = np.bincount(np.concatenate([begin[begins[x]:begins[x + 1]] for x in mine]), minlength=len(rows))
+            close = np.flatnonzero((count >= need) & (rows < i) & (rows != like[i]))
+            run = runs(k, close)
+            close = close[(run >= width) | (count[close] > run)]
+            may += rows[close[np.argsort(-count[close], kind="stable")]].tolist()
+        for j in may:
+            if (ids[j], hashes[j]) != (ids[i], hashes[i]) and aligned(own, each[number[j]], [(at[i], at[j])], width, similarity):
+                yield i, j
+                break
+
+
+def second_tries(spark: SparkSession, docs: DataFrame, pairs: DataFrame, near: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Pairs for the windows that no passage of ``near`` covers, though their key has an earlier member: the tokens about
+    the centres of these and of the key's other members meet by key, and :func:`tried` looks for a partner."""
+    reach = int(_CONTEXT * width)
+    spans = (near.groupBy("doc_id", _tag("text_hash").alias("tag")).agg(F.collect_list(F.struct("start_word", "end_word", "similarity")).alias("spans"))
+             .toDF("s_id", "s_tag", "spans"))
+    held = pairs.join(spans, pairs["doc_id"].eqNullSafe(spans["s_id"]) & (pairs["tag"] == spans["s_tag"]), "left")
+    some = lambda c: F.coalesce(F.exists("spans", c), F.lit(False))
+    more = SHINGLE - 1
+    seeds = F.transform("seeds", lambda x: F.struct(
+        x["key"].alias("key"), x["centre"].alias("centre"), x["of_centre"].alias("of_centre"),
+        (~some(lambda p: (p["start_word"] <= x["centre"]) & (x["centre"] < p["end_word"] - more))).alias("failed"),
+        # what equals its first member in all that is compared is no other partner
+        some(lambda p: (p["similarity"] == 1) & (p["start_word"] <= F.greatest(F.lit(0), x["centre"] - reach))
+             & (x["centre"] + reach < p["end_word"] - more)).alias("equal")))
+    each = held.select("doc_id", "tag", "of_id", "of_tag", F.explode(seeds).alias("s")).select("doc_id", "tag", "of_id", "of_tag", "s.*")
+    bad = stored(spark, each.filter("failed").select(F.col("key").alias("bad")).distinct(), "tried-keys")
+    each, _ = parted(each, F.col("key"), member_bits(spark, bad.select(F.col("bad").alias("ref"))))
+    each = each.join(bad, each["key"] == bad["bad"], "left_semi")
+    both = F.explode(F.array(*[F.struct(i.alias("doc_id"), t.alias("tag"), F.col("key"), c.alias("centre"), f.alias("failed"), e.alias("equal")) for i, t, c, f, e in (
+        (F.col("doc_id"), F.col("tag"), F.col("centre"), F.col("failed"), F.col("equal")),
+        (F.col("of_id"), F.col("of_tag"), F.col("of_centre"), F.lit(False), F.lit(False)))]))
+    refs = each.select(both.alias("r")).select("r.*").filter("failed or not equal").groupBy("doc_id", "tag", "key", "centre").agg(F.max("failed").alias("failed"))
+    refs = stored(spark, refs.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("key", "centre", "failed")).alias("refs")), "tried-refs")
+    one, _ = parted(_documents(docs), F.xxhash64("d", "t"), member_bits(spark, refs.select(F.xxhash64("doc_id", "tag").alias("ref"))))
+    asked = (refs.join(one, one["d"].eqNullSafe(refs["doc_id"]) & (one["t"] == refs["tag"]))
+             .select("d", "h", "text", F.col("refs.key"), F.col("refs.centre"), F.col("refs.failed")))
+    names, kinds = ["key", "d", "h", "centre", "failed", "at", "context"], [pa.int64()] * 4 + [pa.bool_(), pa.int32(), pa.binary()]
+
+    def batch(rows: list, names: list, kinds: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Hashes()
+        for b in batches:
+            rows = []
+            for d, h, text, *refs in zip(*(b.column(i).to_pylist() for i in range(2)), utf8(b.column(2)), *(b.column(i).to_pylist() for i in range(3, 6)), strict=True):
+                t = tokens(text, known).astype(np.uint32)
+                for key, centre, failed in zip(*refs, strict=True):
+                    lo = max(0, centre - reach)
+                    rows.append((key, d, h, centre, failed, centre - lo, t[lo:centre + reach + 1].tobytes()))
+                    if len(rows) >= 1 << 14:
+                        yield batch(rows, names, kinds)
+                        rows = []
+            if rows:
+                yield batch(rows, names, kinds)
+
+    out = ["doc_id", "h", "centre", "of_id", "of_h", "of_centre"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs_of(group: list[pa.RecordBatch]) -> Iterator[tuple]:
+            _, d, h, centre, failed, at, context = (pa.chunked_array([b.column(i) for b in group]).to_pylist() for i in range(7))
+            if len(d) > 1 and any(failed):
+                for i, j in tried(d, h, failed, at, context, width, similarity):
+                    yield d[i], h[i], centre[i], d[j], h[j], centre[j]
+
+        held, last, rows = [], None, []
+        for b in batches:
+            key = b.column(0).to_numpy()
+            at = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+            for x, y in zip(at[:-1], at[1:], strict=True):
+                if held and key[x] != last:
+                    rows += pairs_of(held)
+                    held = []
+                held.append(b.slice(x, y - x))
+                last = key[x]
+            if rows:
+                yield batch(rows, out, [pa.int64()] * 6)
+                rows = []
+        if held and (rows := list(pairs_of(held))):
+            yield batch(rows, out, [pa.int64()] * 6)
+
+    contexts = asked.mapInArrow(cut, "key long, d long, h long, centre long, failed boolean, at int, context binary")
+    found = contexts.repartition("key").sortWithinPartitions("key", "d", _tag("h"), "h", "centre").mapInArrow(run, ", ".join(f"{c} long" for c in out))
+    # few pairs, and passages of any length: the whole documents are asked for
+    whole = F.lit(1 << 40)
+    return (found.groupBy("doc_id", _tag("h").alias("tag"), "of_id", _tag("of_h").alias("of_tag"))
+            .agg(F.collect_list(F.struct("centre", "of_centre")).alias("seeds"))
+            .withColumns({"pair": F.xxhash64("doc_id", "tag", "of_id", "of_tag"), "a_first": F.lit(0), "a_last": whole, "b_first": F.lit(0), "b_last": whole}))
+
+
+def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The passages of ``pairs``, as :func:`repeats` gives them."""
     # each document hands every pair it is in the tokens that may matter; documents in no pair are not shuffled
     n = F.col("a_last") - F.col("a_first") + 1
     part = lambda side, lo, hi: F.struct("pair", F.lit(side).alias("side"), lo.alias("lo"), hi.alias("hi")).alias("ask")
-    ask = (pairs.select("doc_id", "tag", part(0, F.col("a_first"), F.col("a_last")))
+    ask = (pairs.select("doc_id", "tag", part(0, F.greatest(F.lit(0), F.col("a_first") - width), F.col("a_last") + width))
            .unionByName(pairs.select(F.col("of_id").alias("doc_id"), F.col("of_tag").alias("tag"),
                                      part(1, F.greatest(F.lit(0), F.col("b_first") - n), F.col("b_last") + n))))
     bits = member_bits(spark, ask.select(F.xxhash64("doc_id", "tag").alias("ref")))
-    one = docs.select(F.col("doc_id").cast("long").alias("d"), text_hash().alias("h"), F.col("text").cast("string").alias("text")).withColumn("t", _tag("h"))
-    one, _ = parted(one, F.xxhash64("d", "t"), bits)
+    one, _ = parted(_documents(docs), F.xxhash64("d", "t"), bits)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last, t = _Hashes(), None, None
@@ -366,7 +509,8 @@ def repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, similarity
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], out)
 
     out = ["doc_id", "text_hash", "start_word", "end_word", "of_doc_id", "of_text_hash", "of_start_word", "of_end_word", "similarity"]
-    both = pairs.select("pair", "doc_id", "of_id", "seeds").join(sides[0], "pair").join(sides[1], "pair")
+    seeds = F.transform("seeds", lambda x: F.struct(x["centre"].alias("centre"), x["of_centre"].alias("of_centre"))).alias("seeds")
+    both = pairs.select("pair", "doc_id", "of_id", seeds).join(sides[0], "pair").join(sides[1], "pair")
     return both.mapInArrow(verify, ", ".join(f"{c} long" for c in out[:-1]) + ", similarity double")
 
 

@@ -112,6 +112,33 @@ def found(spark, texts, partitions=1):
     return got
 
 
+def test_members_that_fail_against_the_first_meet_the_others(spark):
+    """A and D are edited copies of B: each is near to B, but they are not near to each other."""
+    rnd = random.Random(11)
+    texts, groups = [[], [], []], 20
+    for _ in range(groups):
+        p = prose(rnd, 50)
+        for k, at in enumerate((12, None, 37)):
+            own = p[:]
+            if at:
+                own[at] = f"edit{rnd.random()}"
+            texts[k].append(" ".join(prose(rnd, 30) + own + prose(rnd, 30)))
+    for partitions in (1, 3):
+        got = found(spark, sum(texts, []), partitions)
+        d = [i for i in range(2 * groups, 3 * groups) if any(s <= 30 and e >= 80 and of == i - groups for s, e, of in got.get(i, []))]
+        assert len(d) >= 0.9 * groups, d
+
+
+def test_second_tries_set_a_frequent_line_aside():
+    rnd = np.random.default_rng(5)
+    line = rnd.integers(0, 1 << 32, 16, dtype=np.uint32)
+    rows = [np.concatenate([rnd.integers(0, 1 << 32, 60, dtype=np.uint32), line, rnd.integers(0, 1 << 32, 60, dtype=np.uint32)]) for _ in range(300)]
+    rows[200] = rows[120].copy()
+    rows[200][100] = 1
+    n = len(rows)
+    assert list(C.tried(list(range(n)), [0] * n, [i > 0 for i in range(n)], [68] * n, [x.tobytes() for x in rows], 46, 0.8)) == [(200, 120)]
+
+
 def test_long_edits_are_bridged(spark):
     rnd = random.Random(12)
     n, texts, more = 20, [], []
