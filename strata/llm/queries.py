@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import table
+from strata.llm.oracle import ORACLE  # noqa: F401  SQL by query, where SQL can state it; tests hold the others against brute force
 
 QUERIES = {}
-#: DuckDB SQL by query; none of these methods can be stated in SQL, so tests hold them against brute force.
-ORACLE: dict[str, str] = {}
 
 
 def query(fn):
@@ -107,3 +106,23 @@ def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     edits = F.array(edit(first, first + 5, " edited "), edit(at(2, after), at(2, after), "x"), edit(third, third + 20, ""))
     done = apply_edits(spark, kept.withColumn("edits", edits), path, pattern)
     return done.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "rescanned", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.winnowing import contamination
+    found = contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.prefix_trie import rebuilt, trie
+    return trie(spark, rebuilt(spark, table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_blockmax_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.blockmax import build, search
+    return search(spark, build(spark, table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=10)
