@@ -32,7 +32,11 @@ def _joined(spans, kinds=None):
 def op1_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.secret_links import BASE, secrets
     found = secrets(spark, table(spark, sf_dir, "documents"))
-    return found.select("doc_id", *[F.size(F.filter("spans", lambda p, k=k: p["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE],
+
+    def n(kind: str):  # the lambda takes the element alone: Spark gives a second parameter the element's place
+        return F.size(F.filter("spans", lambda p: p["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(n, BASE),
                         F.sha2(_joined(F.col("spans"), BASE), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
