@@ -20,6 +20,10 @@ REASON_DUPLICATE = "Duplicate Transaction"
 REASON_NULL_REQUIRED = "Null value in required column: {col}"
 REASON_NEGATIVE_COL = "Negative Numeric Metric: {col}"
 
+# --- Own reasons for rows that the rules above cannot judge: another number of fields than the header, units beyond 32 bits.
+REASON_MALFORMED_ROW = "Malformed Row"
+REASON_OUT_OF_RANGE = "Numeric Metric Out of Range"
+
 # --- Extension reasons (off by default, not part of the reproduced behaviour).
 REASON_MALFORMED_NUMERIC = "Malformed Numeric Metric: {col}"
 REASON_UNPARSEABLE_DATE = "Unparseable Date: {col}"
@@ -45,6 +49,7 @@ GUARD_SPARK_EXTRA_KEYWORDS = ("reflect", "java_method", "try_reflect")
 GUARD_QUOTED = r"""'(?:[^'\\]++|\\[\s\S]|'')*+'|"(?:[^"\\]++|\\[\s\S]|"")*+"|`(?:[^`]++|``)*+`"""
 GUARD_COMMENT = r"--[^\r\n]*+|/\*[\s\S]*?\*/"
 GUARD_MSG_FOREIGN = "Query reads outside its workspace: {names}"
+GUARD_MSG_NO_PLAN = "Query cannot be checked on this kind of session."
 GUARD_MSG_NOT_SELECT = "Query must be a read-only SELECT or WITH statement."
 GUARD_MSG_FORBIDDEN = "Query contains forbidden write/modify keyword(s): {kw}"
 GUARD_MSG_BLOCKED = "SQL Guard Blocked Query: {msg}"

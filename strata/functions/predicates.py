@@ -53,6 +53,11 @@ def malformed_numeric(c) -> Column:
         F.lit(False))
 
 
+def out_of_int_range(c) -> Column:
+    """A number (NaN is none) that :func:`strata.functions.casts.to_int` cannot hold. Never NULL."""
+    return F.coalesce(~F.isnan(to_real(c)) & to_int(c).isNull(), F.lit(False)) & to_real(c).isNotNull()
+
+
 def any_negative(cols: Iterable, int_cols: Iterable = ()) -> Column:
     """``CAST(a AS REAL) < 0 OR ...`` with SQL three-valued logic kept."""
     conds = [to_real(c) < 0 for c in cols] + [to_int(c) < 0 for c in int_cols]

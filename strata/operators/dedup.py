@@ -12,21 +12,31 @@ then every raw column DESC (NULLs last), then the row identity.  Identical
 copies tie on everything but the row identity, and any of them yields the
 same survivor content.
 
-The complement (rows that are *not* the survivor, i.e. ``rn > 1``) only
-exists for keys seen more than once.  The same aggregate counts the rows
-per key, so the duplicate search joins the rows with just those keys (and
-their survivor's identity).  How that join runs is left to adaptive
-execution, which measures the key set; in a shuffle join it splits hot keys.  Key columns compare null-safely, as
-grouping does.
+Only keys seen more than once need any of this.  A first aggregate counts
+rows per 64-bit key hash (fixed width, so it is a hash aggregate and
+shuffles 16 bytes a key); the hashes counted twice or more set bits in a
+table of fixed size (a Bloom filter with one hash).  Rows whose bit is not
+set are alone with their key: they survive where they were read, without a
+shuffle.  Only the others, a superset of the repeated keys' rows, go through
+the struct aggregate, and only they are joined with the repeated keys (and
+their survivor's identity) to find the rows that did not survive
+(``rn > 1``).  How that join runs is left to adaptive execution, which
+measures the key set; in a shuffle join it splits hot keys.  Key columns
+compare null-safely, as grouping does; a hash collision only makes a row a
+candidate that is then compared exactly.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Words of 64 bits in the table of repeated keys: two megabytes, whatever it is made of.
+BIT_WORDS = 1 << 17
+
 
 def _order_fields(df: DataFrame, order_first: Sequence[str], row_id: Sequence[str]) -> list[str]:
     rest = [c for c in df.columns if c not in order_first and c not in row_id]
@@ -39,42 +49,89 @@ def _identity(df: DataFrame, row_id: Sequence[str]) -> list[str]:
     return [c for c in row_id if c in df.columns]
 
 
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
 def key_groups(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
                order_first: Sequence[str] = ("ingested_at", "source_file")) -> DataFrame:
-    """(keys..., _w: survivor struct, _n: rows per key) — one partial/final aggregate.
+    """(_kh, keys..., _w: survivor struct, _n: rows per key) — one partial/final aggregate.
+
+    The key's 64-bit hash comes first among the grouping columns: the aggregate
+    sorts, and nearly every comparison ends at those eight bytes instead of
+    running through equal beginnings of the key texts.
 
     The struct holds the columns that are not keys: a key is constant in its
     group, so it neither orders nor needs to travel twice.  Both the survivors
-    and the duplicates derive from the result; a flow that needs both can write
-    it once and pass it to each (``groups=``)."""
+    and the duplicates derive from the result."""
     fields = [c for c in _order_fields(df, order_first, _identity(df, row_id)) if c not in keys]
-    return df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in fields])).alias("_w"),
-                                 F.count(F.lit(1)).alias("_n"))
+    return df.groupBy(_key_hash(keys).alias("_kh"), *keys).agg(F.max(F.struct(*[F.col(c) for c in fields])).alias("_w"),
+                                                               F.count(F.lit(1)).alias("_n"))
+
+
+def repeated_bits(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(word, bits): a bit for the hash of every key that ``df`` holds more than once, in at most ``BIT_WORDS`` rows."""
+    repeated = df.groupBy(_key_hash(keys).alias("_kh")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return (repeated.groupBy(F.expr(f"pmod(_kh, {BIT_WORDS}L)").alias("_word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(shiftright(_kh, 20), 64) as int))")).alias("_bits")))
+
+
+def _marked(df: DataFrame, keys: Sequence[str], bits: DataFrame) -> DataFrame:
+    """``df`` with ``_repeated``: whether the row's key may be held more than once. The broadcast table has a fixed bound;
+    with keys beyond it more and more rows are marked, and nothing is lost."""
+    spot = F.expr("shiftleft(1L, cast(pmod(shiftright(_kh, 20), 64) as int))")
+    marked = df.withColumn("_kh", _key_hash(keys))
+    marked = marked.join(F.broadcast(bits), F.expr(f"pmod(_kh, {BIT_WORDS}L)") == F.col("_word"), "left")
+    return marked.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(F.col("_bits").bitwiseAND(spot) != 0, F.lit(False)).alias("_repeated"))
+
+
+@dataclass(frozen=True)
+class Repeats:
+    """The repeated keys of some rows: their bits, and the :func:`key_groups` of the rows whose bit is set. A flow that
+    needs survivors and duplicates writes both once and passes them to each."""
+
+    bits: DataFrame
+    groups: DataFrame
+
+
+def repeats(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
+            order_first: Sequence[str] = ("ingested_at", "source_file"), bits: DataFrame | None = None) -> Repeats:
+    """:class:`Repeats` of ``df``; pass ``bits`` where they are already written."""
+    bits = bits if bits is not None else repeated_bits(df, keys)
+    return Repeats(bits, key_groups(_marked(df, keys, bits).where("_repeated").drop("_repeated"), keys, row_id, order_first))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
                    order_first: Sequence[str] = ("ingested_at", "source_file"),
-                   groups: DataFrame | None = None) -> DataFrame:
+                   known: Repeats | None = None) -> DataFrame:
     """One row per ``keys``: the greatest by (order_first..., other columns..., row_id).
 
+    With the repeated keys ``known``, rows that are alone with their key pass as they
+    are, without a shuffle, and only the others' survivors are read from the groups.
+    Without, one aggregate over all rows finds the survivors: one scan and one
+    shuffle, where looking for the repeated keys first would take two scans more.
     Keys are read from the grouping columns, so a filter on one reaches the scan."""
-    g = groups if groups is not None else key_groups(df, keys, row_id, order_first)
-    return g.select(*[F.col(c) if c in keys else F.col(f"_w.{c}").alias(c) for c in df.columns])
+    groups = known.groups if known else key_groups(df, keys, row_id, order_first)
+    survivors = groups.select(*[F.col(c) if c in keys else F.col(f"_w.{c}").alias(c) for c in df.columns])
+    return _marked(df, keys, known.bits).where("NOT _repeated").drop("_repeated").unionByName(survivors) if known else survivors
 
 
-def with_duplicate_flag(df: DataFrame, groups: DataFrame, keys: Sequence[str], row_id: Sequence[str]) -> DataFrame:
-    """``df`` with ``_duplicate``: the row's key is in ``groups`` more than once and another row survived.
-
-    The join runs on a 64-bit hash of the key (one fixed-width column to
-    shuffle and sort on instead of several strings); the exact null-safe key
-    equality stays as a residual condition, so a hash collision can never
-    pair rows of different keys.  Rows whose key is not in ``groups`` are not
-    duplicates."""
+def not_latest(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
+               order_first: Sequence[str] = ("ingested_at", "source_file"),
+               known: Repeats | None = None) -> DataFrame:
+    """Rows of ``df`` that did not survive (``rn > 1``).
+
+    An inner join of the rows whose key's bit is set with the keys held more than
+    once. It runs on a 64-bit hash of the key (one fixed-width column to shuffle
+    and sort on instead of several strings); the exact null-safe key equality
+    stays as a residual condition, so a hash collision can never pair rows of
+    different keys."""
+    known = known or repeats(df, keys, row_id, order_first)
     ids = _identity(df, row_id)
-    dup_keys = groups.where(F.col("_n") > 1).select(
-        F.xxhash64(*[F.col(k) for k in keys]).alias("_kh2"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+    dup_keys = known.groups.where(F.col("_n") > 1).select(
+        F.col("_kh").alias("_kh2"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         *[(F.col(c) if c in keys else F.col(f"_w.{c}")).alias(f"_s{i}") for i, c in enumerate(ids)])
-    rows = df.withColumn("_kh", F.xxhash64(*[F.col(k) for k in keys]))
+    rows = _marked(df, keys, known.bits).where("_repeated").drop("_repeated").withColumn("_kh", _key_hash(keys))
     # null-safe equality written so the planner keeps it as a residual check
     # (only _kh becomes a shuffle/sort key)
     on = [rows["_kh"] == dup_keys["_kh2"]] + \
@@ -83,13 +140,4 @@ def with_duplicate_flag(df: DataFrame, groups: DataFrame, keys: Sequence[str], r
     survivor = F.lit(True)
     for i, c in enumerate(ids):
         survivor = survivor & rows[c].eqNullSafe(dup_keys[f"_s{i}"])
-    flag = dup_keys["_kh2"].isNotNull() & ~survivor
-    return rows.join(dup_keys, on, "left").select(*[rows[c] for c in df.columns], flag.alias("_duplicate"))
-
-
-def not_latest(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
-               order_first: Sequence[str] = ("ingested_at", "source_file"),
-               groups: DataFrame | None = None) -> DataFrame:
-    """Rows of ``df`` that did not survive (``rn > 1``)."""
-    g = groups if groups is not None else key_groups(df, keys, row_id, order_first)
-    return with_duplicate_flag(df, g, keys, row_id).where("_duplicate").drop("_duplicate")
+    return rows.join(dup_keys, on, "inner").where(~survivor).select(*[rows[c] for c in df.columns])

@@ -15,13 +15,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AUDIT_COLUMNS = ("ingested_at", "source_file")
+#: What ingestion notes of a record whose fields do not match its header: its text, and how many fields it has.
+MALFORMED, FIELD_COUNT = "_malformed", "_field_count"
 # bronze written by strata.sources.files.ingest_csv: every ingest has an id of its
 # own (two may share ingested_at), and _row_id is unique within an ingest
 DEFAULT_ROW_ID = ("ingested_at", "source_file", "_ingest_id", "_row_id")
 
 
 def raw_columns(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID) -> list[str]:
-    return [c for c in bronze.columns if c not in AUDIT_COLUMNS and c not in row_id]
+    return [c for c in bronze.columns if c not in AUDIT_COLUMNS and c not in row_id and c not in (MALFORMED, FIELD_COUNT)]
+
+
+def malformed_row(bronze: DataFrame) -> Column:
+    """Whether ingestion noted a wrong number of fields (never, where bronze has no such note). Never NULL."""
+    return F.col(MALFORMED).isNotNull() if MALFORMED in bronze.columns else F.lit(False)
+
+
+def well_formed(bronze: DataFrame) -> DataFrame:
+    """The rows with as many fields as their header, without the notes."""
+    return bronze.where(~malformed_row(bronze)).drop(MALFORMED, FIELD_COUNT) if MALFORMED in bronze.columns else bronze
 
 
 def identity_columns(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID) -> list[str]:

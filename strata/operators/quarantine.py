@@ -11,8 +11,10 @@ Two rule sets exist and differ on purpose:
   so a row with two violations is quarantined twice; duplicates are looked
   for only among rows that pass every rule.
 
-All row rules and the duplicate flag are evaluated in one pass over bronze
-instead of one scan per rule.
+All row rules are evaluated in one pass over bronze that shuffles nothing;
+duplicates are joined from the rows of repeated keys alone.  Rows that
+ingestion found to have another number of fields than their header carry
+that reason alone: their values may stand in the wrong columns.
 """
 
 from __future__ import annotations
@@ -23,18 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.constants import (
-    REASON_DUPLICATE, REASON_MALFORMED_NUMERIC, REASON_MISSING_CATEGORY, REASON_MISSING_DATE,
-    REASON_NEGATIVE_ANY, REASON_NEGATIVE_COL, REASON_NULL_REQUIRED, REASON_UNPARSEABLE_DATE,
+    REASON_DUPLICATE, REASON_MALFORMED_NUMERIC, REASON_MALFORMED_ROW, REASON_MISSING_CATEGORY, REASON_MISSING_DATE,
+    REASON_NEGATIVE_ANY, REASON_NEGATIVE_COL, REASON_NULL_REQUIRED, REASON_OUT_OF_RANGE, REASON_UNPARSEABLE_DATE,
     SALES_COLUMNS, SALES_DEDUP_KEYS,
 )
 from strata.functions.casts import to_date
 from strata.functions.predicates import (
-    all_non_negative, any_negative, malformed_numeric, missing, negative, present,
+    all_non_negative, any_negative, malformed_numeric, missing, negative, out_of_int_range, present,
 )
-from strata.operators.dedup import key_groups, with_duplicate_flag
-from strata.operators.layers import DEFAULT_ROW_ID, run_timestamp
+from strata.operators.dedup import Repeats, not_latest, repeats
+from strata.operators.layers import DEFAULT_ROW_ID, malformed_row, run_timestamp, well_formed
 from strata.operators.model import Profile
-from strata.operators.silver import valid_row
+from strata.operators.silver import dated, sales_repeats, valid_row
 
 
 def _shape(rows: DataFrame, cols: Sequence[str], run_ts) -> DataFrame:
@@ -63,7 +65,8 @@ def sales_rule_reason(extensions: bool = False):
         rule = rule.when(to_date("date").isNull(), REASON_UNPARSEABLE_DATE.format(col="date"))
         for c in SALES_MEASURES:
             rule = rule.when(malformed_numeric(c), REASON_MALFORMED_NUMERIC.format(col=c))
-    return rule.when(any_negative(["revenue", "cost"], ["units_sold"]), REASON_NEGATIVE_ANY)
+    return (rule.when(any_negative(["revenue", "cost"], ["units_sold"]), REASON_NEGATIVE_ANY)
+            .when(out_of_int_range("units_sold"), REASON_OUT_OF_RANGE))
 
 
 def sales_extension_ok():
@@ -75,35 +78,37 @@ def sales_extension_ok():
 
 
 def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
-                     run_ts=None, groups: DataFrame | None = None, extensions: bool = False) -> DataFrame:
+                     run_ts=None, known: Repeats | None = None, extensions: bool = False) -> DataFrame:
     """Baseline sales quarantine (cascade, one reason per row).
 
-    One pass over bronze gives each row its rule or its duplicate flag; the
-    other is the keep-latest aggregate, unless ``groups`` (the already written
-    :func:`strata.operators.silver.sales_groups`) is given.  ``extensions``:
-    see :func:`sales_rule_reason`."""
-    if groups is None:
-        groups = key_groups(bronze.where(~missing("date") & ~missing("category")), SALES_DEDUP_KEYS, row_id)
-    dup = F.col("_duplicate") & all_non_negative(["revenue", "cost"], ["units_sold"])
+    Rows that break a rule, found where they are read, and the duplicates among
+    the others. ``known``: the already written
+    :func:`strata.operators.silver.sales_repeats`. ``extensions``: see
+    :func:`sales_rule_reason`."""
+    known = known or sales_repeats(bronze, row_id)
+    dup = all_non_negative(["revenue", "cost"], ["units_sold"])
     if extensions:
         dup = dup & sales_extension_ok()
-    rows = with_duplicate_flag(bronze, groups, SALES_DEDUP_KEYS, row_id)
-    reason = F.coalesce(sales_rule_reason(extensions), F.when(dup, REASON_DUPLICATE))
-    return _shape(rows.withColumn("rejection_reason", reason).where(F.col("rejection_reason").isNotNull()),
-                  SALES_COLUMNS, run_ts)
+    copies = not_latest(dated(bronze), SALES_DEDUP_KEYS, row_id, known=known).where(dup)
+    return _sales_broken(bronze, run_ts, extensions).unionByName(
+        _shape(copies.withColumn("rejection_reason", F.lit(REASON_DUPLICATE)), SALES_COLUMNS, run_ts))
+
+
+def _sales_broken(bronze: DataFrame, run_ts, extensions: bool = False) -> DataFrame:
+    reason = F.when(malformed_row(bronze), REASON_MALFORMED_ROW).otherwise(sales_rule_reason(extensions))
+    return _shape(bronze.withColumn("rejection_reason", reason).where(F.col("rejection_reason").isNotNull()), SALES_COLUMNS, run_ts)
 
 
 def sales_row_rules(bronze: DataFrame, run_ts=None) -> DataFrame:
     """Only the stateless row rules of :func:`quarantine_sales` (no duplicates):
     usable on a stream, where each micro-batch is checked on its own."""
-    rows = bronze.withColumn("rejection_reason", sales_rule_reason()) \
-        .where(F.col("rejection_reason").isNotNull())
-    return _shape(rows, SALES_COLUMNS, run_ts)
+    return _sales_broken(bronze, run_ts)
 
 
 def row_rule_quarantine(bronze: DataFrame, profile: Profile, run_ts=None, extensions: bool = False) -> DataFrame:
     """Only the stateless row rules of :func:`quarantine` (no duplicates)."""
-    rows = bronze.select("*", F.explode(rule_reasons(profile, extensions)).alias("rejection_reason"))
+    reasons = F.when(malformed_row(bronze), F.array(F.lit(REASON_MALFORMED_ROW))).otherwise(rule_reasons(profile, extensions))
+    rows = bronze.select("*", F.explode(reasons).alias("rejection_reason"))
     return _shape(rows, profile.names, run_ts)
 
 
@@ -121,24 +126,24 @@ def rule_reasons(profile: Profile, extensions: bool = False):
     return F.array_compact(F.array(*checks))
 
 
-def valid_groups(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFAULT_ROW_ID,
-                 dedup_keys: Sequence[str] | None = None, extensions: bool = False) -> DataFrame:
-    """The keep-latest aggregate of the rows that pass every rule of the profile."""
-    return key_groups(bronze.where(valid_row(profile, extensions)), list(dedup_keys or profile.dedup_keys()), row_id)
+def _valid(bronze: DataFrame, profile: Profile, extensions: bool) -> DataFrame:
+    return well_formed(bronze).where(valid_row(profile, extensions))
+
+
+def valid_repeats(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFAULT_ROW_ID,
+                  dedup_keys: Sequence[str] | None = None, extensions: bool = False, bits: DataFrame | None = None) -> Repeats:
+    """The repeated keys of the rows that pass every rule of the profile."""
+    return repeats(_valid(bronze, profile, extensions), list(dedup_keys or profile.dedup_keys()), row_id, bits=bits)
 
 
 def quarantine(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFAULT_ROW_ID,
                dedup_keys: Sequence[str] | None = None, run_ts=None,
-               extensions: bool = False, groups: DataFrame | None = None) -> DataFrame:
+               extensions: bool = False, known: Repeats | None = None) -> DataFrame:
     """Profile-driven quarantine (one row per violated rule, plus duplicates).
 
-    One pass over bronze besides the aggregate; ``groups``: the already written
-    :func:`valid_groups`."""
+    ``known``: the already written :func:`valid_repeats`."""
     keys = list(dedup_keys or profile.dedup_keys())
-    if groups is None:
-        groups = valid_groups(bronze, profile, row_id, keys, extensions)
-    rows = with_duplicate_flag(bronze, groups, keys, row_id)
-    dup = F.col("_duplicate") & F.coalesce(valid_row(profile, extensions), F.lit(False))
-    reasons = F.concat(rule_reasons(profile, extensions), F.when(dup, F.array(F.lit(REASON_DUPLICATE)))
-                       .otherwise(F.array().cast("array<string>")))
-    return _shape(rows.select("*", F.explode(reasons).alias("rejection_reason")), profile.names, run_ts)
+    known = known or valid_repeats(bronze, profile, row_id, keys, extensions)
+    copies = not_latest(_valid(bronze, profile, extensions), keys, row_id, known=known)
+    return row_rule_quarantine(bronze, profile, run_ts, extensions).unionByName(
+        _shape(copies.withColumn("rejection_reason", F.lit(REASON_DUPLICATE)), profile.names, run_ts))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from strata.constants import SALES_DEDUP_KEYS
 from strata.functions.casts import to_date, to_int, to_real
 from strata.functions.predicates import all_of, non_negative, present
-from strata.operators.dedup import key_groups, latest_per_key
-from strata.operators.layers import DEFAULT_ROW_ID, identity_columns, run_timestamp, surrogate_id
+from strata.operators.dedup import Repeats, latest_per_key, repeats
+from strata.operators.layers import DEFAULT_ROW_ID, identity_columns, run_timestamp, surrogate_id, well_formed
 from strata.operators.model import Profile
 
 
@@ -34,14 +34,14 @@ def typed_column(name: str, role: str) -> Column:
 
 def silver(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFAULT_ROW_ID,
            dedup_keys: Sequence[str] | None = None, run_ts=None, extensions: bool = False,
-           groups: DataFrame | None = None) -> DataFrame:
+           known: Repeats | None = None) -> DataFrame:
     """Profile-driven silver: filter valid rows first, then keep the latest per key.
 
     With ``extensions`` rows whose date text does not parse are not valid either
-    (the matching quarantine reason is ``Unparseable Date: <col>``). ``groups``:
-    the already written :func:`strata.operators.quarantine.valid_groups`."""
-    valid = bronze.where(valid_row(profile, extensions))
-    survivors = latest_per_key(valid, list(dedup_keys or profile.dedup_keys()), row_id, groups=groups)
+    (the matching quarantine reason is ``Unparseable Date: <col>``). ``known``:
+    the already written :func:`strata.operators.quarantine.valid_repeats`."""
+    valid = well_formed(bronze).where(valid_row(profile, extensions))
+    survivors = latest_per_key(valid, list(dedup_keys or profile.dedup_keys()), row_id, known=known)
     id_cols = identity_columns(bronze, row_id)
     return survivors.select(
         surrogate_id(id_cols).alias("id"),
@@ -50,23 +50,27 @@ def silver(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFAULT_
     )
 
 
-def sales_groups(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID) -> DataFrame:
-    """The keep-latest aggregate of the baseline sales rules (rows with a date and a category)."""
-    return key_groups(bronze.where(present("date") & present("category")), SALES_DEDUP_KEYS, row_id)
+def dated(bronze: DataFrame) -> DataFrame:
+    """The rows that the baseline sales rules look for duplicates among: with a date and a category."""
+    return well_formed(bronze).where(present("date") & present("category"))
+
+
+def sales_repeats(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID, bits: DataFrame | None = None) -> Repeats:
+    """The repeated keys of the baseline sales rules."""
+    return repeats(dated(bronze), SALES_DEDUP_KEYS, row_id, bits=bits)
 
 
 def silver_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID, run_ts=None,
-                 groups: DataFrame | None = None, extensions: bool = False) -> DataFrame:
+                 known: Repeats | None = None, extensions: bool = False) -> DataFrame:
     """Baseline sales silver with ``profit``.
 
     The dedup runs over rows with a date and a category *before* the
     numeric check, so a negative newest copy hides an older valid one.
-    ``groups`` is :func:`sales_groups` when already computed.  With
+    ``known`` is :func:`sales_repeats` when already written.  With
     ``extensions`` a survivor with an unparseable date or a malformed number
     is left out (it is quarantined with its own reason) instead of passing
     with a NULL date."""
-    dated = bronze.where(present("date") & present("category"))
-    survivors = latest_per_key(dated, SALES_DEDUP_KEYS, row_id, groups=groups)
+    survivors = latest_per_key(dated(bronze), SALES_DEDUP_KEYS, row_id, known=known)
     if extensions:
         from strata.operators.quarantine import sales_extension_ok
         survivors = survivors.where(sales_extension_ok())

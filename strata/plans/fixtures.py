@@ -145,12 +145,13 @@ _STORED: dict[tuple, str] = {}
 
 def stored_bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from strata.session import scratch_path
+    from strata.sources.files import write_layer
     build = {"sales": sales_bronze, "lineitem": lineitem_bronze, "customer": customer_bronze}[name]
     key = (app_id(spark), sf_dir, name)
     path = _STORED.get(key)
     if path is None:
         path = scratch_path(spark, f"bronze-{name}")
-        build(spark, sf_dir).write.mode("overwrite").parquet(path)  # a rerun rewrites, never half-appends
+        write_layer(build(spark, sf_dir), path)  # a rerun rewrites, never half-appends
         _STORED[key] = path
     return _read(spark, path)
 
@@ -160,7 +161,8 @@ def stored_sales_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     once per application and read back — what reports and audits read."""
     from strata.operators.gold import gold_monthly
     from strata.operators.quarantine import quarantine_sales
-    from strata.operators.silver import sales_groups, silver_sales
+    from strata.operators.silver import sales_repeats, silver_sales
+    from strata.plans.medallion import write_repeats
     from strata.session import scratch_path
     from strata.sources.files import run_concurrently, write_layer
     bronze = stored_bronze(spark, sf_dir, "sales")
@@ -168,12 +170,11 @@ def stored_sales_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     root = _STORED.get(key)
     if root is None:
         root = scratch_path(spark, "sales-layers")
-        # the keep-latest aggregate is written once and read by silver and quarantine
-        write_layer(sales_groups(bronze, SALES_ROW_ID), f"{root}/_groups")
-        groups = spark.read.parquet(f"{root}/_groups")
-        q = quarantine_sales(bronze, row_id=SALES_ROW_ID, groups=groups)
+        # the repeated keys are written once and read by silver and quarantine
+        known = write_repeats(spark, lambda bits: sales_repeats(bronze, SALES_ROW_ID, bits), f"{root}/_repeats")
+        q = quarantine_sales(bronze, row_id=SALES_ROW_ID, known=known)
         run_concurrently(  # silver (then gold from it) and quarantine are independent jobs
-            lambda: (write_layer(silver_sales(bronze, row_id=SALES_ROW_ID, groups=groups), f"{root}/silver"),
+            lambda: (write_layer(silver_sales(bronze, row_id=SALES_ROW_ID, known=known), f"{root}/silver"),
                      write_layer(gold_monthly(spark.read.parquet(f"{root}/silver")), f"{root}/gold")),
             lambda: write_layer(q, f"{root}/quarantine"))
         _STORED[key] = root

@@ -9,6 +9,7 @@ from the written bronze; gold from the written silver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,10 @@ from strata.operators.gold import gold, gold_from_sql, gold_monthly
 from strata.operators.model import Profile
 from strata.operators.profile import build_profile
 from strata.constants import BRONZE_TABLE, GOLD_TABLE, QUARANTINE_TABLE, SILVER_TABLE
-from strata.operators.quarantine import quarantine, quarantine_sales, valid_groups
-from strata.operators.silver import sales_groups, silver, silver_sales
+from strata.operators.dedup import Repeats
+from strata.operators.layers import raw_columns
+from strata.operators.quarantine import quarantine, quarantine_sales, valid_repeats
+from strata.operators.silver import sales_repeats, silver, silver_sales
 from strata.session import discard, scratch_path
 from strata.sources import files as IO
 from strata.sources.catalog import attach_table, create_workspace
@@ -35,6 +38,15 @@ class Layers:
     profile: Profile | None
 
 
+def write_repeats(spark: SparkSession, find: Callable[[DataFrame | None], Repeats], path: str) -> Repeats:
+    """The repeated keys that ``find`` gives (for bits that are already written, or for None), written once: first
+    their bits, then the groups of the rows they mark."""
+    IO.write_layer(find(None).bits, f"{path}/bits")
+    bits = spark.read.parquet(f"{path}/bits")
+    IO.write_layer(find(bits).groups, f"{path}/groups")
+    return Repeats(bits, spark.read.parquet(f"{path}/groups"))
+
+
 def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile | dict | None = None,
                   profile_from_data: bool = False, gold_sql: str | None = None,
                   dedup_keys=None, run_ts=None, export: bool = True, extensions: bool = False,
@@ -44,8 +56,8 @@ def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile
 
     Without a profile the baseline sales rules apply; with one (or with
     ``profile_from_data``) the profile-driven rules.  ``gold_sql`` (a read-only
-    SELECT over ``silver_clean_sales``) replaces the default gold.  The keep-latest
-    aggregate is written once, read by silver and quarantine, and deleted.
+    SELECT over ``silver_clean_sales``) replaces the default gold.  The repeated
+    keys are written once, read by silver and quarantine, and deleted.
     ``refresh`` replaces bronze, so a second run over the same files gives the same
     layers; without it the files are appended to what bronze holds.  With
     ``workspace`` the layers are registered as tables of that tenant.
@@ -58,14 +70,13 @@ def run_medallion(spark: SparkSession, landing: str, root: str, profile: Profile
         profile = Profile.from_dict(profile) if all(isinstance(v, dict) for v in profile.values()) \
             else Profile.of(profile)
     if profile is None and profile_from_data:
-        raw = [c for c in bronze.columns if c not in ("ingested_at", "source_file", "_ingest_id", "_row_id")]
-        profile = build_profile(bronze, raw, approx=approx_profile)
+        profile = build_profile(bronze, raw_columns(bronze), approx=approx_profile)
         IO.write_profile(spark, profile, f"{root}/profile")
 
-    scratch = scratch_path(spark, "dedup-groups")
-    IO.write_layer(sales_groups(bronze) if profile is None else
-                   valid_groups(bronze, profile, dedup_keys=dedup_keys, extensions=extensions), scratch)
-    shared = {"groups": spark.read.parquet(scratch), "run_ts": run_ts, "extensions": extensions}
+    scratch = scratch_path(spark, "repeats")
+    find = (lambda bits: sales_repeats(bronze, bits=bits)) if profile is None else \
+        (lambda bits: valid_repeats(bronze, profile, dedup_keys=dedup_keys, extensions=extensions, bits=bits))
+    shared = {"known": write_repeats(spark, find, scratch), "run_ts": run_ts, "extensions": extensions}
     if profile is None:
         s, q = silver_sales(bronze, **shared), quarantine_sales(bronze, **shared)
     else:

@@ -13,7 +13,8 @@ from strata.operators.model import Profile
 from strata.operators.profile import build_profile
 from strata.operators.silver import silver, silver_sales
 from strata.plans import oracle as O
-from strata.plans.fixtures import SALES_ROW_ID, TABLE_ROW_ID, stored_bronze, stored_sales_layers
+from strata.operators.layers import FIELD_COUNT, MALFORMED
+from strata.plans.fixtures import SALES_ROW_ID, TABLE_ROW_ID, stored_bronze, stored_sales_layers, table
 from strata.plans.medallion import run_medallion
 from strata.plans.queries_layers import CUSTOMER_PROFILE
 from strata.plans.queries_profile import CUSTOMER_COLS, _profile_oracle
@@ -78,6 +79,37 @@ def csv_landing_values(spark, d):
     return rows.groupBy(*SALES_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
 
 
+#: What becomes of a record by its order key: a separator too many, a field too few, a field too many, units that no
+#: 32-bit number holds, none of these. Both engines read this.
+_BREAK = "CAST(l_orderkey % 11 AS INTEGER)"
+
+
+@register("malformed_rows", f"""
+WITH r AS (SELECT {_BREAK} AS k FROM lineitem)
+SELECT layer, reason, field_count, COUNT(*) AS row_count FROM (
+  SELECT CASE WHEN k < 4 THEN 'quarantine' ELSE 'silver' END AS layer,
+         CASE WHEN k < 3 THEN 'Malformed Row' WHEN k = 3 THEN 'Numeric Metric Out of Range' END AS reason,
+         CASE k WHEN 0 THEN 6 WHEN 1 THEN 4 WHEN 2 THEN 7 END AS field_count FROM r
+  UNION ALL SELECT 'bronze', NULL, CASE k WHEN 0 THEN 6 WHEN 1 THEN 4 WHEN 2 THEN 7 END FROM r) GROUP BY ALL""")
+def malformed_rows(spark, d):
+    """Landing files with records of too few and too many fields and with units beyond 32 bits, through the whole flow:
+    every bronze row is in silver or, with a reason of its own, in quarantine. Quarantined records by their fields."""
+    li, k = table(spark, d, "lineitem").select("*", "_metadata.file_name", "_metadata.row_index"), F.expr(_BREAK)
+    category = F.concat_ws("-", F.lit("C"), F.hex(F.xxhash64("file_name")), "row_index")  # no two records are copies
+    fields = [F.date_format("l_shipdate", "yyyy-MM-dd"), F.when(k == 0, F.concat(category, F.lit(", x"))).otherwise(category), F.lit("12.50"), F.lit("3.25"),
+              F.when(k == 1, F.lit(None)).when(k == 3, "3000000000").otherwise("7"), F.when(k == 2, "surplus"), F.when(k == 2, "more")]
+    root = scratch_path(spark, "malformed")
+    line = F.concat_ws(",", *fields).alias(",".join(SALES_COLUMNS))  # a line a record, under the header of its file
+    li.select(line).write.options(header=True, sep=chr(1), quote="").csv(f"{root}/landing")
+    layers = run_medallion(spark, f"{root}/landing", f"{root}/lake", run_ts="2026-01-01 00:00:00", export=False)
+    noted = layers.bronze.select(F.lit("bronze").alias("layer"), F.lit(None).cast("string").alias("reason"), F.col(FIELD_COUNT).alias("field_count"))
+    # the text of a quarantined record names its fields: those of the header, and what ingestion noted beside them
+    of = layers.bronze.where(F.col(MALFORMED).isNotNull()).select(F.col("category").alias("raw_category"), FIELD_COUNT)
+    rejected = layers.quarantine.join(of, "raw_category", "left").select(F.lit("quarantine"), "rejection_reason", FIELD_COUNT)
+    kept = layers.silver.select(F.lit("silver"), F.lit(None).cast("string"), F.lit(None).cast("int"))
+    return noted.union(rejected).union(kept).groupBy("layer", "reason", "field_count").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def _gold_chain(prefix: str, where: str) -> str:
     """Static silver → gold CTE chain over a filtered sales_bronze (names prefixed)."""
     p = prefix
@@ -200,20 +232,32 @@ _CUSTOMERS = f"(SELECT COUNT(DISTINCT c_custkey) FROM customer_bronze WHERE {O.d
 @register("workspace_isolation", f"""
 WITH {O.SALES_BRONZE}, {O.SALES_RANKED}, {O.SALES_SILVER}, {O.CUSTOMER_BRONZE},
 n AS (SELECT 'sales-ops' AS workspace, (SELECT COUNT(*) FROM sales_silver) AS silver_rows UNION ALL SELECT 'customer-care', {_CUSTOMERS})
-SELECT workspace, attempt, CASE attempt WHEN 'own' THEN CAST(silver_rows AS BIGINT) END AS silver_rows,
-       CASE attempt WHEN 'own' THEN 'answered' WHEN 'column' THEN 'rejected' ELSE 'blocked' END AS outcome
-FROM n, (VALUES ('own'), ('column'), ('database'), ('catalog'), ('path'), ('subquery')) a(attempt)""")
+SELECT workspace, attempt, CASE WHEN attempt LIKE 'own%' THEN CAST(silver_rows AS BIGINT) END AS silver_rows,
+       CASE WHEN attempt LIKE 'own%' THEN 'answered' WHEN attempt = 'column' THEN 'rejected' ELSE 'blocked' END AS outcome
+FROM n, (VALUES ('own'), ('own qualified'), ('column'), ('database'), ('catalog'), ('path'), ('subquery'), ('identifier'), ('identifier in join'),
+  ('identifier of catalog'), ('identifier in cte'), ('composed identifier'), ('identifier function'), ('function'), ('exists'), ('view')) a(attempt)""")
 def workspace_isolation(spark, d):
     """The same table name in two workspaces: a tenant reads its own rows only; a column of the other tenant does not
-    resolve, and its database, by any name, or a path is refused."""
+    resolve, and its database, by any name or expression, through a view or a subquery, or a path is refused."""
     spaces = _two_workspaces(spark, d)
     rows = []
     for ws, other, column in ((spaces[0], spaces[1], "c_acctbal"), (spaces[1], spaces[0], "revenue")):
-        db = C.workspace_database(other)
+        db, own = C.workspace_database(other), C.workspace_database(ws)
+        spark.sql(f"CREATE OR REPLACE VIEW `{own}`.peek AS SELECT * FROM `{db}`.{SILVER_TABLE}")
         attempts = {"own": f"SELECT COUNT(*) AS n FROM {SILVER_TABLE}", "column": f"SELECT COUNT({column}) AS n FROM {SILVER_TABLE}",
                     "database": f"SELECT COUNT(*) AS n FROM `{db}`.{SILVER_TABLE}", "catalog": f"SELECT COUNT(*) AS n FROM spark_catalog.{db}.{SILVER_TABLE}",
                     "path": "SELECT COUNT(*) AS n FROM parquet.`/any/path`",
-                    "subquery": f"WITH t AS (SELECT 1 AS x) SELECT (SELECT COUNT(*) FROM {db}.{SILVER_TABLE}) AS n FROM t"}
+                    "subquery": f"WITH t AS (SELECT 1 AS x) SELECT (SELECT COUNT(*) FROM {db}.{SILVER_TABLE}) AS n FROM t",
+                    "own qualified": f"SELECT COUNT(*) AS n FROM {own}.{SILVER_TABLE}",
+                    "identifier": f"SELECT COUNT(*) AS n FROM IDENTIFIER('{db}.{SILVER_TABLE}')",
+                    "identifier in join": f"SELECT COUNT(*) AS n FROM {SILVER_TABLE} a CROSS JOIN IDENTIFIER('{db}.{SILVER_TABLE}') b",
+                    "identifier of catalog": f"SELECT COUNT(*) AS n FROM IDENTIFIER('spark_catalog.{db}.{SILVER_TABLE}')",
+                    "identifier in cte": f"WITH t AS (SELECT * FROM IDENTIFIER('{db}.{SILVER_TABLE}')) SELECT COUNT(*) AS n FROM t",
+                    "composed identifier": f"SELECT COUNT(*) AS n FROM IDENTIFIER('{db}' || '.{SILVER_TABLE}')",
+                    "identifier function": "SELECT IDENTIFIER('java_' || 'method')('java.lang.Math', 'abs', 1) AS n",
+                    "function": "SELECT input_file_block_start() AS n",
+                    "exists": f"SELECT COUNT(*) AS n FROM {SILVER_TABLE} WHERE EXISTS (SELECT 1 FROM `{db}`.{SILVER_TABLE})",
+                    "view": "SELECT COUNT(*) AS n FROM peek"}
         for attempt, sql in attempts.items():
             try:
                 rows.append((ws, attempt, int(run_guarded_sql(spark, sql, ws).first()["n"]), "answered"))
@@ -221,6 +265,7 @@ def workspace_isolation(spark, d):
                 rows.append((ws, attempt, None, "rejected"))
             except GuardError:
                 rows.append((ws, attempt, None, "blocked"))
+        spark.sql(f"DROP VIEW `{own}`.peek")
     return spark.createDataFrame(rows, "workspace string, attempt string, silver_rows bigint, outcome string")
 
 

@@ -12,17 +12,19 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.operators.layers import run_timestamp
+from strata.operators.layers import FIELD_COUNT, MALFORMED, run_timestamp
 
 
 # ------------------------------------------------------------------ landing CSV → bronze
 
 #: RFC 4180: a quote inside a quoted value is doubled.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+#: Layers are written in row groups of this many bytes, so that a file of any size is read by as many tasks as it has groups.
+LAYOUT = {"parquet.block.size": str(4 << 20)}
 #: No field is ever this, so an empty field reads as NULL and a quoted empty one as empty text.
 NO_TEXT = chr(0)
 
@@ -69,6 +71,12 @@ def all_text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
+def _fields(record) -> Column:
+    """Fields of a CSV record: its separators outside quotes, and one more."""
+    plain = F.regexp_replace(record, r'"(?:[^"]|"")*"', "")
+    return F.length(F.regexp_replace(plain, "[^,]", "")) + 1
+
+
 def read_landing_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,
                      run_ts=None, multi_line: bool = False, ingest_id: str | None = None) -> DataFrame:
     """Landing CSV as all-text bronze rows with ``ingested_at``, ``source_file``,
@@ -76,7 +84,10 @@ def read_landing_csv(spark: SparkSession, path: str | Sequence[str], columns: Se
 
     Columns are matched by each file's own header: files whose columns stand in
     another order, or that have more of them, are read by name, and a file that
-    lacks one is refused.  ``columns`` defaults to the first file's.  With
+    lacks one is refused.  ``columns`` defaults to the first file's.  A record with
+    fewer or more fields than its header (a missing value, a separator that is not
+    quoted) is kept, with its text in ``_malformed`` and its number of fields in
+    ``_field_count``; both are NULL for all other rows.  With
     ``multi_line`` quoted values may hold line breaks; each file is then read by
     one task."""
     import uuid
@@ -90,13 +101,18 @@ def read_landing_csv(spark: SparkSession, path: str | Sequence[str], columns: Se
     ingest = ingest_id or uuid.uuid4().hex
     out = None
     for k, (h, files) in enumerate(by_header.items()):
-        df = (spark.read.schema(all_text_schema(h)).options(**CSV_OPTIONS, multiLine=multi_line, mode="PERMISSIVE", nullValue=NO_TEXT).csv(files)
-              .select(*[F.col(f"`{c}`") for c in cols], run_timestamp(run_ts).alias("ingested_at"),
+        record = "_corrupt_record"
+        while record in h:
+            record += "_"
+        df = (spark.read.schema(all_text_schema([*h, record]))
+              .options(**CSV_OPTIONS, multiLine=multi_line, mode="PERMISSIVE", nullValue=NO_TEXT, columnNameOfCorruptRecord=record).csv(files)
+              .select(*[F.col(f"`{c}`") for c in cols], F.col(record).alias(MALFORMED), _fields(F.col(record)).alias(FIELD_COUNT),
+                      run_timestamp(run_ts).alias("ingested_at"),
                       F.col("_metadata.file_name").alias("source_file"),
                       F.lit(f"{ingest}-{k}").alias("_ingest_id"), F.monotonically_increasing_id().alias("_row_id")))
         out = df if out is None else out.unionByName(df)
     if out is None:
-        audit = "ingested_at timestamp, source_file string, _ingest_id string, _row_id bigint"
+        audit = f"{MALFORMED} string, {FIELD_COUNT} int, ingested_at timestamp, source_file string, _ingest_id string, _row_id bigint"
         return spark.createDataFrame([], ", ".join([f"`{c}` string" for c in cols] + [audit]))
     return out
 
@@ -106,7 +122,7 @@ def ingest_csv(spark: SparkSession, path: str | Sequence[str], bronze_path: str,
     """Append a landing CSV (file, directory or glob) to the bronze parquet table; with ``refresh`` it
     replaces what is there."""
     rows = read_landing_csv(spark, path, columns, run_ts, multi_line, ingest_id)
-    rows.write.mode("overwrite" if refresh else "append").parquet(bronze_path)
+    rows.write.mode("overwrite" if refresh else "append").options(**LAYOUT).parquet(bronze_path)
 
 
 def rows_per_file(bronze: DataFrame) -> DataFrame:
@@ -186,7 +202,7 @@ def append_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType |
 
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full refresh of a layer at ``path`` (overwrite)."""
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").options(**LAYOUT)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -11,8 +11,10 @@ from strata.functions.text import guard_check
 from strata.operators.audit import dq_audit
 from strata.operators.gold import gold_monthly, gold_options, top_category_per_month
 from strata.operators.guard import GuardError, PlanValidationError, guarded_sql, is_safe_query, relations, run_guarded_sql, strip_comments
+from strata.operators.dedup import Repeats
 from strata.operators.model import Profile
-from strata.operators.quarantine import quarantine, quarantine_sales
+from strata.operators.silver import sales_repeats
+from strata.operators.quarantine import quarantine, quarantine_sales, valid_repeats
 from strata.operators.silver import silver, silver_sales
 from strata.plans.medallion import run_medallion
 from strata.sources import catalog as C
@@ -115,10 +117,10 @@ def test_plans_of_dedup_and_quarantine(spark, tmp_dir):
     p = _plan(silver_sales(b).where("category = 'A'"))
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "EqualTo(category,A)" in p.split("PushedFilters: ")[1].split("ReadSchema")[0]
-    p = _plan(quarantine_sales(b))
-    assert p.count("FileScan parquet") == 2
     prof = Profile.of({"date": "date", "category": "dimension", "revenue": "measure"})
-    assert _plan(quarantine(b, prof)).count("FileScan parquet") == 2
+    for q, known in ((quarantine_sales, sales_repeats(b)), (lambda b, known: quarantine(b, prof, known=known), valid_repeats(b, prof))):
+        written = Repeats(known.bits.checkpoint(), known.groups.checkpoint())
+        assert _plan(q(b, known=written)).count("FileScan parquet") == 2  # one for the rules, one for the duplicates
     struct = [x for x in _plan(silver(b, prof)).splitlines() if "partial_max(struct" in x]
     assert struct and all("category, category" not in x for x in struct)
 
