@@ -1,8 +1,8 @@
-"""Exact byte-pair encoding by cached units.
+"""Exact byte-pair encoding by units.
 
 A unit is a run of white space and the run of other characters after it. The pre-token pattern never
-matches across the start of a unit nor looks past its end, so units are encoded one by one, each distinct
-one once per task, and a text is the concatenation of its units.
+matches across the start of a unit nor looks past its end, so a text's ids are those of its units, one after
+another: units are encoded one by one and known ones looked up, or long texts are cut where a unit begins.
 """
 
 from __future__ import annotations
@@ -69,8 +69,20 @@ def by_ranks(file: bytes, pattern: str) -> Encoder:
 
 #: Fixed value: the pre-token pattern of byte-level tokenizer files.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Encoders of this process by file: tasks that follow each other share the units they know.
-_OWN: dict[int, Encoder] = {}
+#: Encoders of this process by file, so that tasks which follow each other read the file once.
+_OWN: dict[int, Callable[[str], bytes]] = {}
+#: Characters of a text that are encoded at a time; where a unit begins next, the text is cut.
+PART = 1 << 20
+_BEGIN = re.compile(f"(?<=[^ {_WS}])(?=[ {_WS}])")
+
+
+def parts(text: str, size: int = PART) -> list[str]:
+    """The text in parts of about ``size`` characters that begin with a unit, so that their ids are the text's."""
+    out, at = [], 0
+    while len(text) - at > size and (cut := _BEGIN.search(text, at + size)):
+        out.append(text[at:cut.start()])
+        at = cut.start()
+    return [*out, text[at:]] if out else [text]
 
 
 def _bytes_of() -> dict[str, int]:
@@ -95,14 +107,15 @@ def merge_ranks(spec: dict) -> dict[bytes, int] | None:
     return {bytes(letters[c] for c in w): i for w, i in vocab.items()}
 
 
-def by_tokenizer(file: bytes) -> Encoder:
-    """Encoder of a tokenizer file, without added special tokens: its ids, but for units without special strings they
-    come from the ranks of its merges, which are the same ids sooner."""
+def by_tokenizer(file: bytes, size: int = PART) -> Callable[[str], bytes]:
+    """Encoder of a tokenizer file, without added special tokens: a text gives its ids as little-endian unsigned 32-bit
+    bytes. They are the file's own ids; where the text holds no special string they come from the ranks of its merges,
+    which are the same ids sooner."""
     import json
     import os
     import zlib
     key = zlib.crc32(file)
-    if key in _OWN:
+    if size == PART and key in _OWN:
         return _OWN[key]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -110,17 +123,21 @@ def by_tokenizer(file: bytes) -> Encoder:
     found = merge_ranks(spec)
     special = [t["content"] for t in spec.get("added_tokens", [])]
 
-    def whole(new: list[str]) -> Iterable[list[int]]:
-        return [e.ids for e in own.encode_batch_fast(new, add_special_tokens=False)]
+    def whole(part: str) -> list[int]:
+        return own.encode(part, add_special_tokens=False).ids
 
     if found is None or any(not s or any(c in f" {_WS}" for c in s) for s in special):
-        many = whole
+        ids = whole
     else:
         import tiktoken
         by_rank = tiktoken.Encoding("merges", pat_str=BYTE_LEVEL, mergeable_ranks=found, special_tokens={}).encode_ordinary
 
-        def many(new: list[str]) -> Iterable[list[int]]:
-            return [whole([u])[0] if any(s in u for s in special) else by_rank(u) for u in new]
+        def ids(part: str) -> list[int]:
+            return whole(part) if any(s in part for s in special) else by_rank(part)
+
+    def encode(text: str) -> bytes:
+        return b"".join([np.array(ids(part), "<u4").tobytes() for part in parts(text, size)])
 
-    _OWN[key] = Encoder(many, keep=1 << 22)
-    return _OWN[key]
+    if size == PART:
+        _OWN[key] = encode
+    return encode

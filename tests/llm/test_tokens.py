@@ -6,7 +6,7 @@ import public_tokenizers as P
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from strata.llm.tokens import by_ranks, by_tokenizer, units
+from strata.llm.tokens import by_ranks, by_tokenizer, parts, units
 
 ODD = st.lists(st.sampled_from([*"ab'st  \n\t\r.,!-_12", *map(chr, (0x0B, 0x1C, 0x85, 0xA0, 0x2003, 0x3000, 0xB2, 0xE9, 0x2167, 0x6F22, 0x1F600)),
                                "'ll", "<|endoftext|>", "  "]), max_size=60).map("".join)
@@ -51,3 +51,15 @@ def test_cache_that_overflows(whole):
         text = " ".join(str(rnd.randrange(10**6)) for _ in range(60))
         assert np.frombuffer(enc(text), "<u4").tolist() == whole[0].encode_ordinary(text)
     enc.keep = keep
+
+
+def test_parts_of_a_text_encode_like_the_whole(whole):
+    rnd, file = random.Random(2), open(P.path("byte_bpe_50k.json"), "rb").read()
+    assert parts("") == [""] and parts("abc def", 3) == ["abc", " def"] and parts("abcdef", 2) == ["abcdef"]
+    for size in (1, 7, 60):
+        enc = by_tokenizer(file, size)
+        for _ in range(60):
+            text = "".join(rnd.choice(["ab", " ", "  ", "\n", "\u00a0", "9", "'ll", "\u00e9", "<|endoftext|>", ".", "\u6f22"]) for _ in range(50))
+            assert "".join(parts(text, size)) == text
+            assert np.frombuffer(enc(text), "<u4").tolist() == whole[1].encode(text, add_special_tokens=False).ids
+    assert parts("x" * 50 + " y", 10) == ["x" * 50, " y"]
