@@ -71,8 +71,12 @@ def key_groups(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
 
 def repeated_bits(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(word, bits): a bit for the hash of every key that ``df`` holds more than once, in at most ``BIT_WORDS`` rows."""
-    repeated = df.groupBy(_key_hash(keys).alias("_kh")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return (repeated.groupBy(F.expr(f"pmod(_kh, {BIT_WORDS}L)").alias("_word"))
+    return group_bits(df.groupBy(_key_hash(keys).alias("_kh")).agg(F.count(F.lit(1)).alias("_n")))
+
+
+def group_bits(groups: DataFrame) -> DataFrame:
+    """The same of groups that are known already (``_kh``, ``_n``)."""
+    return (groups.where("_n > 1").groupBy(F.expr(f"pmod(_kh, {BIT_WORDS}L)").alias("_word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(shiftright(_kh, 20), 64) as int))")).alias("_bits")))
 
 
@@ -101,6 +105,20 @@ def repeats(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
     return Repeats(bits, key_groups(_marked(df, keys, bits).where("_repeated").drop("_repeated"), keys, row_id, order_first))
 
 
+def merged_groups(*groups: DataFrame) -> DataFrame:
+    """The groups of all rows, from the :func:`key_groups` of parts of them."""
+    every = groups[0]
+    for g in groups[1:]:
+        every = every.unionByName(g)
+    keys = [c for c in every.columns if c not in ("_w", "_n")]
+    return every.groupBy(*keys).agg(F.max("_w").alias("_w"), F.sum("_n").alias("_n"))
+
+
+def survivors(groups: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The surviving row of every group, with the columns that the rows had."""
+    return groups.select(*[F.col(c) if c in keys else F.col(f"_w.{c}").alias(c) for c in columns])
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
                    order_first: Sequence[str] = ("ingested_at", "source_file"),
                    known: Repeats | None = None) -> DataFrame:
@@ -112,8 +130,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
     shuffle, where looking for the repeated keys first would take two scans more.
     Keys are read from the grouping columns, so a filter on one reaches the scan."""
     groups = known.groups if known else key_groups(df, keys, row_id, order_first)
-    survivors = groups.select(*[F.col(c) if c in keys else F.col(f"_w.{c}").alias(c) for c in df.columns])
-    return _marked(df, keys, known.bits).where("NOT _repeated").drop("_repeated").unionByName(survivors) if known else survivors
+    kept = survivors(groups, df.columns, keys)
+    return _marked(df, keys, known.bits).where("NOT _repeated").drop("_repeated").unionByName(kept) if known else kept
 
 
 def not_latest(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],

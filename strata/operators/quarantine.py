@@ -90,8 +90,19 @@ def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
     if extensions:
         dup = dup & sales_extension_ok()
     copies = not_latest(dated(bronze), SALES_DEDUP_KEYS, row_id, known=known).where(dup)
-    return _sales_broken(bronze, run_ts, extensions).unionByName(
-        _shape(copies.withColumn("rejection_reason", F.lit(REASON_DUPLICATE)), SALES_COLUMNS, run_ts))
+    return _sales_broken(bronze, run_ts, extensions).unionByName(_sales_copies(copies, run_ts))
+
+
+def _sales_copies(copies: DataFrame, run_ts) -> DataFrame:
+    return _shape(copies.withColumn("rejection_reason", F.lit(REASON_DUPLICATE)), SALES_COLUMNS, run_ts)
+
+
+def delivered_quarantine(delivery: DataFrame, before: DataFrame, known: Repeats, row_id: Sequence[str] = DEFAULT_ROW_ID, run_ts=None) -> DataFrame:
+    """What a delivery adds to the baseline sales quarantine: its rows that break a rule, and the copies among its rows
+    and the survivors ``before`` it. ``known`` holds the repeated keys of both."""
+    rows = dated(delivery)
+    copies = not_latest(before.select(*rows.columns).unionByName(rows), SALES_DEDUP_KEYS, row_id, known=known)
+    return _sales_broken(delivery, run_ts).unionByName(_sales_copies(copies.where(all_non_negative(["revenue", "cost"], ["units_sold"])), run_ts))
 
 
 def _sales_broken(bronze: DataFrame, run_ts, extensions: bool = False) -> DataFrame:

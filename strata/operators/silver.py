@@ -70,13 +70,18 @@ def silver_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID, run_
     ``extensions`` a survivor with an unparseable date or a malformed number
     is left out (it is quarantined with its own reason) instead of passing
     with a NULL date."""
-    survivors = latest_per_key(dated(bronze), SALES_DEDUP_KEYS, row_id, known=known)
+    return typed_sales(latest_per_key(dated(bronze), SALES_DEDUP_KEYS, row_id, known=known), row_id, run_ts, extensions)
+
+
+def typed_sales(survivors: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID, run_ts=None, extensions: bool = False,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """The silver rows of surviving bronze rows: typed, without those whose numbers are missing, malformed or negative.
+    Columns in ``keep`` are passed on."""
     if extensions:
         from strata.operators.quarantine import sales_extension_ok
         survivors = survivors.where(sales_extension_ok())
-    id_cols = identity_columns(bronze, row_id)
     typed = survivors.select(
-        surrogate_id(id_cols).alias("id"),
+        surrogate_id([c for c in identity_columns(survivors, row_id) if c not in keep]).alias("id"), *keep,
         to_date("date").alias("date"),
         F.col("category"),
         to_real("revenue").alias("revenue"),

@@ -15,6 +15,7 @@ from strata.operators.silver import silver, silver_sales
 from strata.plans import oracle as O
 from strata.operators.layers import FIELD_COUNT, MALFORMED
 from strata.plans.fixtures import SALES_ROW_ID, TABLE_ROW_ID, stored_bronze, stored_sales_layers, table
+from strata.plans.incremental import Lake
 from strata.plans.medallion import run_medallion
 from strata.plans.queries_layers import CUSTOMER_PROFILE
 from strata.plans.queries_profile import CUSTOMER_COLS, _profile_oracle
@@ -200,6 +201,33 @@ def medallion_run(spark, d):
     return out
 
 
+@register("delivered_layers", f"""
+WITH {O.SALES_BRONZE}, {O.SALES_RANKED}, {O.SALES_SILVER}, {O.PER_CATEGORY},{O.GOLD_CTE}
+SELECT 'bronze' AS layer, NULL AS label, COUNT(*) AS row_count, NULL AS revenue FROM sales_bronze
+UNION ALL SELECT 'silver', NULL, COUNT(*), CAST(round(SUM(CAST(revenue AS DECIMAL(18,6))), 2) AS DOUBLE) FROM sales_silver
+UNION ALL SELECT 'gold', month, units_sold, revenue FROM gold
+UNION ALL SELECT 'quarantine', 'Missing/Invalid Date', COUNT(*), NULL FROM sales_bronze WHERE {O.missing('date')}
+UNION ALL SELECT 'quarantine', 'Missing/Invalid Category', COUNT(*), NULL FROM sales_bronze WHERE {O.present('date')} AND {O.missing('category')}
+UNION ALL SELECT 'quarantine', 'Negative Numeric Metric(s)', COUNT(*), NULL FROM sales_bronze WHERE {O.SALES_DATED} AND {O.SALES_NEG}
+UNION ALL SELECT 'quarantine', 'Duplicate Transaction', COUNT(*), NULL FROM sales_ranked WHERE rn > 1 AND {O.SALES_NONNEG}""")
+def delivered_layers(spark, d):
+    """The layers after three deliveries (the early days, the others, the corrections of both), each merged into the
+    state that the ones before it left. The third touches months of both."""
+    rows, root = stored_bronze(spark, d, "sales"), scratch_path(spark, "deliveries")
+    early = F.coalesce(F.col("date") < "1996-07", F.lit(True))
+    lake = Lake(spark, f"{root}/lake")
+    for i, part in enumerate(((F.col("_batch") == 0) & early, (F.col("_batch") == 0) & ~early, F.col("_batch") == 1)):
+        rows.where(part).select(*SALES_COLUMNS).write.options(**IO.CSV_OPTIONS).csv(f"{root}/{i}")
+        lake.deliver(f"{root}/{i}", run_ts=f"2026-01-0{i + 1} 00:00:00")
+    v = lake.layers()
+    label, none = F.lit(None).cast("string").alias("label"), F.lit(None).cast("double").alias("revenue")
+    n = F.count(F.lit(1)).alias("row_count")
+    return (v.bronze.agg(n).select(F.lit("bronze").alias("layer"), label, "row_count", none)
+            .unionByName(v.silver.agg(n, F.round(F.sum(F.col("revenue").cast("decimal(18,6)")), 2).cast("double").alias("revenue")).select(F.lit("silver").alias("layer"), label, "row_count", "revenue"))
+            .unionByName(v.gold.select(F.lit("gold").alias("layer"), F.col("month").alias("label"), F.col("units_sold").alias("row_count"), "revenue"))
+            .unionByName(v.quarantine.groupBy(F.col("rejection_reason").alias("label")).agg(n).select(F.lit("quarantine").alias("layer"), "label", "row_count", none)))
+
+
 @register("profile_json_roundtrip", _profile_oracle(O.CUSTOMER_BRONZE, "customer_bronze", CUSTOMER_COLS, with_roles=True)
           .replace("SELECT column_name, ordinal, CASE", "SELECT column_name, ordinal, dtype, null_pct, cardinality, min_val, max_val, samples, CASE"))
 def profile_json_roundtrip(spark, d):
