@@ -59,6 +59,13 @@ def same(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]) -> Colu
 BIT_WORDS = 1 << 17
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def member_bits(spark: SparkSession, refs: DataFrame) -> DataFrame:
     """``(word, bits)``: one bit for each 64-bit hash in the column ``ref`` of ``refs``, at most ``BIT_WORDS`` rows."""
     spot = F.expr("shiftleft(1L, cast(pmod(shiftright(ref, 20), 64) as int))")
@@ -70,11 +77,12 @@ def parted(df: DataFrame, ref: Column, bits: DataFrame) -> tuple[DataFrame, Data
     """The rows of ``df`` whose hash may be among the members, and the rows whose hash is not: the second part needs
     no join, so its texts are not shuffled. The broadcast table has a fixed bound; with members beyond it more and
     more rows are in the first part, and nothing is lost."""
-    spot = F.expr("shiftleft(1L, cast(pmod(shiftright(_m_ref, 20), 64) as int))")
-    table_ = F.broadcast(bits.select(F.col("word").alias("_m_word"), F.col("bits").alias("_m_bits")))
-    marked = df.withColumn("_m_ref", ref)
-    marked = marked.join(table_, F.pmod(marked["_m_ref"], F.lit(BIT_WORDS)) == table_["_m_word"], "left")
-    may = F.coalesce(F.col("_m_bits").bitwiseAND(spot) != 0, F.lit(False))
+    r, w, b = (unused(df, f"_m_{x}") for x in ("ref", "word", "bits"))
+    spot = F.expr(f"shiftleft(1L, cast(pmod(shiftright({r}, 20), 64) as int))")
+    table_ = F.broadcast(bits.select(F.col("word").alias(w), F.col("bits").alias(b)))
+    marked = df.withColumn(r, ref)
+    marked = marked.join(table_, F.pmod(marked[r], F.lit(BIT_WORDS)) == table_[w], "left")
+    may = F.coalesce(F.col(b).bitwiseAND(spot) != 0, F.lit(False))
     own = [F.col(f"`{c}`") for c in df.columns]
     return marked.filter(may).select(*own), marked.filter(~may).select(*own)
 

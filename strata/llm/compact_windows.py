@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, bounded_batches, member_bits, parted, stored, text_hash, utf8
+from strata.llm.common import WORD, bounded_batches, member_bits, parted, stored, text_hash, unused, utf8
 
 SHINGLE, WORDS, SIMILARITY = 5, 50, 0.8
 #: Random orders, and how many of them a pair of documents must meet under.
@@ -518,24 +518,25 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, simila
     """``docs`` without the passages that :func:`repeats` finds: the earliest copy stays. Words that remain keep
     the white space before them; rows and columns stay, but ``n_chars``, where there is one, counts the new
     text of changed rows."""
+    own, cut = unused(docs, "_r_spans"), unused(docs, "_r_pieces")
     spans = (repeats(spark, docs, words, similarity).groupBy("doc_id", "text_hash")
-             .agg(F.array_sort(F.collect_set(F.struct("start_word", "end_word"))).alias("_r_spans"))
-             .select(F.col("doc_id").alias("_r_id"), F.col("text_hash").alias("_r_hash"), "_r_spans"))
+             .agg(F.array_sort(F.collect_set(F.struct("start_word", "end_word"))).alias(own))
+             .select(F.col("doc_id").alias("_r_id"), F.col("text_hash").alias("_r_hash"), own))
     spans = stored(spark, spans, "repeat-spans")
     bits = member_bits(spark, spans.select(F.xxhash64("_r_id", "_r_hash").alias("ref")))
     may, rest = parted(docs, F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))), bits)
     out = may.join(spans, may["doc_id"].cast("long").eqNullSafe(spans["_r_id"])
-                   & (F.xxhash64(may["text"].cast("string")) == spans["_r_hash"]), "left")
+                   & (F.xxhash64(may["text"].cast("string")) == spans["_r_hash"]), "left").select(*[may[f"`{c}`"] for c in docs.columns], spans[own])
     # words with the white space before them, and what follows the last word
     pieces = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     tail = F.regexp_extract("text", r"[\x20\x09-\x0D]*\z", 0)
-    at = F.aggregate("_r_spans", F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("kept")),
+    at = F.aggregate(own, F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("kept")),
                      lambda a, s: F.struct(F.greatest(a["at"], s["end_word"]).alias("at"), F.when(
-                         s["start_word"] > a["at"], F.concat(a["kept"], F.slice(F.col("_r_pieces"), (a["at"] + 1).cast("int"), (
+                         s["start_word"] > a["at"], F.concat(a["kept"], F.slice(F.col(cut), (a["at"] + 1).cast("int"), (
                              s["start_word"] - a["at"]).cast("int")))).otherwise(a["kept"]).alias("kept")),
-                     lambda a: F.concat_ws("", F.concat(a["kept"], F.slice(F.col("_r_pieces"), (a["at"] + 1).cast("int"), F.size("_r_pieces")))))
-    out = out.withColumn("_r_pieces", F.when(F.col("_r_spans").isNotNull(), pieces))
-    out = out.withColumn("text", F.when(F.col("_r_spans").isNull(), F.col("text")).otherwise(F.concat(at, tail)))
+                     lambda a: F.concat_ws("", F.concat(a["kept"], F.slice(F.col(cut), (a["at"] + 1).cast("int"), F.size(cut)))))
+    out = out.withColumn(cut, F.when(F.col(own).isNotNull(), pieces))
+    out = out.withColumn("text", F.when(F.col(own).isNull(), F.col("text")).otherwise(F.concat(at, tail)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_r_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
+        out = out.withColumn("n_chars", F.when(F.col(own).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
     return out.select(*[f"`{c}`" for c in docs.columns]).unionByName(rest)

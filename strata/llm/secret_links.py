@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_batches, member_bits, parted, same, stored, strings, text_hash
+from strata.llm.common import bounded_batches, member_bits, parted, same, stored, strings, text_hash, unused
 
 #: The certain patterns, each with the least length of what it must hold.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -151,20 +151,21 @@ def secrets(spark: SparkSession, docs: DataFrame, reach: int = REACH) -> DataFra
 def mask(spark: SparkSession, docs: DataFrame, reach: int = REACH, by: str = "[SECRET]") -> DataFrame:
     """``docs`` with every reported span of ``text`` replaced; overlapping spans become one. Rows and
     columns stay as they are, but ``n_chars``, where there is one, counts the new text of changed rows."""
+    own = unused(docs, "_s_spans")
     found = (secrets(spark, docs, reach).filter(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"])
-             .select(F.col("doc_id").alias("_s_id"), F.col("text_hash").alias("_s_hash"), F.col("spans").alias("_s_spans")))
+             .select(F.col("doc_id").alias("_s_id"), F.col("text_hash").alias("_s_hash"), F.col("spans").alias(own)))
     found = stored(spark, found, "secret-spans")
     bits = member_bits(spark, found.select(F.xxhash64("_s_id", "_s_hash").alias("ref")))
     may, rest = parted(docs, F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))), bits)
     out = may.join(found, may["doc_id"].cast("long").eqNullSafe(found["_s_id"])
-                   & (F.xxhash64(may["text"].cast("string")) == found["_s_hash"]), "left")
+                   & (F.xxhash64(may["text"].cast("string")) == found["_s_hash"]), "left").select(*[may[f"`{c}`"] for c in docs.columns], found[own])
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("text"))
     step = lambda a, p: F.when(  # noqa: E731  a span that begins inside the last one only lengthens it
         p["start"] >= a["at"], F.struct(F.greatest(a["at"], p["end"]).alias("at"), F.concat(
             a["text"], F.col("text").substr((a["at"] + 1).cast("int"), (p["start"] - a["at"]).cast("int")), F.lit(by)).alias("text"))
     ).otherwise(F.struct(F.greatest(a["at"], p["end"]).alias("at"), a["text"].alias("text")))
-    new = F.aggregate("_s_spans", start, step, lambda a: F.concat(a["text"], F.col("text").substr((a["at"] + 1).cast("int"), F.length("text"))))
-    out = out.withColumn("text", F.when(F.col("_s_spans").isNull(), F.col("text")).otherwise(new))
+    new = F.aggregate(own, start, step, lambda a: F.concat(a["text"], F.col("text").substr((a["at"] + 1).cast("int"), F.length("text"))))
+    out = out.withColumn("text", F.when(F.col(own).isNull(), F.col("text")).otherwise(new))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_s_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
+        out = out.withColumn("n_chars", F.when(F.col(own).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
     return out.select(*[f"`{c}`" for c in docs.columns]).unionByName(rest)
