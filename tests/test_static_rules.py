@@ -1,129 +1,95 @@
-"""Baseline sales rules: typing, profit, dedup, cascade of rejection reasons."""
+"""Baseline sales rules against a plain statement of them, over every combination of a few field values."""
 import datetime as dt
+import itertools
+from collections import Counter
 
 from helpers import reasons, sales_bronze
 
+from strata.constants import (
+    REASON_DUPLICATE, REASON_MALFORMED_NUMERIC, REASON_MISSING_CATEGORY, REASON_MISSING_DATE, REASON_NEGATIVE_ANY, REASON_NEGATIVE_COL,
+    REASON_NULL_REQUIRED, REASON_UNPARSEABLE_DATE,
+)
 from strata.operators.audit import dq_audit
 from strata.operators.gold import gold_monthly
-from strata.operators.quarantine import quarantine_sales
-from strata.operators.silver import silver_sales
-
-
-def test_clean_row_is_typed_with_profit(spark):
-    b = sales_bronze(spark, [("2026-05-15", "Electronics", "100.00", "60.00", "2", "2026-05-15 12:00:00")])
-    rows = silver_sales(b).collect()
-    assert len(rows) == 1
-    r = rows[0]
-    assert r["date"] == dt.date(2026, 5, 15) and r["category"] == "Electronics"
-    assert (r["revenue"], r["cost"], r["units_sold"], r["profit"]) == (100.0, 60.0, 2, 40.0)
-    assert quarantine_sales(b).count() == 0
-
-
-def test_duplicate_keeps_latest(spark):
-    row = ("2026-05-15", "Electronics", "100.00", "60.00", "2")
-    b = sales_bronze(spark, [row + ("2026-05-15 12:00:00",), row + ("2026-05-15 13:00:00",)])
-    assert silver_sales(b).count() == 1
-    q = quarantine_sales(b).collect()
-    assert [r["rejection_reason"] for r in q] == ["Duplicate Transaction"]
-    assert q[0]["ingested_at"].startswith("2026-05-15 12:00:00")
-
-
-def test_missing_dates_and_categories(spark):
-    dates = [(d, "Books", "10.00", "5.00", "1", "2026-05-15 12:00:00") for d in (None, "None", "")]
-    cats = [("2026-05-15", c, "10.00", "5.00", "1", "2026-05-15 12:00:00") for c in (None, "None", "")]
-    b = sales_bronze(spark, dates + cats)
-    assert silver_sales(b).count() == 0
-    assert reasons(quarantine_sales(b)) == ["Missing/Invalid Category"] * 3 + ["Missing/Invalid Date"] * 3
-
-
-def test_negatives(spark):
-    b = sales_bronze(spark, [("2026-05-15", "A", "-100.00", "60.00", "2", "2026-05-15 12:00:00"),
-                             ("2026-05-15", "B", "100.00", "-60.00", "2", "2026-05-15 12:00:00"),
-                             ("2026-05-15", "C", "100.00", "60.00", "-2", "2026-05-15 12:00:00")])
-    assert silver_sales(b).count() == 0
-    assert reasons(quarantine_sales(b)) == ["Negative Numeric Metric(s)"] * 3
-
-
-def test_timestamp_text_becomes_date(spark):
-    b = sales_bronze(spark, [("2026-05-15 14:22:11", "A", "1.00", "0.50", "1", "2026-05-15 12:00:00")])
-    assert silver_sales(b).first()["date"] == dt.date(2026, 5, 15)
-
-
-def test_each_reason_once(spark):
-    b = sales_bronze(spark, [
-        (None, "A", "10.00", "5.00", "1", "2026-05-15 12:00:00"),
-        ("2026-05-15", "", "10.00", "5.00", "1", "2026-05-15 12:00:00"),
-        ("2026-05-15", "B", "10.00", "-60.00", "1", "2026-05-15 12:00:00"),
-        ("2026-05-16", "C", "200.00", "120.00", "4", "2026-05-15 12:00:00"),
-        ("2026-05-16", "C", "200.00", "120.00", "4", "2026-05-15 13:00:00"),
-    ])
-    assert silver_sales(b).count() == 1
-    assert reasons(quarantine_sales(b)) == ["Duplicate Transaction", "Missing/Invalid Category",
-                                            "Missing/Invalid Date", "Negative Numeric Metric(s)"]
-
-
-def test_negative_newest_copy_hides_older_valid_copy(spark):
-    # dedup runs before the numeric check: the newest copy (negative cost) wins the
-    # window and is rejected; the older valid copy is reported as a duplicate
-    b = sales_bronze(spark, [("2026-05-15", "A", "100.00", "60.00", "2", "2026-05-15 12:00:00"),
-                             ("2026-05-15", "A", "100.00", "-1.00", "2", "2026-05-15 13:00:00")])
-    assert silver_sales(b).count() == 0
-    assert reasons(quarantine_sales(b)) == ["Duplicate Transaction", "Negative Numeric Metric(s)"]
-
-
-def test_missing_measure_is_unaccounted(spark):
-    b = sales_bronze(spark, [("2026-05-15", "A", None, "60.00", "2", "2026-05-15 12:00:00"),
-                             ("2026-05-15", "B", "100.00", "60.00", "2", "2026-05-15 12:00:00")])
+from strata.operators.model import Profile
+from strata.operators.quarantine import quarantine, quarantine_sales
+from strata.operators.silver import silver, silver_sales
+
+T = "2033-11-30 06:00:0{}"
+GRID = list(itertools.product([None, "", "None", "2033-11-02", "2033-11-03 19:20:21"], [None, "", "None", "none", "Rope"],
+                              ["16.5", "0", "-0.01", None], ["3.25", "-4", ""], ["6", "-1", "1.6"]))
+
+
+def number(text):
+    return float(text) if text else None
+
+
+def judged(row):
+    """The reason of a row that is alone with its key; None for silver, 'neither' where a measure is missing."""
+    date, category, *measures = row
+    if date in (None, "", "None"):
+        return REASON_MISSING_DATE
+    if category in (None, "", "None"):
+        return REASON_MISSING_CATEGORY
+    values = [number(m) for m in measures]
+    if any(v is not None and v < 0 for v in values):
+        return REASON_NEGATIVE_ANY
+    return "neither" if None in values else None
+
+
+def one_of_each(spark):
+    """The grid without rows that share a key, so that no row is a copy."""
+    first = {}
+    for r in GRID:
+        first.setdefault((r[0], r[1], r[4], r[2]) if judged(r) not in (REASON_MISSING_DATE, REASON_MISSING_CATEGORY) else r, r)
+    rows = list(first.values())
+    return rows, sales_bronze(spark, [(*r, T.format(0)) for r in rows])
+
+
+def test_every_combination_of_values(spark):
+    rows, b = one_of_each(spark)
+    want = Counter(map(judged, rows))
+    assert Counter(reasons(quarantine_sales(b))) == {k: n for k, n in want.items() if k not in (None, "neither")}
+    got = {(str(r["date"]), r["category"], r["revenue"], r["cost"], r["units_sold"], r["profit"]) for r in silver_sales(b).collect()}
+    assert got == {(d[:10], c, float(r), float(k), {"6": 6, "1.6": 2}[u], float(r) - float(k)) for d, c, r, k, u in rows if judged((d, c, r, k, u)) is None}
+
+
+def test_audit_accounts_for_the_grid(spark):
+    rows, b = one_of_each(spark)
     s, q = silver_sales(b), quarantine_sales(b)
-    assert s.count() == 1 and q.count() == 0
-    audit = {r["check"]: (r["value"], r["status"]) for r in dq_audit(b, s, q, gold_monthly(s)).collect()}
-    assert audit["unaccounted_rows"] == (1.0, "INFO")
-    assert audit["null_violations_in_silver"] == (0.0, "PASSED")
-    assert audit["financial_discrepancy"] == (0.0, "PASSED")
-
-
-def test_gold_monthly_and_top_category(spark):
-    b = sales_bronze(spark, [
-        ("2026-06-01", "Electronics", "1159.50", "598.54", "5", "2026-06-30 00:00:00"),
-        ("2026-06-02", "Books", "397.11", "223.97", "20", "2026-06-30 00:00:00"),
-        ("2026-06-03", "Books", "900.00", "100.00", "1", "2026-06-30 00:00:00"),
-        ("2026-07-01", "Sports", "117.66", "74.66", "1", "2026-07-31 00:00:00"),
-        ("2026-07-02", "Books", "117.66", "10.00", "1", "2026-07-31 00:00:00"),
-    ])
-    g = [r.asDict() for r in gold_monthly(silver_sales(b)).collect()]
-    assert [r["month"] for r in g] == ["2026-06", "2026-07"]
-    june = g[0]
-    assert june["revenue"] == 2456.61 and june["cost"] == 922.51 and june["units_sold"] == 26
-    assert june["profit_margin"] == round((2456.61 - 922.51) / 2456.61, 4)
-    assert june["top_category"] == "Books"        # 1297.11 beats 1159.50
-    assert g[1]["top_category"] == "Books"        # a tie goes to the first name alphabetically
-
-
-def test_rule_sets_agree_on_single_violations(spark):
-    from strata.operators.model import Profile
-    from strata.operators.quarantine import quarantine
-    rows = [(None, "A", "1.00", "1.00", "1", "2026-05-15 12:00:00"),          # date only
-            ("2026-05-15", "", "1.00", "1.00", "1", "2026-05-15 12:00:00"),   # category only
-            ("2026-05-15", "B", "-1.00", "1.00", "1", "2026-05-15 12:00:00"),  # revenue only
-            ("2026-05-16", "B", "1.00", "-1.00", "1", "2026-05-15 12:00:00"),  # cost only
-            ("2026-05-17", "C", "1.00", "1.00", "-2", "2026-05-15 12:00:00"),  # units only
-            ("2026-05-18", "D", "5.00", "1.00", "1", "2026-05-15 12:00:00")]   # clean
-    b = sales_bronze(spark, rows)
-    p = Profile.of({"date": "date", "category": "dimension", "revenue": "measure", "cost": "measure",
-                    "units_sold": "measure"})
-    cascade = quarantine_sales(b).select("raw_date", "raw_category", "raw_revenue", "raw_cost", "raw_units_sold")
-    per_rule = quarantine(b, p).select("raw_date", "raw_category", "raw_revenue", "raw_cost", "raw_units_sold")
-    assert sorted(cascade.collect(), key=str) == sorted(per_rule.collect(), key=str)
-    assert cascade.count() == 5
-
-
-def test_extension_reasons_are_opt_in(spark):
-    rows = [("2026-02-30", "A", "10.00", "5.00", "1", "2026-05-15 12:00:00"),   # unparseable date
-            ("2026-05-15", "B", "12,5", "5.00", "1", "2026-05-15 12:00:00"),     # malformed revenue
-            ("2026-05-15", "C", "10.00", "5.00", "1", "2026-05-15 12:00:00")]    # clean
-    b = sales_bronze(spark, rows)
-    # default: specified behaviour (NULL date passes, malformed number is dropped silently)
-    assert silver_sales(b).count() == 2 and quarantine_sales(b).count() == 0
-    assert reasons(quarantine_sales(b, extensions=True)) == ["Malformed Numeric Metric: revenue",
-                                                             "Unparseable Date: date"]
-    assert [r["category"] for r in silver_sales(b, extensions=True).collect()] == ["C"]
+    audit = {r["check"]: r["value"] for r in dq_audit(b, s, q, gold_monthly(s)).collect()}
+    assert audit["unaccounted_rows"] == sum(judged(r) == "neither" for r in rows) > 0
+    assert audit["null_violations_in_silver"] == 0 and audit["financial_discrepancy"] == 0
+
+
+def test_the_newest_copy_stays_and_may_be_a_bad_one(spark):
+    key = ("2033-11-04", "Sail")
+    b = sales_bronze(spark, [(*key, "8", "1", "2", T.format(1)), (*key, "8", "5", "2", T.format(3)), (*key, "8", "9", "2", T.format(2)),
+                             (*key, "7", "1", "2", T.format(1)), (*key, "7", "-1", "2", T.format(2))])
+    assert [(r["date"], r["cost"]) for r in silver_sales(b).collect()] == [(dt.date(2033, 11, 4), 5.0)]
+    q = sorted((r["raw_revenue"], r["raw_cost"], r["rejection_reason"]) for r in quarantine_sales(b).collect())
+    assert q == [("7", "-1", REASON_NEGATIVE_ANY), ("7", "1", REASON_DUPLICATE), ("8", "1", REASON_DUPLICATE), ("8", "9", REASON_DUPLICATE)]
+
+
+def test_gold_of_two_months(spark):
+    rows = [("2033-11-05", "Oar", "30", "12", "3"), ("2033-11-06", "Keel", "30", "18", "1"), ("2033-12-01", "Oar", "5", "9", "2"), ("2033-12-02", "Keel", "4", "1", "2")]
+    g = [tuple(r) for r in gold_monthly(silver_sales(sales_bronze(spark, [(*r, T.format(0)) for r in rows]))).collect()]
+    assert g == [("2033-11", 60.0, 30.0, 0.5, 4, "Keel"), ("2033-12", 9.0, 10.0, -0.1111, 4, "Oar")]  # of equal revenues the first name
+
+
+def test_both_rule_sets_on_rows_with_one_fault(spark):
+    sound = ["2033-11-08", "Mast", "11", "2", "3"]
+    faults = [(0, "", REASON_MISSING_DATE, REASON_NULL_REQUIRED.format(col="date")), (1, "None", REASON_MISSING_CATEGORY, REASON_NULL_REQUIRED.format(col="category")),
+              (2, "-6", REASON_NEGATIVE_ANY, REASON_NEGATIVE_COL.format(col="revenue")), (4, "-6", REASON_NEGATIVE_ANY, REASON_NEGATIVE_COL.format(col="units_sold"))]
+    rows = [tuple(sound[:i] + [v] + sound[i + 1:]) for i, v, _, _ in faults] + [tuple(sound)]
+    b = sales_bronze(spark, [(*r, T.format(0)) for r in rows])
+    p = Profile.of({"date": "date", "category": "dimension", "revenue": "measure", "cost": "measure", "units_sold": "measure"})
+    assert reasons(quarantine_sales(b)) == sorted(f[2] for f in faults) and reasons(quarantine(b, p)) == sorted(f[3] for f in faults)
+    assert silver_sales(b).count() == silver(b, p).count() == 1
+
+
+def test_extensions_name_what_the_base_rules_pass_over(spark):
+    b = sales_bronze(spark, [("33/11/9", "Rope", "1", "1", "1", T.format(0)), ("2033-11-09", "Rope", "1,5", "1", "1", T.format(0)), ("2033-11-10", "Rope", "1", "1", "1", T.format(0))])
+    assert reasons(quarantine_sales(b)) == [] and silver_sales(b).where("date IS NULL").count() == 1
+    assert reasons(quarantine_sales(b, extensions=True)) == sorted([REASON_UNPARSEABLE_DATE.format(col="date"), REASON_MALFORMED_NUMERIC.format(col="revenue")])
+    assert [str(r["date"]) for r in silver_sales(b, extensions=True).collect()] == ["2033-11-10"]
