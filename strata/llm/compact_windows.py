@@ -6,7 +6,7 @@ Cartesian tree over the tokens yields compact windows ``(left, centre, right)``:
 a passage of ``words`` words are grouped by min-hash (with the few tokens around it, which keeps common
 short phrases apart), each member is joined to the first of its group, pairs that meet under enough orders
 are verified token by token, and passages of Jaccard similarity 0.8 or more remain. Members that this leaves without a
-passage are held against the other earlier members of their group.
+passage are sorted with the others of their group by the tokens about the centre and held against their neighbours.
 """
 
 from __future__ import annotations
@@ -252,6 +252,7 @@ def aligned(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], width: i
     the agreeing run grows over edits on both sides while the similarity holds, however long an edit is; the token
     sets decide."""
     out: list[tuple[int, int, int, int, float]] = []
+    spent: dict[int, int] = {}  # how far the runs of each diagonal have been tried: seeds come in order, and those of a run are one
     spare = 1 / similarity - 1  # tokens in gaps, on both sides together, for each token that agrees
 
     def over(x: np.ndarray, y: np.ndarray, equal: int, gaps: int) -> tuple[int, int, int] | None:
@@ -272,7 +273,10 @@ def aligned(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], width: i
     for i, j in sorted(seeds):
         if i >= len(a) or j >= len(b) or a[i] != b[j] or any(s <= i < e and s2 <= j < e2 for s, e, s2, e2, _ in out):
             continue
+        if i < spent.get(i - j, 0):
+            continue
         back, ahead = _run(a, b, i, j)
+        spent[i - j] = i + ahead
         a0, a1, b0, b1 = i - back, i + ahead, j - back, j + ahead
         core, equal = (a0, a1, b0, b1), back + ahead
         while True:
@@ -302,7 +306,7 @@ def repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, similarity
 
     Earlier is by ``doc_id`` (null first), then text hash. Each passage is paired with a representative of its
     group, not with all members: with the first member of a key or, where that is no near repeat or was met under too few
-    orders, with another earlier member. Repeats inside one document are not reported; rows equal in id and text are one
+    orders, with an earlier member that agrees longest to the left or right of a shared token. Repeats inside one document are not reported; rows equal in id and text are one
     document. Null, empty and shorter texts hold no passage; an empty table gives no rows; other columns are not
     read."""
     bounded_batches(spark)
@@ -328,58 +332,73 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 #: Tokens on either side of a centre that a second try compares, in widths.
 _CONTEXT = 1.5
-
-
-def tried(ids: list, hashes: list[int], failed: list[bool], at: list[int], contexts: list[bytes], width: int,
-          similarity: float) -> Iterator[tuple[int, int]]:
-    """Each failed member of a key, the members in order, with the earlier one that holds a near-equal passage about the
-    centre ``at``: those that share most tokens first, until one does.
-
-    Passages of ``width`` share the tokens that the similarity asks for, so members that have fewer in common with all
-    others (a frequent line among different texts) are set aside at once, and the others meet by an index of their tokens.
-    Two that share no token beyond the run about the centre hold no longer passage than that run."""
-    need, first = int(np.ceil(2 * width * similarity / (1 + similarity) - 1e-9)), {}
-    like = [first.setdefault(x, i) for i, x in enumerate(zip(at, contexts, strict=True))]
-    rows = np.array(list(first.values()))
-    each = [np.frombuffer(contexts[i], np.uint32) for i in rows]
-    flat, owner = np.concatenate(each), np.repeat(np.arange(len(rows)), [len(x) for x in each])
-    _, token = np.unique(flat, return_inverse=True)
-    once = np.unique(token * len(rows) + owner)
-    holders = np.bincount(once // len(rows))
-    alive = np.bincount(owner, holders[token] > 1, len(rows)) >= need
-    once = once[alive[once % len(rows)]]
-    begin, begins = once % len(rows), np.searchsorted(once // len(rows), np.arange(len(holders) + 1))
-    number, ends = {int(i): k for k, i in enumerate(rows)}, np.cumsum([len(x) for x in each])
-    side = max(max(at), max(len(contexts[i]) // 4 - at[i] for i in rows))
-    laid = np.repeat(-1 - np.arange(len(rows), dtype=np.int32)[:, None], 2 * side + 1, axis=1)  # centre under centre
-    for k, i in enumerate(rows):
-        laid[k, side - at[i]:side - at[i] + len(each[k])] = token[ends[k] - len(each[k]):ends[k]]
-
-    def runs(k: int, others: np.ndarray) -> np.ndarray:
-        differ = laid[others] != laid[k]
-        differ = np.pad(differ, ((0, 0), (1, 1)), constant_values=True)
-        return differ[:, side + 1:].argmax(axis=1) + differ[:, side::-1].argmax(axis=1)
-
-    for i in (i for i, f in enumerate(failed) if f):
-        k = number[like[i]]
-        own = each[k]
-        may = [like[i]] if like[i] != i else []
-        if alive[k]:
-            mine = token[ends[k] - len(own):ends[k]]
-            count = np.bincount(np.concatenate([begin[begins[x]:begins[x + 1]] for x in mine]), minlength=len(rows))
-            close = np.flatnonzero((count >= need) & (rows < i) & (rows != like[i]))
-            run = runs(k, close)
-            close = close[(run >= width) | (count[close] > run)]
-            may += rows[close[np.argsort(-count[close], kind="stable")]].tolist()
-        for j in may:
-            if (ids[j], hashes[j]) != (ids[i], hashes[i]) and aligned(own, each[number[j]], [(at[i], at[j])], width, similarity):
-                yield i, j
-                break
+#: Tokens on one side of the centre, itself included, that two members must agree on to be compared.
+_SIDE = 10
+
+
+def rooted(context: np.ndarray, at: int) -> list[tuple[bytes, bytes]]:
+    """The two ways to read a context from its centre ``at`` on: to the right and to the left, each followed by what is on the other side."""
+    return [(context[at:].tobytes(), context[:at][::-1].tobytes()), (context[:at + 1][::-1].tobytes(), context[at + 1:].tobytes())]
+
+
+class _Member:
+    """A window in its sorted stream."""
+
+    def __init__(self, order: tuple, what: tuple, ahead: bytes, behind: bytes):
+        self.order, self.what, self.ahead, self.behind = order, what, ahead, behind
+        self.own: np.ndarray | None = None
+        self.held: frozenset = frozenset()
+
+    def read(self) -> None:
+        if self.own is None:
+            ahead, behind = np.frombuffer(self.ahead, np.uint32), np.frombuffer(self.behind, np.uint32)
+            self.own = np.concatenate((behind[::-1], ahead))
+            self.held = frozenset(self.own.tolist())
+
+    def near(self, other: _Member, width: int, similarity: float) -> bool:
+        """Whether a near-equal passage of both holds the centres. Such passages share the tokens that the similarity asks for, so
+        members with fewer in common (a frequent line among different texts) are told apart by their token sets."""
+        self.read()
+        other.read()
+        if sum(map(other.held.__contains__, self.own.tolist())) < 2 * width * similarity / (1 + similarity) - 1e-9:
+            return False
+        return bool(aligned(self.own, other.own, [(len(self.behind) // 4, len(other.behind) // 4)], width, similarity))
+
+
+def tried(members: Iterator[tuple], width: int, similarity: float) -> Iterator[tuple]:
+    """``(what, what of an earlier document)`` for members ``(group, order, what, failed, ahead, behind)`` that come sorted by group,
+    then by the tokens read from the centre, then by document order.
+
+    In such a stream the neighbours of a member are those that agree with it longest. The Cartesian tree of the documents' order over
+    the stream, kept as its right spine, gives the nearest member of an earlier document before and after each; a failed member
+    is held against these two. Members that equal one of an earlier document add nothing to the spine, so copies take no room."""
+    spine: list[tuple[_Member, list[_Member]]] = []  # per document: its latest member, and those that wait for a partner
+    group = None
+    for own_group, order, what, failed, ahead, behind in members:
+        if own_group != group:
+            group, spine = own_group, []
+        m = _Member(order, what, ahead, behind)
+        while spine and spine[-1][0].order > order:
+            for w in spine.pop()[1]:
+                if w.near(m, width, similarity):
+                    yield w.what, what
+        waits: list[_Member] = []
+        if spine and spine[-1][0].order == order:
+            waits = spine.pop()[1]
+        if failed:
+            if spine and m.near(spine[-1][0], width, similarity):
+                yield what, spine[-1][0].what
+            else:
+                waits.append(m)
+        if waits or not spine or (spine[-1][0].ahead, spine[-1][0].behind) != (ahead, behind):
+            spine.append((m, waits))
 
 
 def second_tries(spark: SparkSession, docs: DataFrame, pairs: DataFrame, near: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Pairs for the windows that no passage of ``near`` covers, though their key has an earlier member: the tokens about
-    the centres of these and of the key's other members meet by key, and :func:`tried` looks for a partner."""
+    """Pairs for the windows that no passage of ``near`` covers, though their key has an earlier member: these and the
+    key's other members are sorted by the tokens to the right and, apart, to the left of their centres, and :func:`tried` finds partners
+    in the streams. A passage of the width and similarity has a run of some twenty tokens unchanged, so that a centre in it
+    agrees on ``_SIDE`` tokens on one side; members are dealt to tasks by these."""
     reach = int(_CONTEXT * width)
     spans = (near.groupBy("doc_id", _tag("text_hash").alias("tag")).agg(F.collect_list(F.struct("start_word", "end_word", "similarity")).alias("spans"))
              .toDF("s_id", "s_tag", "spans"))
@@ -404,7 +423,7 @@ def second_tries(spark: SparkSession, docs: DataFrame, pairs: DataFrame, near: D
     one, _ = parted(_documents(docs), F.xxhash64("d", "t"), member_bits(spark, refs.select(F.xxhash64("doc_id", "tag").alias("ref"))))
     asked = (refs.join(one, one["d"].eqNullSafe(refs["doc_id"]) & (one["t"] == refs["tag"]))
              .select("d", "h", "text", F.col("refs.key"), F.col("refs.centre"), F.col("refs.failed")))
-    names, kinds = ["key", "d", "h", "centre", "failed", "at", "context"], [pa.int64()] * 4 + [pa.bool_(), pa.int32(), pa.binary()]
+    names, kinds = ["deal", "d", "h", "centre", "failed", "ahead", "behind"], [pa.int64()] * 4 + [pa.bool_(), pa.binary(), pa.binary()]
 
     def batch(rows: list, names: list, kinds: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -417,7 +436,9 @@ def second_tries(spark: SparkSession, docs: DataFrame, pairs: DataFrame, near: D
                 t = tokens(text, known).astype(np.uint32)
                 for key, centre, failed in zip(*refs, strict=True):
                     lo = max(0, centre - reach)
-                    rows.append((key, d, h, centre, failed, centre - lo, t[lo:centre + reach + 1].tobytes()))
+                    for side, (ahead, behind) in enumerate(rooted(t[lo:centre + reach + 1], centre - lo)):
+                        deal = xxhash.xxh64_intdigest(ahead[:4 * _SIDE], (key + side) % (1 << 64))
+                        rows.append((deal - (1 << 63), d, h, centre, failed, ahead, behind))
                     if len(rows) >= 1 << 14:
                         yield batch(rows, names, kinds)
                         rows = []
@@ -427,30 +448,23 @@ def second_tries(spark: SparkSession, docs: DataFrame, pairs: DataFrame, near: D
     out = ["doc_id", "h", "centre", "of_id", "of_h", "of_centre"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs_of(group: list[pa.RecordBatch]) -> Iterator[tuple]:
-            _, d, h, centre, failed, at, context = (pa.chunked_array([b.column(i) for b in group]).to_pylist() for i in range(7))
-            if len(d) > 1 and any(failed):
-                for i, j in tried(d, h, failed, at, context, width, similarity):
-                    yield d[i], h[i], centre[i], d[j], h[j], centre[j]
-
-        held, last, rows = [], None, []
-        for b in batches:
-            key = b.column(0).to_numpy()
-            at = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
-            for x, y in zip(at[:-1], at[1:], strict=True):
-                if held and key[x] != last:
-                    rows += pairs_of(held)
-                    held = []
-                held.append(b.slice(x, y - x))
-                last = key[x]
-            if rows:
+        def members() -> Iterator[tuple]:
+            for b in batches:
+                for deal, d, h, centre, failed, ahead, behind in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    yield deal, (d is not None, d or 0, h & 0xFFFF, h), (d, h, centre), failed, ahead, behind
+
+        rows = []
+        for one, of in tried(members(), width, similarity):
+            rows.append(one + of)
+            if len(rows) >= 1 << 14:
                 yield batch(rows, out, [pa.int64()] * 6)
                 rows = []
-        if held and (rows := list(pairs_of(held))):
+        if rows:
             yield batch(rows, out, [pa.int64()] * 6)
 
-    contexts = asked.mapInArrow(cut, "key long, d long, h long, centre long, failed boolean, at int, context binary")
-    found = contexts.repartition("key").sortWithinPartitions("key", "d", _tag("h"), "h", "centre").mapInArrow(run, ", ".join(f"{c} long" for c in out))
+    contexts = asked.mapInArrow(cut, "deal long, d long, h long, centre long, failed boolean, ahead binary, behind binary")
+    found = (contexts.repartition("deal").sortWithinPartitions("deal", "ahead", "behind", "d", _tag("h"), "h", "centre")
+             .mapInArrow(run, ", ".join(f"{c} long" for c in out)))
     # few pairs, and passages of any length: the whole documents are asked for
     whole = F.lit(1 << 40)
     return (found.groupBy("doc_id", _tag("h").alias("tag"), "of_id", _tag("of_h").alias("of_tag"))
@@ -458,6 +472,10 @@ def second_tries(spark: SparkSession, docs: DataFrame, pairs: DataFrame, near: D
             .withColumns({"pair": F.xxhash64("doc_id", "tag", "of_id", "of_tag"), "a_first": F.lit(0), "a_last": whole, "b_first": F.lit(0), "b_last": whole}))
 
 
+#: Rows that the pairs of one document are dealt to.
+_ROWS = 8
+
+
 def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
     """The passages of ``pairs``, as :func:`repeats` gives them."""
     # each document hands every pair it is in the tokens that may matter; documents in no pair are not shuffled
@@ -468,20 +486,22 @@ def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, width: int,
                                      part(1, F.greatest(F.lit(0), F.col("b_first") - n), F.col("b_last") + n))))
     bits = member_bits(spark, ask.select(F.xxhash64("doc_id", "tag").alias("ref")))
     one, _ = parted(_documents(docs), F.xxhash64("d", "t"), bits)
+    # a text meets the asks of its document in a few rows, however many pairs it is in
+    ask = ask.groupBy("doc_id", "tag", F.pmod("ask.pair", F.lit(_ROWS)).alias("row")).agg(F.collect_list("ask").alias("asks"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last, t = _Hashes(), None, None
+        known = _Hashes()
         for b in batches:
             rows, size = [], 0
-            for d, h, text, ask in zip(*(b.column(i).to_pylist() for i in range(2)), utf8(b.column(2)), b.column(3).to_pylist(), strict=True):
-                if last != (d, h):
-                    last, t = (d, h), tokens(text, known)
-                lo, hi = min(ask["lo"], len(t)), min(ask["hi"] + 1, len(t))
-                rows.append((ask["pair"], ask["side"], h, lo, t[lo:hi].tobytes()))
-                size += hi - lo
-                if size > 1 << 20:
-                    yield made(rows)
-                    rows, size = [], 0
+            for h, text, asks in zip(b.column(0).to_pylist(), utf8(b.column(1)), b.column(2).to_pylist(), strict=True):
+                t = tokens(text, known)
+                for x in asks:
+                    lo, hi = min(x["lo"], len(t)), min(x["hi"] + 1, len(t))
+                    rows.append((x["pair"], x["side"], h, lo, t[lo:hi].tobytes()))
+                    size += hi - lo
+                    if size > 1 << 20:
+                        yield made(rows)
+                        rows, size = [], 0
             if rows:
                 yield made(rows)
 
@@ -489,7 +509,7 @@ def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, width: int,
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["pair", "side", "h", "lo", "tokens"])
 
-    asked = ask.join(one, one["d"].eqNullSafe(ask["doc_id"]) & (one["t"] == ask["tag"])).select("d", "h", "text", "ask")
+    asked = ask.join(one, one["d"].eqNullSafe(ask["doc_id"]) & (one["t"] == ask["tag"])).select("h", "text", "asks")
     slices = asked.mapInArrow(cut, "pair long, side int, h long, lo long, tokens binary").dropDuplicates(["pair", "side", "h"])
     sides = [slices.filter(f"side = {k}").select("pair", F.col("h").alias(f"{x}_hash"), F.col("lo").alias(f"{x}_lo"), F.col("tokens").alias(f"{x}_tokens"))
              for k, x in ((0, "a"), (1, "b"))]

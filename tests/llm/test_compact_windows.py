@@ -129,14 +129,45 @@ def test_members_that_fail_against_the_first_meet_the_others(spark):
         assert len(d) >= 0.9 * groups, d
 
 
+def second(rows, failed, width=46):
+    """The pairs of one group, whose members have their centre at 68."""
+    out = set()
+    for side in range(2):
+        members = [(0, (i,), i, f, *C.rooted(x, 68)[side]) for i, (x, f) in enumerate(zip(rows, failed, strict=True))]
+        out |= set(C.tried(iter(sorted(members, key=lambda m: (m[4], m[5], m[1]))), width, 0.8))
+    return out
+
+
 def test_second_tries_set_a_frequent_line_aside():
     rnd = np.random.default_rng(5)
     line = rnd.integers(0, 1 << 32, 16, dtype=np.uint32)
     rows = [np.concatenate([rnd.integers(0, 1 << 32, 60, dtype=np.uint32), line, rnd.integers(0, 1 << 32, 60, dtype=np.uint32)]) for _ in range(300)]
     rows[200] = rows[120].copy()
     rows[200][100] = 1
-    n = len(rows)
-    assert list(C.tried(list(range(n)), [0] * n, [i > 0 for i in range(n)], [68] * n, [x.tobytes() for x in rows], 46, 0.8)) == [(200, 120)]
+    assert second(rows, [i > 0 for i in range(len(rows))]) == {(200, 120)}
+
+
+def test_second_tries_meet_the_nearest_earlier_member():
+    """Copies with an edit on either side, in any order of documents: whatever is near to an earlier member gets a partner."""
+    rnd = np.random.default_rng(6)
+    for _ in range(30):
+        line = rnd.integers(0, 1 << 32, 16, dtype=np.uint32)
+        rows, of = [], []
+        for c in range(6):
+            base = np.concatenate([rnd.integers(0, 1 << 32, 60, dtype=np.uint32), line, rnd.integers(0, 1 << 32, 60, dtype=np.uint32)])
+            for k in range(4):
+                own = base.copy()
+                if k:
+                    own[[0, 40, 90, 100][k]] = k
+                rows.append(own)
+                of.append(c)
+        at = rnd.permutation(len(rows))
+        rows, of = [rows[i] for i in at], [of[i] for i in at]
+        got = second(rows, [True] * len(rows))
+        assert all(of[i] == of[j] and j < i for i, j in got)
+        assert {i for i, _ in got} == {i for i in range(len(rows)) if of[i] in of[:i]}
+        copies = second([rows[0]] * 500, [True] * 500)
+        assert copies == {(i, 0) for i in range(1, 500)}
 
 
 def test_long_edits_are_bridged(spark):
