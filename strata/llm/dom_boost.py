@@ -25,7 +25,9 @@ from strata.llm.common import bounded_batches, strings
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
             "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot "
             "th thead tr ul".split())
-DROPPED = set("script style title textarea noscript template svg math iframe object canvas select button audio video noembed noframes".split())
+DROPPED = set("script style title textarea template svg iframe object canvas select audio video noembed noframes".split())
+#: Of these, the ones whose content is text alone: only their end tag ends them. The others hold markup, and end with the block about them.
+RAW = set("script style title textarea iframe noembed noframes".split())
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 CLOSES_P = BLOCK - {"body", "head", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
 #: An element that opens ends an open one of these kinds, up to the nearest of the bounds.
@@ -113,6 +115,17 @@ def parse(html: str) -> Page:
             i, end = close + 1, later
         return -1
 
+    def about(i: int, stop: int) -> int | None:
+        """Where, before ``stop``, an end tag closes the innermost open block, blocks that open from ``i`` on set aside; or None."""
+        if len(stack) < 2:
+            return None
+        tag, depth = stack[-1][1], 0
+        for m in re.compile(rf"<(/?){tag}(?=[\s/>])", re.I | re.A).finditer(html, i, stop):
+            depth += -1 if m[1] else 1
+            if depth < 0:
+                return m.start()
+        return None
+
     while at < n:
         i = html.find("<", at)
         if i < 0:
@@ -145,6 +158,10 @@ def parse(html: str) -> Page:
         if tag in DROPPED:
             if not closing and html[end - 1] != "/":
                 close = re.compile(rf"</{tag}(?=[\s/>])", re.I | re.A).search(html, at)
+                around = None if tag in RAW else about(at, close.start() if close else n)
+                if around is not None:  # never closed inside its block: that block's end tag ends it
+                    at = around
+                    continue
                 stop = html.find(">", close.end()) if close else -1
                 at = n if stop < 0 else stop + 1
             continue

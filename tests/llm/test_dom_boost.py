@@ -46,7 +46,10 @@ def test_held_out_variants(spark, model):
 ODD = {None: "", "": "", "plain text": "plain text", "<p>a<p>b": "a\nb", "a < b &lt; c": "a < b < c",
        "<div><p>x &amp; y&nbsp;z\n\t w</p><script>var a='<p>no</p>'</script><style>p{}</style><!-- <p>no</p> --></div>": "x & y z w",
        "<textarea><p>no</textarea><p>yes": "yes", "<p>cut <b": "cut", "<!-- open <p>no": "", '<p title="a > b">t</p>': "t", "<p a='x>y": "y",
-       "<ul><li>one<li>two</ul>": "one\ntwo", "<SCRIPT>no</SCRIPT >go": "go"}
+       "<ul><li>one<li>two</ul>": "one\ntwo", "<SCRIPT>no</SCRIPT >go": "go",
+       "<p>a <math><mi>x</mi></math> b <noscript>c</noscript> <button>d</button></p>": "a x b c d", "<p>a <button>b</p><p>c": "a b\nc",
+       "<p>a <svg><text>no</p><p>yes</p>": "a\nyes", "<div>a <select><option>no</div><p>yes": "a\nyes",
+       "<div>a <svg><div>no</div></svg> b</div>": "a b", "<svg><text>no": "", "<p>a <textarea></p><p>no": "a"}
 
 
 def test_parse_of_odd_pages():
