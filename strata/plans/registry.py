@@ -32,5 +32,5 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from strata.plans import (  # noqa: F401
-        queries_edge, queries_io, queries_layers, queries_profile, queries_reports, queries_text,
+        queries_edge, queries_io, queries_layers, queries_profile, queries_reports, queries_state, queries_text,
     )
