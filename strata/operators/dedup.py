@@ -20,10 +20,11 @@ set are alone with their key: they survive where they were read, without a
 shuffle.  Only the others, a superset of the repeated keys' rows, go through
 the struct aggregate, and only they are joined with the repeated keys (and
 their survivor's identity) to find the rows that did not survive
-(``rn > 1``).  How that join runs is left to adaptive execution, which
-measures the key set; in a shuffle join it splits hot keys.  Key columns
-compare null-safely, as grouping does; a hash collision only makes a row a
-candidate that is then compared exactly.
+(``rn > 1``).  Keys held by ``HOT_ROWS`` rows or more are counted first: there
+are few of them, so they are broadcast and their rows are not shuffled at all;
+the others meet in a shuffle join, where no key brings more than that.  Key
+columns compare null-safely, as grouping does; a hash collision only makes a
+row a candidate that is then compared exactly.
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words of 64 bits in the table of repeated keys: two megabytes, whatever it is made of.
-BIT_WORDS = 1 << 17
+#: Words of 64 bits in the table of repeated keys: eight megabytes, whatever it is made of.
+BIT_WORDS = 1 << 19
+#: Rows from which on a key's duplicates are found by a broadcast; n rows hold n / HOT_ROWS such keys at most.
+HOT_ROWS = 100_000
 
 
 def _order_fields(df: DataFrame, order_first: Sequence[str], row_id: Sequence[str]) -> list[str]:
@@ -134,6 +137,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
     return _marked(df, keys, known.bits).where("NOT _repeated").drop("_repeated").unionByName(kept) if known else kept
 
 
+def _hot_hashes(df: DataFrame, keys: Sequence[str], known: Repeats | None) -> list[int]:
+    """The hashes of the keys held by ``HOT_ROWS`` rows or more, from the written groups or else counted on the map side."""
+    counts = known.groups.select("_kh", "_n") if known else df.groupBy(_key_hash(keys).alias("_kh")).agg(F.count(F.lit(1)).alias("_n"))
+    return sorted({r["_kh"] for r in counts.where(F.col("_n") >= HOT_ROWS).collect()})
+
+
 def not_latest(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
                order_first: Sequence[str] = ("ingested_at", "source_file"),
                known: Repeats | None = None) -> DataFrame:
@@ -143,19 +152,28 @@ def not_latest(df: DataFrame, keys: Sequence[str], row_id: Sequence[str],
     once. It runs on a 64-bit hash of the key (one fixed-width column to shuffle
     and sort on instead of several strings); the exact null-safe key equality
     stays as a residual condition, so a hash collision can never pair rows of
-    different keys."""
+    different keys. A job counts the rows of each key first; hot ones are joined by
+    a broadcast, apart from the others."""
+    hot = _hot_hashes(df, keys, known)
     known = known or repeats(df, keys, row_id, order_first)
     ids = _identity(df, row_id)
     dup_keys = known.groups.where(F.col("_n") > 1).select(
         F.col("_kh").alias("_kh2"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         *[(F.col(c) if c in keys else F.col(f"_w.{c}")).alias(f"_s{i}") for i, c in enumerate(ids)])
     rows = _marked(df, keys, known.bits).where("_repeated").drop("_repeated").withColumn("_kh", _key_hash(keys))
-    # null-safe equality written so the planner keeps it as a residual check
-    # (only _kh becomes a shuffle/sort key)
-    on = [rows["_kh"] == dup_keys["_kh2"]] + \
-        [F.coalesce(rows[k] == dup_keys[f"_k{i}"], rows[k].isNull() & dup_keys[f"_k{i}"].isNull())
-         for i, k in enumerate(keys)]
-    survivor = F.lit(True)
-    for i, c in enumerate(ids):
-        survivor = survivor & rows[c].eqNullSafe(dup_keys[f"_s{i}"])
-    return rows.join(dup_keys, on, "inner").where(~survivor).select(*[rows[c] for c in df.columns])
+
+    def copies(rows: DataFrame, dup_keys: DataFrame) -> DataFrame:
+        # null-safe equality written so the planner keeps it as a residual check
+        # (only _kh becomes a shuffle/sort key)
+        on = [rows["_kh"] == dup_keys["_kh2"]] + \
+            [F.coalesce(rows[k] == dup_keys[f"_k{i}"], rows[k].isNull() & dup_keys[f"_k{i}"].isNull())
+             for i, k in enumerate(keys)]
+        survivor = F.lit(True)
+        for i, c in enumerate(ids):
+            survivor = survivor & rows[c].eqNullSafe(dup_keys[f"_s{i}"])
+        return rows.join(dup_keys, on, "inner").where(~survivor).select(*[rows[c] for c in df.columns])
+
+    if not hot:
+        return copies(rows, dup_keys)
+    return copies(rows.where(F.col("_kh").isin(hot)), F.broadcast(dup_keys.where(F.col("_kh2").isin(hot)))).unionByName(
+        copies(rows.where(~F.col("_kh").isin(hot)), dup_keys.where(~F.col("_kh2").isin(hot))))
