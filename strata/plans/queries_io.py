@@ -314,8 +314,9 @@ def schema_context(spark, d):
         df = spark.table(f"`{db}`.`{t}`")
         part = df.select(F.lit(t).alias("table_name"), F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in df.columns]).alias("line"))
         lines = part if lines is None else lines.unionByName(part)
+    # the tables' rows stay where they are; the few shown ones are sent to them
     shown = ctx.select("table_name", F.explode(F.array_distinct("sample_rows")).alias("line"))
-    known = shown.join(lines, ["table_name", "line"], "left_semi").groupBy("table_name").agg(F.count(F.lit(1)).cast("int").alias("distinct_known"))
+    known = lines.join(F.broadcast(shown), ["table_name", "line"], "left_semi").distinct().groupBy("table_name").agg(F.count(F.lit(1)).cast("int").alias("distinct_known"))
     distinct = F.size(F.array_distinct("sample_rows"))
     return (ctx.join(known, "table_name").select("table_name", "columns", F.size("sample_rows").alias("samples"),
                                                  (F.size("sample_rows") - distinct + F.col("distinct_known")).cast("int").alias("known")))
