@@ -36,7 +36,7 @@ from strata.functions.predicates import (
 from strata.operators.dedup import Repeats, not_latest, repeats
 from strata.operators.layers import DEFAULT_ROW_ID, malformed_row, run_timestamp, well_formed
 from strata.operators.model import Profile
-from strata.operators.silver import dated, sales_repeats, valid_row
+from strata.operators.silver import dated, valid_row
 
 
 def _shape(rows: DataFrame, cols: Sequence[str], run_ts) -> DataFrame:
@@ -85,7 +85,6 @@ def quarantine_sales(bronze: DataFrame, row_id: Sequence[str] = DEFAULT_ROW_ID,
     the others. ``known``: the already written
     :func:`strata.operators.silver.sales_repeats`. ``extensions``: see
     :func:`sales_rule_reason`."""
-    known = known or sales_repeats(bronze, row_id)
     dup = all_non_negative(["revenue", "cost"], ["units_sold"])
     if extensions:
         dup = dup & sales_extension_ok()
@@ -154,7 +153,6 @@ def quarantine(bronze: DataFrame, profile: Profile, row_id: Sequence[str] = DEFA
 
     ``known``: the already written :func:`valid_repeats`."""
     keys = list(dedup_keys or profile.dedup_keys())
-    known = known or valid_repeats(bronze, profile, row_id, keys, extensions)
     copies = not_latest(_valid(bronze, profile, extensions), keys, row_id, known=known)
     return row_rule_quarantine(bronze, profile, run_ts, extensions).unionByName(
         _shape(copies.withColumn("rejection_reason", F.lit(REASON_DUPLICATE)), profile.names, run_ts))

@@ -80,3 +80,36 @@ def test_a_first_delivery_with_copies(spark, tmp_dir):
     lake.deliver(f"{tmp_dir}/a.csv", run_ts="2031-09-02 00:00:00")
     v = lake.layers()
     assert (v.bronze.count(), v.silver.count(), v.quarantine.count()) == (6, 2, 4)
+
+
+def _few_keys(spark):
+    """Two keys of many rows, one with nulls, and rows that are alone with their key."""
+    rows = [(f"2031-03-{1 + i % 2:02d}", None if i % 2 else "A", f"{i % 9}.00", "1.00", "1", f"2031-03-{1 + i % 28:02d} {i % 24:02d}:00:00") for i in range(300)]
+    rows += [(f"2031-05-{1 + i:02d}", f"C{i}", "7.00", "5.00", "2", "2031-05-01 00:00:00") for i in range(20)]
+    return sales_bronze(spark, rows)
+
+
+def test_few_keys_of_many_rows_are_broadcast_and_no_row_is_shuffled(spark, no_small_tables, monkeypatch):
+    b, keys, row = _few_keys(spark), ["date", "category"], ("_row_id",)
+    q = dedup.not_latest(b, keys, row)
+    joins = [x for x in q._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x and "_kh2" in x]
+    assert joins and all("BroadcastHashJoin" in x for x in joins)
+    got = sorted(r["_row_id"] for r in q.collect())
+    monkeypatch.setattr(dedup, "FEW_KEYS", 0)
+    assert got == sorted(r["_row_id"] for r in dedup.not_latest(b, keys, row).collect())
+    assert len(got) == 298 and all(i < 300 for i in got)
+
+
+def test_tasks_of_the_duplicate_join_grow_with_the_rows(spark, no_small_tables, monkeypatch):
+    b = sales_bronze(spark, _rows())
+    whole = sorted(map(str, quarantine_sales(b, run_ts="2031-05-01").collect()))
+    monkeypatch.setattr(dedup, "ROWS_PER_TASK", 10)
+    q = quarantine_sales(b, run_ts="2031-05-01")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(", 21), REPARTITION_BY_NUM") == 2  # 210 rows with a date and a category
+    assert sorted(map(str, q.collect())) == whole
+
+
+def test_repeated_keys_are_found_by_one_pass_over_the_rows(spark, no_small_tables):
+    plan = quarantine_sales(sales_bronze(spark, _rows()), run_ts="2031-05-01")._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(1)" in plan and plan.count("bit_or") == 0  # the table of bits comes from the job that counts
