@@ -12,6 +12,7 @@ passage are sorted with the others of their group by the tokens about the centre
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, bounded_batches, member_bits, parted, stored, text_hash, unused, utf8
+from strata.llm.common import WORD, bounded_batches, member_bits, parted, stored, text_hash, unused
 
 SHINGLE, WORDS, SIMILARITY = 5, 50, 0.8
 #: Random orders, and how many of them a pair of documents must meet under.
@@ -40,21 +41,39 @@ def _mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-class _Hashes(dict):
-    """Hash of each word, kept for the words seen lately."""
+def _cells(column: pa.Array) -> list[bytes]:
+    """The bytes of each cell of a string or binary column without nulls."""
+    if not len(column):
+        return []
+    _, ends, data = column.cast(pa.binary()).buffers()
+    at = np.frombuffer(ends, np.int32, len(column) + 1, 4 * column.offset).tolist()
+    whole = data.to_pybytes() if data else b""
+    return [whole[s:e] for s, e in zip(at[:-1], at[1:], strict=True)]
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 18:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
 
+def _binary(counts: np.ndarray, values: np.ndarray) -> pa.Array:
+    """A binary column whose cells hold so many of the values each, in turn."""
+    ends = np.concatenate(([0], np.cumsum(counts * values.itemsize))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
 
-def tokens(text: bytes, known: _Hashes) -> np.ndarray:
-    """The shingle hashes of a text, A-Z lowered; empty below ``SHINGLE`` words."""
-    words = text.lower().split()
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    return shingled(h)
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word of the texts, A-Z lowered, text after text, and where the words of each text begin (with the
+    end). Each distinct word is hashed once; null has no words."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    words, at = split.flatten(), np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(split), 0).to_numpy(), dtype=np.int64)))
+    full = pc.greater(pc.binary_length(words), 0)  # the split gives empty words at the ends of a text
+    at = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False), dtype=np.int64)))[at]
+    coded = words.filter(full).dictionary_encode()
+    known = _cells(coded.dictionary)
+    return np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))[coded.indices.to_numpy()], at
+
+
+def tokens(texts: pa.Array) -> list[np.ndarray]:
+    """The shingle hashes of each text; empty below ``SHINGLE`` words."""
+    h, at = word_hashes(texts)
+    flat = shingled(h)
+    return [flat[s:max(s, e - SHINGLE + 1)] for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 def shingled(h: np.ndarray) -> np.ndarray:
@@ -68,15 +87,31 @@ def shingled(h: np.ndarray) -> np.ndarray:
     return _mixed(out)
 
 
-def _sliding(x: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.ndarray:
-    """``pick`` over each ``width`` consecutive values, by prefixes and suffixes of blocks."""
-    n, blocks = len(x), -(-len(x) // width)
-    full = np.full(blocks * width, fill, x.dtype)
-    full[:n] = x
-    full = full.reshape(blocks, width)
-    ahead = pick.accumulate(full, axis=1).ravel()
-    back = pick.accumulate(full[:, ::-1], axis=1)[:, ::-1].ravel()
-    return pick(back[:n - width + 1], ahead[width - 1:n])
+def _sliding(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
+    """``pick`` over each ``width`` consecutive values, by doubling."""
+    k = 1
+    while 2 * k <= width:
+        x = pick(x[:len(x) - k], x[k:])
+        k *= 2
+    return x if k == width else pick(x[:len(x) - width + k], x[width - k:])
+
+
+def _smaller(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each value the place before it with the nearest that is not greater, or ``lo - 1``, and the place after it with the nearest
+    that is smaller, or ``hi``. All places advance at once along the pointers of those they point to."""
+    n = len(values)
+    left, right = np.arange(-1, n - 1), np.arange(1, n + 1)
+    on = np.arange(n)
+    while len(on):
+        at = left[on]
+        on = on[(at >= lo[on]) & (values[at] > values[on])]
+        left[on] = left[left[on]]
+    on = np.arange(n)
+    while len(on):
+        at = right[on]
+        on = on[(at < hi[on]) & (values[np.minimum(at, n - 1)] >= values[on])]
+        right[on] = right[right[on]]
+    return left, right
 
 
 def compact_windows(order: np.ndarray, first: np.ndarray, last: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
@@ -88,23 +123,21 @@ def compact_windows(order: np.ndarray, first: np.ndarray, last: np.ndarray, widt
     n = len(order)
     if n < width:
         return (np.empty(0, np.int64),) * 3
-    least = _sliding(order, width, np.minimum, (1 << 64) - 1)
-    least[np.arange(n - width + 1) + width > last[:n - width + 1]] = 0
+    least = _sliding(order, width, np.minimum)
+    least[np.flatnonzero(np.arange(width, n + 1) > last[:n - width + 1])] = 0
     spread = np.zeros(n + width - 1, np.uint64)
     spread[width - 1:n] = least
-    centre = np.flatnonzero((_sliding(spread, width, np.maximum, 0) == order) & (last - first >= width))
-    values, at, begin = order[centre].tolist(), centre.tolist(), first[centre].tolist()
-    left, right = begin[:], (last[centre] - 1).tolist()
-    stack: list[int] = []
-    for i, v in enumerate(values):
-        if stack and begin[stack[-1]] != begin[i]:
-            stack.clear()
-        while stack and values[stack[-1]] > v:
-            right[stack.pop()] = at[i] - 1
-        if stack:
-            left[i] = at[stack[-1]] + 1
-        stack.append(i)
-    left, right = np.array(left, np.int64), np.array(right, np.int64)
+    centre = np.flatnonzero((_sliding(spread, width, np.maximum) == order) & (last - first >= width))
+    if not len(centre):
+        return (centre,) * 3
+    begin, end = first[centre], last[centre]
+    start = np.flatnonzero(np.concatenate(([True], begin[1:] != begin[:-1])))
+    sizes = np.diff(np.append(start, len(centre)))
+    lo = np.repeat(start, sizes)
+    hi = lo + np.repeat(sizes, sizes)
+    before, after = _smaller(order[centre], lo, hi)
+    left = np.where(before >= lo, centre[before] + 1, begin)
+    right = np.where(after < hi, centre[np.minimum(after, len(centre) - 1)], end) - 1
     wide = right - left + 1 >= width
     return left[wide], centre[wide], right[wide]
 
@@ -117,6 +150,16 @@ def _tag(text_hash_: str):
     return F.col(text_hash_).bitwiseAND(F.lit(0xFFFF))
 
 
+def _by_key(key: np.ndarray, then: np.ndarray) -> np.ndarray:
+    """The order by ``key``, then ``then``: only keys that repeat are sorted by both."""
+    at = np.argsort(key)
+    own = key[at]
+    same = own[1:] == own[:-1]
+    shared = np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same)))
+    at[shared] = at[shared][np.lexsort((then[at[shared]], own[shared]))]
+    return at
+
+
 def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``(key, doc_id, place, reach, of_id, of_place)``: the windows of each key in the task's first document that has it;
     other members of the task are links to the first of them (``of_*``). ``reach`` is how far the window extends to the left (upper
@@ -150,7 +193,7 @@ def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
         number: dict[tuple, int] = {}
         uid = np.array([number.setdefault(x, len(number)) for x in zip(ids, tags, strict=True)])
         place = place + (np.array(tags, np.int64)[doc] << _TAG)
-        at = np.lexsort((place, rank[doc], key))
+        at = _by_key(key, (rank[doc] << _TAG) + (place & ((1 << _TAG) - 1)))
         key, doc, place, reach = (x[at] for x in (key, doc, place, reach))
         new = np.concatenate(([True], key[1:] != key[:-1]))
         of = np.flatnonzero(new)[np.cumsum(new) - 1]
@@ -161,7 +204,7 @@ def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
         return pa.RecordBatch.from_arrays(cols, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, n = _Hashes(), [], 0
+        held, n = [], 0
         ids, tags, own = [], [], []
         size = 0
 
@@ -174,8 +217,7 @@ def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 n, own, size = n + len(key), [], 0
 
         for b in batches:
-            for doc_id, tag, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)), strict=True):
-                t = tokens(text, known)
+            for doc_id, tag, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), tokens(b.column(2)), strict=True):
                 if len(t) < width:
                     continue
                 ids.append(doc_id)
@@ -226,24 +268,43 @@ def links(found: DataFrame) -> DataFrame:
     return found.repartition(deal).sortWithinPartitions("key", "doc_id", "place").mapInArrow(run, found.schema)
 
 
-def _run(a: np.ndarray, b: np.ndarray, i: int, j: int) -> tuple[int, int]:
-    """How far the tokens agree to the left and to the right of ``a[i] == b[j]`` (exclusive ends, as counts)."""
+def _ahead(a: np.ndarray, b: np.ndarray, i: int, j: int) -> int:
+    """How many tokens agree from ``a[i] == b[j]`` on."""
     n = min(len(a) - i, len(b) - j)
-    differ = np.flatnonzero(a[i:i + n] != b[j:j + n])
-    ahead = int(differ[0]) if len(differ) else n
-    n = min(i, j)
-    differ = np.flatnonzero(a[i - n:i][::-1] != b[j - n:j][::-1])
-    return (int(differ[0]) if len(differ) else n), ahead
-
-
-def _meetings(a: np.ndarray, b: np.ndarray, near: int = 16) -> Iterator[tuple[int, int]]:
-    """Where the tokens of ``a`` and ``b`` may meet again after a gap, the shortest gap first."""
-    for k in (near, max(len(a), len(b))):
-        _, s, t = np.intersect1d(a[:k], b[:k], return_indices=True)
-        at = np.lexsort((s + t, np.maximum(s, t)))
-        yield from zip(s[at].tolist(), t[at].tolist(), strict=True)
-        if k >= max(len(a), len(b)):
+    differ = a[i:i + n] != b[j:j + n]
+    at = int(differ.argmax())
+    return at if differ[at] else n
+
+
+def _shared(a: np.ndarray, b: np.ndarray, most: int, after: int) -> Iterator[tuple[int, int]]:
+    """The first places of each token that ``a`` and ``b`` share, ``most`` together and one of them ``after`` or more, the shortest gap
+    first; what continues a run of such places is left out."""
+    if len(a) * len(b) <= 1 << 16:
+        same = a[:, None] == b
+        at = same.ravel().nonzero()[0]
+        if not len(at):
             return
+        s, t = at // len(b), at % len(b)
+        if len(s) > 1:
+            first = (same.argmax(0)[t] == s) & (same.argmax(1)[s] == t)
+            s, t = s[first], t[first]
+    else:
+        _, s, t = np.intersect1d(a, b, return_indices=True)
+    of = np.full(len(a) + 1, -2)
+    of[s] = t
+    new = (of[s - 1] != t - 1) & (s + t <= most) & (np.maximum(s, t) >= after)  # of[-1] is no place
+    s, t = s[new], t[new]
+    if len(s) > 1:
+        at = np.lexsort((a[s], s + t, np.maximum(s, t)))
+        s, t = s[at], t[at]
+    yield from zip(s.tolist(), t.tolist(), strict=True)
+
+
+def _meetings(a: np.ndarray, b: np.ndarray, most: int, near: int = 16) -> Iterator[tuple[int, int]]:
+    """Where the tokens of ``a`` and ``b`` may meet again after gaps of ``most`` tokens together, the shortest gap first."""
+    yield from _shared(a[:near], b[:near], most, 0)
+    if max(len(a), len(b)) > near:
+        yield from _shared(a, b, most, near)
 
 
 def aligned(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], width: int,
@@ -262,20 +323,20 @@ def aligned(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], width: i
         if n == 0 or most < 1:
             return None
         tried: dict[int, int] = {}  # how far each diagonal agrees from the places tried
-        for s, t in _meetings(x[:most + 1], y[:most + 1]):
-            if s + t <= most and s >= tried.get(s - t, 0):
-                n = _run(x, y, s, t)[1]
+        for s, t in _meetings(x[:most + 1], y[:most + 1], most):
+            if s >= tried.get(s - t, 0):
+                n = _ahead(x, y, s, t)
                 tried[s - t] = s + n
                 if s + t + gaps <= spare * (equal + n):
                     return s + n, t + n, n
         return None
 
     for i, j in sorted(seeds):
-        if i >= len(a) or j >= len(b) or a[i] != b[j] or any(s <= i < e and s2 <= j < e2 for s, e, s2, e2, _ in out):
+        if i < spent.get(i - j, 0) or i >= len(a) or j >= len(b) or a[i] != b[j]:
             continue
-        if i < spent.get(i - j, 0):
+        if any(s <= i < e and s2 <= j < e2 for s, e, s2, e2, _ in out):
             continue
-        back, ahead = _run(a, b, i, j)
+        back, ahead = _ahead(a[:i + 1][::-1], b[:j + 1][::-1], 0, 0) - 1, _ahead(a, b, i, j)
         spent[i - j] = i + ahead
         a0, a1, b0, b1 = i - back, i + ahead, j - back, j + ahead
         core, equal = (a0, a1, b0, b1), back + ahead
@@ -291,8 +352,12 @@ def aligned(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], width: i
         for s, e, s2, e2 in dict.fromkeys(((a0, a1, b0, b1), core)):
             if min(e - s, e2 - s2) < width:
                 continue
-            both = len(np.intersect1d(a[s:e], b[s2:e2]))
-            of = len(np.unique(a[s:e])) + len(np.unique(b[s2:e2])) - both
+            if (s, e, s2, e2) == core:  # equal token by token
+                both = of = 1
+            else:
+                x, y = np.unique(a[s:e]), np.unique(b[s2:e2])
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                of = len(x) + len(y) - both
             if both >= similarity * of:
                 out.append((s, e, s2, e2, both / of))
                 break
@@ -341,26 +406,46 @@ def rooted(context: np.ndarray, at: int) -> list[tuple[bytes, bytes]]:
     return [(context[at:].tobytes(), context[:at][::-1].tobytes()), (context[:at + 1][::-1].tobytes(), context[at + 1:].tobytes())]
 
 
+def contexts(flat: np.ndarray, centre: np.ndarray, first: np.ndarray, last: np.ndarray, reach: int) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
+    """:func:`rooted` for many centres of ``flat`` at a time, ``reach`` tokens to either side within ``first`` and ``last`` (exclusive):
+    what is ahead, what is behind, and a hash of the ``_SIDE`` tokens ahead."""
+    def read(start: np.ndarray, step: int, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        k = np.arange(reach + 1)
+        return flat[np.clip(start[:, None] + step * k, 0, len(flat) - 1)], k < count[:, None]
+
+    before, after = np.minimum(reach, centre - first), np.minimum(reach, last - centre - 1)
+    for step, n, m in ((1, after, before), (-1, before, after)):
+        ahead, inside = read(centre, step, n + 1)
+        behind, inside_ = read(centre - step, -step, m)
+        own = np.full(len(centre), np.uint64(2 + step))
+        with np.errstate(over="ignore"):
+            for k in range(min(_SIDE, reach + 1)):
+                own = own * _ODD + np.where(inside[:, k], ahead[:, k], np.uint64(1 << 40))
+        yield _binary(n + 1, ahead[inside]), _binary(m, behind[inside_]), _mixed(own)
+
+
 class _Member:
     """A window in its sorted stream."""
 
     def __init__(self, order: tuple, what: tuple, ahead: bytes, behind: bytes):
         self.order, self.what, self.ahead, self.behind = order, what, ahead, behind
         self.own: np.ndarray | None = None
+        self.each: list[int] = []
         self.held: frozenset = frozenset()
 
     def read(self) -> None:
         if self.own is None:
             ahead, behind = np.frombuffer(self.ahead, np.uint32), np.frombuffer(self.behind, np.uint32)
             self.own = np.concatenate((behind[::-1], ahead))
-            self.held = frozenset(self.own.tolist())
+            self.each = self.own.tolist()
+            self.held = frozenset(self.each)
 
     def near(self, other: _Member, width: int, similarity: float) -> bool:
         """Whether a near-equal passage of both holds the centres. Such passages share the tokens that the similarity asks for, so
         members with fewer in common (a frequent line among different texts) are told apart by their token sets."""
         self.read()
         other.read()
-        if sum(map(other.held.__contains__, self.own.tolist())) < 2 * width * similarity / (1 + similarity) - 1e-9:
+        if sum(map(other.held.__contains__, self.each)) < 2 * width * similarity / (1 + similarity) - 1e-9:
             return False
         return bool(aligned(self.own, other.own, [(len(self.behind) // 4, len(other.behind) // 4)], width, similarity))
 
@@ -423,34 +508,46 @@ def second_tries(spark: SparkSession, docs: DataFrame, pairs: DataFrame, near: D
     one, _ = parted(_documents(docs), F.xxhash64("d", "t"), member_bits(spark, refs.select(F.xxhash64("doc_id", "tag").alias("ref"))))
     asked = (refs.join(one, one["d"].eqNullSafe(refs["doc_id"]) & (one["t"] == refs["tag"]))
              .select("d", "h", "text", F.col("refs.key"), F.col("refs.centre"), F.col("refs.failed")))
-    names, kinds = ["deal", "d", "h", "centre", "failed", "ahead", "behind"], [pa.int64()] * 4 + [pa.bool_(), pa.binary(), pa.binary()]
+    names = ["deal", "d", "h", "centre", "failed", "ahead", "behind"]
 
     def batch(rows: list, names: list, kinds: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
         for b in batches:
-            rows = []
-            for d, h, text, *refs in zip(*(b.column(i).to_pylist() for i in range(2)), utf8(b.column(2)), *(b.column(i).to_pylist() for i in range(3, 6)), strict=True):
-                t = tokens(text, known).astype(np.uint32)
-                for key, centre, failed in zip(*refs, strict=True):
-                    lo = max(0, centre - reach)
-                    for side, (ahead, behind) in enumerate(rooted(t[lo:centre + reach + 1], centre - lo)):
-                        deal = xxhash.xxh64_intdigest(ahead[:4 * _SIDE], (key + side) % (1 << 64))
-                        rows.append((deal - (1 << 63), d, h, centre, failed, ahead, behind))
-                    if len(rows) >= 1 << 14:
-                        yield batch(rows, names, kinds)
-                        rows = []
-            if rows:
-                yield batch(rows, names, kinds)
+            own = tokens(b.column(2))
+            ends = np.cumsum([len(t) for t in own])
+            flat = np.concatenate(own).astype(np.uint32)
+            of = np.repeat(np.arange(len(own)), b.column(3).value_lengths().to_numpy())
+            first, last = np.concatenate(([0], ends[:-1]))[of], ends[of]
+            key, centre, failed = (b.column(k).flatten() for k in range(3, 6))
+            inside = np.flatnonzero(first + centre.to_numpy() < last)  # another text of the same id and tag may be shorter
+            for k in range(0, len(inside), 1 << 13):
+                at = inside[k:k + (1 << 13)]
+                some, doc = pa.array(at), pa.array(of[at])
+                for ahead, behind, deal in contexts(flat, first[at] + centre.to_numpy()[at], first[at], last[at], reach):
+                    with np.errstate(over="ignore"):
+                        deal = _mixed(deal + key.to_numpy()[at].view(np.uint64)).view(np.int64)
+                    cols = [pa.array(deal), b.column(0).take(doc), b.column(1).take(doc), centre.take(some), failed.take(some), ahead, behind]
+                    yield pa.RecordBatch.from_arrays(cols, names)
 
     out = ["doc_id", "h", "centre", "of_id", "of_h", "of_centre"]
 
+    def matched(b: pa.RecordBatch) -> pa.RecordBatch:
+        """Without the groups that lie in this batch and have no failed member or no other one."""
+        deal, failed = b.column(0).to_numpy(), b.column(4).to_numpy(zero_copy_only=False)
+        if not len(deal):
+            return b
+        start = np.flatnonzero(np.concatenate(([True], deal[1:] != deal[:-1])))
+        sizes = np.diff(np.append(start, len(deal)))
+        keep = np.logical_or.reduceat(failed, start) & (sizes > 1)
+        keep[[0, -1]] = True  # these may go on in another batch
+        return b.filter(pa.array(np.repeat(keep, sizes)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def members() -> Iterator[tuple]:
-            for b in batches:
-                for deal, d, h, centre, failed, ahead, behind in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for b in map(matched, batches):
+                for deal, d, h, centre, failed, ahead, behind in zip(*(c.to_pylist() for c in b.columns[:5]), *map(_cells, b.columns[5:]), strict=True):
                     yield deal, (d is not None, d or 0, h & 0xFFFF, h), (d, h, centre), failed, ahead, behind
 
         rows = []
@@ -462,8 +559,8 @@ def second_tries(spark: SparkSession, docs: DataFrame, pairs: DataFrame, near: D
         if rows:
             yield batch(rows, out, [pa.int64()] * 6)
 
-    contexts = asked.mapInArrow(cut, "deal long, d long, h long, centre long, failed boolean, ahead binary, behind binary")
-    found = (contexts.repartition("deal").sortWithinPartitions("deal", "ahead", "behind", "d", _tag("h"), "h", "centre")
+    members_ = asked.mapInArrow(cut, "deal long, d long, h long, centre long, failed boolean, ahead binary, behind binary")
+    found = (members_.repartition("deal").sortWithinPartitions("deal", "ahead", "behind", "d", _tag("h"), "h", "centre")
              .mapInArrow(run, ", ".join(f"{c} long" for c in out)))
     # few pairs, and passages of any length: the whole documents are asked for
     whole = F.lit(1 << 40)
@@ -490,48 +587,60 @@ def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, width: int,
     ask = ask.groupBy("doc_id", "tag", F.pmod("ask.pair", F.lit(_ROWS)).alias("row")).agg(F.collect_list("ask").alias("asks"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
         for b in batches:
-            rows, size = [], 0
-            for h, text, asks in zip(b.column(0).to_pylist(), utf8(b.column(1)), b.column(2).to_pylist(), strict=True):
-                t = tokens(text, known)
-                for x in asks:
-                    lo, hi = min(x["lo"], len(t)), min(x["hi"] + 1, len(t))
-                    rows.append((x["pair"], x["side"], h, lo, t[lo:hi].tobytes()))
-                    size += hi - lo
-                    if size > 1 << 20:
-                        yield made(rows)
-                        rows, size = [], 0
-            if rows:
-                yield made(rows)
-
-    def made(rows: list) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["pair", "side", "h", "lo", "tokens"])
+            own, asks = tokens(b.column(1)), b.column(2).flatten()
+            of = np.repeat(np.arange(len(own)), b.column(2).value_lengths().to_numpy())
+            pair, side, lo, hi = (asks.field(k) for k in range(4))
+            n = np.array([len(t) for t in own])[of]
+            lo, hi = np.minimum(lo.to_numpy(), n), np.minimum(hi.to_numpy() + 1, n)
+            part = np.cumsum(hi - lo) >> 20
+            for at in np.split(np.arange(len(of)), np.flatnonzero(part[1:] != part[:-1]) + 1):
+                cut_ = [own[d][s:e] for d, s, e in zip(of[at].tolist(), lo[at].tolist(), hi[at].tolist(), strict=True)]
+                some = pa.array(at)
+                cols = [pair.take(some), side.take(some), b.column(0).take(pa.array(of[at])), pa.array(lo[at]), _binary((hi - lo)[at], np.concatenate(cut_))]
+                yield pa.RecordBatch.from_arrays(cols, ["pair", "side", "h", "lo", "tokens"])
 
     asked = ask.join(one, one["d"].eqNullSafe(ask["doc_id"]) & (one["t"] == ask["tag"])).select("h", "text", "asks")
-    slices = asked.mapInArrow(cut, "pair long, side int, h long, lo long, tokens binary").dropDuplicates(["pair", "side", "h"])
-    sides = [slices.filter(f"side = {k}").select("pair", F.col("h").alias(f"{x}_hash"), F.col("lo").alias(f"{x}_lo"), F.col("tokens").alias(f"{x}_tokens"))
-             for k, x in ((0, "a"), (1, "b"))]
+    slices = asked.mapInArrow(cut, "pair long, side int, h long, lo long, tokens binary")
+    seeds = F.transform("seeds", lambda x: F.struct(x["centre"].alias("centre"), x["of_centre"].alias("of_centre"))).alias("seeds")
+    # a pair and its slices, dealt once, are read as a stream: first the pair, then either side
+    stream = slices.unionByName(pairs.select("pair", F.lit(-1).alias("side"), "doc_id", "of_id", seeds), allowMissingColumns=True)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(k, 32) for b in batches for k in range(0, b.num_rows, 32)):
+        of, group, sides = [], None, ([], [])
+
+        def judged() -> Iterator[tuple]:
+            more = SHINGLE - 1
+            for (doc_id, of_id, own), (h, lo, x), (of_h, of_lo, y) in product(of, *sides):
+                for s, e, s2, e2, j in aligned(x, y, [(i - lo, k - of_lo) for i, k in own], width, similarity):
+                    yield doc_id, h, s + lo, e + lo + more, of_id, of_h, s2 + of_lo, e2 + of_lo + more, j
+
+        def made(rows: list) -> pa.RecordBatch:
+            kinds = [pa.int64()] * 8 + [pa.float64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], out)
+
+        for b in batches:
             rows = []
-            for r in batch.to_pylist():
-                x, y = np.frombuffer(r["a_tokens"], np.uint64), np.frombuffer(r["b_tokens"], np.uint64)
-                seeds = [(s["centre"] - r["a_lo"], s["of_centre"] - r["b_lo"]) for s in r["seeds"]]
-                for s, e, s2, e2, j in aligned(x, y, seeds, width, similarity):
-                    more = SHINGLE - 1
-                    rows.append((r["doc_id"], r["a_hash"], s + r["a_lo"], e + r["a_lo"] + more, r["of_id"], r["b_hash"],
-                                 s2 + r["b_lo"], e2 + r["b_lo"] + more, j))
+            b = dict(zip(b.schema.names, b.columns, strict=True))
+            cells = _cells(pc.fill_null(b["tokens"], b""))
+            starts = np.concatenate(([0], np.cumsum(pc.fill_null(b["seeds"].value_lengths(), 0).to_numpy()))).tolist()
+            centre, of_centre = (b["seeds"].flatten().field(k).to_numpy().tolist() for k in range(2))
+            for k, (pair, side, h, lo, doc_id, of_id) in enumerate(zip(*(b[c].to_pylist() for c in ("pair", "side", "h", "lo", "doc_id", "of_id")), strict=True)):
+                if pair != group:
+                    rows += judged()
+                    of, group, sides = [], pair, ([], [])
+                if side < 0:
+                    of.append((doc_id, of_id, list(zip(centre[starts[k]:starts[k + 1]], of_centre[starts[k]:starts[k + 1]], strict=True))))
+                elif not sides[side] or sides[side][-1][0] != h:  # a row may come twice
+                    sides[side].append((h, lo, np.frombuffer(cells[k], np.uint64)))
             if rows:
-                kinds = [pa.int64()] * 8 + [pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], out)
+                yield made(rows)
+        if rows := list(judged()):
+            yield made(rows)
 
     out = ["doc_id", "text_hash", "start_word", "end_word", "of_doc_id", "of_text_hash", "of_start_word", "of_end_word", "similarity"]
-    seeds = F.transform("seeds", lambda x: F.struct(x["centre"].alias("centre"), x["of_centre"].alias("of_centre"))).alias("seeds")
-    both = pairs.select("pair", "doc_id", "of_id", seeds).join(sides[0], "pair").join(sides[1], "pair")
-    return both.mapInArrow(verify, ", ".join(f"{c} long" for c in out[:-1]) + ", similarity double")
+    return (stream.repartition("pair").sortWithinPartitions("pair", "side", "h")
+            .mapInArrow(verify, ", ".join(f"{c} long" for c in out[:-1]) + ", similarity double"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from strata.llm import compact_windows as C
@@ -192,3 +193,35 @@ def test_repeats_are_found_whatever_the_tasks(spark):
     for partitions in (1, 2):
         spans = found(spark, texts, partitions)[1]
         assert any(s <= 40 and e >= 100 for s, e, _ in spans) and any(s <= 170 and e >= 230 for s, e, _ in spans)
+
+
+def test_the_texts_of_pairs_are_cut_once(spark):
+    """Both sides of the pairs come from one pass over the texts, and no slice is sent twice."""
+    df = spark.createDataFrame([(i, " ".join(prose(random.Random(i % 2), 80))) for i in range(4)], "doc_id long, text string")
+    plan = C.repeats(spark, df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow cut") == 1 and plan.count("MapInArrow verify") == 1, plan
+
+
+def test_tokens_are_those_of_each_text():
+    texts = ["  A b\tC\x0bd\x0ce\rf\n g ", None, "", " \n", "\u00c9 \u00e9 x\x1cy z\u0085q \u00a0 w", "a b c d", "q w e r t y " * 30]
+    import xxhash
+    for column in (pa.array(texts), pa.array(["x " * 9, *texts])[1:], pa.array(texts, pa.large_string()), pa.array([None], pa.string()), pa.array([], pa.string())):
+        got = C.tokens(column)
+        want = [C.shingled(np.array([xxhash.xxh64_intdigest(w) for w in (t or "").encode().lower().split()], np.uint64)) for t in column.to_pylist()]
+        assert len(got) == len(want) and all(map(np.array_equal, got, want))
+
+
+def test_contexts_of_many_centres():
+    rnd = np.random.default_rng(7)
+    docs = [rnd.integers(0, 1 << 32, n, dtype=np.uint32) for n in (3, 1, 200, 40)]
+    ends = np.cumsum([len(d) for d in docs])
+    of = np.repeat(np.arange(4), [len(d) for d in docs])
+    at = np.concatenate([np.arange(len(d)) for d in docs])
+    first, reach = (ends - [len(d) for d in docs])[of], 69
+    deals = {}
+    for side, (ahead, behind, deal) in enumerate(C.contexts(np.concatenate(docs), first + at, first, ends[of], reach)):
+        want = [C.rooted(docs[d][max(0, c - reach):c + reach + 1], c - max(0, c - reach))[side] for d, c in zip(of, at, strict=True)]
+        assert list(zip(ahead.to_pylist(), behind.to_pylist(), strict=True)) == want
+        for (a, _), x in zip(want, deal.tolist(), strict=True):
+            assert deals.setdefault((side, a[:4 * C._SIDE]), x) == x
+    assert len(set(deals.values())) == len(deals)
