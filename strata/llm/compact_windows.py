@@ -51,6 +51,11 @@ def _cells(column: pa.Array) -> list[bytes]:
     return [whole[s:e] for s, e in zip(at[:-1], at[1:], strict=True)]
 
 
+def _values(column: pa.Array) -> list:
+    """The values of a column of numbers, null as None."""
+    return column.to_pylist() if column.null_count else column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _binary(counts: np.ndarray, values: np.ndarray) -> pa.Array:
     """A binary column whose cells hold so many of the values each, in turn."""
     ends = np.concatenate(([0], np.cumsum(counts * values.itemsize))).astype(np.int32)
@@ -382,7 +387,7 @@ def repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, similarity
         F.shiftright("reach", 32).alias("left"), low("reach", 32).alias("right"),
         "of_id", F.shiftright("of_place", _TAG).alias("of_tag"), low("of_place", _ORDER).alias("of_centre"))
     met = (found.groupBy("doc_id", "tag", "of_id", "of_tag")
-           .agg(F.size(F.collect_set("order")).alias("orders"), F.collect_list(F.struct("key", "centre", "of_centre")).alias("seeds"),
+           .agg(F.bit_count(F.bit_or(F.expr("shiftleft(1, cast(order as int))"))).alias("orders"), F.collect_list(F.struct("key", "centre", "of_centre")).alias("seeds"),
                 F.min(F.col("centre") - F.col("left")).alias("a_first"), F.max(F.col("centre") + F.col("right")).alias("a_last"),
                 F.min("of_centre").alias("b_first"), F.max("of_centre").alias("b_last")))
     pairs = stored(spark, met.withColumn("pair", F.xxhash64("doc_id", "tag", "of_id", "of_tag")), "window-pairs")
@@ -547,7 +552,7 @@ def second_tries(spark: SparkSession, docs: DataFrame, pairs: DataFrame, near: D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def members() -> Iterator[tuple]:
             for b in map(matched, batches):
-                for deal, d, h, centre, failed, ahead, behind in zip(*(c.to_pylist() for c in b.columns[:5]), *map(_cells, b.columns[5:]), strict=True):
+                for deal, d, h, centre, failed, ahead, behind in zip(*map(_values, b.columns[:5]), *map(_cells, b.columns[5:]), strict=True):
                     yield deal, (d is not None, d or 0, h & 0xFFFF, h), (d, h, centre), failed, ahead, behind
 
         rows = []
