@@ -11,7 +11,7 @@ passage are sorted with the others of their group by the tokens about the centre
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import product
 
 import numpy as np
@@ -273,6 +273,53 @@ def links(found: DataFrame) -> DataFrame:
     return found.repartition(deal).sortWithinPartitions("key", "doc_id", "place").mapInArrow(run, found.schema)
 
 
+def _new(column: pa.Array) -> np.ndarray:
+    """Whether a value of a sorted column, null first, differs from the one before it."""
+    full, own = column.is_valid().to_numpy(zero_copy_only=False), pc.fill_null(column, 0).to_numpy()
+    return np.concatenate(([True], (full[1:] != full[:-1]) | (own[1:] != own[:-1])))
+
+
+def paired(found: DataFrame) -> DataFrame:
+    """The links of each pair of documents in one row: under how many orders they meet, where (``seeds``), and the ranges of the
+    windows in either document. Sorted partitions are read as streams; the seeds of one pair are held together."""
+    def made(rows: pa.Table, start: np.ndarray) -> pa.RecordBatch:
+        key, place, reach, of_place = (rows.column(k).to_numpy() for k in range(4, 8))
+        centre, of_centre = (x & ((1 << _ORDER) - 1) for x in (place, of_place))
+        orders = np.bitwise_count(np.bitwise_or.reduceat(1 << (place >> _ORDER & ((1 << _TAG - _ORDER) - 1)), start)).astype(np.int32)
+        seeds = pa.StructArray.from_arrays([pa.array(x) for x in (key, centre, of_centre)], ["key", "centre", "of_centre"])
+        ends = pa.array(np.append(start, len(key)).astype(np.int32))
+        ranges = (np.minimum.reduceat(centre - (reach >> 32), start), np.maximum.reduceat(centre + (reach & ((1 << 32) - 1)), start),
+                  np.minimum.reduceat(of_centre, start), np.maximum.reduceat(of_centre, start))
+        own = [rows.column(k).combine_chunks().take(pa.array(start)) for k in range(4)]
+        return pa.RecordBatch.from_arrays([*own, pa.array(orders), pa.ListArray.from_arrays(ends, seeds), *map(pa.array, ranges)],
+                                          [*by, "orders", "seeds", "a_first", "a_last", "b_first", "b_last"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the links of the pair that may go on
+        for b in batches:
+            if not b.num_rows:
+                continue
+            seen = pa.concat_batches([held[-1].slice(held[-1].num_rows - 1), b]) if held else b
+            start = np.flatnonzero(np.logical_or.reduce([_new(c) for c in seen.columns[:4]])[len(seen) - len(b):])
+            if held and not len(start):
+                held.append(b)
+                continue
+            last = int(start[-1])
+            before = sum(h.num_rows for h in held)
+            if before or last:
+                start = np.concatenate(([0] if before else [], start[:-1] + before)).astype(np.int64)
+                yield made(pa.Table.from_batches([*held, b.slice(0, last)]).combine_chunks(), start)
+            held = [b.slice(last)]
+        if held:
+            yield made(pa.Table.from_batches(held).combine_chunks(), np.array([0]))
+
+    by = ["doc_id", "tag", "of_id", "of_tag"]
+    rows = found.select("doc_id", F.shiftright("place", _TAG).alias("tag"), "of_id", F.shiftright("of_place", _TAG).alias("of_tag"), "key", "place", "reach", "of_place")
+    return (rows.repartition(*by).sortWithinPartitions(*by)
+            .mapInArrow(run, ", ".join(f"{c} long" for c in by) + ", orders int, seeds array<struct<key: long, centre: long, of_centre: long>>, "
+                        "a_first long, a_last long, b_first long, b_last long"))
+
+
 def _ahead(a: np.ndarray, b: np.ndarray, i: int, j: int) -> int:
     """How many tokens agree from ``a[i] == b[j]`` on."""
     n = min(len(a) - i, len(b) - j)
@@ -281,28 +328,28 @@ def _ahead(a: np.ndarray, b: np.ndarray, i: int, j: int) -> int:
     return at if differ[at] else n
 
 
-def _shared(a: np.ndarray, b: np.ndarray, most: int, after: int) -> Iterator[tuple[int, int]]:
+def _shared(a: np.ndarray, b: np.ndarray, most: int, after: int) -> Iterable[tuple[int, int]]:
     """The first places of each token that ``a`` and ``b`` share, ``most`` together and one of them ``after`` or more, the shortest gap
     first; what continues a run of such places is left out."""
-    if len(a) * len(b) <= 1 << 16:
-        same = a[:, None] == b
-        at = same.ravel().nonzero()[0]
-        if not len(at):
-            return
-        s, t = at // len(b), at % len(b)
-        if len(s) > 1:
-            first = (same.argmax(0)[t] == s) & (same.argmax(1)[s] == t)
-            s, t = s[first], t[first]
-    else:
-        _, s, t = np.intersect1d(a, b, return_indices=True)
+    if len(a) + len(b) <= 1 << 9:  # too short for the array functions to pay
+        x, y = a.tolist(), b.tolist()
+        if set(x).isdisjoint(y):
+            return ()
+        places = dict(zip(reversed(y), range(len(y) - 1, -1, -1), strict=True))
+        found, before = [], -2
+        for s, token in enumerate(x):
+            t = places.pop(token, -2)  # a later place of the token finds none
+            if t >= 0 and before != t - 1 and s + t <= most and max(s, t) >= after:
+                found.append((max(s, t), s + t, token, s, t))
+            before = t
+        return [f[3:] for f in sorted(found)]
+    _, s, t = np.intersect1d(a, b, return_indices=True)
     of = np.full(len(a) + 1, -2)
     of[s] = t
     new = (of[s - 1] != t - 1) & (s + t <= most) & (np.maximum(s, t) >= after)  # of[-1] is no place
     s, t = s[new], t[new]
-    if len(s) > 1:
-        at = np.lexsort((a[s], s + t, np.maximum(s, t)))
-        s, t = s[at], t[at]
-    yield from zip(s.tolist(), t.tolist(), strict=True)
+    at = np.lexsort((a[s], s + t, np.maximum(s, t)))
+    return zip(s[at].tolist(), t[at].tolist(), strict=True)
 
 
 def _meetings(a: np.ndarray, b: np.ndarray, most: int, near: int = 16) -> Iterator[tuple[int, int]]:
@@ -339,7 +386,7 @@ def aligned(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], width: i
     for i, j in sorted(seeds):
         if i < spent.get(i - j, 0) or i >= len(a) or j >= len(b) or a[i] != b[j]:
             continue
-        if any(s <= i < e and s2 <= j < e2 for s, e, s2, e2, _ in out):
+        if out and any(s <= i < e and s2 <= j < e2 for s, e, s2, e2, _ in out):
             continue
         back, ahead = _ahead(a[:i + 1][::-1], b[:j + 1][::-1], 0, 0) - 1, _ahead(a, b, i, j)
         spent[i - j] = i + ahead
@@ -360,9 +407,8 @@ def aligned(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], width: i
             if (s, e, s2, e2) == core:  # equal token by token
                 both = of = 1
             else:
-                x, y = np.unique(a[s:e]), np.unique(b[s2:e2])
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                of = len(x) + len(y) - both
+                x, y = set(a[s:e].tolist()), set(b[s2:e2].tolist())
+                both, of = len(x & y), len(x | y)
             if both >= similarity * of:
                 out.append((s, e, s2, e2, both / of))
                 break
@@ -381,15 +427,7 @@ def repeats(spark: SparkSession, docs: DataFrame, words: int = WORDS, similarity
     read."""
     bounded_batches(spark)
     width = words - SHINGLE + 1
-    low = lambda c, bits: F.col(c).bitwiseAND(F.lit((1 << bits) - 1))
-    found = links(windows(docs, words)).select(
-        "key", "doc_id", F.shiftright("place", _TAG).alias("tag"), F.shiftright(low("place", _TAG), _ORDER).alias("order"), low("place", _ORDER).alias("centre"),
-        F.shiftright("reach", 32).alias("left"), low("reach", 32).alias("right"),
-        "of_id", F.shiftright("of_place", _TAG).alias("of_tag"), low("of_place", _ORDER).alias("of_centre"))
-    met = (found.groupBy("doc_id", "tag", "of_id", "of_tag")
-           .agg(F.bit_count(F.bit_or(F.expr("shiftleft(1, cast(order as int))"))).alias("orders"), F.collect_list(F.struct("key", "centre", "of_centre")).alias("seeds"),
-                F.min(F.col("centre") - F.col("left")).alias("a_first"), F.max(F.col("centre") + F.col("right")).alias("a_last"),
-                F.min("of_centre").alias("b_first"), F.max("of_centre").alias("b_last")))
+    met = paired(links(windows(docs, words)))
     pairs = stored(spark, met.withColumn("pair", F.xxhash64("doc_id", "tag", "of_id", "of_tag")), "window-pairs")
     near = stored(spark, verified(spark, docs, pairs.filter(F.col("orders") >= ENOUGH), width, similarity), "first-repeats")
     more = stored(spark, second_tries(spark, docs, pairs, near, width, similarity), "second-pairs")
@@ -484,6 +522,39 @@ def tried(members: Iterator[tuple], width: int, similarity: float) -> Iterator[t
             spine.append((m, waits))
 
 
+def judge(reach: int, keys: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For ``(doc_id, tag, of_id, of_tag, seeds, spans)`` a row a seed: whether none of the document's ``spans`` covers it (``failed``), and
+    whether it equals its first member in all that is compared, ``reach`` tokens to either side (``equal``): then it is no
+    other partner. With ``keys`` the keys of the failed seeds alone."""
+    more = SHINGLE - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own, spans = b.column(4), b.column(5)
+            row = np.repeat(np.arange(len(own)), own.value_lengths().to_numpy())
+            key, centre, of_centre = (own.flatten().field(k) for k in range(3))
+            at = centre.to_numpy()
+            counts = pc.fill_null(spans.value_lengths(), 0).to_numpy()
+            begin, counts = (np.cumsum(counts) - counts)[row], counts[row]
+            start, end, similarity = (spans.flatten().field(k).to_numpy() for k in range(3))
+            failed, equal = np.ones(len(at), bool), np.zeros(len(at), bool)
+            on, k = np.flatnonzero(counts), 0
+            while len(on):  # the seeds of documents with more than k passages, each against its document's next
+                c, i = at[on], begin[on] + k
+                failed[on] &= (start[i] > c) | (c >= end[i] - more)
+                equal[on] |= (similarity[i] == 1) & (start[i] <= np.maximum(0, c - reach)) & (c + reach < end[i] - more)
+                k += 1
+                on = on[counts[on] > k]
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(key.to_numpy()[failed]))], ["bad"])
+                continue
+            some = pa.array(row)
+            yield pa.RecordBatch.from_arrays([*(b.column(k).take(some) for k in range(4)), key, centre, of_centre, pa.array(failed), pa.array(equal)],
+                                             ["doc_id", "tag", "of_id", "of_tag", "key", "centre", "of_centre", "failed", "equal"])
+
+    return run
+
+
 def second_tries(spark: SparkSession, docs: DataFrame, pairs: DataFrame, near: DataFrame, width: int, similarity: float) -> DataFrame:
     """Pairs for the windows that no passage of ``near`` covers, though their key has an earlier member: these and the
     key's other members are sorted by the tokens to the right and, apart, to the left of their centres, and :func:`tried` finds partners
@@ -492,17 +563,10 @@ def second_tries(spark: SparkSession, docs: DataFrame, pairs: DataFrame, near: D
     reach = int(_CONTEXT * width)
     spans = (near.groupBy("doc_id", _tag("text_hash").alias("tag")).agg(F.collect_list(F.struct("start_word", "end_word", "similarity")).alias("spans"))
              .toDF("s_id", "s_tag", "spans"))
-    held = pairs.join(spans, pairs["doc_id"].eqNullSafe(spans["s_id"]) & (pairs["tag"] == spans["s_tag"]), "left")
-    some = lambda c: F.coalesce(F.exists("spans", c), F.lit(False))
-    more = SHINGLE - 1
-    seeds = F.transform("seeds", lambda x: F.struct(
-        x["key"].alias("key"), x["centre"].alias("centre"), x["of_centre"].alias("of_centre"),
-        (~some(lambda p: (p["start_word"] <= x["centre"]) & (x["centre"] < p["end_word"] - more))).alias("failed"),
-        # what equals its first member in all that is compared is no other partner
-        some(lambda p: (p["similarity"] == 1) & (p["start_word"] <= F.greatest(F.lit(0), x["centre"] - reach))
-             & (x["centre"] + reach < p["end_word"] - more)).alias("equal")))
-    each = held.select("doc_id", "tag", "of_id", "of_tag", F.explode(seeds).alias("s")).select("doc_id", "tag", "of_id", "of_tag", "s.*")
-    bad = stored(spark, each.filter("failed").select(F.col("key").alias("bad")).distinct(), "tried-keys")
+    held = (pairs.join(spans, pairs["doc_id"].eqNullSafe(spans["s_id"]) & (pairs["tag"] == spans["s_tag"]), "left")
+            .select("doc_id", "tag", "of_id", "of_tag", "seeds", "spans"))
+    bad = stored(spark, held.mapInArrow(judge(reach, keys=True), "bad long").distinct(), "tried-keys")
+    each = held.mapInArrow(judge(reach), "doc_id long, tag long, of_id long, of_tag long, key long, centre long, of_centre long, failed boolean, equal boolean")
     each, _ = parted(each, F.col("key"), member_bits(spark, bad.select(F.col("bad").alias("ref"))))
     each = each.join(bad, each["key"] == bad["bad"], "left_semi")
     both = F.explode(F.array(*[F.struct(i.alias("doc_id"), t.alias("tag"), F.col("key"), c.alias("centre"), f.alias("failed"), e.alias("equal")) for i, t, c, f, e in (

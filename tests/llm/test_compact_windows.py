@@ -225,3 +225,77 @@ def test_contexts_of_many_centres():
         for (a, _), x in zip(want, deal.tolist(), strict=True):
             assert deals.setdefault((side, a[:4 * C._SIDE]), x) == x
     assert len(set(deals.values())) == len(deals)
+
+
+def test_links_of_a_pair_are_one_row(spark):
+    """Whatever the batches: a pair may fill many, and ids may be null."""
+    rnd = random.Random(21)
+    rows = []
+    for _ in range(400):
+        doc, of = (rnd.choice([None, 0, 5, -3]), rnd.randrange(2)), (rnd.choice([None, 0, 7]), rnd.randrange(2))
+        rows.append((rnd.randrange(9), doc[0], doc[1] << C._TAG | rnd.randrange(5) << C._ORDER | rnd.randrange(100, 200), rnd.randrange(50) << 32 | rnd.randrange(50),
+                     of[0], of[1] << C._TAG | rnd.randrange(5) << C._ORDER | rnd.randrange(100)))
+    want = {}
+    for key, doc, place, reach, of, of_place in rows:
+        tag, centre = place >> C._TAG, place & (1 << C._ORDER) - 1
+        w = want.setdefault((doc, tag, of, of_place >> C._TAG), (set(), [], [], [], []))
+        w[0].add(place >> C._ORDER & 15)
+        for held, x in zip(w[1:], ((key, centre, of_place & (1 << C._ORDER) - 1), centre - (reach >> 32), centre + (reach & (1 << 32) - 1), of_place & (1 << C._ORDER) - 1), strict=True):
+            held.append(x)
+    df = spark.createDataFrame(rows, "key long, doc_id long, place long, reach long, of_id long, of_place long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("3", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = C.paired(df).collect()
+            assert len(got) == len(want)
+            for r in got:
+                orders, seeds, first, last, of = want[r["doc_id"], r["tag"], r["of_id"], r["of_tag"]]
+                assert r["orders"] == len(orders) and sorted(map(tuple, r["seeds"])) == sorted(seeds)
+                assert (r["a_first"], r["a_last"], r["b_first"], r["b_last"]) == (min(first), max(last), min(of), max(of))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert C.paired(df.limit(0)).count() == 0
+    plan = C.paired(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan, plan
+
+
+def test_seeds_are_judged_by_the_passages_of_their_document():
+    rnd = random.Random(22)
+    spans = [None, [], *[[(s, s + rnd.randrange(50, 200), rnd.choice([1.0, 0.9])) for s in rnd.choices(range(300), k=k)] for k in (1, 2, 5)]]
+    seeds = [[(rnd.randrange(1 << 40), rnd.randrange(400), rnd.randrange(400)) for _ in range(n)] for n in (4, 3, 40, 60, 80)]
+    names = (("key", "centre", "of_centre"), ("start_word", "end_word", "similarity"))
+    cell = lambda rows, names: None if rows is None else [dict(zip(names, x, strict=True)) for x in rows]
+    whole = {"similarity": pa.float64()}
+    kinds = [pa.list_(pa.struct([(n, whole.get(n, pa.int64())) for n in own])) for own in names]
+    b = pa.RecordBatch.from_arrays([pa.array([3, None, 5, 6, 7], pa.int64()), *[pa.array(range(5), pa.int64())] * 3,
+                                    pa.array([cell(x, names[0]) for x in seeds], kinds[0]), pa.array([cell(x, names[1]) for x in spans], kinds[1])],
+                                   ["doc_id", "tag", "of_id", "of_tag", "seeds", "spans"])
+    want, reach = [], 20
+    for d, k, own, held in zip((3, None, 5, 6, 7), range(5), seeds, spans, strict=True):
+        for key, c, of in own:
+            failed = not any(s <= c < e - C.SHINGLE + 1 for s, e, _ in held or [])
+            equal = any(j == 1 and s <= max(0, c - reach) and c + reach < e - C.SHINGLE + 1 for s, e, j in held or [])
+            want.append((d, k, k, k, key, c, of, failed, equal))
+    for part in ([b], [b.slice(0, 1), b.slice(1, 2), b.slice(3)]):
+        got = [tuple(r.values()) for x in C.judge(reach)(iter(part)) for r in x.to_pylist()]
+        assert got == want and len({w[7:] for w in want}) >= 3
+        keys = [r["bad"] for x in C.judge(reach, keys=True)(iter(part)) for r in x.to_pylist()]
+        assert set(keys) == {w[4] for w in want if w[7]}
+
+
+def test_shared_places_of_short_and_long_texts():
+    rnd = np.random.default_rng(23)
+
+    def plain(a, b, most, after):
+        a, b = a.tolist(), b.tolist()
+        at = {a.index(x): b.index(x) for x in set(a) & set(b)}
+        new = [(s, t) for s, t in at.items() if at.get(s - 1, -2) != t - 1 and s + t <= most and max(s, t) >= after]
+        return sorted(new, key=lambda p: (max(p), sum(p), a[p[0]]))
+
+    for n, tokens in ((1, 2), (16, 20), (16, 1 << 30), (250, 300), (600, 500), (600, 1 << 30)):
+        for _ in range(5):
+            a, b = rnd.integers(0, tokens, n, dtype=np.uint64), rnd.integers(0, tokens, n + 3, dtype=np.uint64)
+            b[n // 2:] = a[:n + 3 - n // 2][:n + 3] if n > 3 else b[n // 2:]
+            for most, after in ((n, 0), (2 * n, 16), (4, 0)):
+                assert list(C._shared(a, b, most, after)) == plain(a, b, most, after)
